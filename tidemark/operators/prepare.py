@@ -32,8 +32,8 @@ def fit_numeric(train: DataFrame, columns, by=()) -> DataFrame:
     if by:
         both = join_on(moments, medians, by)
     else:
-        one = F.lit(1)
-        both = moments.withColumn("_one", one).join(medians.withColumn("_one", one), "_one").drop("_one")
+        row = medians.first()  # one row, one number per column
+        both = moments.withColumns({c: F.lit(row[c]).cast("double") for c in medians.columns})
 
     def entry(c):
         n, avg, var, med = (named(f"{p}_{c}") for p in ("n", "avg", "var", "med"))
@@ -54,7 +54,7 @@ def fit_categories(train: DataFrame, columns, order, by=()) -> DataFrame:
     Rows are reduced to one per category before anything is ordered.
     """
     keys = [named(k) for k in by]
-    at = F.struct(*[named(o) for o in order])
+    at = named(order[0]) if len(order) == 1 else F.struct(*[named(o) for o in order])
     seen = train.select(*keys, at.alias("_at"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("category")) for c in columns
     ])))
@@ -122,14 +122,16 @@ class Preparation:
         return df.withColumn("_stats", F.struct(*[literal(c) for c in self.numeric_columns]))
 
     def save(self, path: str) -> None:
-        spark = self.numeric.sparkSession
         self.numeric.write.mode("overwrite").parquet(f"{path}/numeric")
         if self.codes is not None:
             self.codes.write.mode("overwrite").parquet(f"{path}/codes")
-        layout = [(i, c, self.bits.get(c)) for i, c in enumerate([*self.numeric_columns, *self.categorical_columns])]
-        spark.createDataFrame(layout, "position int, column string, bits int").withColumn(
-            "by", F.array(*[F.lit(k) for k in self.by]).cast("array<string>")
-        ).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+        self._save_layout(path)
+
+    def _save_layout(self, path: str) -> None:
+        columns = [*self.numeric_columns, *self.categorical_columns]
+        layout = [(i, c, self.bits.get(c), list(self.by)) for i, c in enumerate(columns)]
+        schema = "position int, column string, bits int, by array<string>"
+        self.numeric.sparkSession.createDataFrame(layout, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Preparation":
@@ -157,4 +159,6 @@ def fit(
         codes = stage(fit_categories(train, categorical, order, by), path=f"{path}/codes")
         widest = {r["column"]: r.k for r in codes.groupBy("column").agg(F.max("code").alias("k")).collect()}
         bits = {c: max(1, ceil(log2(widest.get(c, 0) + 1))) for c in categorical}
-    return Preparation(numbers, codes, list(numeric), list(categorical), bits, tuple(by))
+    fitted = Preparation(numbers, codes, list(numeric), list(categorical), bits, tuple(by))
+    fitted._save_layout(path)
+    return fitted

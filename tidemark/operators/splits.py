@@ -32,8 +32,7 @@ def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS)
         .when(at >= F.col("_validation_from"), "validation")
         .otherwise("train")
     )
-    labelled = join_on(df, cuts, keys) if keys else df.crossJoin(F.broadcast(cuts))
-    return labelled.withColumn("split", label).drop("_seen", "_test_from", "_validation_from")
+    return join_on(df, cuts, keys).withColumn("split", label).drop("_seen", "_test_from", "_validation_from")
 
 
 def ordered_batches(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,11 @@ TASK_ROWS = 5_000_000
 DATE_DOMAIN_ROWS = 3_652_059
 
 
+def ship_with_tasks(module: str) -> None:
+    """Send the functions of a module to Python workers by value, so executors need no copy of it."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 _local_roots: dict[str, str] = {}
 
 

@@ -42,7 +42,7 @@ class KeyedTable:
 
     path: str
     keys: list[str] = field(default_factory=lambda: list(BAR_KEY))
-    period: str = "date_format(dt, 'yyyyMM')"
+    period: str = "date_format(dt, 'yyyy')"
 
     def exists(self, spark: SparkSession) -> bool:
         return path_exists(spark, self.path)
