@@ -152,8 +152,8 @@ def fit(
     """Fit on the train rows only and keep the result under `path` (scratch when not given)."""
     spark = train.sparkSession
     path = path or scratch_path(spark, "preparation")
-    numbers = stage(fit_numeric(train, numeric, by), path=f"{path}/numeric") if numeric else spark.createDataFrame(
-        [], "column string, median double, mean double, std double")
+    none = "column string, median double, mean double, std double"
+    numbers = stage(fit_numeric(train, numeric, by) if numeric else spark.createDataFrame([], none), path=f"{path}/numeric")
     codes, bits = None, {}
     if categorical:
         codes = stage(fit_categories(train, categorical, order, by), path=f"{path}/codes")

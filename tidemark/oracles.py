@@ -287,7 +287,7 @@ SELECT series, round(exp(avg(pred_mean)) - 1, 4) AS forecast, round(avg(pow(pred
 SELECT series, round(exp(avg(pred_mean)) - 1, 3) AS point, round(exp(avg(pred_mean)), 3) AS point_exp,
   round(avg(exp(pred_mean) - 1), 3) AS online, round(avg(exp(pred_mean)), 3) AS online_exp FROM scored GROUP BY 1""",
     "discrepancy": "WITH " + _SPLIT + _CANDIDATES.format(source="split") + """
-SELECT series, CAST(dt AS VARCHAR) AS dt, round(exp(close) - 1, 2) AS actual, round(exp(pred_mid) - 1, 2) AS forecast,
+SELECT series, CAST(dt AS VARCHAR) AS dt, round(ln(exp(close) - 1), 6) AS actual, round(ln(exp(pred_mid) - 1), 6) AS forecast,
   CASE WHEN pred_mid >= close THEN 'over' ELSE 'under' END AS side FROM scored WHERE split = 'test'""",
     "reference_window": "WITH " + _MINUTES + f""",
 bounds AS (SELECT series, max(ts) - INTERVAL 3 DAYS AS since FROM minutes GROUP BY 1),

@@ -6,11 +6,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators.gold import gold_features
+from tidemark.operators.gold import affected_gold, gold_features
 from tidemark.operators.silver import accepted, rejected, type_bars
+from tidemark.session import stage
 from tidemark.sinks.landing import land_payloads
 from tidemark.sinks.store import KeyedTable, read_layer
-from tidemark.sources.payload import explode_payloads, read_payloads
+from tidemark.sources.payload import explode_payloads, newest_landing, read_payloads
 
 
 @dataclass(frozen=True)
@@ -37,13 +38,26 @@ class Lakehouse:
 
 
 def run_lakehouse(spark: SparkSession, lake: Lakehouse, payloads: DataFrame | None = None) -> DataFrame:
-    """Land `payloads` when given, parse all that is landed, bring silver and gold up to date."""
+    """Bring silver and gold up to date.
+
+    With `payloads` these are landed, and only they are parsed. Without, both layers follow from
+    all that is landed, where the newest landing of a date counts.
+    """
     if payloads is not None:
+        payloads = stage(payloads.select("series", "dt", "value"), "payloads")
         land_payloads(payloads, lake.bronze)
-    typed = type_bars(explode_payloads(read_payloads(spark, lake.bronze)))
-    lake.silver.upsert(accepted(typed))
+        entries = explode_payloads(payloads)
+    else:
+        entries = newest_landing(explode_payloads(read_payloads(spark, lake.bronze), ["dt"]), "dt")
+    typed = type_bars(entries)
+    bars = stage(accepted(typed), "bars")
     rejected(typed).write.mode("overwrite").parquet(lake.quarantine)
-    lake.gold.upsert(gold_features(lake.silver.read(spark)))
+    lake.silver.upsert(bars, staged=True)
+    silver = lake.silver.read(spark)
+    if payloads is not None and lake.gold.exists(spark):
+        lake.gold.upsert(affected_gold(silver, bars, unique_days=True))
+    else:
+        lake.gold.upsert(gold_features(silver))
     return lake.gold.read(spark)
 
 

@@ -32,17 +32,26 @@ def payload_entries(value: Column) -> Column:
     return F.when(F.instr(value, f'"{PAYLOAD_WRAPPER}"') > 0, wrapped).otherwise(bare)
 
 
-def explode_payloads(payloads: DataFrame) -> DataFrame:
+def explode_payloads(payloads: DataFrame, keep=()) -> DataFrame:
     """One row per date entry: (series, dt_string, raw, bar). An unreadable payload keeps one row."""
-    entries = payloads.select("series", "value", F.explode_outer(payload_entries(F.col("value"))).alias("dt_string", "entry"))
+    entries = payloads.select(
+        "series", "value", *keep, F.explode_outer(payload_entries(F.col("value"))).alias("dt_string", "entry")
+    )
     return entries.select(
         "series",
+        *keep,
         "dt_string",
         F.coalesce("entry", F.when(F.col("dt_string").isNull(), F.col("value"))).alias("raw"),
         F.from_json("entry", RAW_BAR).alias("bar"),
     )
 
 
+def newest_landing(exploded: DataFrame, landed: str) -> DataFrame:
+    """Of entries landed more than once for a series and date, the one landed last."""
+    last = F.max_by(F.struct("raw", "bar"), landed).alias("last")
+    return exploded.groupBy("series", "dt_string").agg(last).select("series", "dt_string", "last.*")
+
+
 def explode_wide(wide: DataFrame, series: str) -> DataFrame:
     """The same rows from a table with one struct column per date.
 

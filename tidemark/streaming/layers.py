@@ -3,61 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.operators.drift import ks_drift
-from tidemark.operators.gold import gold_features
-from tidemark.operators.ordering import last_rows
-from tidemark.schema import DRIFT_ROWS, SERIES_KEY, SILVER, TRAILING_ROWS
-from tidemark.session import join_on, stage
+from tidemark.operators.gold import affected_gold
+from tidemark.schema import DRIFT_ROWS, SILVER
+from tidemark.session import stage
 from tidemark.sinks.store import KeyedTable
 from tidemark.streaming.replay import ReplayBuffer, recency_sample
 from tidemark.streaming.sinks import batch_folder
 
-_AT = "timestamp_in_ms"
-
-
-def affected_gold(silver: DataFrame, bars: DataFrame, lookback_days: int = 90, unique_days: bool = False) -> DataFrame:
-    """Gold rows that change when `bars` come into `silver` (which already holds them).
-
-    These are the rows of a series from its first new bar on. Their mean needs the 29 bars before,
-    looked for in the last `lookback_days` days first, so that older files are not read; only
-    series with too few bars there are looked up in all of their history.
-    """
-    need = TRAILING_ROWS - 1
-    order = ["dt", _AT]
-    since = stage(bars.groupBy(*SERIES_KEY).agg(F.min(_AT).alias("_since"), F.min("dt").alias("_day")), "since")
-    first = since.agg(F.min("_day")).first()[0]
-    if first is None:
-        return gold_features(silver.where(F.lit(False)), unique_days)
-    near = silver.where(F.col("dt") >= F.lit(first) - F.expr(f"interval {lookback_days} days"))
-    changed = join_on(silver.where(F.col("dt") >= F.lit(first)), since.drop("_day"), SERIES_KEY).where(F.col(_AT) >= F.col("_since"))
-
-    def history(rows, series):
-        before = join_on(rows, series, SERIES_KEY).where(F.col(_AT) < F.col("_since")).drop("_since")
-        return last_rows(before, SERIES_KEY, order, need)
-
-    found = stage(history(near, since.drop("_day")), "history")
-    held = found.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= need)
-    short = stage(join_on(since.drop("_day"), held, SERIES_KEY, "left_anti"), "short")
-    if short.limit(1).count():
-        enough = join_on(found, short.select(*SERIES_KEY), SERIES_KEY, "left_anti")
-        found = enough.unionByName(history(silver, short))
-    gold = gold_features(changed.drop("_since").unionByName(found), unique_days)
-    return join_on(gold, since.drop("_day"), SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
-
-
 class LayerUpdater:
     """`foreachBatch` handler: new bars into silver, the changed rows into gold."""
 
-    def __init__(self, silver: KeyedTable, gold: KeyedTable, lookback_days: int = 90):
-        self.silver, self.gold, self.lookback_days = silver, gold, lookback_days
+    def __init__(self, silver: KeyedTable, gold: KeyedTable, unique_days: bool = False, lookback_days: int = 90):
+        self.silver, self.gold = silver, gold
+        self.unique_days, self.lookback_days = unique_days, lookback_days
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bars = stage(batch.select(*SILVER.fieldNames()), "bars")
         self.silver.upsert(bars, staged=True)
-        self.gold.upsert(affected_gold(self.silver.read(spark), bars, self.lookback_days))
+        self.gold.upsert(affected_gold(self.silver.read(spark), bars, self.unique_days, self.lookback_days))
 
 
 class DriftMonitor:
