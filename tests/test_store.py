@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 
 from tidemark.plans.lakehouse import Lakehouse, run_lakehouse
@@ -30,6 +32,15 @@ def test_other_periods_are_not_rewritten(spark, bars, tmp_path):
     assert table.read(spark).count() == 120
 
 
+def test_rows_since_a_day(spark, bars, tmp_path):
+    table = KeyedTable(str(tmp_path / "t"), period="date_format(dt, 'yyyyMM')")
+    table.upsert(bars([("a", d, d) for d in range(0, 120)]))
+    assert table.since(spark, dt.date(2024, 2, 10)).count() == 120 - 40
+    assert table.since(spark, None).count() == 120
+    plan = table.since(spark, dt.date(2024, 2, 10))._jdf.queryExecution().executedPlan().toString()
+    assert "period" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
 def test_source_derived_from_the_table_itself(spark, bars, tmp_path):
     table = KeyedTable(str(tmp_path / "t"))
     table.upsert(bars([("a", d, d) for d in range(10)]))

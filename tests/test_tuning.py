@@ -8,7 +8,7 @@ from tidemark.functions.metrics import online_forecast, point_forecast, score_ba
 from tidemark.functions.scalar import inverse_log
 from tidemark.operators.quality import QualityError
 from tidemark.operators.splits import walk_forward_folds
-from tidemark.plans.learners import check_learner, fit_on_sums, fold_sums, score_folds
+from tidemark.plans.learners import check_learner, fit_on_sums, fold_sums, paired_sums, score_folds
 from tidemark.plans.selection import best_candidate, discrepancy, select_production
 from tidemark.plans.tuning import RunLog, best_run, brackets, early_stop, run_hyperband, search_space, survivors, walk_forward_evaluator
 from tidemark.plans.weekly import WeeklySettings, weekly_run
@@ -106,7 +106,7 @@ def test_ridge_is_least_squares_per_fold(spark):
     df = linear_rows(spark)
     folded = walk_forward_folds(df, ["series"], ["dt"], **WINDOWS)
     config = {"config_id": 0, "learning_rate": 0.1, "l2": 0.0, "max_depth": 2}
-    fits = fit_on_sums(fold_sums(folded, ["series"], ["x", "z"], "y"), ["series"], "ridge", [config], 1)
+    fits = fit_on_sums(paired_sums(fold_sums(folded, ["series"], ["x", "z"], "y"), ["series"]), ["series"], "ridge", [config], 1)
     scored = score_folds(folded, fits, ["series"], ["x", "z"])
     per_fold = {(r.series, r.fold): r.mse for r in score_rows(scored, ["series", "fold"], "pred", "y").collect()}
     data = df.toPandas()

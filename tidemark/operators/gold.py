@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,34 +59,36 @@ def _latest_gold(silver: DataFrame, order) -> DataFrame:
     return project_gold(top.select(*SERIES_KEY, "row.*", F.col(f"`{_MA}`")))
 
 
-def affected_gold(silver: DataFrame, bars: DataFrame, unique_days: bool, lookback_days: int = 90) -> DataFrame:
-    """Gold rows that change when `bars` come into `silver` (which already holds them).
+def affected_gold(since_day, bars: DataFrame, unique_days: bool, lookback_days: int = 90) -> DataFrame:
+    """Gold rows that change when `bars` have come into silver.
 
-    These are the rows of a series from its first new bar on. Their mean needs the 29 bars before,
-    looked for in the last `lookback_days` days first, so that older files are not read; only
-    series with too few bars there are looked up in all of their history.
+    `since_day(day)` gives the silver rows from a day on, or all for None. The changed rows are
+    those of a series from its first new bar on. Their mean needs the 29 bars before, looked for
+    in the last `lookback_days` days first, so that older folders are not read; only series with
+    too few bars there are looked up in all of their history.
     """
     need = TRAILING_ROWS - 1
     order = ["dt", _AT]
-    since = stage(bars.groupBy(*SERIES_KEY).agg(F.min(_AT).alias("_since"), F.min("dt").alias("_day")), "since")
-    first = since.agg(F.min("_day")).first()[0]
+    starts = bars.groupBy(*SERIES_KEY).agg(F.min(_AT).alias("_since"), F.min("dt").alias("_day"))
+    starts = stage(starts, "starts")
+    first = starts.agg(F.min("_day")).first()[0]
+    starts = starts.drop("_day")
     if first is None:
-        return gold_features(silver.where(F.lit(False)), unique_days)
-    near = silver.where(F.col("dt") >= F.lit(first) - F.expr(f"interval {lookback_days} days"))
-    changed = join_on(silver.where(F.col("dt") >= F.lit(first)), since.drop("_day"), SERIES_KEY).where(F.col(_AT) >= F.col("_since"))
+        return gold_features(since_day(None).where(F.lit(False)), unique_days)
 
     def history(rows, series):
         before = join_on(rows, series, SERIES_KEY).where(F.col(_AT) < F.col("_since")).drop("_since")
         return last_rows(before, SERIES_KEY, order, need)
 
-    found = stage(history(near, since.drop("_day")), "history")
+    found = stage(history(since_day(first - timedelta(days=lookback_days)), starts), "history")
     held = found.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= need)
-    short = stage(join_on(since.drop("_day"), held, SERIES_KEY, "left_anti"), "short")
+    short = stage(join_on(starts, held, SERIES_KEY, "left_anti"), "short")
     if short.limit(1).count():
         enough = join_on(found, short.select(*SERIES_KEY), SERIES_KEY, "left_anti")
-        found = enough.unionByName(history(silver, short))
-    gold = gold_features(changed.drop("_since").unionByName(found), unique_days)
-    return join_on(gold, since.drop("_day"), SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
+        found = enough.unionByName(history(since_day(None), short))
+    changed = join_on(since_day(first), starts, SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
+    gold = gold_features(changed.unionByName(found), unique_days)
+    return join_on(gold, starts, SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
 
 
 def latest_days(df: DataFrame) -> DataFrame:

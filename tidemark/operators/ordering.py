@@ -13,20 +13,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import TASK_ROWS, join_on, named, rows_of_largest_group, stage
+from tidemark.session import TASK_ROWS, join_on, named, group_sizes, stage
 
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
 
 
-def _use_plain(df, keys, limit, bound) -> bool:
+def _too_large(df, keys, limit, bound) -> int:
+    """0 when one task can take any group, else the number of all rows."""
     if bound is not None and bound <= limit:
-        return True
-    return rows_of_largest_group(df, keys) <= limit
+        return 0
+    largest, total = group_sizes(df, keys)
+    return total if largest > limit else 0
 
 
-def sorted_ranges(df: DataFrame, keys, order, rows_per_range: int) -> DataFrame:
-    """Rows sorted by (keys, order) and staged with their range `_part` and position `_pos`."""
-    total = df.count()
+def sorted_ranges(df: DataFrame, keys, order, rows_per_range: int, total: int) -> DataFrame:
+    """Rows sorted by (keys, order) and staged with their range `_part` and position `_pos`.
+
+    A lost task sorts again between the same bounds; a second job reads the staged files. So
+    all that is derived from the ranges sees the same ones.
+    """
     ranges = max(1, -(-total // rows_per_range))
     by = [named(c) for c in [*keys, *order]]
     at = F.col("_at")
@@ -57,11 +62,16 @@ def row_index(
     df: DataFrame, keys, order, name: str = "row_idx", limit: int = TASK_ROWS, bound: int | None = None
 ) -> DataFrame:
     """Zero-based position of each row in its group. `bound` is a proven group size, if known."""
-    if _use_plain(df, keys, limit, bound):
+    total = _too_large(df, keys, limit, bound)
+    if not total:
         w = Window.partitionBy(*[named(k) for k in keys]).orderBy(*[named(c) for c in order])
         return df.withColumn(name, F.row_number().over(w).cast("long") - 1)
 
-    ranges = sorted_ranges(df, keys, order, limit)
+    return _ranged_index(df, keys, order, name, limit, total)
+
+
+def _ranged_index(df, keys, order, name, limit, total):
+    ranges = sorted_ranges(df, keys, order, limit, total)
     spans = ranges.groupBy(*[named(k) for k in keys], "_part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )
@@ -78,7 +88,8 @@ def running_sums(
 ) -> DataFrame:
     """Cumulative sums within each group; `sums` maps new column to summed column."""
     by = [named(k) for k in keys]
-    if _use_plain(df, keys, limit, bound):
+    total = _too_large(df, keys, limit, bound)
+    if not total:
         w = (
             Window.partitionBy(*by)
             .orderBy(*[named(c) for c in order])
@@ -86,7 +97,7 @@ def running_sums(
         )
         return df.withColumns({new: F.sum(named(old)).over(w) for new, old in sums.items()})
 
-    ranges = sorted_ranges(df, keys, order, limit)
+    ranges = sorted_ranges(df, keys, order, limit, total)
     spans = ranges.groupBy(*by, "_part").agg(*[F.sum(named(old)).alias(f"_t_{new}") for new, old in sums.items()])
     spans = _carried(spans, keys, {f"_c_{new}": f"_t_{new}" for new in sums})
     spans = stage(spans.drop(*[f"_t_{new}" for new in sums]), "spans")
@@ -105,7 +116,8 @@ def trailing(
     A group above `limit` is cut into chunks of consecutive rows; the last `rows - 1` rows of a
     chunk are also sent to the next one as a halo, which is dropped after the window.
     """
-    if _use_plain(df, keys, limit, bound):
+    total = _too_large(df, keys, limit, bound)
+    if not total:
         w = (
             Window.partitionBy(*[named(k) for k in keys])
             .orderBy(*[named(c) for c in order])
@@ -113,7 +125,7 @@ def trailing(
         )
         return df.withColumns({new: agg.over(w) for new, agg in aggregates.items()})
 
-    indexed = row_index(df, keys, order, "_idx", limit)
+    indexed = _ranged_index(df, keys, order, "_idx", limit, total)
     return chunked_trailing(indexed, keys, "_idx", rows, aggregates, limit).drop("_idx")
 
 

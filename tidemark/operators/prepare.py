@@ -21,14 +21,15 @@ def fit_numeric(train: DataFrame, columns, by=()) -> DataFrame:
     non-null values and the number of nulls, so the fill itself is never carried out here.
     """
     keys = [named(k) for k in by]
-    medians = exact_medians(train, columns, by)
     moments = train.groupBy(*keys).agg(
         *[F.count(named(c)).alias(f"n_{c}") for c in columns],
         F.count(F.lit(1)).alias("_rows"),
         *[F.avg(named(c).cast("double")).alias(f"avg_{c}") for c in columns],
         *[F.var_pop(named(c).cast("double")).alias(f"var_{c}") for c in columns],
     )
-    medians = medians.withColumnsRenamed({c: f"med_{c}" for c in columns})
+    moments = stage(moments, "moments")
+    largest = moments.agg(F.max("_rows")).first()[0] or 0
+    medians = exact_medians(train, columns, by, largest=largest).withColumnsRenamed({c: f"med_{c}" for c in columns})
     if by:
         both = join_on(moments, medians, by)
     else:

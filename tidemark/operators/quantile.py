@@ -13,16 +13,18 @@ BUFFER_VALUES = 1_000_000
 _ACCURACY = 10_000
 
 
-def exact_medians(df: DataFrame, columns, by=(), limit: int = BUFFER_VALUES) -> DataFrame:
+def exact_medians(df: DataFrame, columns, by=(), limit: int = BUFFER_VALUES, largest: int | None = None) -> DataFrame:
     """One row per group: the interpolated median of each column, under the column's name.
+    `largest` is the greatest number of values in a group, counted here when not given.
 
     Small groups use `percentile`. Otherwise a mergeable sketch brackets the middle (its rank
     error is bounded), and the exact middle is read off running counts of the distinct values
     inside the bracket, about 4 in 10,000 of the rows.
     """
     keys = [named(k) for k in by]
-    counts = df.groupBy(*keys).agg(*[F.count(named(c)).alias(c) for c in columns])
-    largest = counts.agg(F.greatest(*[F.max(named(c)) for c in columns], F.lit(0))).first()[0]
+    if largest is None:
+        counts = df.groupBy(*keys).agg(*[F.count(named(c)).alias(c) for c in columns])
+        largest = counts.agg(F.greatest(*[F.max(named(c)) for c in columns], F.lit(0))).first()[0]
     if largest <= limit:
         return df.groupBy(*keys).agg(*[F.percentile(named(c).cast("double"), 0.5).alias(c) for c in columns])
     return _bracketed(df, columns, by)
@@ -58,10 +60,10 @@ def _bracketed(df, columns, by):
         *[F.count(F.when(value(c) < named(f"b_{c}")[0], 1)).alias(f"below_{c}") for c in columns],
         *[F.max(named(f"n_{c}")).alias(f"n_{c}") for c in columns],
     )
-    below = below.select(*keys, F.inline(F.array(*[
+    below = stage(below.select(*keys, F.inline(F.array(*[
         F.struct(F.lit(c).alias("_column"), named(f"below_{c}").alias("_below"), named(f"n_{c}").alias("_n"))
         for c in columns
-    ])))
+    ]))), "below")
     middle = bounded.select(*keys, F.inline(F.array_compact(F.array(*[
         F.when(inside(c), F.struct(F.lit(c).alias("_column"), value(c).alias("_value"))) for c in columns
     ]))))

@@ -49,15 +49,14 @@ def run_lakehouse(spark: SparkSession, lake: Lakehouse, payloads: DataFrame | No
         entries = explode_payloads(payloads)
     else:
         entries = newest_landing(explode_payloads(read_payloads(spark, lake.bronze), ["dt"]), "dt")
-    typed = type_bars(entries)
-    bars = stage(accepted(typed), "bars")
+    typed = stage(type_bars(entries), "typed")
+    bars = accepted(typed)
     rejected(typed).write.mode("overwrite").parquet(lake.quarantine)
     lake.silver.upsert(bars, staged=True)
-    silver = lake.silver.read(spark)
     if payloads is not None and lake.gold.exists(spark):
-        lake.gold.upsert(affected_gold(silver, bars, unique_days=True))
+        lake.gold.upsert(affected_gold(lambda day: lake.silver.since(spark, day), bars, unique_days=True))
     else:
-        lake.gold.upsert(gold_features(silver))
+        lake.gold.upsert(gold_features(lake.silver.read(spark)))
     return lake.gold.read(spark)
 
 

@@ -52,76 +52,96 @@ def fold_sums(folded: DataFrame, keys, features, target: str) -> DataFrame:
     )
 
 
-def _square(xx, p: int) -> np.ndarray:
-    full = np.zeros((p, p))
-    full[np.triu_indices(p)] = xx
-    return full + np.triu(full, 1).T
-
-
-def _loss(w, xx, xy, yy, n) -> float:
-    return float((yy - 2 * w @ xy + w @ xx @ w) / n)
-
-
-def _ridge(row, p):
-    penalty = np.eye(p) * row.l2
-    penalty[-1, -1] = 0.0
-    w = np.linalg.pinv(_square(row.xx, p) + penalty, hermitian=True) @ np.asarray(row.xy)
-    return w, [_loss(w, _square(row.v_xx, p), np.asarray(row.v_xy), row.v_yy, row.v_n)]
-
-
-def _descend(row, p, budget):
-    """Full-batch gradient descent; a step that is not finite ends it, the norm is clipped."""
-    xx, xy = _square(row.xx, p), np.asarray(row.xy)
-    v_xx, v_xy = _square(row.v_xx, p), np.asarray(row.v_xy)
-    w = np.zeros(p)
-    w[-1] = xy[-1] / row.n
-    losses = []
-    for _ in range(budget):
-        decay = np.append(w[:-1], 0.0) * row.l2
-        grad = 2.0 * (xx @ w - xy) / row.n + 2.0 * decay
-        norm = np.sqrt(grad @ grad)
-        if not np.isfinite(norm):
+def _matrices(upper: pd.Series, p: int) -> np.ndarray:
+    """Symmetric matrices out of their upper triangles, one per row."""
+    rows, columns = np.triu_indices(p)
+    flat = np.stack(upper.to_list())
+    full = np.empty((len(flat), p, p))
+    full[:, rows, columns] = flat
+    full[:, columns, rows] = flat
+    return full
+
+
+def _product(xx: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return np.einsum("nij,nj->ni", xx, w)
+
+
+class _Folds:
+    """The sums of a batch of (fold, configuration) rows as arrays."""
+
+    def __init__(self, batch: pd.DataFrame, rate: np.ndarray, l2: np.ndarray):
+        self.xy, self.v_xy = np.stack(batch.xy.to_list()), np.stack(batch.v_xy.to_list())
+        self.p = self.xy.shape[1]
+        self.xx, self.v_xx = _matrices(batch.xx, self.p), _matrices(batch.v_xx, self.p)
+        self.n, self.v_n, self.v_yy = (batch[c].to_numpy(float) for c in ("n", "v_n", "v_yy"))
+        self.rate = rate
+        # No penalty on the intercept.
+        self.penalty = np.repeat(l2[:, None], self.p, axis=1)
+        self.penalty[:, -1] = 0.0
+
+    def validation_loss(self, w: np.ndarray) -> np.ndarray:
+        squares = self.v_yy - 2 * (w * self.v_xy).sum(axis=1) + (w * _product(self.v_xx, w)).sum(axis=1)
+        return squares / self.v_n
+
+
+def _ridge(folds: _Folds):
+    penalty = folds.penalty[:, :, None] * np.eye(folds.p)
+    w = _product(np.linalg.pinv(folds.xx + penalty, hermitian=True), folds.xy)
+    return w, folds.validation_loss(w)[:, None]
+
+
+def _descend(folds: _Folds, budget: int):
+    """Full-batch gradient descent from the mean; the norm of a gradient is clipped, and a fold
+    whose gradient is not finite stops there. Losses after its stop are not a number."""
+    w = np.zeros_like(folds.xy)
+    w[:, -1] = folds.xy[:, -1] / folds.n
+    going = np.ones(len(w), dtype=bool)
+    losses = np.full((len(w), budget), np.nan)
+    for epoch in range(budget):
+        gradient = 2.0 * (_product(folds.xx, w) - folds.xy) / folds.n[:, None] + 2.0 * folds.penalty * w
+        norm = np.sqrt((gradient * gradient).sum(axis=1))
+        going &= np.isfinite(norm)
+        if not going.any():
             break
-        w = w - row.learning_rate * grad * min(1.0, CLIP_NORM / norm if norm > 0 else 1.0)
-        losses.append(_loss(w, v_xx, v_xy, row.v_yy, row.v_n))
+        scale = folds.rate * np.minimum(1.0, CLIP_NORM / np.maximum(norm, CLIP_NORM))
+        w[going] -= (scale[:, None] * gradient)[going]
+        losses[going, epoch] = folds.validation_loss(w)[going]
     return w, losses
 
 
-CONFIG_FIELDS = {"config_id": "bigint", "learning_rate": "double", "l2": "double", "max_depth": "int"}
-
-
-def config_literals(configs) -> Column:
-    """Array of configuration structs; their number is the bracket size."""
-    return F.array(*[
-        F.struct(*[F.lit(c[name]).cast(kind).alias(name) for name, kind in CONFIG_FIELDS.items()]) for c in configs
-    ])
+def paired_sums(sums: DataFrame, keys) -> DataFrame:
+    """One row per fold: its train sums and, as `v_...`, its validation sums."""
+    train = sums.where(F.col("role") == "train").drop("role")
+    other = sums.where(F.col("role") == "validation").drop("role")
+    return join_on(train, other.withColumnsRenamed({c: f"v_{c}" for c in ("n", "xx", "xy", "yy")}), [*keys, "fold"])
 
 
-def fit_on_sums(sums: DataFrame, keys, learner: str, configs, budget: int) -> DataFrame:
+def fit_on_sums(paired: DataFrame, keys, learner: str, configs, budget: int) -> DataFrame:
     """(keys..., fold, config_id, weights, losses) for every fold and configuration.
 
     `losses` is the validation MSE after each epoch (one entry for the closed form). The folds
     are spread over tasks after each is paired with all configurations.
     """
-    train = sums.where(F.col("role") == "train").drop("role")
-    other = sums.where(F.col("role") == "validation").drop("role")
-    other = other.withColumnsRenamed({c: f"v_{c}" for c in ("n", "xx", "xy", "yy")})
-    tried = join_on(train, other, [*keys, "fold"]).select("*", F.inline(config_literals(configs)))
-    tried = tried.repartition(*[named(k) for k in keys], "fold", "config_id")
-    schema = T.StructType([f for f in tried.schema.fields if f.name in (*keys, "fold", "config_id")])
+    position = F.explode(F.sequence(F.lit(0), F.lit(len(configs) - 1))).alias("_position")
+    tried = paired.select("*", position).repartition(*[named(k) for k in keys], "fold", "_position")
+    schema = T.StructType([f for f in tried.schema.fields if f.name in [*keys, "fold"]]).add("config_id", T.LongType())
     for name in ("weights", "losses"):
         schema = schema.add(name, T.ArrayType(T.DoubleType()))
-    names = [f.name for f in schema.fields]
+    ids, rates, penalties = (np.array([c[k] for c in configs]) for k in ("config_id", "learning_rate", "l2"))
+    epochs = int(budget)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for row in batch.to_dict("records"):
-                r = pd.Series(row)
-                p = len(r.xy)
-                w, losses = _ridge(r, p) if learner == "ridge" else _descend(r, p, budget)
-                rows.append({**row, "weights": w.tolist(), "losses": losses})
-            yield pd.DataFrame(rows, columns=names)
+            if batch.empty:
+                continue
+            at = batch["_position"].to_numpy()
+            folds = _Folds(batch, rates[at], penalties[at])
+            w, losses = _ridge(folds) if learner == "ridge" else _descend(folds, epochs)
+            fitted = batch[[*keys, "fold"]].copy()
+            fitted["config_id"] = ids[at]
+            fitted["weights"] = list(w)
+            fitted["losses"] = [row[: np.isfinite(row).cumprod().sum()] for row in losses]
+            yield fitted
 
     return tried.mapInPandas(solve, schema)
 

@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from dataclasses import dataclass
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.splits import walk_forward_folds
-from tidemark.plans.learners import CONFIG_FIELDS, check_learner, fit_on_sums, fit_regressor, fold_sums
+from tidemark.plans.learners import check_learner, fit_on_sums, fit_regressor, fold_sums, paired_sums
 from tidemark.functions.metrics import scores
 from tidemark.schema import HALVING_FACTOR, HYPERBAND_BUDGET, LEARNING_RATE_RANGE, PATIENCE, TARGET, TOLERANCE
 from tidemark.session import named, stage
 
+EVALUATIONS_SCHEMA = "bracket int, round int, budget int, config_id bigint, mse double, mae_ratio double"
 RUNS_SCHEMA = "run_id string, parent string, kind string, key string, value string, number double, step bigint"
 
 
-def search_space(spark: SparkSession, n: int, seed: int = 0, first_id: int = 0) -> DataFrame:
-    """`n` random configurations; the same seed and ids give the same ones."""
+def search_space(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:
+    """`n` random configurations; the same seed gives the same ones."""
     def unit(label):
         return F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(label)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
     low, high = LEARNING_RATE_RANGE
-    return spark.range(first_id, first_id + n).select(
+    return spark.range(n).select(
         F.col("id").alias("config_id"),
         (unit("rate") * (high - low) + low).alias("learning_rate"),
         F.pow(F.lit(10.0), unit("l2") * 6 - 4).alias("l2"),
@@ -98,21 +101,18 @@ def run_hyperband(
     configurations of a round and gives (config_id, mse, mae_ratio); only such rows, at most one
     per configuration, come to the driver.
     """
-    first_id, rounds, best = 0, [], None
+    evaluations, best = [], None
+    plan = brackets(budget, factor, schedule)
+    drawn = iter([r.asDict() for r in space(spark, sum(n for _, n, _ in plan), seed).orderBy("config_id").collect()])
     parent = run_log.start(params={"budget": budget, "factor": factor, "schedule": schedule}) if run_log else None
-    for s, n, first_budget in brackets(budget, factor, schedule):
-        configs = [r.asDict() for r in space(spark, n, seed, first_id).collect()]
-        first_id += n
+    for s, n, first_budget in plan:
+        configs = list(islice(drawn, n))
         for i in range(s + 1):
             round_budget = first_budget * factor**i
-            results = stage(evaluate(configs, round_budget), "round")
-            rounds.append(results.select(
-                F.lit(s).alias("bracket"), F.lit(i).alias("round"), F.lit(round_budget).alias("budget"),
-                "config_id", "mse", "mae_ratio",
-            ))
-            ordered = survivors(results, len(configs)).collect()
+            ordered = survivors(evaluate(configs, round_budget), len(configs)).collect()
+            evaluations += [(s, i, round_budget, r.config_id, r.mse, r.mae_ratio) for r in ordered]
             by_id = {c["config_id"]: c for c in configs}
-            if ordered and ordered[0].mse is not None and (best is None or ordered[0].mse < best[1].mse):
+            if ordered and _is_number(ordered[0].mse) and (best is None or ordered[0].mse < best[1].mse):
                 best = (by_id[ordered[0].config_id], ordered[0])
             if run_log:
                 run_log.log_round(parent, s, i, round_budget, configs, ordered)
@@ -123,10 +123,11 @@ def run_hyperband(
         raise RuntimeError("no configuration gave a finite score")
     if run_log:
         run_log.log(parent, metrics={"best_mse": best[1].mse, "best_mae_ratio": best[1].mae_ratio}, params=best[0])
-    evaluations = rounds[0]
-    for r in rounds[1:]:
-        evaluations = evaluations.unionByName(r)
-    return SearchResult(best[0], best[1].mse, best[1].mae_ratio, evaluations)
+    return SearchResult(best[0], best[1].mse, best[1].mae_ratio, spark.createDataFrame(evaluations, EVALUATIONS_SCHEMA))
+
+
+def _is_number(x) -> bool:
+    return x is not None and math.isfinite(x)
 
 
 class RunLog:
@@ -188,10 +189,10 @@ def walk_forward_evaluator(
     folded = walk_forward_folds(df, keys, order, bound=bound, **windows)
     if learner == "gbt":
         return _tree_evaluator(stage(folded, "folds"), features, target)
-    sums = stage(fold_sums(folded, keys, features, target), "sums")
+    paired = stage(paired_sums(stage(fold_sums(folded, keys, features, target), "sums"), keys), "paired")
 
     def evaluate(configs, budget):
-        fits = fit_on_sums(sums, keys, learner, configs, budget)
+        fits = fit_on_sums(paired, keys, learner, configs, budget)
         per_fold = fits.select("config_id", early_stop(F.col("losses"), patience, tol)["best"].alias("mse"))
         return per_fold.groupBy("config_id").agg(F.avg("mse").alias("mse"), F.lit(None).cast("double").alias("mae_ratio"))
 

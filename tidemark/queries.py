@@ -349,14 +349,14 @@ def _config(config_id, l2):
 
 def fold_regression(spark, sf_dir):
     folded = thousands(_folds(spark, sf_dir, ["close", *FEATURES]))
-    sums = L.fold_sums(folded, SERIES_KEY, ["open"], "close")
+    sums = L.paired_sums(stage(L.fold_sums(folded, SERIES_KEY, ["open"], "close"), "sums"), SERIES_KEY)
     fits = L.fit_on_sums(sums, SERIES_KEY, "ridge", [_config(0, 0.0)], 1)
     return plain(fits.select("series", "fold", F.col("weights")[0].alias("slope"), F.col("weights")[1].alias("intercept")), 4)
 
 
 def fold_scores(spark, sf_dir):
     folded = stage(thousands(_folds(spark, sf_dir, ["close", *FEATURES])), "folds")
-    sums = L.fold_sums(folded, SERIES_KEY, ["open"], "close")
+    sums = L.paired_sums(stage(L.fold_sums(folded, SERIES_KEY, ["open"], "close"), "sums"), SERIES_KEY)
     fits = stage(L.fit_on_sums(sums, SERIES_KEY, "ridge", [_config(0, 0.0)], 1), "fits")
     scored = L.score_folds(folded, fits, SERIES_KEY, ["open"])
     per_fold = score_rows(scored, ["series", "fold", "config_id"], "pred", "close")

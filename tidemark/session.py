@@ -76,7 +76,8 @@ def join_on(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_sa
     return joined if how in ("left_anti", "left_semi") else joined.drop(*theirs.values())
 
 
-def rows_of_largest_group(df: DataFrame, keys) -> int:
-    """Size of the largest group: key columns only, counted before the shuffle."""
+def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
+    """(rows of the largest group, rows of all): key columns only, counted before the shuffle."""
     counts = df.groupBy(*[named(k) for k in keys]).count()
-    return counts.agg(F.max("count")).first()[0] or 0
+    largest, total = counts.agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, total or 0

@@ -47,15 +47,21 @@ class KeyedTable:
     def exists(self, spark: SparkSession) -> bool:
         return path_exists(spark, self.path)
 
-    def _stored(self, spark: SparkSession, schema=None) -> DataFrame:
-        reader = spark.read
-        if schema is not None:
-            reader = reader.schema(schema.add(_PERIOD, "string"))
-        return reader.option("basePath", self.path).parquet(self.path)
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self._stored(spark).drop(_PERIOD)
 
+    def since(self, spark: SparkSession, day) -> DataFrame:
+        """Rows with `dt` on or after `day`. Earlier folders are not listed for reading; this asks
+        for periods that follow from `dt` and sort as it does."""
+        if day is None:
+            return self.read(spark)
+        first = spark.range(1).select(F.lit(day).cast("date").alias("dt")).select(F.expr(self.period)).first()[0]
+        rows = self._stored(spark).where(F.col(_PERIOD).cast("string") >= first).drop(_PERIOD)
+        return rows.where(F.col("dt") >= F.lit(day).cast("date"))
+
     def _write(self, df: DataFrame, mode: str) -> None:
         # The rebalance hint lets AQE split a period that holds most rows and merge tiny ones.
         (

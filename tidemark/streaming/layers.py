@@ -23,7 +23,8 @@ class LayerUpdater:
         spark = batch.sparkSession
         bars = stage(batch.select(*SILVER.fieldNames()), "bars")
         self.silver.upsert(bars, staged=True)
-        self.gold.upsert(affected_gold(self.silver.read(spark), bars, self.unique_days, self.lookback_days))
+        since_day = lambda day: self.silver.since(spark, day)
+        self.gold.upsert(affected_gold(since_day, bars, self.unique_days, self.lookback_days))
 
 
 class DriftMonitor:
