@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.gold import gold_features
-from tidemark.operators.ordering import last_rows, row_index, running_sums, trailing
+from tidemark.operators.ordering import last_rows, recent_enough, row_index, running_sums, trailing
 from tidemark.schema import GOLD
 
 MA = "30_day_ma_close"
@@ -75,3 +75,17 @@ def test_last_rows_large_and_small(spark):
     for n in (3, 150):
         kept = [r.at for r in last_rows(df, ["k"], ["at"], n).where("k = 1").collect()]
         assert sorted(kept) == list(range(999, 0, -2))[:n][::-1]
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "int"])
+@pytest.mark.parametrize("n", [1, 30, 500])
+def test_pruning_keeps_the_newest_rows(spark, kind, n):
+    at = {"int": "CAST(id AS INT)", "date": "date_add(DATE'2024-01-01', CAST(id AS INT))"}.get(
+        kind, f"CAST(TIMESTAMP'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(id AS INT) * 5) AS {kind})")
+    df = spark.range(400).selectExpr("IF(id % 4 = 0, 'a', 'hot') AS k", f"{at} AS at", "id")
+    df = df.unionByName(spark.sql(f"SELECT 'late' AS k, CAST(NULL AS {kind}) AS at, 1000L AS id"))
+    pruned = recent_enough(df, ["k"], ["at"], n)
+    ids = lambda rows: sorted(r.id for r in last_rows(rows, ["k"], ["at"], n).collect())
+    assert ids(pruned) == ids(df)
+    if n == 1 and kind != "int":
+        assert pruned.count() < 60

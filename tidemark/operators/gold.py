@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import last_rows, trailing
+from tidemark.operators.ordering import last_rows, recent_enough, trailing
 from tidemark.schema import GOLD, SERIES_KEY, TRAILING_ROWS
 from tidemark.session import DATE_DOMAIN_ROWS, TASK_ROWS, join_on, stage
 
@@ -50,8 +50,10 @@ def gold_features(
 
 
 def _latest_gold(silver: DataFrame, order) -> DataFrame:
-    """Newest row per series. History is cut to 30 rows per series before anything is shuffled."""
-    recent = last_rows(silver, SERIES_KEY, order, TRAILING_ROWS, rank="_rank")
+    """Newest row per series. Old files are left out, and history is cut to 30 rows per series in
+    every task before anything is shuffled."""
+    recent = recent_enough(silver, SERIES_KEY, order, TRAILING_ROWS)
+    recent = last_rows(recent, SERIES_KEY, order, TRAILING_ROWS, rank="_rank")
     newest = F.struct(*[c for c in silver.columns if c not in SERIES_KEY])
     top = recent.groupBy(*SERIES_KEY).agg(
         F.avg("close").alias(_MA), F.min_by(newest, "_rank").alias("row")

@@ -160,3 +160,32 @@ def last_rows(df: DataFrame, keys, order, n: int, rank: str | None = None) -> Da
     w = Window.partitionBy(*by).orderBy(*newest_first)
     kept = df.withColumn(rank_name, F.row_number().over(w)).where(named(rank_name) <= n)
     return kept if rank else kept.drop(rank_name)
+
+
+def recent_enough(table: DataFrame, keys, order, n: int) -> DataFrame:
+    """Rows of a stored table that can be among the newest `n` of their group, and few others.
+
+    Counts per group and month (per day for instants) show how far back the n-th newest row can
+    lie. The oldest such bound goes to the scan as a literal, so older row groups are skipped
+    and `last_rows` need not sort all of history. Other order types pass through.
+    """
+    clock = order[0]
+    kind = dict(table.dtypes)[clock]
+    if kind not in ("date", "timestamp", "timestamp_ntz"):
+        return table
+    by, at = [named(k) for k in keys], named(clock)
+    bucket = F.date_trunc("month" if kind == "date" else "day", at)
+    counts = table.groupBy(*by, bucket.alias("_bucket")).count()
+    newest_first = (
+        Window.partitionBy(*by).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    reached = counts.withColumn("_rows", F.sum("count").over(newest_first))
+    cuts = reached.groupBy(*by).agg(
+        F.coalesce(F.max(F.when(F.col("_rows") >= n, F.col("_bucket"))), F.min("_bucket")).alias("_cut")
+    )
+    cuts = stage(cuts, "cuts")
+    oldest = cuts.agg(F.min("_cut")).first()[0]
+    if oldest is None:
+        return table
+    recent = table.where(at.isNull() | (at >= F.lit(oldest).cast(kind)))
+    return join_on(recent, cuts, keys).where(at.isNull() | (bucket >= F.col("_cut"))).drop("_cut")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import last_rows, row_index
+from tidemark.operators.ordering import last_rows, recent_enough, row_index
 from tidemark.schema import BATCH_ROWS, FOLD_GAP, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
 from tidemark.session import TASK_ROWS, join_on, named, stage
 
@@ -16,7 +16,9 @@ def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS)
     Only the two cut rows per group are looked for (key columns, newest rows); the table itself
     is labelled by comparing with them, without being sorted or shuffled.
     """
-    tail = last_rows(df.select(*[named(c) for c in [*keys, *order]]), keys, order, 2 * test_rows + 1, rank="_rank")
+    needed = 2 * test_rows + 1
+    recent = recent_enough(df.select(*[named(c) for c in [*keys, *order]]), keys, order, needed)
+    tail = last_rows(recent, keys, order, needed, rank="_rank")
     at = F.struct(*[named(c) for c in order])
     cuts = tail.groupBy(*[named(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("_seen"),

@@ -152,7 +152,8 @@ def gold_features(spark, sf_dir):
 
 
 def gold_latest(spark, sf_dir):
-    return plain(G.gold_features(daily(spark, sf_dir), latest_only=True), 4)
+    silver = stage(daily(spark, sf_dir), "silver")
+    return plain(G.gold_features(silver, latest_only=True), 4)
 
 
 def gold_halo_window(spark, sf_dir):
