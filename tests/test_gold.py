@@ -84,7 +84,7 @@ def test_pruning_keeps_the_newest_rows(spark, kind, n):
         kind, f"CAST(TIMESTAMP'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(id AS INT) * 5) AS {kind})")
     df = spark.range(400).selectExpr("IF(id % 4 = 0, 'a', 'hot') AS k", f"{at} AS at", "id")
     df = df.unionByName(spark.sql(f"SELECT 'late' AS k, CAST(NULL AS {kind}) AS at, 1000L AS id"))
-    pruned = recent_enough(df, ["k"], ["at"], n)
+    pruned = recent_enough(df, ["k"], ["at"], n, from_bytes=0)
     ids = lambda rows: sorted(r.id for r in last_rows(rows, ["k"], ["at"], n).collect())
     assert ids(pruned) == ids(df)
     if n == 1 and kind != "int":

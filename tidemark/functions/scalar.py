@@ -14,11 +14,12 @@ def to_day(text: Column) -> Column:
 
 
 def midnight_millis(day: Column) -> Column:
-    return F.unix_millis(day.cast("timestamp"))
+    """Epoch milliseconds of midnight UTC, whatever the session's zone is."""
+    return F.unix_date(day).cast("long") * F.lit(86_400_000).cast("long")
 
 
 def inverse_log(value: Column, inverse: str = "expm1") -> Column:
-    """Back to price units. `expm1` undoes `log1p`; `exp` gives the published pipeline's number."""
+    """Back to price units. `expm1` undoes `log1p`; `exp` gives a forecast one unit higher."""
     if inverse not in ("expm1", "exp"):
         raise ValueError(f"inverse must be expm1 or exp, not {inverse!r}")
     return F.expm1(value) if inverse == "expm1" else F.exp(value)

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import TASK_ROWS, join_on, named, group_sizes, stage
+from tidemark.session import TASK_ROWS, estimated_bytes, group_sizes, join_on, named, stage
 
+PRUNE_FROM_BYTES = 1 << 30
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
 
 
@@ -162,16 +163,17 @@ def last_rows(df: DataFrame, keys, order, n: int, rank: str | None = None) -> Da
     return kept if rank else kept.drop(rank_name)
 
 
-def recent_enough(table: DataFrame, keys, order, n: int) -> DataFrame:
+def recent_enough(table: DataFrame, keys, order, n: int, from_bytes: int = PRUNE_FROM_BYTES) -> DataFrame:
     """Rows of a stored table that can be among the newest `n` of their group, and few others.
 
     Counts per group and month (per day for instants) show how far back the n-th newest row can
     lie. The oldest such bound goes to the scan as a literal, so older row groups are skipped
-    and `last_rows` need not sort all of history. Other order types pass through.
+    and `last_rows` need not sort all of history. Tables below `from_bytes` pass through, as one
+    pass over them is cheaper than two; so do other order types.
     """
     clock = order[0]
     kind = dict(table.dtypes)[clock]
-    if kind not in ("date", "timestamp", "timestamp_ntz"):
+    if kind not in ("date", "timestamp", "timestamp_ntz") or estimated_bytes(table) < from_bytes:
         return table
     by, at = [named(k) for k in keys], named(clock)
     bucket = F.date_trunc("month" if kind == "date" else "day", at)

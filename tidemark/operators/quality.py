@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.schema import QUALITY_RULES
+from tidemark.schema import QUALITY_CHECK, QUALITY_LEVEL, QUALITY_RULES
 from tidemark.session import named
 
 _COMPARE = {
@@ -35,7 +35,7 @@ def _metric(kind: str, column: str | None):
 
 
 def quality_report(
-    df: DataFrame, rules=QUALITY_RULES, name: str = "Weekly Stock Data Check", level: str = "Warning", by=()
+    df: DataFrame, rules=QUALITY_RULES, name: str = QUALITY_CHECK, level: str = QUALITY_LEVEL, by=()
 ) -> DataFrame:
     """(by..., check, level, constraint, column, value, status) for (metric, column, operator, bound) rules."""
     metrics = df.groupBy(*by).agg(*[_metric(kind, c).alias(f"_m{i}") for i, (kind, c, _, _) in enumerate(rules)])

@@ -253,6 +253,17 @@ e AS (
   FROM folded v JOIN fits t ON t.series = v.series AND t.fold = v.fold WHERE v.role = 'validation'),
 per AS (SELECT series, fold, avg(d * d) AS mse, exp(avg(abs(d))) AS mae_ratio FROM e GROUP BY 1, 2)
 SELECT series, CAST(0 AS BIGINT) AS config_id, round(avg(mse), 4) AS mse, round(avg(mae_ratio), 4) AS mae_ratio FROM per GROUP BY 1""",
+    # One feature and a free intercept: ridge on centred values.
+    "ridge_scores": "WITH " + _FOLDS + """,
+moments AS (
+  SELECT series, fold, count(*) AS n, avg(x) AS mx, avg(close) AS my, var_pop(x) * count(*) AS sxx, covar_pop(close, x) * count(*) AS sxy
+  FROM (SELECT series, fold, role, close, CAST(open AS DOUBLE) / 100000.0 AS x FROM folded) WHERE role = 'train' GROUP BY 1, 2),
+configs AS (SELECT CAST(unnest([0, 1, 2, 3, 4]) AS BIGINT) AS config_id, CAST(unnest([0.0, 0.1, 1.0, 10.0, 100.0]) AS DOUBLE) AS l2),
+lines AS (SELECT m.series, m.fold, c.config_id, sxy / (sxx + l2) AS slope, my - sxy / (sxx + l2) * mx AS intercept FROM moments m, configs c),
+per AS (
+  SELECT v.series, v.fold, config_id, avg(pow(intercept + slope * CAST(v.open AS DOUBLE) / 100000.0 - v.close, 2)) AS mse
+  FROM folded v JOIN lines l ON l.series = v.series AND l.fold = v.fold WHERE v.role = 'validation' GROUP BY 1, 2, 3)
+SELECT config_id, round(avg(mse), 4) AS mse FROM per GROUP BY 1""",
     "run_table_best": "WITH " + _DAILY_GOLD + _CANDIDATES.format(source="gold") + """,
 tall AS (
   SELECT 'weekly/mean' AS run_id, pred_mean AS p, close FROM scored
@@ -280,6 +291,25 @@ tall AS (
 per AS (SELECT series, candidate, avg(pow(p - close, 2)) AS mse, exp(avg(abs(p - close))) AS mae_ratio FROM tall GROUP BY 1, 2)
 SELECT series, candidate, round(mse, 6) AS mse, round(mae_ratio, 6) AS mae_ratio FROM (
   SELECT *, row_number() OVER (PARTITION BY series ORDER BY mse, candidate) AS k FROM per) WHERE k = 1""",
+    # Least squares in three predictors by Cramer's rule on the covariances.
+    "stacked_forecast": "WITH " + _SPLIT + _CANDIDATES.format(source="split") + """,
+c AS (
+  SELECT avg(close) AS my, avg(pred_mean) AS m1, avg(pred_open) AS m2, avg(pred_mid) AS m3,
+    var_pop(pred_mean) AS a, covar_pop(pred_mean, pred_open) AS b, covar_pop(pred_mean, pred_mid) AS d,
+    var_pop(pred_open) AS e, covar_pop(pred_open, pred_mid) AS f, var_pop(pred_mid) AS g,
+    covar_pop(pred_mean, close) AS y1, covar_pop(pred_open, close) AS y2, covar_pop(pred_mid, close) AS y3
+  FROM scored WHERE split = 'train'),
+det AS (SELECT *, a * (e * g - f * f) - b * (b * g - f * d) + d * (b * f - e * d) AS det FROM c),
+w AS (
+  SELECT my, m1, m2, m3,
+    (y1 * (e * g - f * f) - b * (y2 * g - f * y3) + d * (y2 * f - e * y3)) / det AS w1,
+    (a * (y2 * g - f * y3) - y1 * (b * g - f * d) + d * (b * y3 - y2 * d)) / det AS w2,
+    (a * (e * y3 - y2 * f) - b * (b * y3 - y2 * d) + y1 * (b * f - e * d)) / det AS w3 FROM det),
+p AS (
+  SELECT series, close, my + w1 * (pred_mean - m1) + w2 * (pred_open - m2) + w3 * (pred_mid - m3) AS pred
+  FROM scored, w WHERE split = 'validation')
+SELECT series, round(exp(avg(pred)) - 1, 2) AS forecast, round(avg(pow(pred - close, 2)), 4) AS mse,
+  round(exp(avg(abs(pred - close))), 4) AS mae_ratio FROM p GROUP BY 1""",
     "score_forecast": "WITH " + _DAILY_GOLD + _CANDIDATES.format(source="gold") + """
 SELECT series, round(exp(avg(pred_mean)) - 1, 4) AS forecast, round(avg(pow(pred_mean - close, 2)), 4) AS mse,
   round(exp(avg(abs(pred_mean - close))), 4) AS mae_ratio FROM scored GROUP BY 1""",
@@ -322,6 +352,10 @@ WITH g AS (
 s AS (SELECT *, CASE WHEN sqrt(gw * gw + gb * gb) > 1 THEN 1 / sqrt(gw * gw + gb * gb) ELSE 1 END AS k FROM g)
 SELECT series, round(-0.05 * gw * k, 6) AS w, round(-0.05 * gb * k, 6) AS b, CAST(1 AS BIGINT) AS steps, n AS "rows",
   round(mse, 6) AS mse, CAST(0 AS DOUBLE) AS forecast FROM s""",
+    # The table is one file, so one micro-batch and one step from zero.
+    "stream_online": """
+SELECT event_type AS series, CAST(0 AS BIGINT) AS batch_id, round(0.1 * avg(ln(1 + value) * (user_id / 100.0)), 6) AS w,
+  round(0.1 * avg(ln(1 + value)), 6) AS b, count(*) AS "rows", round(avg(pow(ln(1 + value), 2)), 6) AS mse FROM events GROUP BY 1""",
     "stream_drift": "WITH recent AS (SELECT value, CAST(user_id AS DOUBLE) AS user_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events)," + _ks("""
 SELECT 'value' AS "column", value AS v, 1 AS r FROM events WHERE ts < TIMESTAMP '2024-01-21'
 UNION ALL SELECT 'user_id', CAST(user_id AS DOUBLE), 1 FROM events WHERE ts < TIMESTAMP '2024-01-21'

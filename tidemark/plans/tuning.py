@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.splits import walk_forward_folds
-from tidemark.plans.learners import check_learner, fit_on_sums, fit_regressor, fold_sums, paired_sums
-from tidemark.functions.metrics import scores
+from tidemark.plans.learners import check_learner, fit_on_sums, fit_regressor, fold_sums, paired_sums, score_folds
+from tidemark.functions.metrics import score_rows, scores
 from tidemark.schema import HALVING_FACTOR, HYPERBAND_BUDGET, LEARNING_RATE_RANGE, PATIENCE, TARGET, TOLERANCE
 from tidemark.session import named, stage
 
@@ -113,7 +113,7 @@ def run_hyperband(
             evaluations += [(s, i, round_budget, r.config_id, r.mse, r.mae_ratio) for r in ordered]
             by_id = {c["config_id"]: c for c in configs}
             if ordered and _is_number(ordered[0].mse) and (best is None or ordered[0].mse < best[1].mse):
-                best = (by_id[ordered[0].config_id], ordered[0])
+                best = (by_id[ordered[0].config_id], ordered[0], round_budget)
             if run_log:
                 run_log.log_round(parent, s, i, round_budget, configs, ordered)
             configs = [by_id[r.config_id] for r in ordered[: len(configs) // factor]]
@@ -121,9 +121,13 @@ def run_hyperband(
                 break
     if best is None:
         raise RuntimeError("no configuration gave a finite score")
+    config, score, round_budget = best
+    mae = score.mae_ratio
+    if mae is None and hasattr(evaluate, "on_rows"):
+        mae = evaluate.on_rows([config], round_budget).first().mae_ratio
     if run_log:
-        run_log.log(parent, metrics={"best_mse": best[1].mse, "best_mae_ratio": best[1].mae_ratio}, params=best[0])
-    return SearchResult(best[0], best[1].mse, best[1].mae_ratio, spark.createDataFrame(evaluations, EVALUATIONS_SCHEMA))
+        run_log.log(parent, metrics={"best_mse": score.mse, "best_mae_ratio": mae}, params=config)
+    return SearchResult(config, score.mse, mae, spark.createDataFrame(evaluations, EVALUATIONS_SCHEMA))
 
 
 def _is_number(x) -> bool:
@@ -175,28 +179,41 @@ def mean_over_folds(per_fold: DataFrame, by=("config_id",)) -> DataFrame:
     return per_fold.groupBy(*by).agg(F.avg("mse").alias("mse"), F.avg("mae_ratio").alias("mae_ratio"))
 
 
+class WalkForwardEvaluator:
+    """An `evaluate` for Hyperband: walk-forward folds of every series, averaged per configuration.
+
+    Linear learners work on the staged sums of each fold, which hold the MSE; `on_rows` scores
+    chosen configurations on the rows, for the MAE as well.
+    """
+
+    def __init__(self, folded: DataFrame, keys, features, learner: str, target: str, patience: int, tol: float):
+        self.folded, self.keys, self.features, self.learner, self.target = folded, keys, features, learner, target
+        self.patience, self.tol = patience, tol
+        self.paired = stage(paired_sums(stage(fold_sums(folded, keys, features, target), "sums"), keys), "paired")
+
+    def __call__(self, configs, budget) -> DataFrame:
+        fits = fit_on_sums(self.paired, self.keys, self.learner, configs, budget)
+        best = early_stop(F.col("losses"), self.patience, self.tol)["best"]
+        per_fold = fits.select("config_id", best.alias("mse"), F.lit(None).cast("double").alias("mae_ratio"))
+        return mean_over_folds(per_fold)
+
+    def on_rows(self, configs, budget) -> DataFrame:
+        fits = stage(fit_on_sums(self.paired, self.keys, self.learner, configs, budget), "fits")
+        scored = score_folds(self.folded, fits, self.keys, self.features)
+        return mean_over_folds(score_rows(scored, [*self.keys, "fold", "config_id"], "pred", self.target))
+
+
 def walk_forward_evaluator(
     df: DataFrame, keys, order, features, learner: str, target: str = TARGET, bound: int | None = None,
     patience: int = PATIENCE, tol: float = TOLERANCE, **windows,
 ):
-    """An `evaluate` for Hyperband: walk-forward folds of every series, averaged per configuration.
-
-    Linear learners work on the staged sums of each fold (`mae_ratio` is null, as sums do not
-    hold it; `score_folds` gives it for the chosen configuration). Boosted trees read the staged
-    rows, one fit per fold position and configuration, with the series of a position pooled.
-    """
+    """The evaluator of a learner. Boosted trees read the staged rows, one fit per fold position
+    and configuration, with the series of a position pooled."""
     check_learner(learner)
     folded = walk_forward_folds(df, keys, order, bound=bound, **windows)
     if learner == "gbt":
         return _tree_evaluator(stage(folded, "folds"), features, target)
-    paired = stage(paired_sums(stage(fold_sums(folded, keys, features, target), "sums"), keys), "paired")
-
-    def evaluate(configs, budget):
-        fits = fit_on_sums(paired, keys, learner, configs, budget)
-        per_fold = fits.select("config_id", early_stop(F.col("losses"), patience, tol)["best"].alias("mse"))
-        return per_fold.groupBy("config_id").agg(F.avg("mse").alias("mse"), F.lit(None).cast("double").alias("mae_ratio"))
-
-    return evaluate
+    return WalkForwardEvaluator(folded, keys, features, learner, target, patience, tol)
 
 
 def _tree_evaluator(folded: DataFrame, features, target: str):

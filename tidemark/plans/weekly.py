@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.prepare import fit
 from tidemark.operators.quality import quality_gate, quality_report
 from tidemark.operators.splits import chronological_split
-from tidemark.plans.learners import fit_regressor
+from tidemark.plans.learners import fit_regressor, stack_forecasts
 from tidemark.plans.selection import select_production
 from tidemark.plans.tuning import RunLog, run_hyperband, walk_forward_evaluator
 from tidemark.schema import DEFAULT_CATEGORICAL, DEFAULT_NUMERIC, FOLD_GAP, HALVING_FACTOR, SERIES_KEY, TARGET, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
@@ -28,6 +28,7 @@ class WeeklySettings:
     factor: int = HALVING_FACTOR
     schedule: str = "published"
     tree_rounds: int = 20
+    stacked: bool = True
     numeric: tuple[str, ...] = tuple(DEFAULT_NUMERIC)
     categorical: tuple[str, ...] = tuple(DEFAULT_CATEGORICAL)
     seed: int = 0
@@ -51,6 +52,7 @@ def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, r
     held_out = prepared.where(F.col("split") == "validation")
     features = preparation.feature_names
     candidates = {}
+    fitted_on, chosen_on = train, held_out
     for learner in settings.learners:
         evaluate = walk_forward_evaluator(
             train, SERIES_KEY, ["dt"], features, learner, TARGET, bound=DATE_DOMAIN_ROWS,
@@ -63,6 +65,10 @@ def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, r
             train, learner, features, TARGET, l2=found.config["l2"], max_depth=found.config["max_depth"],
             budget=settings.tree_rounds if learner == "gbt" else max(1, settings.budget),
         )
-        held_out = model.transform(held_out).drop("_features")
         candidates[learner] = f"pred_{learner}"
-    return select_production(held_out, candidates, by=SERIES_KEY)
+        fitted_on, chosen_on = (model.transform(rows).drop("_features") for rows in (fitted_on, chosen_on))
+    if settings.stacked and len(candidates) > 1:
+        experts = list(candidates.values())
+        chosen_on = stack_forecasts(fitted_on, experts, TARGET).transform(chosen_on).drop("_experts")
+        candidates["stacked"] = "pred_stacked"
+    return select_production(chosen_on, candidates, by=SERIES_KEY)

@@ -364,10 +364,10 @@ def fold_scores(spark, sf_dir):
     return plain(H.mean_over_folds(per_fold, ["series", "config_id"]), 4)
 
 
-def _evaluator(spark, sf_dir, learner, patience=10):
+def _evaluator(spark, sf_dir, learner, features=FEATURES):
     gold = thousands(daily_gold(spark, sf_dir).select("series", "dt", "close", *FEATURES))
     return H.walk_forward_evaluator(
-        gold, SERIES_KEY, ["dt"], FEATURES, learner, bound=DATE_DOMAIN_ROWS, patience=patience,
+        gold, SERIES_KEY, ["dt"], features, learner, bound=DATE_DOMAIN_ROWS,
         train=TRAIN, validation=VALIDATION, gap=GAP,
     )
 
@@ -380,7 +380,8 @@ def hyperband_survivors(spark, sf_dir):
 
 def ridge_scores(spark, sf_dir):
     configs = [_config(i, l2) for i, l2 in enumerate((0.0, 0.1, 1.0, 10.0, 100.0))]
-    return plain(H.survivors(_evaluator(spark, sf_dir, "ridge")(configs, 1), 5).select("config_id", "mse"), 4)
+    evaluate = _evaluator(spark, sf_dir, "ridge", ["open"])
+    return plain(evaluate(configs, 1).select("config_id", "mse"), 4)
 
 
 def tree_scores(spark, sf_dir):
@@ -423,7 +424,8 @@ def stacked_forecast(spark, sf_dir):
     rows = stage(candidates(_split(spark, sf_dir)), "rows")
     model = L.stack_forecasts(rows.where(F.col("split") == "train"), list(CANDIDATES.values()), "close")
     scored = model.transform(rows.where(F.col("split") == "validation"))
-    return plain(C.forecast_summary(scored, "pred_stacked", by=SERIES_KEY), 4)
+    summary = C.forecast_summary(scored, "pred_stacked", by=SERIES_KEY)
+    return plain(plain(summary, 4).withColumn("forecast", F.round("forecast", 2)), 4)
 
 
 def score_forecast(spark, sf_dir):

@@ -32,6 +32,7 @@ NUMERIC_COLUMNS = [
 CATEGORICAL_COLUMNS = ["dt", "year", "month", "date"]
 TARGET = "close"
 
+QUALITY_CHECK, QUALITY_LEVEL = "Weekly Stock Data Check", "Warning"
 QUALITY_RULES = [
     ("size", None, ">", 0.0),
     ("completeness", "close", "=", 1.0),

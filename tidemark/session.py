@@ -76,6 +76,11 @@ def join_on(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_sa
     return joined if how in ("left_anti", "left_semi") else joined.drop(*theirs.values())
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan; for a file scan, the size of its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
     """(rows of the largest group, rows of all): key columns only, counted before the shuffle."""
     counts = df.groupBy(*[named(k) for k in keys]).count()

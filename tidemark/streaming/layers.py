@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidemark.operators.drift import ks_drift
-from tidemark.operators.gold import affected_gold
+from tidemark.operators.gold import affected_gold, gold_features
 from tidemark.schema import DRIFT_ROWS, SILVER
 from tidemark.session import stage
 from tidemark.sinks.store import KeyedTable
@@ -22,7 +22,12 @@ class LayerUpdater:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         bars = stage(batch.select(*SILVER.fieldNames()), "bars")
+        if bars.isEmpty():
+            return
         self.silver.upsert(bars, staged=True)
+        if not self.gold.exists(spark):
+            self.gold.upsert(gold_features(self.silver.read(spark), self.unique_days))
+            return
         since_day = lambda day: self.silver.since(spark, day)
         self.gold.upsert(affected_gold(since_day, bars, self.unique_days, self.lookback_days))
 
