@@ -34,6 +34,12 @@ def test_kolmogorov_tail(spark):
     assert p == pytest.approx(0.05, abs=2e-4)
 
 
+def test_counts_beyond_a_bigint_product(spark):
+    many = F.lit(10**12)
+    p = spark.range(1).select(kolmogorov_p(F.lit(1e-6), many, many).alias("p")).first().p
+    assert p == pytest.approx(0.6994, abs=1e-3)
+
+
 def test_clock_columns_are_left_out_and_lists_accepted(spark):
     rows = as_table(spark, [{"close": 1.0, "timestamp_in_ms": 5}])
     assert [r["column"] for r in ks_drift(rows, rows).collect()] == ["close"]

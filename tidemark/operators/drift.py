@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.ordering import running_sums
 from tidemark.schema import CLOCK_COLUMNS, DRIFT_LEVEL
-from tidemark.session import TASK_ROWS, named, ship_with_tasks, stage
+from tidemark.session import TASK_ROWS, join_on, named, ship_with_tasks, stage
 
 ship_with_tasks(__name__)
 
@@ -29,6 +29,7 @@ def as_table(spark, rows) -> DataFrame:
 
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sided p-value; below 0.2 the cut-off series is not usable and p is 1."""
+    n, m = n.cast("double"), m.cast("double")  # the product of two large counts is beyond a bigint
     lam = d * F.sqrt(n * m / (n + m))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(_TERMS)),
@@ -38,19 +39,27 @@ def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
-def _counted(reference: DataFrame, current: DataFrame, columns, kind: str, by) -> DataFrame:
-    """(by..., column, value, n_ref, n_cur): both samples reduced to distinct values in one shuffle."""
-    def tall(df, side):
-        entries = F.array(*[F.struct(F.lit(c).alias("column"), named(c).cast(kind).alias("value")) for c in columns])
-        return df.select(*[named(k) for k in by], F.inline(entries)).select(
-            "*", F.lit(int(side == "ref")).alias("r"), F.lit(int(side == "cur")).alias("c")
-        )
+def tall_values(df: DataFrame, columns, kind: str = "double", by=()) -> DataFrame:
+    """(by..., column, value, n = 1) per non-null value."""
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), named(c).cast(kind).alias("value")) for c in columns])
+    tall = df.select(*[named(k) for k in by], F.inline(entries)).where(F.col("value").isNotNull())
+    return tall.withColumn("n", F.lit(1).cast("long"))
 
-    return (
-        tall(reference, "ref").unionByName(tall(current, "cur"))
-        .where(F.col("value").isNotNull())
-        .groupBy(*[named(k) for k in by], "column", "value")
-        .agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+
+def count_values(df: DataFrame, columns, kind: str = "double", by=()) -> DataFrame:
+    """A sample reduced to its distinct values, to be kept and compared more than once."""
+    tall = tall_values(df, columns, kind, by)
+    return tall.groupBy(*[named(k) for k in by], "column", "value").agg(F.sum("n").alias("n"))
+
+
+def _both(reference: DataFrame, current: DataFrame, by) -> DataFrame:
+    """(by..., column, value, n_ref, n_cur) of two samples, counted before or not; one shuffle."""
+    none = F.lit(0).cast("long")
+    sides = reference.select("*", F.col("n").alias("r"), none.alias("c")).unionByName(
+        current.select("*", none.alias("r"), F.col("n").alias("c"))
+    )
+    return sides.groupBy(*[named(k) for k in by], "column", "value").agg(
+        F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur")
     )
 
 
@@ -59,11 +68,16 @@ def ks_drift(
 ) -> DataFrame:
     """(by..., column, n_ref, n_cur, statistic, p_value, flag) per numeric column."""
     columns = list(columns) if columns else [c for c in numeric_columns(reference) if c in current.columns]
+    return ks_of_values(tall_values(reference, columns, by=by), tall_values(current, columns, by=by), by, level, limit)
+
+
+def ks_of_values(reference: DataFrame, current: DataFrame, by=(), level: float = DRIFT_LEVEL, limit: int = TASK_ROWS) -> DataFrame:
+    """`ks_drift` of two samples in tall form; a reference that is kept may be counted already."""
     keys = [*by, "column"]
-    counted = stage(_counted(reference, current, columns, "double", by), "values")
+    counted = stage(_both(reference, current, by), "values")
     steps = running_sums(counted, keys, ["value"], {"c_ref": "n_ref", "c_cur": "n_cur"}, limit)
     totals = stage(counted.groupBy(*keys).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")), "totals")
-    gaps = steps.drop("n_ref", "n_cur").join(totals, keys)
+    gaps = join_on(steps.drop("n_ref", "n_cur"), totals, keys)
     gap = F.abs(F.try_divide(F.col("c_ref"), F.col("n_ref")) - F.try_divide(F.col("c_cur"), F.col("n_cur")))
     tested = gaps.groupBy(*keys, "n_ref", "n_cur").agg(F.max(gap).alias("statistic"))
     tested = tested.withColumn("p_value", kolmogorov_p(F.col("statistic"), F.col("n_ref"), F.col("n_cur")))
@@ -114,9 +128,9 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns, by=(), l
     for the closing formula.
     """
     keys = [*by, "column"]
-    counted = stage(_counted(reference, current, columns, "string", by), "values")
+    counted = stage(_both(*[tall_values(df, columns, "string", by) for df in (reference, current)], by), "values")
     totals = stage(counted.groupBy(*keys).agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur")), "totals")
-    cells = counted.join(totals, keys)
+    cells = join_on(counted, totals, keys)
     share = (F.col("n_ref") + F.col("n_cur")) / (F.col("t_ref") + F.col("t_cur"))
     part = lambda n, t: F.try_divide((F.col(n) - share * F.col(t)) * (F.col(n) - share * F.col(t)), share * F.col(t))
     tested = cells.groupBy(*keys).agg(

@@ -464,9 +464,9 @@ def weekly_best(spark, sf_dir):
 
 
 def reference_window(spark, sf_dir):
-    bars = stage(minutes(spark, sf_dir), "bars").withColumnRenamed("ts", "Datetime")
-    normal = R.normalise_provider(bars.withColumns({"Dividends": F.lit(0.0), "Stock Splits": F.lit(0.0)}))
-    return plain(R.reference_window(normal, "dt"))
+    bars = stage(minutes(spark, sf_dir), "bars")
+    recent = R.reference_window(bars, "ts").withColumnRenamed("ts", "Datetime")
+    return plain(R.normalise_provider(recent.withColumns({"Dividends": F.lit(0.0), "Stock Splits": F.lit(0.0)})))
 
 
 def latest_bar(spark, sf_dir):

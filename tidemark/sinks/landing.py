@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import PAYLOAD_FIELDS
-from tidemark.sinks.store import path_exists
+from tidemark.sinks.store import delete_folder, path_exists
 from tidemark.sources.payload import payload_entries, read_payloads
 
 
@@ -47,10 +47,7 @@ def land_payloads(payloads: DataFrame, path: str, replace: bool = False) -> None
 def _drop_stale(spark, path, before, payloads) -> None:
     now = {(r.series, r.dt) for r in payloads.select("series", "dt").distinct().collect()}
     landed = {s for s, _ in now}
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for series, dt in sorted(before - now):
         if series in landed:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"series={escape(series)}/dt={dt}"), True)
+            delete_folder(spark, f"{path}/series={escape(series)}/dt={dt}")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +13,20 @@ from tidemark.session import join_on, named, stage
 _PERIOD = "period"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop path and its file system, for questions that should not list a whole table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return False
-        raise
+    at, fs = _file_system(spark, path)
+    return fs.exists(at)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
 
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -37,7 +42,8 @@ class DuplicateKeys(ValueError):
 class KeyedTable:
     """A table with a unique key, cut into period folders so that an upsert rewrites only what it touches.
 
-    `period` is a SQL expression of key columns; all rows of one key lie in one period.
+    `period` is a SQL expression whose values make plain folder names (digits, letters, dashes);
+    all rows of one key lie in one period.
     """
 
     path: str
@@ -47,20 +53,26 @@ class KeyedTable:
     def exists(self, spark: SparkSession) -> bool:
         return path_exists(spark, self.path)
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
-
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._stored(spark).drop(_PERIOD)
+        return spark.read.parquet(self.path).drop(_PERIOD)
+
+    def _read_periods(self, spark: SparkSession, wanted) -> DataFrame:
+        """Rows of the stored periods for which `wanted(period)`; only their folders are listed."""
+        at, fs = _file_system(spark, self.path)
+        prefix = f"{_PERIOD}="
+        names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
+        folders = [f"{self.path}/{n}" for n in sorted(names) if n.startswith(prefix) and wanted(n[len(prefix):])]
+        if not folders:
+            return self.read(spark).limit(0)
+        return spark.read.option("basePath", self.path).parquet(*folders).drop(_PERIOD)
 
     def since(self, spark: SparkSession, day) -> DataFrame:
-        """Rows with `dt` on or after `day`. Earlier folders are not listed for reading; this asks
-        for periods that follow from `dt` and sort as it does."""
+        """Rows with `dt` on or after `day`, or all for None. Earlier folders are not looked into;
+        this asks for periods that follow from `dt` and sort as it does."""
         if day is None:
             return self.read(spark)
         first = spark.range(1).select(F.lit(day).cast("date").alias("dt")).select(F.expr(self.period)).first()[0]
-        rows = self._stored(spark).where(F.col(_PERIOD).cast("string") >= first).drop(_PERIOD)
-        return rows.where(F.col("dt") >= F.lit(day).cast("date"))
+        return self._read_periods(spark, lambda period: period >= first).where(F.col("dt") >= F.lit(day).cast("date"))
 
     def _write(self, df: DataFrame, mode: str) -> None:
         # The rebalance hint lets AQE split a period that holds most rows and merge tiny ones.
@@ -108,10 +120,9 @@ class KeyedTable:
             return
         if not periods:
             return
-        touched = self._stored(spark).where(F.col(_PERIOD).cast("string").isin(periods))
-        touched = touched.withColumn(_PERIOD, F.col(_PERIOD).cast("string"))
+        touched = self._read_periods(spark, set(periods).__contains__)
         kept = join_on(touched, source.select(*self.keys), self.keys, "left_anti", null_safe=False)
-        self._write(kept.unionByName(source), "overwrite")
+        self._write(self._with_period(kept).unionByName(source), "overwrite")
 
     def append(self, df: DataFrame) -> None:
         """Plain append; rows double when the same rows are appended twice."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.drift import ks_drift
+from tidemark.operators.drift import count_values, ks_of_values, tall_values
 from tidemark.operators.gold import affected_gold, gold_features
 from tidemark.schema import DRIFT_ROWS, SILVER
 from tidemark.session import stage
@@ -33,7 +33,8 @@ class LayerUpdater:
 
 
 class DriftMonitor:
-    """`foreachBatch` handler: a sample of the buffer against a fixed reference, once it is large enough.
+    """`foreachBatch` handler: a sample of the buffer against a fixed reference, once it is large
+    enough. The reference is counted once, not with every micro-batch.
 
     `rows` must not be above the buffer size, else no test would ever run.
     """
@@ -41,7 +42,8 @@ class DriftMonitor:
     def __init__(self, path: str, buffer: ReplayBuffer, reference: DataFrame, columns, row_id: str, rows: int = DRIFT_ROWS, seed: int = 0):
         if rows > buffer.size:
             raise ValueError(f"drift sample of {rows} rows from a buffer of {buffer.size}")
-        self.path, self.buffer, self.reference = path, buffer, reference
+        self.path, self.buffer = path, buffer
+        self.reference = stage(count_values(reference, columns), "reference")
         self.columns, self.row_id, self.rows, self.seed = list(columns), row_id, rows, seed
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -50,5 +52,5 @@ class DriftMonitor:
             held, self.buffer.order, self.row_id, self.rows, self.seed + batch_id, self.buffer.keys, warm_only=True
         ), "sample")
         if sample.limit(1).count():
-            report = ks_drift(self.reference, sample, self.columns)
+            report = ks_of_values(self.reference, tall_values(sample, self.columns))
             report.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
