@@ -1,7 +1,5 @@
 """Compare a Spark result with a DuckDB result: names, row count, and values in any row order."""
 
-import math
-
 import duckdb
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -21,9 +19,7 @@ def _rows(names, rows):
 
 
 def _same(a, b):
-    if isinstance(a, float) and isinstance(b, float):
-        return a == b or (math.isnan(a) and math.isnan(b))
-    return type(a) is type(b) and a == b
+    return type(a) is type(b) and repr(a) == repr(b)
 
 
 _TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}

@@ -1,10 +1,12 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
 from tidemark.plans.lakehouse import Lakehouse, run_lakehouse
 from tidemark.sinks.landing import land_payloads, make_payloads
-from tidemark.sinks.store import DuplicateKeys, KeyedTable, path_exists, read_layer, write_splits
+from tidemark.session import clear_scratch, path_exists, scratch_path, scratch_scope, stage
+from tidemark.sinks.store import DuplicateKeys, KeyedTable, read_layer, write_splits
 from tidemark.sources.windows import gold_or_build
 
 
@@ -69,6 +71,9 @@ def test_missing_table(spark, bars, tmp_path):
     assert gold_or_build(spark, table, build).count() == 1
     assert gold_or_build(spark, table, build).count() == 1
     assert len(built) == 1
+    more = lambda: bars([("a", d, d) for d in (5, 3, 4)])
+    ordered = gold_or_build(spark, table, more, refresh=True, order=["dt"]).collect()
+    assert [r.close for r in ordered] == [1.0, 3.0, 4.0, 5.0]
 
 
 def test_empty_upsert_changes_nothing(spark, bars, tmp_path):
@@ -97,3 +102,24 @@ def test_batch_flow_twice(spark, bars, tmp_path):
     land_payloads(land, rebuilt.bronze)
     assert run_lakehouse(spark, rebuilt).exceptAll(gold).isEmpty()
     assert rebuilt.gold.read(spark).count() == 46
+
+
+def test_scratch_is_given_back(spark, bars):
+    with scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        stage(bars([("a", 0, 1)]), path=inner)
+        assert path_exists(spark, inner)
+    assert not path_exists(spark, inner)
+    outer = scratch_path(spark, "outer")
+    stage(bars([("a", 0, 1)]), path=outer)
+    clear_scratch(spark)
+    assert not path_exists(spark, outer)
+
+
+def test_upsert_leaves_nothing_in_scratch(spark, bars, tmp_path):
+    clear_scratch(spark)
+    table = KeyedTable(str(tmp_path / "t"))
+    for _ in range(2):
+        table.upsert(bars([("a", 1, 1)]))
+    root = scratch_path(spark, "x").rsplit("/", 1)[0]
+    assert not path_exists(spark, root) or not any(Path(root).iterdir())

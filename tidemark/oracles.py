@@ -334,6 +334,10 @@ drawn AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY age > 1,
   ((event_id % 2147483648) * 2654435761 + 11) % 4294967296, event_id) AS draw, count(*) OVER (PARTITION BY series) AS held FROM buffer)
 SELECT series, event_id, round(value, 6) AS value FROM drawn WHERE draw <= 4 AND held >= 4""",
     "stream_bars": "WITH " + _MINUTES + f" SELECT {_minute_columns()} FROM minutes",
+    "stream_latest": f"""
+WITH top AS (SELECT event_type AS series, ts AS dt, value AS open, value AS high, value AS low, value AS close, CAST(1 AS BIGINT) AS volume
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS k FROM events) WHERE k = 1)
+SELECT {_minute_columns("dt")} FROM top""",
     "stream_distinct": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
     "stream_gold": "WITH " + _INTRADAY + "," + _gold("intraday", "dt, timestamp_in_ms") + f" SELECT {_gold_columns(4)} FROM gold",
     "stream_decode": "WITH " + _RECORDS + f" SELECT {_bar_columns(4)} FROM sent WHERE h NOT IN (3, 4)",

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.gold import affected_gold, gold_features
 from tidemark.operators.silver import accepted, rejected, type_bars
-from tidemark.session import stage
+from tidemark.session import scratch_scope, stage
 from tidemark.sinks.landing import land_payloads
-from tidemark.sinks.store import KeyedTable, read_layer
+from tidemark.sinks.store import KeyedTable
 from tidemark.sources.payload import explode_payloads, newest_landing, read_payloads
 
 
@@ -43,22 +43,19 @@ def run_lakehouse(spark: SparkSession, lake: Lakehouse, payloads: DataFrame | No
     With `payloads` these are landed, and only they are parsed. Without, both layers follow from
     all that is landed, where the newest landing of a date counts.
     """
-    if payloads is not None:
-        payloads = stage(payloads.select("series", "dt", "value"), "payloads")
-        land_payloads(payloads, lake.bronze)
-        entries = explode_payloads(payloads)
-    else:
-        entries = newest_landing(explode_payloads(read_payloads(spark, lake.bronze), ["dt"]), "dt")
-    typed = stage(type_bars(entries), "typed")
-    bars = accepted(typed)
-    rejected(typed).write.mode("overwrite").parquet(lake.quarantine)
-    lake.silver.upsert(bars, staged=True)
-    if payloads is not None and lake.gold.exists(spark):
-        lake.gold.upsert(affected_gold(lambda day: lake.silver.since(spark, day), bars, unique_days=True))
-    else:
-        lake.gold.upsert(gold_features(lake.silver.read(spark)))
+    with scratch_scope(spark):
+        if payloads is not None:
+            payloads = stage(payloads.select("series", "dt", "value"), "payloads")
+            land_payloads(payloads, lake.bronze)
+            entries = explode_payloads(payloads)
+        else:
+            entries = newest_landing(explode_payloads(read_payloads(spark, lake.bronze), ["dt"]), "dt")
+        typed = stage(type_bars(entries), "typed")
+        bars = accepted(typed)
+        rejected(typed).write.mode("overwrite").parquet(lake.quarantine)
+        lake.silver.upsert(bars, staged=True)
+        if payloads is not None and lake.gold.exists(spark):
+            lake.gold.upsert(affected_gold(lambda day: lake.silver.since(spark, day), bars, unique_days=True))
+        else:
+            lake.gold.upsert(gold_features(lake.silver.read(spark)))
     return lake.gold.read(spark)
-
-
-def retrieve_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_layer(spark, path, fmt)

@@ -499,6 +499,17 @@ def stream_bars(spark, sf_dir):
     return plain(target.read(spark))
 
 
+def stream_latest(spark, sf_dir):
+    """The newest event per type as a running aggregate of the stream, with its arrival stamped."""
+    landed = _event_stream(spark, sf_dir).select(
+        F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).alias("volume"),
+        *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
+    )
+    target = KeyedTable(scratch_path(spark, "latest"), ["series"], "'all'")
+    I.run_once(R.newest_record(landed), upsert_sink(target), _checkpoint(spark))
+    return plain(target.read(spark).drop("timestamp_in_ms"))
+
+
 def stream_distinct(spark, sf_dir):
     """Every event polled twice; repeats within the watermark are dropped."""
     events = I.with_event_time(_event_stream(spark, sf_dir).select("event_id", "ts", "event_type"), "ts", "40 days")
@@ -599,6 +610,6 @@ QUERIES = {f.__name__: f for f in (
     ordered_batches, batch_mean_metrics, event_index, running_volume, walk_forward_folds, fold_regression,
     fold_scores, hyperband_survivors, ridge_scores, tree_scores, run_table_best, early_stop, best_candidate,
     stacked_forecast, score_forecast, forecast_means, discrepancy, weekly_best, reference_window, latest_bar,
-    replay_sample, stream_bars, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay,
+    replay_sample, stream_bars, stream_latest, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay,
     online_step, stream_online, stream_drift,
 )}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,8 +43,53 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop path and its file system, for questions that should not list a whole table."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at, fs = file_system(spark, path)
+    return fs.exists(at)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at, fs = file_system(spark, path)
+    fs.delete(at, True)
+
+
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
+def _session_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{_session_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables made inside are deleted at the end; nothing that reads them may leave."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            delete_folder(spark, path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this session, once its results are written."""
+    delete_folder(spark, _session_scratch(spark))
 
 
 def stage(df: DataFrame, label: str = "stage", path: str | None = None) -> DataFrame:

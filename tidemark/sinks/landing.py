@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import PAYLOAD_FIELDS
-from tidemark.sinks.store import delete_folder, path_exists
+from tidemark.session import delete_folder, path_exists
 from tidemark.sources.payload import payload_entries, read_payloads
 
 

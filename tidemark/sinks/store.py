@@ -8,27 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schema import BAR_KEY
-from tidemark.session import join_on, named, stage
+from tidemark.session import file_system, join_on, named, path_exists, scratch_scope, stage
 
 _PERIOD = "period"
 
 
-def _file_system(spark: SparkSession, path: str):
-    """Hadoop path and its file system, for questions that should not list a whole table."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    at, fs = _file_system(spark, path)
-    return fs.exists(at)
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    at, fs = _file_system(spark, path)
-    fs.delete(at, True)
-
-
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A missing path raises; the session stays up."""
     return spark.read.format(fmt).load(path)
@@ -58,7 +42,7 @@ class KeyedTable:
 
     def _read_periods(self, spark: SparkSession, wanted) -> DataFrame:
         """Rows of the stored periods for which `wanted(period)`; only their folders are listed."""
-        at, fs = _file_system(spark, self.path)
+        at, fs = file_system(spark, self.path)
         prefix = f"{_PERIOD}="
         names = [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()]
         folders = [f"{self.path}/{n}" for n in sorted(names) if n.startswith(prefix) and wanted(n[len(prefix):])]
@@ -108,21 +92,19 @@ class KeyedTable:
 
         Creates the table when, and only when, it is missing. Rewrites the periods of the source:
         the new files go to a staging folder of the write and replace the old ones at commit, so
-        the old rows stay readable until then and a lost task is simply run again.
+        the old rows stay readable until then and a lost task is simply run again. The source is
+        staged first, unless it is a stored table already, so that it is computed once.
         """
         spark = source.sparkSession
-        if not staged:
-            source = stage(source, "upsert")
-        source = self._with_period(source)
-        periods = self._checked_periods(source)
-        if not self.exists(spark):
-            self._write(source, "errorifexists")
-            return
-        if not periods:
-            return
-        touched = self._read_periods(spark, set(periods).__contains__)
-        kept = join_on(touched, source.select(*self.keys), self.keys, "left_anti", null_safe=False)
-        self._write(self._with_period(kept).unionByName(source), "overwrite")
+        with scratch_scope(spark):
+            source = self._with_period(source if staged else stage(source, "upsert"))
+            periods = self._checked_periods(source)
+            if not self.exists(spark):
+                self._write(source, "errorifexists")
+            elif periods:
+                touched = self._read_periods(spark, set(periods).__contains__)
+                kept = join_on(touched, source.select(*self.keys), self.keys, "left_anti", null_safe=False)
+                self._write(self._with_period(kept).unionByName(source), "overwrite")
 
     def append(self, df: DataFrame) -> None:
         """Plain append; rows double when the same rows are appended twice."""

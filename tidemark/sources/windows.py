@@ -49,9 +49,13 @@ def reference_window(bars: DataFrame, ts: str = "ts", days: int = REFERENCE_DAYS
 
 
 def gold_or_build(
-    spark: SparkSession, table: KeyedTable, build: Callable[[], DataFrame], refresh: bool = False
+    spark: SparkSession, table: KeyedTable, build: Callable[[], DataFrame], refresh: bool = False, order=()
 ) -> DataFrame:
-    """The stored gold table; built first when it is missing or a refresh is asked for."""
+    """The stored gold table; built first when it is missing or a refresh is asked for.
+
+    Rows come sorted only when `order` is given: jobs that need time order carry it as a key.
+    """
     if refresh or not table.exists(spark):
         table.upsert(build())
-    return table.read(spark)
+    gold = table.read(spark)
+    return gold.orderBy(*[named(c) for c in order]) if order else gold

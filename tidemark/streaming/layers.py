@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tidemark.operators.drift import count_values, ks_of_values, tall_values
 from tidemark.operators.gold import affected_gold, gold_features
 from tidemark.schema import DRIFT_ROWS, SILVER
-from tidemark.session import stage
+from tidemark.session import scratch_scope, stage
 from tidemark.sinks.store import KeyedTable
 from tidemark.streaming.replay import ReplayBuffer, recency_sample
 from tidemark.streaming.sinks import batch_folder
@@ -21,15 +21,16 @@ class LayerUpdater:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        bars = stage(batch.select(*SILVER.fieldNames()), "bars")
-        if bars.isEmpty():
-            return
-        self.silver.upsert(bars, staged=True)
-        if not self.gold.exists(spark):
-            self.gold.upsert(gold_features(self.silver.read(spark), self.unique_days))
-            return
-        since_day = lambda day: self.silver.since(spark, day)
-        self.gold.upsert(affected_gold(since_day, bars, self.unique_days, self.lookback_days))
+        with scratch_scope(spark):
+            bars = stage(batch.select(*SILVER.fieldNames()), "bars")
+            if bars.isEmpty():
+                return
+            self.silver.upsert(bars, staged=True)
+            if not self.gold.exists(spark):
+                self.gold.upsert(gold_features(self.silver.read(spark), self.unique_days))
+                return
+            since_day = lambda day: self.silver.since(spark, day)
+            self.gold.upsert(affected_gold(since_day, bars, self.unique_days, self.lookback_days))
 
 
 class DriftMonitor:
@@ -48,9 +49,10 @@ class DriftMonitor:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         held = self.buffer.update(batch, batch_id)
-        sample = stage(recency_sample(
-            held, self.buffer.order, self.row_id, self.rows, self.seed + batch_id, self.buffer.keys, warm_only=True
-        ), "sample")
-        if sample.limit(1).count():
-            report = ks_of_values(self.reference, tall_values(sample, self.columns))
-            report.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
+        with scratch_scope(batch.sparkSession):
+            sample = stage(recency_sample(
+                held, self.buffer.order, self.row_id, self.rows, self.seed + batch_id, self.buffer.keys, warm_only=True
+            ), "sample")
+            if not sample.isEmpty():
+                report = ks_of_values(self.reference, tall_values(sample, self.columns))
+                report.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
