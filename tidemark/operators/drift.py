@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.ordering import running_sums
 from tidemark.schema import CLOCK_COLUMNS, DRIFT_LEVEL
-from tidemark.session import TASK_ROWS, join_on, named, ship_with_tasks, stage
+from tidemark.session import TASK_ROWS, join_on, named, ship_with_tasks, small_or_not, stage
 
 ship_with_tasks(__name__)
 
@@ -77,7 +77,7 @@ def ks_of_values(reference: DataFrame, current: DataFrame, by=(), level: float =
     counted = stage(_both(reference, current, by), "values")
     steps = running_sums(counted, keys, ["value"], {"c_ref": "n_ref", "c_cur": "n_cur"}, limit)
     totals = stage(counted.groupBy(*keys).agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")), "totals")
-    gaps = join_on(steps.drop("n_ref", "n_cur"), totals, keys)
+    gaps = join_on(steps.drop("n_ref", "n_cur"), small_or_not(totals), keys)
     gap = F.abs(F.try_divide(F.col("c_ref"), F.col("n_ref")) - F.try_divide(F.col("c_cur"), F.col("n_cur")))
     tested = gaps.groupBy(*keys, "n_ref", "n_cur").agg(F.max(gap).alias("statistic"))
     tested = tested.withColumn("p_value", kolmogorov_p(F.col("statistic"), F.col("n_ref"), F.col("n_cur")))
@@ -130,7 +130,7 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns, by=(), l
     keys = [*by, "column"]
     counted = stage(_both(*[tall_values(df, columns, "string", by) for df in (reference, current)], by), "values")
     totals = stage(counted.groupBy(*keys).agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur")), "totals")
-    cells = join_on(counted, totals, keys)
+    cells = join_on(counted, small_or_not(totals), keys)
     share = (F.col("n_ref") + F.col("n_cur")) / (F.col("t_ref") + F.col("t_cur"))
     part = lambda n, t: F.try_divide((F.col(n) - share * F.col(t)) * (F.col(n) - share * F.col(t)), share * F.col(t))
     tested = cells.groupBy(*keys).agg(

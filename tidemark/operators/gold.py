@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import last_rows, recent_enough, trailing
 from tidemark.schema import GOLD, SERIES_KEY, TRAILING_ROWS
-from tidemark.session import DATE_DOMAIN_ROWS, TASK_ROWS, join_on, stage
+from tidemark.session import DATE_DOMAIN_ROWS, TASK_ROWS, join_on, small_or_not, stage
 
 _MA = "30_day_ma_close"
 _AT = "timestamp_in_ms"
@@ -79,7 +79,7 @@ def affected_gold(since_day, bars: DataFrame, unique_days: bool, lookback_days:
         return gold_features(since_day(None).where(F.lit(False)), unique_days)
 
     def history(rows, series):
-        before = join_on(rows, series, SERIES_KEY).where(F.col(_AT) < F.col("_since")).drop("_since")
+        before = join_on(rows, small_or_not(series), SERIES_KEY).where(F.col(_AT) < F.col("_since")).drop("_since")
         return last_rows(before, SERIES_KEY, order, need)
 
     found = stage(history(since_day(first - timedelta(days=lookback_days)), starts), "history")
@@ -88,9 +88,9 @@ def affected_gold(since_day, bars: DataFrame, unique_days: bool, lookback_days:
     if short.limit(1).count():
         enough = join_on(found, short.select(*SERIES_KEY), SERIES_KEY, "left_anti")
         found = enough.unionByName(history(since_day(None), short))
-    changed = join_on(since_day(first), starts, SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
+    changed = join_on(since_day(first), small_or_not(starts), SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
     gold = gold_features(changed.unionByName(found), unique_days)
-    return join_on(gold, starts, SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
+    return join_on(gold, small_or_not(starts), SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
 
 
 def latest_days(df: DataFrame) -> DataFrame:

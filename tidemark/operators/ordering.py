@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import TASK_ROWS, estimated_bytes, group_sizes, join_on, named, stage
+from tidemark.session import TASK_ROWS, estimated_bytes, group_sizes, join_on, named, small_or_not, stage
 
 PRUNE_FROM_BYTES = 1 << 30
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
@@ -78,7 +78,7 @@ def _ranged_index(df, keys, order, name, limit, total):
     )
     spans = stage(_carried(spans, keys, {"_before": "_n"}).drop("_n"), "spans")
     return (
-        join_on(ranges, spans, [*keys, "_part"])
+        join_on(ranges, small_or_not(spans), [*keys, "_part"])
         .withColumn(name, F.col("_before") + F.col("_pos") - F.col("_first"))
         .drop("_part", "_pos", "_before", "_first")
     )
@@ -104,7 +104,7 @@ def running_sums(
     spans = stage(spans.drop(*[f"_t_{new}" for new in sums]), "spans")
     w = Window.partitionBy(*by, "_part").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     local = ranges.withColumns({new: F.sum(named(old)).over(w) for new, old in sums.items()})
-    out = join_on(local, spans, [*keys, "_part"])
+    out = join_on(local, small_or_not(spans), [*keys, "_part"])
     out = out.withColumns({new: named(new) + named(f"_c_{new}") for new in sums})
     return out.drop("_part", "_pos", *[f"_c_{new}" for new in sums])
 
@@ -190,4 +190,4 @@ def recent_enough(table: DataFrame, keys, order, n: int, from_bytes: int = PRUNE
     if oldest is None:
         return table
     recent = table.where(at.isNull() | (at >= F.lit(oldest).cast(kind)))
-    return join_on(recent, cuts, keys).where(at.isNull() | (bucket >= F.col("_cut"))).drop("_cut")
+    return join_on(recent, small_or_not(cuts), keys).where(at.isNull() | (bucket >= F.col("_cut"))).drop("_cut")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.ordering import row_index
 from tidemark.operators.quantile import exact_medians
 from tidemark.schema import DEFAULT_CATEGORICAL, DEFAULT_NUMERIC
-from tidemark.session import join_on, named, scratch_path, stage
+from tidemark.session import join_on, named, scratch_path, small_or_not, stage
 
 
 def fit_numeric(train: DataFrame, columns, by=()) -> DataFrame:
@@ -92,7 +92,7 @@ class Preparation:
             codes = self.codes.where(F.col("column") == c).drop("column").withColumnRenamed("code", f"_code_{c}")
             codes = codes.withColumnRenamed("category", "_category")
             keyed = scaled_df.withColumn("_category", named(c).cast("string"))
-            scaled_df = join_on(keyed, codes, [*self.by, "_category"], "left").drop("_category")
+            scaled_df = join_on(keyed, small_or_not(codes), [*self.by, "_category"], "left").drop("_category")
 
         numeric = [
             ((F.coalesce(named(c).cast("double"), self._stat(c, "median")) - self._stat(c, "mean"))
@@ -117,7 +117,7 @@ class Preparation:
         if self.by:
             wide = self.numeric.groupBy(*self.by).pivot("column", self.numeric_columns).agg(F.first(entry))
             packed = wide.select(*[named(k) for k in self.by], F.struct(*[named(c) for c in self.numeric_columns]).alias("_stats"))
-            return join_on(df, stage(packed, "stats"), self.by, "left")
+            return join_on(df, small_or_not(stage(packed, "stats")), self.by, "left")
         rows = {r["column"]: r for r in self.numeric.collect()}  # one row per feature column
         literal = lambda c: F.struct(*[F.lit(rows[c][s]).cast("double").alias(s) for s in ("median", "mean", "std")]).alias(c)
         return df.withColumn("_stats", F.struct(*[literal(c) for c in self.numeric_columns]))

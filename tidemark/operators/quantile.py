@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import running_sums
-from tidemark.session import join_on, named, stage
+from tidemark.session import join_on, named, small_or_not, stage
 
 # Non-null values of one group that the built-in exact `percentile` may hold in one buffer.
 BUFFER_VALUES = 1_000_000
@@ -42,7 +42,7 @@ def _bracketed(df, columns, by):
     )
     sketch = stage(sketch, "brackets")
     if by:
-        bounded = join_on(df, sketch, by)
+        bounded = join_on(df, small_or_not(sketch), by)
     else:
         row = sketch.first()  # one row: two bounds and a count per column
         bounded = df.select(
@@ -69,7 +69,7 @@ def _bracketed(df, columns, by):
     ]))))
     distinct = stage(middle.groupBy(*keys, "_column", "_value").agg(F.count(F.lit(1)).alias("_here")), "middle")
     cumulative = running_sums(distinct, [*by, "_column"], ["_value"], {"_upto": "_here"})
-    ranked = join_on(cumulative, below, [*by, "_column"]).withColumn("_upto", F.col("_upto") + F.col("_below"))
+    ranked = join_on(cumulative, small_or_not(below), [*by, "_column"]).withColumn("_upto", F.col("_upto") + F.col("_below"))
     low, high = F.expr("(_n - 1) div 2"), F.expr("_n div 2")
     medians = ranked.groupBy(*keys).pivot("_column", list(columns)).agg(
         (F.min(F.when(F.col("_upto") > low, F.col("_value"))) + F.min(F.when(F.col("_upto") > high, F.col("_value")))) / 2

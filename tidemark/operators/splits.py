@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import last_rows, recent_enough, row_index
 from tidemark.schema import BATCH_ROWS, FOLD_GAP, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
-from tidemark.session import TASK_ROWS, join_on, named, stage
+from tidemark.session import TASK_ROWS, join_on, named, small_or_not, stage
 
 
 def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS) -> DataFrame:
@@ -34,7 +34,7 @@ def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS)
         .when(at >= F.col("_validation_from"), "validation")
         .otherwise("train")
     )
-    return join_on(df, cuts, keys).withColumn("split", label).drop("_seen", "_test_from", "_validation_from")
+    return join_on(df, small_or_not(cuts), keys).withColumn("split", label).drop("_seen", "_test_from", "_validation_from")
 
 
 def ordered_batches(
@@ -70,7 +70,7 @@ def walk_forward_folds(
     if sizes.where(F.col("_folds") < 1).limit(1).count() or not sizes.limit(1).count():
         raise ValueError(f"a group is shorter than one fold ({t} + {g} + {v} rows)")
 
-    indexed = join_on(row_index(df, keys, order, "row_idx", limit, bound), sizes, keys)
+    indexed = join_on(row_index(df, keys, order, "row_idx", limit, bound), small_or_not(sizes), keys)
     first = F.expr(f"greatest(0L, (row_idx - {t} + {v}) div {v})")
     last = F.expr(f"least(row_idx div {v}, _folds - 1)")
     in_train = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 # values (years 1 to 9999), so a group keyed by (series, dt) is always below it.
 TASK_ROWS = 5_000_000
 DATE_DOMAIN_ROWS = 3_652_059
+BROADCAST_BYTES = 16 << 20
 
 
 def ship_with_tasks(module: str) -> None:
@@ -123,6 +124,15 @@ def join_on(left: DataFrame, right: DataFrame, keys, how: str = "inner", null_sa
     return joined if how in ("left_anti", "left_semi") else joined.drop(*theirs.values())
 
 
+def small_or_not(df: DataFrame) -> DataFrame:
+    """A staged table, marked for broadcast when its files are at most `BROADCAST_BYTES`.
+
+    For tables of one row per group, range or column, which are far smaller than what they are
+    joined to; above the size the join is left to a shuffle, with AQE's skew handling.
+    """
+    return F.broadcast(df) if estimated_bytes(df) <= BROADCAST_BYTES else df
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan; for a file scan, the size of its files."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import local_clock, or_zero
 from tidemark.operators.bars import newest
 from tidemark.schema import PROVIDER_EXTRAS, PROVIDER_NAMES, REFERENCE_COLUMNS, REFERENCE_DAYS, SERIES_KEY
-from tidemark.session import join_on, named, stage
+from tidemark.session import join_on, named, small_or_not, stage
 from tidemark.sinks.store import KeyedTable
 
 
@@ -45,7 +45,7 @@ def reference_window(bars: DataFrame, ts: str = "ts", days: int = REFERENCE_DAYS
     bounds = stage(bounds, "bounds")
     oldest = bounds.agg(F.min("_since")).first()[0]
     recent = bars.where(F.col(ts) >= F.lit(oldest).cast(dict(bars.dtypes)[ts]))
-    return join_on(recent, bounds, SERIES_KEY).where(F.col(ts) >= F.col("_since")).drop("_since")
+    return join_on(recent, small_or_not(bounds), SERIES_KEY).where(F.col(ts) >= F.col("_since")).drop("_since")
 
 
 def gold_or_build(
