@@ -126,6 +126,18 @@ def test_descent_lowers_the_loss(spark):
     assert many < few / 10
 
 
+def test_closed_form_needs_one_round(spark):
+    evaluate = walk_forward_evaluator(linear_rows(spark), ["series"], ["dt"], ["x", "z"], "linear", "y", **WINDOWS)
+    ridge = evaluate.for_learner("ridge")
+    found = run_hyperband(spark, ridge, budget=9, factor=3)
+    assert found.evaluations.count() == sum(n for _, n, _ in brackets(9, 3))
+    configs = [r.asDict() for r in search_space(spark, found.evaluations.count()).collect()]
+    best = survivors(ridge(configs, 1), 1).first()
+    assert (found.config["config_id"], found.mse) == (best.config_id, best.mse)
+    assert found.mae_ratio == pytest.approx(ridge.on_rows([found.config], 1).first().mae_ratio) and found.mae_ratio > 1
+    assert evaluate.learner == "linear" and evaluate.uses_budget
+
+
 def test_collinear_features_are_no_trouble(spark):
     df = linear_rows(spark).withColumn("copy", F.col("x"))
     evaluate = walk_forward_evaluator(df, ["series"], ["dt"], ["x", "copy", "z"], "ridge", "y", **WINDOWS)

@@ -129,10 +129,13 @@ class Preparation:
         self._save_layout(path)
 
     def _save_layout(self, path: str) -> None:
-        columns = [*self.numeric_columns, *self.categorical_columns]
-        layout = [(i, c, self.bits.get(c), list(self.by)) for i, c in enumerate(columns)]
-        schema = "position int, column string, bits int, by array<string>"
-        self.numeric.sparkSession.createDataFrame(layout, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+        by = F.array(*[F.lit(k) for k in self.by]).cast("array<string>").alias("by")
+        layout = F.array(*[
+            F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(self.bits.get(c)).cast("int").alias("bits"), by)
+            for i, c in enumerate([*self.numeric_columns, *self.categorical_columns])
+        ])
+        spark = self.numeric.sparkSession
+        spark.range(1).coalesce(1).select(F.inline(layout)).write.mode("overwrite").parquet(f"{path}/layout")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Preparation":

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from copy import copy
 from dataclasses import dataclass
 from itertools import islice
 
@@ -99,10 +100,13 @@ def run_hyperband(
 ) -> SearchResult:
     """Brackets of successive halving. `evaluate(configs, budget)` is one Spark job over all
     configurations of a round and gives (config_id, mse, mae_ratio); only such rows, at most one
-    per configuration, come to the driver.
+    per configuration, come to the driver. When scores do not depend on the budget, one round
+    over the configurations of all brackets gives the same best.
     """
     evaluations, best = [], None
     plan = brackets(budget, factor, schedule)
+    if not getattr(evaluate, "uses_budget", True):
+        plan = [(0, sum(n for _, n, _ in plan), budget)]
     drawn = iter([r.asDict() for r in space(spark, sum(n for _, n, _ in plan), seed).orderBy("config_id").collect()])
     parent = run_log.start(params={"budget": budget, "factor": factor, "schedule": schedule}) if run_log else None
     for s, n, first_budget in plan:
@@ -191,6 +195,17 @@ class WalkForwardEvaluator:
         self.patience, self.tol = patience, tol
         self.paired = stage(paired_sums(stage(fold_sums(folded, keys, features, target), "sums"), keys), "paired")
 
+    @property
+    def uses_budget(self) -> bool:
+        """The closed form has no iterations, so more budget gives the same scores."""
+        return self.learner != "ridge"
+
+    def for_learner(self, learner: str) -> "WalkForwardEvaluator":
+        """The same folds and sums for another linear learner."""
+        other = copy(self)
+        other.learner = learner
+        return other
+
     def __call__(self, configs, budget) -> DataFrame:
         fits = fit_on_sums(self.paired, self.keys, self.learner, configs, budget)
         best = early_stop(F.col("losses"), self.patience, self.tol)["best"]

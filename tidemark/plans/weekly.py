@@ -53,11 +53,16 @@ def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, r
     features = preparation.feature_names
     candidates = {}
     fitted_on, chosen_on = train, held_out
+    linear = None  # linear learners share one pass over the rows
     for learner in settings.learners:
-        evaluate = walk_forward_evaluator(
-            train, SERIES_KEY, ["dt"], features, learner, TARGET, bound=DATE_DOMAIN_ROWS,
-            train=settings.train, validation=settings.validation, gap=settings.gap,
-        )
+        if linear is not None and learner != "gbt":
+            evaluate = linear.for_learner(learner)
+        else:
+            evaluate = walk_forward_evaluator(
+                train, SERIES_KEY, ["dt"], features, learner, TARGET, bound=DATE_DOMAIN_ROWS,
+                train=settings.train, validation=settings.validation, gap=settings.gap,
+            )
+            linear = linear if learner == "gbt" else evaluate
         found = run_hyperband(
             spark, evaluate, settings.budget, settings.factor, settings.seed, settings.schedule, run_log=run_log
         )
