@@ -55,6 +55,15 @@ def instant_key(ts: Column, tie: Column | None = None) -> Column:
     return micros.cast("decimal(18,0)") * F.expr("18446744073709551616BD") + tie.cast("decimal(19,0)")
 
 
+def computed_once(value: Column) -> Column:
+    """A generator of one row that holds `value`.
+
+    A filter on a plain computed column is pushed below it and computes it again; one on the
+    output of a generator is not. For costly values such as parsed JSON.
+    """
+    return F.explode_outer(F.array(value))
+
+
 def iso_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 

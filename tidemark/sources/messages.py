@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import iso_text
+from tidemark.functions.scalar import computed_once, iso_text
 from tidemark.operators.silver import enforce_schema
 from tidemark.schema import RECORD, SILVER
 
@@ -36,7 +36,7 @@ def decode_messages(messages: DataFrame, keep=()) -> DataFrame:
 
     An undecodable message keeps one row; an empty array gives none, as there is nothing in it.
     """
-    decoded = messages.select(*keep, "value", F.from_json("value", _MESSAGE).alias("records"))
+    decoded = messages.select(*keep, "value", computed_once(F.from_json("value", _MESSAGE)).alias("records"))
     outer = decoded.where(F.col("records").isNull() | (F.size("records") > 0)).select(
         *keep, "value", F.explode_outer("records").alias("r")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import computed_once
 from tidemark.schema import PAYLOAD_WRAPPER, RAW_BAR
 
 _ENTRIES = "map<string,string>"
@@ -42,7 +43,7 @@ def explode_payloads(payloads: DataFrame, keep=()) -> DataFrame:
         *keep,
         "dt_string",
         F.coalesce("entry", F.when(F.col("dt_string").isNull(), F.col("value"))).alias("raw"),
-        F.from_json("entry", RAW_BAR).alias("bar"),
+        computed_once(F.from_json("entry", RAW_BAR)).alias("bar"),
     )
 
 
@@ -59,4 +60,4 @@ def explode_wide(wide: DataFrame, series: str) -> DataFrame:
     """
     as_text = wide.select(*[F.to_json(wide[f"`{c}`"]).alias(c) for c in wide.columns])
     tall = as_text.unpivot([], [as_text[f"`{c}`"] for c in wide.columns], "dt_string", "raw")
-    return tall.select(F.lit(series).alias("series"), "dt_string", "raw", F.from_json("raw", RAW_BAR).alias("bar"))
+    return tall.select(F.lit(series).alias("series"), "dt_string", "raw", computed_once(F.from_json("raw", RAW_BAR)).alias("bar"))
