@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.metrics import online_forecast, point_forecast, score_batches, score_rows
 from tidemark.functions.scalar import inverse_log
+from tidemark.operators.gold import gold_features
+from tidemark.operators.prepare import Preparation
 from tidemark.operators.quality import QualityError
 from tidemark.operators.splits import walk_forward_folds
 from tidemark.plans.learners import check_learner, fit_on_sums, fold_sums, paired_sums, score_folds
 from tidemark.plans.selection import best_candidate, discrepancy, select_production
 from tidemark.plans.tuning import RunLog, best_run, brackets, early_stop, run_hyperband, search_space, survivors, walk_forward_evaluator
-from tidemark.plans.weekly import WeeklySettings, weekly_run
+from tidemark.plans.weekly import WeeklySettings, prepared_splits, weekly_run
 
 
 def test_metrics(spark):
@@ -174,6 +176,20 @@ def test_discrepancy_pairs_by_key(spark):
     assert {(r.dt, r.side) for r in discrepancy(truth, pred, "p").collect()} == {(1, "over"), (2, "under")}
 
 
+def test_dataset_is_kept(spark, bars, tmp_path):
+    gold = gold_features(bars([("a", d, d % 7 + 1) for d in range(40)]))
+    settings = WeeklySettings(test_rows=5, numeric=("open",), categorical=("month",))
+    prepared, preparation = prepared_splits(gold, settings, str(tmp_path))
+    assert {(r.split, r["count"]) for r in prepared.groupBy("split").count().collect()} == {
+        ("train", 30), ("validation", 5), ("test", 5)}
+    train = spark.read.parquet(str(tmp_path / "prepared" / "split=train"))
+    assert train.agg(F.avg("open")).first()[0] == pytest.approx(0.0, abs=1e-12)
+    again = Preparation.load(spark, str(tmp_path / "preparation"))
+    raw = spark.read.parquet(str(tmp_path / "splits"))
+    assert again.feature_names == preparation.feature_names == ["open", "month_0"]
+    assert again.apply(raw).select("dt", "open", "month_0").exceptAll(prepared.select("dt", "open", "month_0")).isEmpty()
+
+
 def test_failed_check_stops_the_week(spark, bars):
     with pytest.raises(QualityError):
         weekly_run(spark, bars([("a", d, 0) for d in range(30)]), WeeklySettings(test_rows=5))

@@ -15,7 +15,8 @@ from tidemark.operators.splits import walk_forward_folds
 from tidemark.plans.learners import check_learner, fit_on_sums, fit_regressor, fold_sums, paired_sums, score_folds
 from tidemark.functions.metrics import score_rows, scores
 from tidemark.schema import HALVING_FACTOR, HYPERBAND_BUDGET, LEARNING_RATE_RANGE, PATIENCE, TARGET, TOLERANCE
-from tidemark.session import named, stage
+from tidemark.session import named, scratch_path, stage
+from tidemark.sinks.store import write_splits
 
 EVALUATIONS_SCHEMA = "bracket int, round int, budget int, config_id bigint, mse double, mae_ratio double"
 RUNS_SCHEMA = "run_id string, parent string, kind string, key string, value string, number double, step bigint"
@@ -227,7 +228,9 @@ def walk_forward_evaluator(
     check_learner(learner)
     folded = walk_forward_folds(df, keys, order, bound=bound, **windows)
     if learner == "gbt":
-        return _tree_evaluator(stage(folded, "folds"), features, target)
+        path = scratch_path(df.sparkSession, "folds")
+        write_splits(folded, path, "fold")  # a fit reads the folder of its fold only
+        return _tree_evaluator(df.sparkSession.read.parquet(path), features, target)
     return WalkForwardEvaluator(folded, keys, features, learner, target, patience, tol)
 
 

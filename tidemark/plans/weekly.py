@@ -14,7 +14,8 @@ from tidemark.plans.learners import fit_regressor, stack_forecasts
 from tidemark.plans.selection import select_production
 from tidemark.plans.tuning import RunLog, run_hyperband, walk_forward_evaluator
 from tidemark.schema import DEFAULT_CATEGORICAL, DEFAULT_NUMERIC, FOLD_GAP, HALVING_FACTOR, SERIES_KEY, TARGET, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
-from tidemark.session import DATE_DOMAIN_ROWS, stage
+from tidemark.session import DATE_DOMAIN_ROWS, scratch_path
+from tidemark.sinks.store import read_layer, write_splits
 
 
 @dataclass(frozen=True)
@@ -35,13 +36,19 @@ class WeeklySettings:
 
 
 def prepared_splits(gold: DataFrame, settings: WeeklySettings, path: str | None = None):
-    """(prepared rows with `split`, the fitted preparation). Statistics come from train rows only."""
-    labelled = stage(chronological_split(gold, SERIES_KEY, ["dt"], settings.test_rows), "splits")
-    # dt orders the rows and is the key, so it is kept beside the prepared block.
-    preparation = fit(
-        labelled.where(F.col("split") == "train"), settings.numeric, settings.categorical, ["dt"], path=path
-    )
-    return stage(preparation.apply(labelled), "prepared"), preparation
+    """(prepared rows with `split`, the fitted preparation). Statistics come from train rows only.
+
+    Kept under `path` (scratch when not given): `splits` and `prepared`, a folder per split in
+    each, and `preparation`. The key (series, dt) stays beside the prepared block.
+    """
+    spark = gold.sparkSession
+    path = path or scratch_path(spark, "dataset")
+    write_splits(chronological_split(gold, SERIES_KEY, ["dt"], settings.test_rows), f"{path}/splits")
+    labelled = read_layer(spark, f"{path}/splits")
+    train = labelled.where(F.col("split") == "train")
+    preparation = fit(train, settings.numeric, settings.categorical, ["dt"], path=f"{path}/preparation")
+    write_splits(preparation.apply(labelled), f"{path}/prepared")
+    return read_layer(spark, f"{path}/prepared"), preparation
 
 
 def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, run_log: RunLog | None = None) -> DataFrame:
