@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.bars import build_bars
 from tidemark.operators.gold import affected_gold, gold_features
+from tidemark.operators.prepare import fit
 from tidemark.sinks.store import KeyedTable
 from tidemark.sources.messages import bad_records, decode_messages, encode_records, good_records, records_to_silver
 from tidemark.streaming.ingest import bars_to_silver, drop_repeats, file_stream, run_once, start, stream_bars, with_event_time
 from tidemark.streaming.layers import DriftMonitor, LayerUpdater
+from tidemark.streaming.learner import ReplayLearner
 from tidemark.streaming.online import OnlineModel, fit_batches, gradient_step
 from tidemark.streaming.replay import ReplayBuffer, recency_sample
 from tidemark.streaming.sinks import append_sink, decode_sink, fan_out, upsert_sink
@@ -200,6 +202,24 @@ def test_steps_per_series_and_a_repeated_batch(spark, tmp_path):
     assert after["b"].steps == 1
 
 
+def test_learning_from_replayed_bars(spark, tmp_path):
+    df, path = ticks(spark, 120), str(tmp_path / "in")
+    land_in_parts(df, path, 3)
+    silver, gold = (KeyedTable(str(tmp_path / n), ["series", "timestamp_in_ms"]) for n in ("s", "g"))
+    bars = bars_to_silver(build_bars(df, "series", "ts", "price", "1 minute", "id"))
+    preparation = fit(gold_features(bars, unique_days=False), ["open", "30_day_ma_close"], [], ["timestamp_in_ms"])
+    model = OnlineModel(str(tmp_path / "w"), preparation.feature_names, rate=0.1)
+    learner = ReplayLearner(gold, ReplayBuffer(str(tmp_path / "b"), ["timestamp_in_ms"], 50), preparation, model, rows=20)
+    handle = fan_out(LayerUpdater(silver, gold), learner)
+    run_once(bars_to_silver(minute_stream(spark, path)), handle, str(tmp_path / "ck"))
+    rows = {(r.series, r.batch_id): r for r in model.history(spark).collect()}
+    # 13 cold bars come with each file, so the cold buffer is warm from the second on.
+    assert ("cold", 0) not in rows and rows["cold", 1].steps == 1 and rows["cold", 2].steps == 2
+    last = max(b for _, b in rows)
+    assert [rows["hot", b].steps for b in range(3)] == [1, 2, 3] and rows["hot", last].steps == 3
+    assert all(r.rows == 20 for r in rows.values() if r.rows is not None)
+
+
 def test_batches_of_a_table(spark, tmp_path):
     rows = pairs(spark, [(i / 10, 2 * i / 10 + 1) for i in range(20)]).withColumn("batch_id", (F.col("x") * 10 / 5).cast("long"))
     by_table = fit_batches(OnlineModel(str(tmp_path / "t"), ["x"]), rows).first().weights

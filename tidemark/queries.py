@@ -34,6 +34,7 @@ from tidemark.sources import payload as Y
 from tidemark.sources import windows as R
 from tidemark.streaming import ingest as I
 from tidemark.streaming import layers as A
+from tidemark.streaming.learner import ReplayLearner
 from tidemark.streaming.online import OnlineModel, gradient_step
 from tidemark.streaming.replay import ReplayBuffer, recency_sample
 from tidemark.streaming.sinks import append_sink, decode_sink, fan_out, upsert_sink
@@ -591,6 +592,21 @@ def stream_online(spark, sf_dir):
                  .withColumn("batch_id", F.col("batch_id").cast("bigint")))
 
 
+def stream_learn(spark, sf_dir):
+    """Bars from the stream into silver and gold, a replayed sample of them into an online step."""
+    silver, gold = (
+        KeyedTable(scratch_path(spark, label), ["series", "timestamp_in_ms"], "date_format(dt, 'yyyyMMdd')")
+        for label in ("silver", "gold")
+    )
+    history = stage(G.gold_features(intraday(spark, sf_dir), unique_days=False), "history")
+    preparation = P.fit(history, ["open", "high", "low", "30_day_ma_close"], [], ["dt", "timestamp_in_ms"])
+    model = OnlineModel(scratch_path(spark, "weights"), preparation.feature_names, rate=0.01, clip=1.0)
+    learner = ReplayLearner(gold, ReplayBuffer(scratch_path(spark, "buffer"), ["timestamp_in_ms"]), preparation, model)
+    bars = I.stream_bars(_event_stream(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
+    I.run_once(I.bars_to_silver(bars), fan_out(A.LayerUpdater(silver, gold), learner), _checkpoint(spark))
+    return plain(model.history(spark).select("batch_id", "series", "steps", "rows", "mse"))
+
+
 def stream_drift(spark, sf_dir):
     """The newest events of each type, as the stream holds them, against the first twenty days."""
     reference, _ = _samples(spark, sf_dir)
@@ -611,5 +627,5 @@ QUERIES = {f.__name__: f for f in (
     fold_scores, hyperband_survivors, ridge_scores, tree_scores, run_table_best, early_stop, best_candidate,
     stacked_forecast, score_forecast, forecast_means, discrepancy, weekly_best, reference_window, latest_bar,
     replay_sample, stream_bars, stream_latest, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay,
-    online_step, stream_online, stream_drift,
+    online_step, stream_online, stream_learn, stream_drift,
 )}
