@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import PAYLOAD_FIELDS
-from tidemark.session import delete_folder, path_exists
+from tidemark.session import delete_folder, join_on, path_exists, scratch_scope, stage
 from tidemark.sources.payload import payload_entries, read_payloads
 
 
@@ -34,20 +34,22 @@ def land_payloads(payloads: DataFrame, path: str, replace: bool = False) -> None
     series that are landed now; other series are left alone.
     """
     spark = payloads.sparkSession
-    before = None
-    if replace and path_exists(spark, path):
-        before = {(r.series, r.dt) for r in read_payloads(spark, path).select("series", "dt").distinct().collect()}
-    payloads.select("series", "dt", "value").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("series", "dt").text(path)
-    if before:
-        _drop_stale(spark, path, before, payloads)
-
-
-def _drop_stale(spark, path, before, payloads) -> None:
-    now = {(r.series, r.dt) for r in payloads.select("series", "dt").distinct().collect()}
-    landed = {s for s, _ in now}
+    with scratch_scope(spark):
+        before = None
+        if replace and path_exists(spark, path):
+            before = stage(read_payloads(spark, path).select("series", "dt").distinct(), "landed")
+            payloads = stage(payloads.select("series", "dt", "value"), "payloads")
+        payloads.select("series", "dt", "value").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("series", "dt").text(path)
+        if before is not None:
+            now = payloads.select("series", "dt")
+            again = join_on(before, now.select("series"), ["series"], "left_semi")
+            _drop_folders(spark, path, join_on(again, now, ["series", "dt"], "left_anti"))
+
+
+def _drop_folders(spark, path, stale: DataFrame) -> None:
+    """Delete the landed days in `stale`, one folder each; they are passed through one by one."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for series, dt in sorted(before - now):
-        if series in landed:
-            delete_folder(spark, f"{path}/series={escape(series)}/dt={dt}")
+    for row in stale.toLocalIterator():
+        delete_folder(spark, f"{path}/series={escape(row.series)}/dt={row.dt}")
