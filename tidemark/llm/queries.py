@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, repeats
 from tidemark.session import ship_with_tasks
 
 
@@ -43,9 +43,34 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every text once repeated 35-word windows are removed."""
+    kept = repeats.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+OP4_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS_SQL} AS w FROM documents),
+win AS (SELECT rid, i, array_to_string(w[i:i + 34], ' ') AS s FROM d, unnest(range(1, len(w) - 33)) AS t(i)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY s) AS c FROM win) WHERE c > 1),
+gone AS (SELECT DISTINCT rid, i + k AS p FROM rep, range(35) AS r(k)),
+words AS (SELECT rid, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+stay AS (
+  SELECT words.rid, string_agg(word, ' ' ORDER BY words.p) AS kept, count(*) AS n
+  FROM words ANTI JOIN gone ON words.rid = gone.rid AND words.p = gone.p GROUP BY words.rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN stay ON d.rid = stay.rid
+"""
+
 LLM_QUERIES = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op4_substring_dedup": OP4_SQL,
+}
 
 ship_with_tasks(__name__)
