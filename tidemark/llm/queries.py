@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, repeats
+from tidemark.llm import bpe, near, repeats
 from tidemark.session import ship_with_tasks
 
 
@@ -65,11 +65,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n
 FROM d LEFT JOIN stay ON d.rid = stay.rid
 """
 
+def op10_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under links at 0.8 or more, its links to different texts and its copies."""
+    marked = near.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    marked = marked.select("doc_id", "class_no", "n_links", "n_copies")
+    classes = marked.groupBy("class_no").agg(F.min("doc_id").alias("class_id"))
+    return marked.join(classes, "class_no").select("doc_id", "class_id", "n_links", "n_copies")
+
+
+OP10_SQL = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS_SQL} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS s
+  FROM d, unnest(range(1, greatest(len(w) - 3, 2))) AS t(i) WHERE len(w) > 0
+),
+n AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.rid <> b.rid GROUP BY 1, 2),
+link AS (
+  SELECT x, y, c = nx.n AND c = ny.n AS same FROM p JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y
+  WHERE 5 * c >= 4 * (nx.n + ny.n - c)
+),
+sets AS (
+  SELECT d.rid, least(d.rid, min(y)) AS set_id, count(y) + 1 AS n_copies
+  FROM d LEFT JOIN link ON link.x = d.rid AND same GROUP BY d.rid
+),
+links AS (SELECT x, count(DISTINCT set_id) AS n_links FROM link JOIN sets ON sets.rid = y WHERE NOT same GROUP BY x),
+reach AS (SELECT rid AS x, rid AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+class AS (SELECT reach.x, min(d.doc_id) AS class_id FROM reach JOIN d ON d.rid = reach.y GROUP BY reach.x)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, n_copies::BIGINT AS n_copies
+FROM d JOIN sets ON sets.rid = d.rid JOIN class ON class.x = d.rid LEFT JOIN links ON links.x = d.rid
+"""
+
 LLM_QUERIES = {
+    "op10_near_join": op10_near_join,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
 }
 LLM_ORACLES: dict[str, str] = {
+    "op10_near_join": OP10_SQL,
     "op4_substring_dedup": OP4_SQL,
 }
 
