@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, near, repeats
+from tidemark.llm import bpe, chat, divergence, nbsvm, near, repeats
 from tidemark.session import ship_with_tasks
 
 
@@ -43,6 +43,50 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix-target examples of all conversations, and what can be read back from them."""
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", odd), (-1, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    examples = chat.chat_examples(rows).select(
+        "conv_id", "example", "turns", F.length("formatted").alias("chars"), chat.loss_text().alias("loss"),
+        F.when(F.col("is_last"), chat.read_turns(F.col("formatted"))).alias("read"),
+    )
+    said = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    examples = examples.select("conv_id", "example", "chars", "loss", F.size("read").alias("n"), F.sha2(said, 256).alias("turns_sha256"))
+    loss = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "loss"))), lambda e: e["loss"]), "")
+    return examples.groupBy("conv_id").agg(
+        F.max("n").cast("long").alias("n_turns"), F.max("turns_sha256").alias("turns_sha256"),
+        loss.alias("loss"), F.sum("chars").alias("formatted_chars"),
+    ).select(
+        "conv_id", "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+OP2_SQL = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n,
+    length(regexp_replace(text, '(\\*)(</?s>|\[/?INST\]|\[/?SYS\]|\[OUT\]|\[ROLE=|\[/ROLE\])', '\1\1\\\2', 'g'))
+      + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 11 ELSE 16 + length(url_encode(role)) END AS chars
+  FROM rows
+),
+e AS (SELECT *, 3 + sum(chars) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '')) AS loss_sha256,
+  sum(CASE WHEN role = 'assistant' OR i = n THEN upto END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every text once repeated 35-word windows are removed."""
     kept = repeats.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -96,12 +140,30 @@ SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, n_copies::BIGI
 FROM d JOIN sets ON sets.rid = d.rid JOIN class ON class.x = d.rid LEFT JOIN links ON links.x = d.rid
 """
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every text by a classifier that saw three of four labelled folds."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held = nbsvm.held_out(F.col("doc_id"), 4, 2)
+    model = nbsvm.fit(nbsvm.labelled_rows(docs.where(~held), labels))
+    return nbsvm.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, distances to the language's reference and the verdict on every document."""
+    judged = divergence.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.drop("lang", "text")
+
+
 LLM_QUERIES = {
+    "op2_chat_format": op2_chat_format,
     "op10_near_join": op10_near_join,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_quality_rules": op9_quality_rules,
 }
 LLM_ORACLES: dict[str, str] = {
+    "op2_chat_format": OP2_SQL,
     "op10_near_join": OP10_SQL,
     "op4_substring_dedup": OP4_SQL,
 }
