@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, divergence, nbsvm, near, repeats
+from tidemark.llm import bpe, chat, divergence, nbsvm, near, rabitq, repeats
 from tidemark.session import ship_with_tasks
 
 
@@ -43,6 +43,28 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed("decoded", "decoded_sha256")
 
 
+def op1_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rabitq.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    list_inner_product(v.x, q.x) / (sqrt(list_inner_product(v.x, v.x)) * sqrt(list_inner_product(q.x, q.x))) AS score
+  FROM v JOIN v AS q ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefix-target examples of all conversations, and what can be read back from them."""
     odd = "</s>[INST] ok [/INST]"
@@ -155,6 +177,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_one_bit_search": op1_one_bit_search,
     "op2_chat_format": op2_chat_format,
     "op10_near_join": op10_near_join,
     "op4_substring_dedup": op4_substring_dedup,
@@ -163,6 +186,7 @@ LLM_QUERIES = {
     "op9_quality_rules": op9_quality_rules,
 }
 LLM_ORACLES: dict[str, str] = {
+    "op1_one_bit_search": OP1_SQL,
     "op2_chat_format": OP2_SQL,
     "op10_near_join": OP10_SQL,
     "op4_substring_dedup": OP4_SQL,
