@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, divergence, nbsvm, near, rabitq, repeats
+from tidemark.llm import bpe, chat, divergence, nbsvm, near, packing, rabitq, repeats
 from tidemark.session import ship_with_tasks
 
 
@@ -170,6 +170,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every word of every text goes, in sequences of four permitted lengths."""
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, distances to the language's reference and the verdict on every document."""
     judged = divergence.quality_rules(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
@@ -183,6 +188,7 @@ LLM_QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 LLM_ORACLES: dict[str, str] = {
