@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, divergence, nbsvm, near, packing, rabitq, repeats
+from tidemark.llm import bpe, chat, divergence, nbsvm, near, packing, rabitq, repeats, revisits
 from tidemark.session import ship_with_tasks
 
 
@@ -170,6 +170,81 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def page_captures(pages: DataFrame) -> DataFrame:
+    """Every page as a full response, and as the answer to a check of its own version a day later.
+
+    Page n is captured n minutes after the start of 2024 and checked 1,440 minutes later, with its
+    ETag, with its Last-Modified alone (even digest), or, where its digest begins with f, with neither.
+    """
+    digest = F.md5(F.coalesce("html", F.lit("")))
+    at = F.timestamp_seconds(F.lit(1704067200) + 60 * F.col("page_id"))
+    tag, modified = F.concat(F.lit("ETag: \""), digest, F.lit("\"")), F.concat(F.lit("Last-Modified: "), F.col("at").cast("string"))
+    made = pages.withColumn("at", at).withColumn("last", F.substring(digest, 32, 1))
+    length = F.coalesce(F.length("html"), F.lit(0)).cast("string")
+    response = made.select(
+        (2 * F.col("page_id")).alias("record_id"), F.lit("response").alias("kind"), "url", F.col("at").alias("date"), F.lit(200).alias("status"),
+        F.concat_ws("\r\n", F.lit("HTTP/1.1 200 OK"), tag, modified, F.concat(F.lit("Content-Length: "), length), F.lit("Cache-Control: no-cache")).alias("headers"),
+        F.col("html").alias("payload"),
+    )
+    validators = F.when(digest.startswith("f"), F.lit("Age: 1")).when(F.col("last").isin(*"02468ace"), modified).otherwise(F.concat(F.lit("etag: W/"), F.substring(tag, 7, 40)))
+    revisit = made.select(
+        (2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("kind"), "url",
+        (F.col("at") + F.expr("INTERVAL 1440 MINUTES")).alias("date"), F.lit(304).alias("status"),
+        F.concat_ws("\r\n", F.lit("HTTP/1.1 304 Not Modified"), validators, F.lit("Content-Length: 0"), F.lit("Cache-Control: max-age=60")).alias("headers"),
+        F.lit(None).cast("string").alias("payload"),
+    )
+    return response.unionByName(revisit)
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the check of every page resolves to."""
+    found = revisits.resolve_revisits(page_captures(table(spark, sf_dir, "pages")))
+    lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\n"))))
+    return found.select(
+        F.expr("(record_id - 1) div 2").alias("page_id"), "outcome", F.expr("response_id div 2").alias("response_page"),
+        F.array_join(lines, "").alias("header_text"), F.sha2("payload", 256).alias("payload_sha256"),
+    )
+
+
+OP7_SQL = r"""
+WITH p AS (
+  SELECT page_id, url, html, md5(coalesce(html, '')) AS digest,
+    regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare,
+    strftime(TIMESTAMP '2024-01-01' + to_minutes(page_id), '%Y-%m-%d %H:%M:%S') AS seen
+  FROM pages
+),
+c AS (
+  SELECT *,
+    regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^.*@', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
+    || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+      lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[^=]*|ref|fbclid|gclid|mc_cid|mc_eid)(=|$)'))), '&'), ''), '') AS canonical,
+    CASE WHEN digest LIKE 'f%' THEN 'none' WHEN digest[32] IN ('0', '2', '4', '6', '8', 'a', 'c', 'e') THEN 'date' ELSE 'tag' END AS how
+  FROM p
+),
+j AS (
+  SELECT r.*, s.page_id AS response_page, s.html AS body, s.digest AS body_digest, s.seen AS body_seen
+  FROM c AS r LEFT JOIN c AS s ON s.canonical = r.canonical AND s.html IS NOT NULL AND s.page_id < r.page_id + 1440
+  QUALIFY row_number() OVER (PARTITION BY r.page_id ORDER BY s.page_id DESC NULLS LAST) = 1
+),
+o AS (
+  SELECT *, CASE WHEN response_page IS NULL THEN 'no_response' WHEN how = 'none' THEN 'unverifiable'
+    WHEN how = 'tag' AND digest = body_digest OR how = 'date' AND seen = body_seen THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM j
+)
+SELECT page_id, outcome, response_page,
+  CASE WHEN outcome = 'resolved' THEN
+    'cache-control: max-age=60' || chr(10) || 'content-length: ' || length(body) || chr(10)
+    || 'etag: ' || CASE WHEN how = 'tag' THEN 'W/' ELSE '' END || '"' || body_digest || '"' || chr(10) || 'last-modified: ' || body_seen || chr(10)
+  ELSE
+    CASE WHEN how = 'none' THEN 'age: 1' || chr(10) ELSE '' END || 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10)
+    || CASE how WHEN 'tag' THEN 'etag: W/"' || digest || '"' || chr(10) WHEN 'date' THEN 'last-modified: ' || seen || chr(10) ELSE '' END
+  END AS header_text,
+  CASE WHEN outcome = 'resolved' THEN sha256(body) END AS payload_sha256
+FROM o
+"""
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every word of every text goes, in sequences of four permitted lengths."""
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -188,12 +263,14 @@ LLM_QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 LLM_ORACLES: dict[str, str] = {
     "op1_one_bit_search": OP1_SQL,
     "op2_chat_format": OP2_SQL,
+    "op7_warc_revisits": OP7_SQL,
     "op10_near_join": OP10_SQL,
     "op4_substring_dedup": OP4_SQL,
 }
