@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, divergence, nbsvm, near, packing, rabitq, repeats, revisits
+from tidemark.llm import bpe, chat, divergence, lbl, nbsvm, near, packing, rabitq, repeats, revisits
 from tidemark.session import ship_with_tasks
 
 
@@ -109,6 +109,13 @@ FROM e GROUP BY conv_id
 """
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear log10 probabilities of every text, learned from four of five folds."""
+    held = nbsvm.held_out(F.col("doc_id"), 5, 1)
+    scored = lbl.lm_scores(table(spark, sf_dir, "documents"), "doc_id", "text", ~held)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every text once repeated 35-word windows are removed."""
     kept = repeats.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -261,6 +268,7 @@ LLM_QUERIES = {
     "op2_chat_format": op2_chat_format,
     "op10_near_join": op10_near_join,
     "op4_substring_dedup": op4_substring_dedup,
+    "op3_lm_scores": op3_lm_scores,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_warc_revisits": op7_warc_revisits,
