@@ -3,7 +3,7 @@
 1. Every task counts its windows in two rows of cells, up to 2, and emits only the cells it
    touched, by shard. Shards are merged to one bit per cell: counted at least twice. The least
    count over both rows is never below the true one, so no repeated window is missed.
-2. Windows whose cells are both set are grouped exactly, by a 128-bit fingerprint. Each task
+2. Windows whose cells are both set are grouped exactly, by a 96-bit fingerprint. Each task
    first merges equal windows of its own, so a passage of millions of copies arrives as one row
    per task. The groups tell which windows were estimated repeated but stand alone.
 3. Those few are sent back to their texts, and what all other estimated windows cover is removed.
@@ -16,6 +16,7 @@ result is the same. Texts are matched in steps 2 and 3 by content, so ids may re
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -29,10 +30,12 @@ from tidemark.llm.words import covered, find_words, text_chunks, window_starts,
 from tidemark.session import named, ship_with_tasks
 
 WINDOW_WORDS = 35
-BITS_PER_WINDOW = 8
+BITS_PER_WINDOW = 5
 SKETCH_BYTES = 128 << 20
 SHARD_BITS = 20
-FLUSH_WINDOWS = 2_000_000
+SKETCH_WINDOWS = 4_000_000  # windows that a task holds before it emits their cells
+FLUSH_WINDOWS = 1_000_000  # and those it merges before it emits them
+BLOCK = 256
 GROUP_WINDOWS = 500_000
 MERGE_BYTES = 64 << 20
 MERGE_PARTS = 16
@@ -45,15 +48,21 @@ def _cells(window: np.ndarray, cells: int, row: int) -> np.ndarray:
 
 
 def pack_cells(cells: np.ndarray) -> bytes:
-    """Sorted cells of one shard: how many lie in each 65,536, then the low 16 bits of each."""
-    counts = np.bincount(cells >> 16, minlength=1 << (SHARD_BITS - 16)).astype("<u4")
-    return counts.tobytes() + cells.astype("<u2").tobytes()
+    """Sorted cells of one shard: how many lie in each block of 256, then the low byte of each."""
+    if not len(cells):
+        return b""
+    counts = np.bincount(cells // BLOCK, minlength=(1 << SHARD_BITS) // BLOCK).astype("<u2")
+    # a count is two bytes, but the upper ones are all zero unless a block is full
+    return counts.view(np.uint8).reshape(-1, 2).T.tobytes() + (cells % BLOCK).astype(np.uint8).tobytes()
 
 
 def unpack_cells(packed: bytes) -> np.ndarray:
-    blocks = 1 << (SHARD_BITS - 16)
-    counts = np.frombuffer(packed, "<u4", blocks)
-    return (np.repeat(np.arange(blocks), counts) << 16) + np.frombuffer(packed, "<u2", offset=4 * blocks)
+    if not packed:
+        return np.empty(0, np.int64)
+    blocks = (1 << SHARD_BITS) // BLOCK
+    low, high = np.frombuffer(packed, np.uint8, 2 * blocks).reshape(2, -1).astype(np.int64)
+    counts = low + 256 * high
+    return np.repeat(np.arange(blocks) * BLOCK, counts) + np.frombuffer(packed, np.uint8, offset=2 * blocks)
 
 
 def _shards(window: np.ndarray, cells: int):
@@ -77,8 +86,8 @@ def _window_hashes(column: pa.Array, width: int, both: bool):
         yield first, last, words, starts, one, two
 
 
-def repeated_cells(df: DataFrame, text: str, width: int, cells: int, n_windows: int) -> np.ndarray:
-    """Bits of both rows: set where the merged count is two or more.
+def repeated_cells(df: DataFrame, text: str, width: int, cells: int, n_windows: int) -> list[bytes]:
+    """Bits of both rows by shard, compressed: set where the merged count is two or more.
 
     The parts of a shard are merged in rounds of at most `MERGE_BYTES` or `MERGE_PARTS` a group.
     """
@@ -91,7 +100,7 @@ def repeated_cells(df: DataFrame, text: str, width: int, cells: int, n_windows:
             for _, _, _, _, one, _ in _window_hashes(batch.column(0), width, False):
                 held.append(one)
                 size += len(one)
-                if size >= FLUSH_WINDOWS:
+                if size >= SKETCH_WINDOWS:
                     yield emit(held, turn)
                     held, size, turn = [], 0, turn + 1
         if size:
@@ -121,7 +130,7 @@ def repeated_cells(df: DataFrame, text: str, width: int, cells: int, n_windows:
         })
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"shard": group["shard"].iloc[:1], "bits": [np.packbits(counted(group)[1]).tobytes()]})
+        return pd.DataFrame({"shard": group["shard"].iloc[:1], "bits": [zlib.compress(np.packbits(counted(group)[1]).tobytes(), 1)]})
 
     schema = "shard long, salt long, seen binary, twice binary"
     parts = df.select(named(text)).mapInArrow(sketch, schema)
@@ -129,10 +138,18 @@ def repeated_cells(df: DataFrame, text: str, width: int, cells: int, n_windows:
         parts = parts.groupBy("shard", "salt").applyInPandas(merge, schema)
         salts = -(-salts // MERGE_PARTS)
         parts = parts.withColumn("salt", F.col("salt") % salts)
+    bits = [b""] * shards
+    for row in parts.groupBy("shard").applyInPandas(finish, "shard long, bits binary").collect():  # SKETCH_BYTES at most
+        bits[row.shard] = bytes(row.bits)
+    return bits
+
+
+def open_bits(packed: list[bytes]) -> np.ndarray:
     size = 1 << (SHARD_BITS - 3)
-    bits = np.zeros(shards * size, np.uint8)
-    for row in parts.groupBy("shard").applyInPandas(finish, "shard long, bits binary").collect():
-        bits[row.shard * size:(row.shard + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    bits = np.zeros(len(packed) * size, np.uint8)
+    for shard, part in enumerate(packed):
+        if part:
+            bits[shard * size:(shard + 1) * size] = np.frombuffer(zlib.decompress(part), np.uint8)
     return bits
 
 
@@ -150,7 +167,7 @@ def _text_keys(words) -> np.ndarray:
     return np.array([hashlib.md5(raw[a:b]).digest() for a, b in zip(bounds, bounds[1:])], "S16")
 
 
-ENTRY = np.dtype([("a", "<u8"), ("b", "<u8"), ("text", "<u8"), ("at", "<i4"), ("count", "<i4")])
+ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("text", "<u8"), ("at", "<i4"), ("count", "<i4")])
 
 
 def _merged(entries: np.ndarray) -> np.ndarray:
@@ -175,9 +192,9 @@ def _unpack_entries(packed: bytes) -> np.ndarray:
     n = int(np.frombuffer(packed, "<i8", 1)[0])
     out = np.zeros(n, ENTRY)
     out["a"] = np.frombuffer(packed, "<u8", n, 8)
-    out["b"] = np.frombuffer(packed, "<u8", n, 8 + 8 * n)
-    single = np.frombuffer(packed, bool, n, 8 + 16 * n)
-    k, at = int(single.sum()), 8 + 17 * n
+    out["b"] = np.frombuffer(packed, "<u4", n, 8 + 8 * n)
+    single = np.frombuffer(packed, bool, n, 8 + 12 * n)
+    k, at = int(single.sum()), 8 + 13 * n
     out["count"] = np.where(single, 1, 2)
     out["text"][single] = np.frombuffer(packed, "<u8", k, at)
     out["at"][single] = np.frombuffer(packed, "<i4", k, at + 8 * k)
@@ -191,13 +208,13 @@ def lone_windows(df: DataFrame, text: str, width: int, cells: int, bits, groups:
     A text that occurs twice has no such window.
     """
     def candidates(batches):
-        held, size = [], 0
+        seen, held, size = open_bits(bits.value), [], 0
         for batch in batches:
             for _, _, words, starts, one, two in _window_hashes(batch.column(0), width, True):
-                keep = _estimated(bits.value, one, cells)
+                keep = _estimated(seen, one, cells)
                 starts, entries = starts[keep], np.zeros(int(keep.sum()), ENTRY)
                 keys = np.frombuffer(_text_keys(words).tobytes(), "<u8").reshape(-1, 2)[:, 0]
-                entries["a"], entries["b"], entries["count"] = one[keep], two[keep], 1
+                entries["a"], entries["b"], entries["count"] = one[keep], two[keep] >> np.uint64(32), 1
                 entries["text"] = keys[words.text[starts]]
                 entries["at"] = starts - words.firsts[words.text[starts]]
                 held.append(entries)
@@ -256,11 +273,12 @@ def drop_repeats(df: DataFrame, text: str = "text", width: int = WINDOW_WORDS, s
     out = T.StructType([*[f for f in kept.schema if f.name not in ("_key", *made)], *fields])
 
     def remove(batches):
+        seen = open_bits(bits.value)
         for batch in batches:
             names = batch.schema.names
             for first, last, words, starts, one, _ in _window_hashes(batch.column(names.index(text)), width, False):
                 part = batch.slice(first, last - first)
-                marked = starts[_estimated(bits.value, one, cells)] if len(starts) else starts
+                marked = starts[_estimated(seen, one, cells)] if len(starts) else starts
                 lists = part.column(names.index("_lone"))
                 owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
                 single = words.firsts[owner] + lists.flatten().to_numpy()
