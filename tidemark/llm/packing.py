@@ -118,27 +118,29 @@ def packing_runs(groups: list[Bins]) -> list[tuple[int, int, int, int, int, int,
     return runs
 
 
-def pieces_of(df: DataFrame, key: str, text: str, largest: int) -> DataFrame:
-    """(_row, key, piece, first_word, n_words): texts cut into pieces of at most `largest` words."""
-    counted = df.select(named(key), F.regexp_count(F.coalesce(named(text), F.lit("")), F.lit(WORD)).cast("long").alias("_all"))
-    rows = stage(counted.withColumn("_row", F.monotonically_increasing_id()), "lengths").where("_all > 0")
+def pieces_of(rows: DataFrame, largest: int) -> DataFrame:
+    """(_row, _key, piece, first_word, n_words): texts of `_all` words cut into pieces of at most `largest`."""
     last = F.expr(f"(_all - 1) div {largest}")
-    cut = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    cut = rows.where("_all > 0").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     first = F.col("piece") * largest
-    return cut.select("_row", named(key), "piece", first.alias("first_word"), F.least(F.lit(largest), F.col("_all") - first).cast("long").alias("n_words"))
+    return cut.select("_row", "_key", "piece", first.alias("first_word"), F.least(F.lit(largest), F.col("_all") - first).cast("long").alias("n_words"))
 
 
 def pack(
-    df: DataFrame, key: str = "doc_id", text: str = "text", capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD
+    df: DataFrame, key: str = "doc_id", text: str = "text", capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD,
+    words: bool = False,
 ) -> DataFrame:
     """(key, piece, first_word, n_words, bin_id, capacity, position): every word of every text once.
 
     A text longer than the largest capacity is cut; its pieces may lie in different bins. Null
-    texts and those without words have no piece. Keys may repeat or be null.
+    texts and those without words have no piece. Keys may repeat or be null. With `words`, each
+    row also has the piece's words, by one blank, as `text`.
     """
     spark = df.sparkSession
     salt = F.pmod(F.xxhash64("_row", "piece"), F.lit(SALTS))
-    pieces = stage(pieces_of(df, key, text, max(capacities)).withColumn("_salt", salt), "pieces")
+    counted = df.select(named(key).alias("_key"), *([named(text).alias("_text")] if words else []), F.regexp_count(F.coalesce(named(text), F.lit("")), F.lit(WORD)).cast("long").alias("_all"))
+    rows = stage(counted.withColumn("_row", F.monotonically_increasing_id()), "lengths")
+    pieces = stage(pieces_of(rows, max(capacities)).withColumn("_salt", salt), "pieces")
     sizes = pieces.groupBy("n_words", "_salt").agg(F.count(F.lit(1)).alias("_count"))  # lengths x salts rows at most
     sizes = stage(sizes, "sizes")
     histogram = {r[0]: r[1] for r in sizes.groupBy("n_words").agg(F.sum("_count")).collect()}
@@ -154,7 +156,12 @@ def pack(
     inside = (F.col("n_words") == F.col("_length")) & (number >= F.col("_from")) & (number < F.col("_from") + F.col("_numbers"))
     placed = numbered.join(small_or_not(runs), inside)
     at = number - F.col("_from")
-    return placed.select(
-        named(key), "piece", "first_word", "n_words", (F.col("_bin") + F.floor(at / F.col("_each"))).cast("long").alias("bin_id"),
+    out = placed.select(
+        "_row", F.col("_key").alias(key), "piece", "first_word", "n_words", (F.col("_bin") + F.expr("(_n + _start - _from) div _each")).alias("bin_id"),
         "capacity", (F.col("_position") + at % F.col("_each") * F.col("n_words")).alias("position"),
     )
+    if not words:
+        return out.drop("_row")
+    spelled = F.regexp_extract_all("_text", F.lit(WORD), F.lit(0))
+    part = F.array_join(F.slice(spelled, (F.col("first_word") + 1).cast("int"), F.col("n_words").cast("int")), " ")
+    return out.join(rows.select("_row", "_text"), "_row").withColumn("text", part).drop("_row", "_text")
