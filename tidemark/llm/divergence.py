@@ -152,7 +152,7 @@ def _reported(batches):
             k, c = int(often.sum()), len(CLASSES)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * (k + c)), pa.array([True] * k + [False] * c),
+                    pa.array([lang] * (k + c), pa.string()), pa.array([True] * k + [False] * c),
                     pa.array(np.concatenate([keys[often].view(np.int64), np.arange(c)])),
                     pa.array(np.concatenate([docs[often], classes])), pa.array([n] * k + [n if i == 0 else 0 for i in range(c)], pa.int64()),
                 ],
@@ -219,7 +219,7 @@ def learn_references(df: DataFrame, text: str = "text", lang: str = "lang") -> d
         for lang, rows in sums.items():
             at, column = np.nonzero(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at)), pa.array(at, pa.int64()), pa.array(column, pa.int64()), pa.array(rows[at, column])],
+                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(column, pa.int64()), pa.array(rows[at, column])],
                 ["lang", "near", "at", "total"],
             )
 

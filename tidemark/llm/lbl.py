@@ -296,6 +296,19 @@ def _grouped_sum(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(text, values, n) if len(text) else np.zeros(n)
 
 
+def most_frequent(words: DataFrame, most: int) -> pd.DataFrame:
+    """All words above a count that at most `most` words exceed. The counts are looked at in steps of about 1%."""
+    step = F.floor(F.log2("n") * 64)
+    sizes = sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True)  # 64 rows per doubling
+    cut, held = None, 0
+    for row in sizes:
+        held += row["count"]
+        if held > most:
+            break
+        cut = row["step"]
+    return words.where(step >= cut if cut is not None else F.lit(False)).toArrow().to_pandas()
+
+
 def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHORTLIST, rounds: int = ROUNDS) -> DataFrame:
     """(key, training, n_tokens, n_known, train_tokens, base_score, score) of every text, by whole texts.
 
@@ -311,8 +324,9 @@ def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHO
     counts = stage(token_counts(learned, int(size // (16 << 20) + 1)), "counts")
     total, distinct, ends = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when((F.col("a") == END_KEY[0]) & (F.col("b") == END_KEY[1]), F.col("n")))).first()
     total, ends = total or 0, ends or 0
-    head = counts.where(~((F.col("a") == END_KEY[0]) & (F.col("b") == END_KEY[1]))).orderBy(F.desc("n"), "a", "b").limit(HEAD).toPandas()
-    short = head.iloc[:shortlist]
+    words = counts.where(~((F.col("a") == END_KEY[0]) & (F.col("b") == END_KEY[1])))
+    short = words.orderBy(F.desc("n"), "a", "b").limit(shortlist).toArrow().to_pandas()
+    head = pd.concat([short, most_frequent(words, HEAD)]).drop_duplicates(["a", "b"])
     order = np.argsort(short["a"].to_numpy())
     keys, ids = short["a"].to_numpy()[order], order + 3
     other = total - ends - int(short["n"].sum())

@@ -82,7 +82,7 @@ def _window_hashes(column: pa.Array, width: int, both: bool):
         words = find_words(data, bounds)
         starts = window_starts(words, width)
         one = windows(words.hashes(0), width, 0)[starts] if len(starts) else np.empty(0, np.uint64)
-        two = windows(words.hashes(1), width, 1)[starts] if both and len(starts) else None
+        two = windows(words.hashes(1), width, 1)[starts] if both and len(starts) else np.empty(0, np.uint64)
         yield first, last, words, starts, one, two
 
 

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.session import named, ship_with_tasks
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 WORD = r"[^\x20\x09-\x0D]+"  # fixed: the definition of a word
 
 _random = np.random.default_rng(20240229)
