@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ID_SPACE, _HASH_FACTOR, _HASH_SPACE = 2147483648, 2654435761, 4294967296
-
 
 def to_day(text: Column) -> Column:
     """`yyyy-MM-dd` text to date; null when it is not one."""
@@ -38,9 +36,8 @@ def or_zero(value: Column) -> Column:
 
 
 def seeded_rank_key(row_id: Column, seed: int) -> Column:
-    """Repeatable pseudo-random order of rows in plain 64-bit integer arithmetic; ties go to the id."""
-    folded = F.pmod(row_id.cast("long"), F.lit(_ID_SPACE))
-    return (folded * F.lit(_HASH_FACTOR) + F.lit(seed).cast("long")) % F.lit(_HASH_SPACE)
+    """Repeatable pseudo-random order of rows: a digest of id and seed, so each seed gives another order."""
+    return F.md5(F.concat(row_id.cast("string"), F.lit(f":{seed}")))
 
 
 def instant_key(ts: Column, tie: Column | None = None) -> Column:

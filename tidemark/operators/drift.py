@@ -28,7 +28,7 @@ def as_table(spark, rows) -> DataFrame:
 
 
 def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sided p-value; below 0.2 the cut-off series is not usable and p is 1."""
+    """Asymptotic two-sided p-value, null without a statistic; below 0.2 the cut-off series is not usable and p is 1."""
     n, m = n.cast("double"), m.cast("double")  # the product of two large counts is beyond a bigint
     lam = d * F.sqrt(n * m / (n + m))
     series = F.aggregate(
@@ -36,7 +36,7 @@ def kolmogorov_p(d: Column, n: Column, m: Column) -> Column:
         F.lit(0.0),
         lambda acc, j: acc + F.when(j % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * j * j * lam * lam),
     )
-    return F.when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
+    return F.when(lam.isNull(), F.lit(None).cast("double")).when(lam < 0.2, 1.0).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
 
 
 def tall_values(df: DataFrame, columns, kind: str = "double", by=()) -> DataFrame:
@@ -85,13 +85,15 @@ def ks_of_values(reference: DataFrame, current: DataFrame, by=(), level: float =
 
 
 def with_flag(tested: DataFrame, level: float = DRIFT_LEVEL) -> DataFrame:
-    return tested.withColumn("flag", F.when(F.col("p_value") < level, "drift").otherwise("stable"))
+    """`untested` where a sample has no values."""
+    p = F.col("p_value")
+    return tested.withColumn("flag", F.when(p.isNull(), "untested").when(p < level, "drift").otherwise("stable"))
 
 
 @F.pandas_udf(T.DoubleType())
 def chi_square_p(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
     """Upper tail of the chi-square distribution; one row per tested column."""
-    return pd.Series([_upper_gamma(k / 2.0, x / 2.0) if k > 0 else 1.0 for x, k in zip(statistic, freedom)])
+    return pd.Series([None if pd.isna(x) else _upper_gamma(k / 2.0, x / 2.0) if k > 0 else 1.0 for x, k in zip(statistic, freedom)], dtype=object)
 
 
 def _upper_gamma(a: float, x: float) -> float:
@@ -135,6 +137,8 @@ def chi_square_drift(reference: DataFrame, current: DataFrame, columns, by=(), l
     part = lambda n, t: F.try_divide((F.col(n) - share * F.col(t)) * (F.col(n) - share * F.col(t)), share * F.col(t))
     tested = cells.groupBy(*keys).agg(
         (F.count(F.lit(1)) - 1).alias("freedom"),
-        F.sum(part("n_ref", "t_ref") + part("n_cur", "t_cur")).alias("statistic"),
+        F.when(
+            (F.min("t_ref") > 0) & (F.min("t_cur") > 0), F.sum(part("n_ref", "t_ref") + part("n_cur", "t_cur"))
+        ).alias("statistic"),
     )
     return with_flag(tested.withColumn("p_value", chi_square_p("statistic", "freedom")), level)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import is_finite
 from tidemark.schema import QUALITY_CHECK, QUALITY_LEVEL, QUALITY_RULES
 from tidemark.session import named
 
@@ -21,12 +22,14 @@ class QualityError(RuntimeError):
     pass
 
 
-def _metric(kind: str, column: str | None):
+def _metric(kind: str, column: str | None, finite: bool = False):
+    """`finite`: the column holds floating numbers, of which only finite ones are complete."""
     rows = F.count(F.lit(1))
     if kind == "size":
         return rows.cast("double")
     if kind == "completeness":
-        return F.try_divide(F.count(named(column)), rows)
+        value = named(column)
+        return F.try_divide(F.count(F.when(is_finite(value), value) if finite else value), rows)
     if kind == "min":
         return F.min(named(column)).cast("double")
     if kind == "max":
@@ -38,7 +41,10 @@ def quality_report(
     df: DataFrame, rules=QUALITY_RULES, name: str = QUALITY_CHECK, level: str = QUALITY_LEVEL, by=()
 ) -> DataFrame:
     """(by..., check, level, constraint, column, value, status) for (metric, column, operator, bound) rules."""
-    metrics = df.groupBy(*by).agg(*[_metric(kind, c).alias(f"_m{i}") for i, (kind, c, _, _) in enumerate(rules)])
+    kinds = dict(df.dtypes)
+    metrics = df.groupBy(*by).agg(*[
+        _metric(kind, c, kinds.get(c) in ("float", "double")).alias(f"_m{i}") for i, (kind, c, _, _) in enumerate(rules)
+    ])
     results = F.array(*[
         F.struct(
             F.lit(kind).alias("constraint"),
@@ -54,7 +60,10 @@ def quality_report(
 
 
 def quality_gate(report: DataFrame) -> None:
-    """Stops the caller when a rule failed. The report has one row per rule and group."""
-    failed = report.where(F.col("status") != "Success").select("constraint", "column", "value").limit(20).collect()
+    """Stops the caller when a rule failed, naming each failed rule once; the report has the groups."""
+    failed = report.where(F.col("status") != "Success").groupBy("constraint", "column").agg(
+        F.count(F.lit(1)).alias("groups"), F.min("value").alias("low"), F.max("value").alias("high")
+    ).orderBy("constraint", "column").collect()  # a row per rule at most
     if failed:
-        raise QualityError("; ".join(f"{r.constraint}({r.column or '*'}) = {r.value}" for r in failed))
+        said = [f"{r.constraint}({r.column or '*'}) = {r.low if r.low == r.high else f'{r.low} to {r.high}'} in {r.groups} group(s)" for r in failed]
+        raise QualityError("; ".join(said))

@@ -71,8 +71,10 @@ def _bracketed(df, columns, by):
     cumulative = running_sums(distinct, [*by, "_column"], ["_value"], {"_upto": "_here"})
     ranked = join_on(cumulative, small_or_not(below), [*by, "_column"]).withColumn("_upto", F.col("_upto") + F.col("_below"))
     low, high = F.expr("(_n - 1) div 2"), F.expr("_n div 2")
+    held = F.bool_and(F.col("_below") <= low) & (F.max(F.col("_upto") - high) > 0)
+    middle_value = (F.min(F.when(F.col("_upto") > low, F.col("_value"))) + F.min(F.when(F.col("_upto") > high, F.col("_value")))) / 2
     medians = ranked.groupBy(*keys).pivot("_column", list(columns)).agg(
-        (F.min(F.when(F.col("_upto") > low, F.col("_value"))) + F.min(F.when(F.col("_upto") > high, F.col("_value")))) / 2
+        F.when(held, middle_value).when(held.isNotNull(), F.raise_error(F.lit("a bracket does not hold the middle")).cast("double"))
     )
     missing = [c for c in columns if c not in medians.columns]
     return medians.withColumns({c: F.lit(None).cast("double") for c in missing}) if missing else medians

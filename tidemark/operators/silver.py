@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import midnight_millis, to_day
+from tidemark.functions.scalar import is_finite, midnight_millis, to_day
 from tidemark.schema import PAYLOAD_FIELDS, SILVER
 
 
@@ -20,8 +20,8 @@ def type_bars(exploded: DataFrame) -> DataFrame:
         "raw",
     ).withColumn("timestamp_in_ms", midnight_millis(F.col("dt")))
     missing = F.lit(False)
-    for c in casts:
-        missing = missing | F.col(c).isNull()
+    for c, kind in casts.items():
+        missing = missing | (~is_finite(F.col(c)) if kind == "float" else F.col(c).isNull())
     reason = (
         F.when(F.col("dt_string").isNull(), "no readable entry")
         .when(F.col("dt").isNull(), "bad date")

@@ -13,7 +13,7 @@ from tidemark.session import TASK_ROWS, join_on, named, small_or_not, stage
 def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS) -> DataFrame:
     """Adds `split`: the newest `test_rows` rows are test, as many before them validation, the rest train.
 
-    Only the two cut rows per group are looked for (key columns, newest rows); the table itself
+    `order` must tell the rows of a group apart; ties among the newest ones raise. Only the two cut rows per group are looked for (key columns, newest rows); the table itself
     is labelled by comparing with them, without being sorted or shuffled.
     """
     needed = 2 * test_rows + 1
@@ -22,6 +22,7 @@ def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS)
     at = F.struct(*[named(c) for c in order])
     cuts = tail.groupBy(*[named(k) for k in keys]).agg(
         F.count(F.lit(1)).alias("_seen"),
+        F.count_distinct(at).alias("_places"),
         F.max(F.when(F.col("_rank") == test_rows, at)).alias("_test_from"),
         F.max(F.when(F.col("_rank") == 2 * test_rows, at)).alias("_validation_from"),
     )
@@ -29,12 +30,15 @@ def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS)
     short = cuts.where(F.col("_seen") <= 2 * test_rows).first()
     if short:
         raise ValueError(f"group {[short[k] for k in keys]} has {short['_seen']} rows, needs more than {2 * test_rows}")
+    tied = cuts.where(F.col("_places") < F.col("_seen")).first()
+    if tied:
+        raise ValueError(f"{list(order)} does not order the rows of group {[tied[k] for k in keys]}: add a column that breaks ties")
     label = (
         F.when(at >= F.col("_test_from"), "test")
         .when(at >= F.col("_validation_from"), "validation")
         .otherwise("train")
     )
-    return join_on(df, small_or_not(cuts), keys).withColumn("split", label).drop("_seen", "_test_from", "_validation_from")
+    return join_on(df, small_or_not(cuts), keys).withColumn("split", label).drop("_seen", "_places", "_test_from", "_validation_from")
 
 
 def ordered_batches(

@@ -206,7 +206,7 @@ SELECT {_gold_columns(4)} FROM gold g WHERE g.dt = (SELECT max(b.dt) FROM bars b
     "lakehouse_run": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(4)} FROM gold",
     "upsert_bars": _UPSERT_OUT,
     "upsert_twice": _UPSERT_OUT,
-    "create_or_upsert": "WITH " + _UPSERTED + f" SELECT {_bar_columns(3)} FROM source",
+    "create_or_upsert": "WITH " + _DAILY + f" SELECT {_bar_columns(3)} FROM bars",
     "append_copy": "WITH " + _DAILY + " SELECT series, 2 * count(*) AS n, count(DISTINCT dt) AS days FROM bars GROUP BY 1",
     "quality_report": _quality(""),
     "quality_by_series": _quality("series"),
@@ -331,8 +331,13 @@ SELECT {_minute_columns("dt")} FROM top""",
 WITH ranked AS (SELECT event_type AS series, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events),
 buffer AS (SELECT * FROM ranked WHERE age <= 300),
 drawn AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY age > 1,
-  ((event_id % 2147483648) * 2654435761 + 11) % 4294967296, event_id) AS draw, count(*) OVER (PARTITION BY series) AS held FROM buffer)
+  md5(event_id || ':11'), event_id) AS draw, count(*) OVER (PARTITION BY series) AS held FROM buffer)
 SELECT series, event_id, round(value, 6) AS value FROM drawn WHERE draw <= 4 AND held >= 4""",
+    "replay_seeds": """
+WITH ranked AS (SELECT event_type AS series, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events),
+drawn AS (SELECT CAST(seed AS INTEGER) AS seed, series, event_id, row_number() OVER (PARTITION BY seed, series ORDER BY age > 1, md5(event_id || ':' || seed), event_id) AS draw
+  FROM ranked, range(5) AS s(seed) WHERE age <= 300)
+SELECT seed, series, event_id FROM drawn WHERE draw <= 4""",
     "stream_bars": "WITH " + _MINUTES + f" SELECT {_minute_columns()} FROM minutes",
     "stream_latest": f"""
 WITH top AS (SELECT event_type AS series, ts AS dt, value AS open, value AS high, value AS low, value AS close, CAST(1 AS BIGINT) AS volume

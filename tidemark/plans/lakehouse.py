@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,22 +38,27 @@ class Lakehouse:
         return f"{self.root}/quarantine"
 
 
-def run_lakehouse(spark: SparkSession, lake: Lakehouse, payloads: DataFrame | None = None) -> DataFrame:
+def run_lakehouse(
+    spark: SparkSession, lake: Lakehouse, payloads: DataFrame | None = None, run_id: str | None = None
+) -> DataFrame:
     """Bring silver and gold up to date.
 
     With `payloads` these are landed, and only they are parsed. Without, both layers follow from
-    all that is landed, where the newest landing of a date counts.
+    all that is landed. Of a date in several payloads the newest landing counts. Rejects go to a
+    quarantine folder of the run, named by `run_id` (by default, the time); a run with the same
+    name replaces its own.
     """
+    run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     with scratch_scope(spark):
         if payloads is not None:
             payloads = stage(payloads.select("series", "dt", "value"), "payloads")
             land_payloads(payloads, lake.bronze)
-            entries = explode_payloads(payloads)
+            entries = newest_landing(explode_payloads(payloads, ["dt"]), "dt")
         else:
             entries = newest_landing(explode_payloads(read_payloads(spark, lake.bronze), ["dt"]), "dt")
         typed = stage(type_bars(entries), "typed")
         bars = accepted(typed)
-        rejected(typed).write.mode("overwrite").parquet(lake.quarantine)
+        rejected(typed).write.mode("overwrite").parquet(f"{lake.quarantine}/run={run_id}")
         lake.silver.upsert(bars, staged=True)
         if payloads is not None and lake.gold.exists(spark):
             lake.gold.upsert(affected_gold(lambda day: lake.silver.since(spark, day), bars, unique_days=True))

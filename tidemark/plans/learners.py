@@ -33,7 +33,12 @@ def check_learner(name: str) -> str:
 
 
 def fold_sums(folded: DataFrame, keys, features, target: str) -> DataFrame:
-    """(keys..., fold, role, n, xx, xy, yy): xx is the upper triangle with the intercept last."""
+    """(keys..., fold, role, n, xx, xy, yy): xx is the upper triangle with the intercept last.
+
+    Rows with a null feature or target are left out of all sums.
+    """
+    for c in [*features, target]:
+        folded = folded.where(named(c).isNotNull())
     x = [*[named(c).cast("double") for c in features], F.lit(1.0)]
     y = named(target).cast("double")
     p = len(x)

@@ -14,7 +14,7 @@ from tidemark.plans.learners import fit_regressor, stack_forecasts
 from tidemark.plans.selection import select_production
 from tidemark.plans.tuning import RunLog, run_hyperband, walk_forward_evaluator
 from tidemark.schema import DEFAULT_CATEGORICAL, DEFAULT_NUMERIC, FOLD_GAP, HALVING_FACTOR, SERIES_KEY, TARGET, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
-from tidemark.session import DATE_DOMAIN_ROWS, scratch_path
+from tidemark.session import scratch_path
 from tidemark.sinks.store import read_layer, write_splits
 
 
@@ -66,7 +66,7 @@ def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, r
             evaluate = linear.for_learner(learner)
         else:
             evaluate = walk_forward_evaluator(
-                train, SERIES_KEY, ["dt"], features, learner, TARGET, bound=DATE_DOMAIN_ROWS,
+                train, SERIES_KEY, ["dt"], features, learner, TARGET,
                 train=settings.train, validation=settings.validation, gap=settings.gap,
             )
             linear = linear if learner == "gbt" else evaluate

@@ -26,7 +26,7 @@ from tidemark.plans import tuning as H
 from tidemark.plans.lakehouse import Lakehouse, run_lakehouse
 from tidemark.plans.weekly import WeeklySettings, weekly_run
 from tidemark.schema import PAYLOAD_FIELDS, SERIES_KEY
-from tidemark.session import DATE_DOMAIN_ROWS, TASK_ROWS, named, scratch_path, stage
+from tidemark.session import DATE_DOMAIN_ROWS, named, scratch_path, stage
 from tidemark.sinks.landing import land_payloads, make_payloads
 from tidemark.sinks.store import KeyedTable, write_splits
 from tidemark.sources import messages as M
@@ -99,9 +99,8 @@ def thousands(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") / 100000.0 for c in FEATURES})
 
 
-def split_limit(df: DataFrame) -> int:
-    """A group limit that makes the ranged forms run on small tables too, at most the real one."""
-    return min(TASK_ROWS, max(500, df.count() // 16))
+# A group limit that makes the ranged forms run on small tables too.
+SPLIT_ROWS = 1000
 
 
 # --- bars, silver, gold --------------------------------------------------------
@@ -159,7 +158,7 @@ def gold_latest(spark, sf_dir):
 
 def gold_halo_window(spark, sf_dir):
     bars = stage(intraday(spark, sf_dir), "bars")
-    return plain(G.gold_features(bars, unique_days=False, limit=split_limit(bars)), 4)
+    return plain(G.gold_features(bars, unique_days=False, limit=SPLIT_ROWS), 4)
 
 
 def gold_empty(spark, sf_dir):
@@ -202,9 +201,8 @@ def upsert_twice(spark, sf_dir):
 
 
 def create_or_upsert(spark, sf_dir):
-    _, source = _target_and_source(spark, sf_dir)
     layer = KeyedTable(scratch_path(spark, "silver"))
-    return plain(R.gold_or_build(spark, layer, lambda: source), 3)
+    return plain(R.gold_or_build(spark, layer, lambda: daily(spark, sf_dir)), 3)
 
 
 def append_copy(spark, sf_dir):
@@ -240,8 +238,7 @@ def ks_drift(spark, sf_dir):
 def ks_drift_ranged(spark, sf_dir):
     """The same test through the ranged running sums."""
     reference, current = _samples(spark, sf_dir)
-    limit = split_limit(table(spark, sf_dir, "events"))
-    return plain(D.ks_drift(reference, current, ["value", "user_id"], limit=limit))
+    return plain(D.ks_drift(reference, current, ["value", "user_id"], limit=SPLIT_ROWS))
 
 
 def drift_flags(spark, sf_dir):
@@ -324,13 +321,13 @@ def batch_mean_metrics(spark, sf_dir):
 def event_index(spark, sf_dir):
     """Position of every event in its type, through sorted ranges."""
     events = table(spark, sf_dir, "events").select("event_type", "ts", "event_id")
-    indexed = row_index(events, ["event_type"], ["ts", "event_id"], limit=split_limit(events))
+    indexed = row_index(events, ["event_type"], ["ts", "event_id"], limit=SPLIT_ROWS)
     return indexed.select("event_type", "event_id", "row_idx")
 
 
 def running_volume(spark, sf_dir):
     bars = minutes(spark, sf_dir).select("series", "ts", "volume")
-    return plain(running_sums(bars, SERIES_KEY, ["ts"], {"running": "volume"}, limit=split_limit(bars)))
+    return plain(running_sums(bars, SERIES_KEY, ["ts"], {"running": "volume"}, limit=SPLIT_ROWS))
 
 
 # --- folds, tuning, selection ----------------------------------------------------------
@@ -476,11 +473,22 @@ def latest_bar(spark, sf_dir):
 
 def replay_sample(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(F.col("event_type").alias("series"), "ts", "event_id", "value")
-    buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"]).update(events, 0)
-    sample = recency_sample(buffer, ["ts", "event_id"], "event_id", 4, seed=11, warm_only=True)
+    buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"])
+    sample = recency_sample(buffer.update(events, 0), buffer.order, "event_id", 4, seed=11, warm_only=True)
     return plain(sample.select("series", "event_id", "value"))
 
 
+def replay_seeds(spark, sf_dir):
+    """Draws of consecutive seeds from one buffer."""
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("series"), "ts", "event_id")
+    buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"], row_id="event_id")
+    held, drawn = buffer.update(events, 0), None
+    for seed in range(5):
+        sample = recency_sample(held, buffer.order, "event_id", 4, seed=seed).select(F.lit(seed).alias("seed"), "series", "event_id")
+        drawn = sample if drawn is None else drawn.unionByName(sample)
+    return drawn
+
+
 # --- streams --------------------------------------------------------------------------------
 
 
@@ -626,6 +634,6 @@ QUERIES = {f.__name__: f for f in (
     ordered_batches, batch_mean_metrics, event_index, running_volume, walk_forward_folds, fold_regression,
     fold_scores, hyperband_survivors, ridge_scores, tree_scores, run_table_best, early_stop, best_candidate,
     stacked_forecast, score_forecast, forecast_means, discrepancy, weekly_best, reference_window, latest_bar,
-    replay_sample, stream_bars, stream_latest, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay,
+    replay_sample, replay_seeds, stream_bars, stream_latest, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay,
     online_step, stream_online, stream_learn, stream_drift,
 )}

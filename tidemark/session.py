@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import sys
 import tempfile
 import uuid
@@ -31,7 +33,7 @@ _local_roots: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: `spark.checkpoint.dir` of the session.
 
-    Only a local session may go without; it gets a folder of its own.
+    Only a local session may go without; it gets a folder of its own, deleted when Python ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -41,6 +43,7 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, _local_roots[context.applicationId], True)
     return _local_roots[context.applicationId]
 
 

@@ -11,6 +11,7 @@ from tidemark.schema import BAR_KEY
 from tidemark.session import file_system, join_on, named, path_exists, scratch_scope, stage
 
 _PERIOD = "period"
+_NO_PERIOD = "none"  # holds a file without rows, for the schema of a table that began empty
 
 
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -35,7 +36,12 @@ class KeyedTable:
     period: str = "date_format(dt, 'yyyy')"
 
     def exists(self, spark: SparkSession) -> bool:
-        return path_exists(spark, self.path)
+        """Whether a write was committed; what a failed first write left behind does not count."""
+        return path_exists(spark, f"{self.path}/_SUCCESS") or path_exists(spark, f"{self._empty}/_SUCCESS")
+
+    @property
+    def _empty(self) -> str:
+        return f"{self.path}/{_PERIOD}={_NO_PERIOD}"
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path).drop(_PERIOD)
@@ -58,13 +64,13 @@ class KeyedTable:
         first = spark.range(1).select(F.lit(day).cast("date").alias("dt")).select(F.expr(self.period)).first()[0]
         return self._read_periods(spark, lambda period: period >= first).where(F.col("dt") >= F.lit(day).cast("date"))
 
-    def _write(self, df: DataFrame, mode: str) -> None:
+    def _write(self, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
         # The rebalance hint lets AQE split a period that holds most rows and merge tiny ones.
         (
             df.hint("rebalance", _PERIOD)
             .sortWithinPartitions(_PERIOD, *self.keys)
             .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", overwrite)
             .partitionBy(_PERIOD)
             .parquet(self.path)
         )
@@ -99,8 +105,10 @@ class KeyedTable:
         with scratch_scope(spark):
             source = self._with_period(source if staged else stage(source, "upsert"))
             periods = self._checked_periods(source)
-            if not self.exists(spark):
-                self._write(source, "errorifexists")
+            if not self.exists(spark) and periods:
+                self._write(source, "overwrite", "static")
+            elif not self.exists(spark):
+                source.drop(_PERIOD).limit(0).write.mode("overwrite").parquet(self._empty)
             elif periods:
                 touched = self._read_periods(spark, set(periods).__contains__)
                 kept = join_on(touched, source.select(*self.keys), self.keys, "left_anti", null_safe=False)

@@ -37,10 +37,12 @@ class DriftMonitor:
     """`foreachBatch` handler: a sample of the buffer against a fixed reference, once it is large
     enough. The reference is counted once, not with every micro-batch.
 
-    `rows` must not be above the buffer size, else no test would ever run.
+    `rows` must not be above the buffer size, else no test would ever run; by default it is
+    `DRIFT_ROWS`, or the whole of a smaller buffer.
     """
 
-    def __init__(self, path: str, buffer: ReplayBuffer, reference: DataFrame, columns, row_id: str, rows: int = DRIFT_ROWS, seed: int = 0):
+    def __init__(self, path: str, buffer: ReplayBuffer, reference: DataFrame, columns, row_id: str, rows: int | None = None, seed: int = 0):
+        rows = min(DRIFT_ROWS, buffer.size) if rows is None else rows
         if rows > buffer.size:
             raise ValueError(f"drift sample of {rows} rows from a buffer of {buffer.size}")
         self.path, self.buffer = path, buffer

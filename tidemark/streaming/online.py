@@ -27,8 +27,10 @@ def gradient_step(
     """(keys..., weights, steps, rows, mse, forecast) after one squared-error step on the batch.
 
     Scores and forecast are those of the weights before the step. Groups without rows in the
-    batch keep their weights.
+    batch keep their weights; rows with a null feature or target are left out as a whole.
     """
+    for c in [*features, target]:
+        batch = batch.where(named(c).isNotNull())
     width = len(features) + 1
     zeros = F.array_repeat(F.lit(0.0), width)
     if weights is None:
