@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.metrics import online_forecast, point_forecast, score_batches, score_rows
 from tidemark.functions.scalar import inverse_log
 from tidemark.operators.gold import gold_features
+from tidemark.operators.ordering import last_rows
 from tidemark.operators.prepare import Preparation
 from tidemark.operators.quality import QualityError
 from tidemark.operators.splits import walk_forward_folds
-from tidemark.plans.learners import check_learner, fit_on_sums, fold_sums, paired_sums, score_folds
+from tidemark.plans.learners import LinearFit, check_learner, fit_linear, fit_on_sums, fold_sums, paired_sums, score_folds
 from tidemark.plans.selection import best_candidate, discrepancy, select_production
 from tidemark.plans.tuning import RunLog, best_run, brackets, early_stop, run_hyperband, search_space, survivors, walk_forward_evaluator
-from tidemark.plans.weekly import WeeklySettings, prepared_splits, weekly_run
+from tidemark.plans.weekly import WeeklySettings, prepared_splits, production_rows, weekly_run
+from tidemark.session import stage
 
 
 def test_metrics(spark):
@@ -117,7 +119,7 @@ def test_ridge_is_least_squares_per_fold(spark):
         train = part.iloc[r.fold * 20: r.fold * 20 + 40]
         want, *_ = np.linalg.lstsq(np.c_[train.x, train.z, np.ones(40)], train.y, rcond=None)
         assert r.weights == pytest.approx(want.tolist(), abs=1e-8)
-        assert r.losses[0] == pytest.approx(per_fold[r.series, r.fold], rel=1e-6)
+        assert r.mse == pytest.approx(per_fold[r.series, r.fold], rel=1e-6)
     assert len(per_fold) == 6
 
 
@@ -128,6 +130,48 @@ def test_descent_lowers_the_loss(spark):
     assert many < few / 10
 
 
+@pytest.mark.parametrize("learner, rate", [("ridge", 0.1), ("linear", 0.3)])
+def test_loss_and_weights_are_of_one_epoch_and_nulls_are_left_out(spark, learner, rate):
+    df = linear_rows(spark).unionByName(spark.createDataFrame([("a", 1000, None, 1.0, 5.0), ("b", 1000, 1.0, 1.0, None)], "series string, dt int, x double, z double, y double"))
+    folded = walk_forward_folds(df, ["series"], ["dt"], **WINDOWS)
+    configs = [{"config_id": i, "learning_rate": rate * (i + 1), "l2": 0.5 * i, "max_depth": 2} for i in range(3)]
+    fits = fit_on_sums(paired_sums(fold_sums(folded, ["series"], ["x", "z"], "y"), ["series"]), ["series"], learner, configs, 30, patience=3)
+    fits = stage(fits, "fits")
+    whole = folded.where("x IS NOT NULL AND y IS NOT NULL")
+    per_fold = {(r.series, r.fold, r.config_id): r.mse for r in score_rows(score_folds(whole, fits, ["series"], ["x", "z"]), ["series", "fold", "config_id"], "pred", "y").collect()}
+    rows = fits.collect()
+    assert len(rows) == 3 * len({(r.series, r.fold) for r in rows})
+    for r in rows:
+        assert r.mse == pytest.approx(per_fold[r.series, r.fold, r.config_id], rel=1e-5, abs=1e-9) and r.mse >= 0
+
+
+def test_the_fitted_model_is_the_searched_one(spark, tmp_path):
+    rows = linear_rows(spark).select("x", "z", "y")
+    config = {"config_id": 0, "learning_rate": 0.1, "l2": 25.0, "max_depth": 2}
+    model = fit_linear(rows, "ridge", ["x", "z"], "y", config, 1)
+    data = rows.toPandas()
+    x = np.c_[data.x, data.z, np.ones(len(data))]
+    assert model.weights == pytest.approx(np.linalg.solve(x.T @ x + np.diag([25.0, 25.0, 0.0]), x.T @ data.y).tolist(), rel=1e-8)
+    model.save(spark, str(tmp_path / "m"))
+    again = LinearFit.load(spark, str(tmp_path / "m"))
+    assert [r.pred_ridge for r in again.transform(rows).collect()] == pytest.approx((x @ np.array(model.weights)).tolist())
+
+
+def test_weekly_run_keeps_models_that_forecast(spark, bars, tmp_path):
+    import math
+
+    gold = gold_features(bars([("a" if i % 2 else "b", i // 2, 50 + 10 * math.sin(i / 9) + i / 50) for i in range(700)]))
+    space = lambda spark, n, seed: search_space(spark, n, seed).where("config_id = 0")
+    settings = WeeklySettings(learners=("ridge", "linear"), test_rows=60, train=80, validation=40, gap=5, budget=4, factor=4,
+                              numeric=("open", "30_day_ma_close"), categorical=("month",), space=space)
+    chosen = {r.series: r for r in weekly_run(spark, gold, settings, path=str(tmp_path)).collect()}
+    held_out = spark.read.parquet(f"{tmp_path}/dataset/prepared").where("split = 'validation'")
+    forecast = production_rows(spark, str(tmp_path), held_out)
+    scored = {r.series: r.mse for r in score_rows(last_rows(forecast, ["series"], ["dt"], 7), ["series"], "pred", "close").collect()}
+    assert scored == pytest.approx({s: r.mse for s, r in chosen.items()}, rel=1e-6)
+    assert {r.candidate for r in forecast.select("candidate").distinct().collect()} == {r.candidate for r in chosen.values()}
+
+
 def test_closed_form_needs_one_round(spark):
     evaluate = walk_forward_evaluator(linear_rows(spark), ["series"], ["dt"], ["x", "z"], "linear", "y", **WINDOWS)
     ridge = evaluate.for_learner("ridge")
@@ -136,7 +180,7 @@ def test_closed_form_needs_one_round(spark):
     configs = [r.asDict() for r in search_space(spark, found.evaluations.count()).collect()]
     best = survivors(ridge(configs, 1), 1).first()
     assert (found.config["config_id"], found.mse) == (best.config_id, best.mse)
-    assert found.mae_ratio == pytest.approx(ridge.on_rows([found.config], 1).first().mae_ratio) and found.mae_ratio > 1
+    assert found.mae_ratio == pytest.approx(ridge([found.config], 1).first().mae_ratio) and found.mae_ratio > 1
     assert evaluate.learner == "linear" and evaluate.uses_budget
 
 

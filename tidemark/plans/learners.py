@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schema import CLIP_NORM
+from tidemark.schema import CLIP_NORM, PATIENCE, TOLERANCE
 from tidemark.session import join_on, named, ship_with_tasks
 
 ship_with_tasks(__name__)
@@ -72,46 +72,58 @@ def _product(xx: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class _Folds:
-    """The sums of a batch of (fold, configuration) rows as arrays."""
+    """The sums of some folds as arrays."""
 
-    def __init__(self, batch: pd.DataFrame, rate: np.ndarray, l2: np.ndarray):
+    def __init__(self, batch: pd.DataFrame):
         self.xy, self.v_xy = np.stack(batch.xy.to_list()), np.stack(batch.v_xy.to_list())
         self.p = self.xy.shape[1]
         self.xx, self.v_xx = _matrices(batch.xx, self.p), _matrices(batch.v_xx, self.p)
         self.n, self.v_n, self.v_yy = (batch[c].to_numpy(float) for c in ("n", "v_n", "v_yy"))
-        self.rate = rate
-        # No penalty on the intercept.
-        self.penalty = np.repeat(l2[:, None], self.p, axis=1)
-        self.penalty[:, -1] = 0.0
+
+    def penalty(self, l2: float) -> np.ndarray:
+        """No penalty on the intercept."""
+        out = np.full(self.p, l2)
+        out[-1] = 0.0
+        return out
 
     def validation_loss(self, w: np.ndarray) -> np.ndarray:
+        """Mean squared error; rounding may take a perfect fit below zero, which counts as zero."""
         squares = self.v_yy - 2 * (w * self.v_xy).sum(axis=1) + (w * _product(self.v_xx, w)).sum(axis=1)
-        return squares / self.v_n
+        return np.maximum(squares / self.v_n, 0.0)
+
 
+def _ridge(folds: _Folds, l2: float):
+    w = _product(np.linalg.pinv(folds.xx + np.diag(folds.penalty(l2)), hermitian=True), folds.xy)
+    return w, folds.validation_loss(w), np.ones(len(w), np.int64)
 
-def _ridge(folds: _Folds):
-    penalty = folds.penalty[:, :, None] * np.eye(folds.p)
-    w = _product(np.linalg.pinv(folds.xx + penalty, hermitian=True), folds.xy)
-    return w, folds.validation_loss(w)[:, None]
 
+def _descend(folds: _Folds, rate: float, l2: float, budget: int, patience: int, tol: float):
+    """Full-batch gradient descent from the mean; the norm of a gradient is clipped.
 
-def _descend(folds: _Folds, budget: int):
-    """Full-batch gradient descent from the mean; the norm of a gradient is clipped, and a fold
-    whose gradient is not finite stops there. Losses after its stop are not a number."""
+    A fold ends when its gradient or loss is not finite, or after `patience` epochs in a row without
+    a validation loss lower by more than `tol`. Weights and loss are those of its best epoch.
+    """
     w = np.zeros_like(folds.xy)
     w[:, -1] = folds.xy[:, -1] / folds.n
+    best_w, best = w.copy(), np.full(len(w), np.inf)
+    misses, epochs = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
     going = np.ones(len(w), dtype=bool)
-    losses = np.full((len(w), budget), np.nan)
     for epoch in range(budget):
-        gradient = 2.0 * (_product(folds.xx, w) - folds.xy) / folds.n[:, None] + 2.0 * folds.penalty * w
+        gradient = 2.0 * (_product(folds.xx, w) - folds.xy) / folds.n[:, None] + 2.0 * folds.penalty(l2) * w
         norm = np.sqrt((gradient * gradient).sum(axis=1))
         going &= np.isfinite(norm)
         if not going.any():
             break
-        scale = folds.rate * np.minimum(1.0, CLIP_NORM / np.maximum(norm, CLIP_NORM))
+        scale = rate * np.minimum(1.0, CLIP_NORM / np.maximum(norm, CLIP_NORM))
         w[going] -= (scale[:, None] * gradient)[going]
-        losses[going, epoch] = folds.validation_loss(w)[going]
-    return w, losses
+        loss = folds.validation_loss(w)
+        going &= np.isfinite(loss)
+        better = going & (loss + tol < best)
+        best[better], best_w[better] = loss[better], w[better]
+        misses = np.where(better, 0, misses + going)
+        epochs[going] = epoch + 1
+        going &= misses < patience
+    return best_w, best, epochs
 
 
 def paired_sums(sums: DataFrame, keys) -> DataFrame:
@@ -121,34 +133,36 @@ def paired_sums(sums: DataFrame, keys) -> DataFrame:
     return join_on(train, other.withColumnsRenamed({c: f"v_{c}" for c in ("n", "xx", "xy", "yy")}), [*keys, "fold"])
 
 
-def fit_on_sums(paired: DataFrame, keys, learner: str, configs, budget: int) -> DataFrame:
-    """(keys..., fold, config_id, weights, losses) for every fold and configuration.
+SLICE_FOLDS = 256  # folds whose matrices a task holds at a time
+
 
-    `losses` is the validation MSE after each epoch (one entry for the closed form). The folds
-    are spread over tasks after each is paired with all configurations.
+def fit_on_sums(
+    paired: DataFrame, keys, learner: str, configs, budget: int, patience: int = PATIENCE, tol: float = TOLERANCE
+) -> DataFrame:
+    """(keys..., fold, config_id, weights, mse, epoch) for every fold and configuration.
+
+    The sums of a fold move once; its task tries all configurations. `weights` and `mse`, the
+    validation loss, are of the best epoch; `epoch` is the last one run.
     """
-    position = F.explode(F.sequence(F.lit(0), F.lit(len(configs) - 1))).alias("_position")
-    tried = paired.select("*", position).repartition(*[named(k) for k in keys], "fold", "_position")
-    schema = T.StructType([f for f in tried.schema.fields if f.name in [*keys, "fold"]]).add("config_id", T.LongType())
-    for name in ("weights", "losses"):
-        schema = schema.add(name, T.ArrayType(T.DoubleType()))
-    ids, rates, penalties = (np.array([c[k] for c in configs]) for k in ("config_id", "learning_rate", "l2"))
+    spread = paired.repartition(*[named(k) for k in keys], "fold")
+    schema = T.StructType([f for f in spread.schema.fields if f.name in [*keys, "fold"]]).add("config_id", T.LongType())
+    schema = schema.add("weights", T.ArrayType(T.DoubleType())).add("mse", T.DoubleType()).add("epoch", T.LongType())
+    tried = [(c["config_id"], float(c["learning_rate"]), float(c["l2"])) for c in configs]
     epochs = int(budget)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            at = batch["_position"].to_numpy()
-            folds = _Folds(batch, rates[at], penalties[at])
-            w, losses = _ridge(folds) if learner == "ridge" else _descend(folds, epochs)
-            fitted = batch[[*keys, "fold"]].copy()
-            fitted["config_id"] = ids[at]
-            fitted["weights"] = list(w)
-            fitted["losses"] = [row[: np.isfinite(row).cumprod().sum()] for row in losses]
-            yield fitted
+            for first in range(0, len(batch), SLICE_FOLDS):
+                part = batch.iloc[first:first + SLICE_FOLDS]
+                folds = _Folds(part)
+                for config_id, rate, l2 in tried:
+                    fit = _ridge(folds, l2) if learner == "ridge" else _descend(folds, rate, l2, epochs, patience, tol)
+                    fitted = part[[*keys, "fold"]].copy()
+                    fitted["config_id"] = config_id
+                    fitted["weights"], fitted["mse"], fitted["epoch"] = list(fit[0]), fit[1], fit[2]
+                    yield fitted
 
-    return tried.mapInPandas(solve, schema)
+    return spread.mapInPandas(solve, schema)
 
 
 def linear_prediction(features, weights: str = "weights") -> Column:
@@ -180,6 +194,36 @@ def fit_regressor(train: DataFrame, name: str, features, target: str, **settings
     return Pipeline(stages=[assembler, regressor(name, target, **settings)]).fit(train)
 
 
+class LinearFit:
+    """A linear model with the weights of `fit_linear`; used like an MLlib model."""
+
+    def __init__(self, name: str, features, weights):
+        self.name, self.features, self.weights = name, list(features), [float(w) for w in weights]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        held = rows.withColumn("_weights", F.array(*[F.lit(w) for w in self.weights]))
+        return held.withColumn(f"pred_{self.name}", linear_prediction(self.features, "_weights")).drop("_weights")
+
+    def save(self, spark, path: str) -> None:
+        spark.createDataFrame([(self.name, self.features, self.weights)], "name string, features array<string>, weights array<double>").coalesce(
+            1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> "LinearFit":
+        return LinearFit(*spark.read.parquet(path).first())
+
+
+def fit_linear(train: DataFrame, name: str, features, target: str, config: dict, budget: int) -> LinearFit:
+    """The model that a search tried, on all train rows: the same solver on their sums, with the
+    same setting. Descent keeps its best epoch on the train rows."""
+    check_learner(name)
+    rows = train.select(*[named(c) for c in features], named(target), F.lit(0).alias("fold"))
+    sums = fold_sums(rows.withColumn("role", F.lit("train")), [], features, target)
+    both = sums.unionByName(sums.withColumn("role", F.lit("validation")))
+    fitted = fit_on_sums(paired_sums(both, []), [], name, [config], budget).first()
+    return LinearFit(name, features, fitted.weights)
+
+
 def stack_forecasts(train: DataFrame, predictions, target: str):
     """Linear combiner over the predictions of several models, fitted on their rows."""
     assembler = VectorAssembler(inputCols=list(predictions), outputCol="_experts")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from copy import copy
 from dataclasses import dataclass
 from itertools import islice
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,9 +84,10 @@ def brackets(budget: int = HYPERBAND_BUDGET, factor: int = HALVING_FACTOR, sched
 
 @dataclass
 class SearchResult:
-    """Best configuration with its own score, and every evaluation as a table."""
+    """Best configuration with its budget and score, and every evaluation as a table."""
 
     config: dict
+    budget: int
     mse: float
     mae_ratio: float
     evaluations: DataFrame
@@ -127,12 +130,9 @@ def run_hyperband(
     if best is None:
         raise RuntimeError("no configuration gave a finite score")
     config, score, round_budget = best
-    mae = score.mae_ratio
-    if mae is None and hasattr(evaluate, "on_rows"):
-        mae = evaluate.on_rows([config], round_budget).first().mae_ratio
     if run_log:
-        run_log.log(parent, metrics={"best_mse": score.mse, "best_mae_ratio": mae}, params=config)
-    return SearchResult(config, score.mse, mae, spark.createDataFrame(evaluations, EVALUATIONS_SCHEMA))
+        run_log.log(parent, metrics={"best_mse": score.mse, "best_mae_ratio": score.mae_ratio}, params=config)
+    return SearchResult(config, round_budget, score.mse, score.mae_ratio, spark.createDataFrame(evaluations, EVALUATIONS_SCHEMA))
 
 
 def _is_number(x) -> bool:
@@ -187,8 +187,8 @@ def mean_over_folds(per_fold: DataFrame, by=("config_id",)) -> DataFrame:
 class WalkForwardEvaluator:
     """An `evaluate` for Hyperband: walk-forward folds of every series, averaged per configuration.
 
-    Linear learners work on the staged sums of each fold, which hold the MSE; `on_rows` scores
-    chosen configurations on the rows, for the MAE as well.
+    Linear learners are fitted on the staged sums of each fold, which give the MSE; the MAE is
+    taken on the validation rows, with the same weights.
     """
 
     def __init__(self, folded: DataFrame, keys, features, learner: str, target: str, patience: int, tol: float):
@@ -208,15 +208,11 @@ class WalkForwardEvaluator:
         return other
 
     def __call__(self, configs, budget) -> DataFrame:
-        fits = fit_on_sums(self.paired, self.keys, self.learner, configs, budget)
-        best = early_stop(F.col("losses"), self.patience, self.tol)["best"]
-        per_fold = fits.select("config_id", best.alias("mse"), F.lit(None).cast("double").alias("mae_ratio"))
-        return mean_over_folds(per_fold)
-
-    def on_rows(self, configs, budget) -> DataFrame:
-        fits = stage(fit_on_sums(self.paired, self.keys, self.learner, configs, budget), "fits")
-        scored = score_folds(self.folded, fits, self.keys, self.features)
-        return mean_over_folds(score_rows(scored, [*self.keys, "fold", "config_id"], "pred", self.target))
+        fits = stage(fit_on_sums(self.paired, self.keys, self.learner, configs, budget, self.patience, self.tol), "fits")
+        scored = score_folds(self.folded, fits.drop("mse", "epoch"), self.keys, self.features)
+        per_fold = score_rows(scored, [*self.keys, "fold", "config_id"], "pred", self.target)
+        maes = per_fold.groupBy("config_id").agg(F.avg("mae_ratio").alias("mae_ratio"))
+        return fits.groupBy("config_id").agg(F.avg("mse").alias("mse")).join(maes, "config_id", "left")
 
 
 def walk_forward_evaluator(
@@ -234,21 +230,24 @@ def walk_forward_evaluator(
     return WalkForwardEvaluator(folded, keys, features, learner, target, patience, tol)
 
 
+TREE_FITS = 4  # fits that run at a time; each is a Spark job of its own
+
+
 def _tree_evaluator(folded: DataFrame, features, target: str):
     folds = [r.fold for r in folded.select("fold").distinct().orderBy("fold").collect()]
+    spark = folded.sparkSession
 
     def evaluate(configs, budget):
-        scored = []
-        for c in configs:
-            for f in folds:
-                rows = folded.where(F.col("fold") == f)
-                model = fit_regressor(rows.where(F.col("role") == "train"), "gbt", features, target,
-                                      budget=int(budget), max_depth=c["max_depth"])
-                pred = model.transform(rows.where(F.col("role") == "validation"))
-                scored.append(pred.agg(*scores(F.col("pred_gbt"), named(target))).withColumn("config_id", F.lit(c["config_id"])))
-        per_fold = scored[0]
-        for s in scored[1:]:
-            per_fold = per_fold.unionByName(s)
-        return mean_over_folds(per_fold)
+        def one(tried):
+            config, fold = tried
+            rows = folded.where(F.col("fold") == fold)
+            model = fit_regressor(rows.where(F.col("role") == "train"), "gbt", features, target,
+                                  budget=int(budget), max_depth=config["max_depth"])
+            pred = model.transform(rows.where(F.col("role") == "validation"))
+            return (config["config_id"], *pred.agg(*scores(F.col("pred_gbt"), named(target))).select("mse", "mae_ratio").first())
+
+        with ThreadPoolExecutor(TREE_FITS) as pool:
+            found = list(pool.map(inheritable_thread_target(spark)(one), [(c, f) for c in configs for f in folds]))
+        return mean_over_folds(spark.createDataFrame(found, "config_id long, mse double, mae_ratio double"))
 
     return evaluate

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.prepare import fit
 from tidemark.operators.quality import quality_gate, quality_report
 from tidemark.operators.splits import chronological_split
-from tidemark.plans.learners import fit_regressor, stack_forecasts
+from tidemark.plans.learners import LEARNERS, LinearFit, fit_linear, fit_regressor, stack_forecasts
 from tidemark.plans.selection import select_production
-from tidemark.plans.tuning import RunLog, run_hyperband, walk_forward_evaluator
+from tidemark.plans.tuning import RunLog, run_hyperband, search_space, walk_forward_evaluator
 from tidemark.schema import DEFAULT_CATEGORICAL, DEFAULT_NUMERIC, FOLD_GAP, HALVING_FACTOR, SERIES_KEY, TARGET, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
-from tidemark.session import scratch_path
+from tidemark.session import join_on, path_exists, scratch_path, small_or_not, stage
 from tidemark.sinks.store import read_layer, write_splits
 
 
@@ -28,7 +30,7 @@ class WeeklySettings:
     budget: int = 1000
     factor: int = HALVING_FACTOR
     schedule: str = "published"
-    tree_rounds: int = 20
+    space: Callable = search_space
     stacked: bool = True
     numeric: tuple[str, ...] = tuple(DEFAULT_NUMERIC)
     categorical: tuple[str, ...] = tuple(DEFAULT_CATEGORICAL)
@@ -51,10 +53,15 @@ def prepared_splits(gold: DataFrame, settings: WeeklySettings, path: str | None
     return read_layer(spark, f"{path}/prepared"), preparation
 
 
-def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, run_log: RunLog | None = None) -> DataFrame:
-    """(series, candidate, mse, mae_ratio) of the chosen model per series."""
+def weekly_run(
+    spark: SparkSession, gold: DataFrame, settings: WeeklySettings, run_log: RunLog | None = None, path: str | None = None
+) -> DataFrame:
+    """(series, candidate, mse, mae_ratio) of the chosen model per series.
+
+    With `path`, the preparation, the models and the choice are kept there for `production_rows`.
+    """
     quality_gate(quality_report(gold))
-    prepared, preparation = prepared_splits(gold, settings)
+    prepared, preparation = prepared_splits(gold, settings, path and f"{path}/dataset")
     train = prepared.where(F.col("split") == "train")
     held_out = prepared.where(F.col("split") == "validation")
     features = preparation.feature_names
@@ -71,16 +78,46 @@ def weekly_run(spark: SparkSession, gold: DataFrame, settings: WeeklySettings, r
             )
             linear = linear if learner == "gbt" else evaluate
         found = run_hyperband(
-            spark, evaluate, settings.budget, settings.factor, settings.seed, settings.schedule, run_log=run_log
-        )
-        model = fit_regressor(
-            train, learner, features, TARGET, l2=found.config["l2"], max_depth=found.config["max_depth"],
-            budget=settings.tree_rounds if learner == "gbt" else max(1, settings.budget),
+            spark, evaluate, settings.budget, settings.factor, settings.seed, settings.schedule, settings.space, run_log
         )
+        # the model kept is the one searched: same solver, setting and budget
+        if learner == "gbt":
+            model = fit_regressor(train, learner, features, TARGET, max_depth=found.config["max_depth"], budget=found.budget)
+        else:
+            model = fit_linear(train, learner, features, TARGET, found.config, found.budget)
+        if path:
+            _save(spark, model, f"{path}/{learner}")
         candidates[learner] = f"pred_{learner}"
         fitted_on, chosen_on = (model.transform(rows).drop("_features") for rows in (fitted_on, chosen_on))
     if settings.stacked and len(candidates) > 1:
         experts = list(candidates.values())
-        chosen_on = stack_forecasts(fitted_on, experts, TARGET).transform(chosen_on).drop("_experts")
+        stacked = stack_forecasts(fitted_on, experts, TARGET)
+        if path:
+            _save(spark, stacked, f"{path}/stacked")
+        chosen_on = stacked.transform(chosen_on).drop("_experts")
         candidates["stacked"] = "pred_stacked"
-    return select_production(chosen_on, candidates, by=SERIES_KEY)
+    chosen = select_production(chosen_on, candidates, by=SERIES_KEY)
+    return stage(chosen, path=f"{path}/choice") if path else chosen
+
+
+def _save(spark: SparkSession, model, path: str) -> None:
+    model.save(spark, path) if isinstance(model, LinearFit) else model.write().overwrite().save(path)
+
+
+def production_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """Prepared rows with `candidate` and `pred`, the forecast of the model chosen for their series.
+
+    `path` is that of a weekly run. Series without a choice are left out.
+    """
+    choice = spark.read.parquet(f"{path}/choice").select(*SERIES_KEY, "candidate")
+    rows = join_on(rows, small_or_not(choice), SERIES_KEY, "inner")
+    wanted = [r.candidate for r in choice.select("candidate").distinct().collect()]  # at most one per learner
+    learners = [n for n in LEARNERS if path_exists(spark, f"{path}/{n}")] if "stacked" in wanted else [n for n in LEARNERS if n in wanted]
+    for name in learners:
+        model = PipelineModel.load(f"{path}/{name}") if name == "gbt" else LinearFit.load(spark, f"{path}/{name}")
+        rows = model.transform(rows).drop("_features")
+    if "stacked" in wanted:
+        rows = PipelineModel.load(f"{path}/stacked").transform(rows).drop("_experts")
+        learners = [*learners, "stacked"]
+    pred = F.coalesce(*[F.when(F.col("candidate") == name, F.col(f"pred_{name}")) for name in learners])
+    return rows.withColumn("pred", pred).drop(*[f"pred_{name}" for name in learners])

@@ -384,9 +384,8 @@ def ridge_scores(spark, sf_dir):
 
 def tree_scores(spark, sf_dir):
     gold = thousands(daily_gold(spark, sf_dir).select("series", "dt", "close", *FEATURES))
-    n = gold.groupBy("series").count().agg(F.min("count")).first()[0]
     evaluate = H.walk_forward_evaluator(
-        gold, SERIES_KEY, ["dt"], FEATURES, "gbt", bound=DATE_DOMAIN_ROWS, train=n // 2, validation=n // 4, gap=GAP
+        gold, SERIES_KEY, ["dt"], FEATURES, "gbt", bound=DATE_DOMAIN_ROWS, train=TRAIN, validation=VALIDATION, gap=GAP
     )
     return plain(evaluate([{**_config(0, 0.0), "max_depth": 2}], 3))
 
