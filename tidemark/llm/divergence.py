@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.words import SEPARATOR, append_columns, covered, find_words, mix, span_hashes, spans_of, text_chunks, window_starts, windows
+from tidemark.llm.words import SEPARATOR, append_columns, covered, find_words, mix, small_batches, span_hashes, spans_of, text_chunks, window_starts, windows
 from tidemark.session import named, ship_with_tasks
 
 COMMON_SHARE = 0.05
@@ -181,6 +181,7 @@ def _reported(batches):
 def learn_references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Reference]:
     """Reference of each language that has `LANGUAGE_SHARE` of the documents or more."""
     spark, rows = df.sparkSession, _lang_texts(df, text, lang)
+    small_batches(spark)
     reported = rows.mapInArrow(_reported, "lang string, word boolean, key long, found long, docs long")
     sums = reported.groupBy("lang", "word", "key").agg(F.sum("found").alias("found"), F.sum("docs").alias("docs"))
     sums = sums.persist()

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.words import append_columns, find_words, mix, span_hashes, text_chunks
+from tidemark.llm.words import append_columns, find_words, mix, small_batches, span_hashes, text_chunks
 from tidemark.session import named, ship_with_tasks, small_or_not
 
 FEATURES = 1 << 18
@@ -156,6 +156,7 @@ def logistic(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> Classifier:
     """Fit on rows (id, label 0 or 1, text). With one class or no rows, every score is that class's share, or a half."""
+    small_batches(labelled.sparkSession)
     ratios, negatives, positives = log_count_ratios(labelled)
     if not negatives or not positives:
         share = (positives + 1) / (negatives + positives + 2)

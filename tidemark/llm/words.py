@@ -13,12 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.session import named, ship_with_tasks
 
 CHUNK_BYTES = 1 << 20
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"  # fixed: the definition of a word
 
 _random = np.random.default_rng(20240229)
@@ -144,12 +146,22 @@ def covered(n_words: int, starts: np.ndarray, width: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let tasks hand texts to Python `BATCH_ROWS` at a time, as they may be long; a session setting.
+
+    Spark's default of 10,000 rows holds tens of megabytes a task, twice over, outside the heap.
+    """
+    if int(spark.conf.get(_BATCH_SETTING)) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
+
+
 def append_columns(df: DataFrame, text: str, fields: StructType, start, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """`df` with columns computed from its texts; older columns of the same names are replaced.
 
     `start()` is called once per task and gives a function from an Arrow array of texts (about
     `chunk_bytes` of them) to one Arrow array per field. The rows stay in their partitions.
     """
+    small_batches(df.sparkSession)
     names = [f.name for f in fields]
     kept = df.select(*[named(c) for c in df.columns if c not in names or c == text])
     out = StructType([f for f in kept.schema if f.name not in names] + list(fields))
