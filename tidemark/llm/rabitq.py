@@ -6,8 +6,9 @@ of the shifted vector, and its inner product with the sign vector (the correctio
 query q and a vector o, <o, q> is estimated from the signs; the error is below
 `epsilon * sqrt((1 - c^2) / c^2 / (d - 1))` of the shifted lengths, c the correction, but for a
 chance that falls off as a Gaussian tail in `epsilon`. Every code is scored against every query
-of the stated set, in blocks. A vector is reranked when its upper bound reaches the k-th largest
-lower bound of its query; the rest cannot be among the k nearest.
+of the stated set, in blocks. In a block, the k vectors with the largest estimates are reranked
+first; then every vector whose upper bound reaches the k-th of their exact scores, as no other can
+be among the k nearest. Only the best of a block leave it.
 """
 
 from __future__ import annotations
@@ -104,51 +105,59 @@ def nearest(
             x = unit(batch.column(1).flatten().to_numpy().reshape(-1, d))
             bits, length, correction = codes(x - mean, turned)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(length), pa.array(correction), pa.array((x - mean) @ mean)],
-                ["key", "bits", "length", "correction", "shift"],
+                [*batch.columns, pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(length), pa.array(correction), pa.array((x - mean) @ mean)],
+                ["key", "x", "bits", "length", "correction", "shift"],
             )
 
-    coded = stage(base.mapInArrow(encode, "key long, bits binary, length double, correction double, shift double"), "codes")
+    coded = stage(base.mapInArrow(encode, "key long, x array<double>, bits binary, length double, correction double, shift double"), "codes")
     n_codes, n_queries = coded.count(), asked.count()
     code_blocks, query_blocks = n_codes // CODE_BLOCK + 1, n_queries // QUERY_BLOCK + 1
     left = coded.withColumn("side", F.lit(0)).withColumn("code_block", F.pmod(F.xxhash64("key"), F.lit(code_blocks)))
-    left = left.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))).withColumn("x", F.lit(None).cast("array<double>"))
+    left = left.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
     right = asked.withColumn("side", F.lit(1)).withColumn("query_block", F.pmod(F.xxhash64("key"), F.lit(query_blocks)).cast("int"))
     right = right.withColumn("code_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(code_blocks - 1).cast("long"))))
 
     def scan(group: pd.DataFrame) -> pd.DataFrame:
         code, query = group[group["side"] == 0], group[group["side"] == 1]
-        empty = pd.DataFrame({"query_id": [], "key": [], "low": [], "high": []}).astype({"query_id": "int64", "key": "int64"})
-        if not len(code) or not len(query):
-            return empty
-        bits = np.frombuffer(b"".join(code["bits"]), np.uint8).reshape(len(code), -1)
-        length, shift = code["length"].to_numpy(), code["shift"].to_numpy()
-        ids, out = code["key"].to_numpy(), []
-        for first in range(0, len(query), 256):
-            some = query.iloc[first:first + 256]
-            x = unit(np.stack(some["x"].to_numpy()))
+        out = [np.empty((2, 0), np.int64)]
+        if len(code) and len(query):
+            bits = np.frombuffer(b"".join(code["bits"]), np.uint8).reshape(len(code), -1)
+            length, shift, correction = (code[c].to_numpy() for c in ("length", "shift", "correction"))
+            ids, vectors = code["key"].to_numpy(), unit(np.stack(code["x"].to_numpy()))
+        for first in range(0, len(query) if len(code) else 0, 128):
+            some = query.iloc[first:first + 128]
+            x, names = unit(np.stack(some["x"].to_numpy())), some["key"].to_numpy()
             away = x - mean
             far = np.linalg.norm(away, axis=1)
-            found, bound = estimates(bits, code["correction"].to_numpy(), (away @ turned) / np.where(far > 0, far, 1)[:, None], epsilon)
+            found, bound = estimates(bits, correction, (away @ turned) / np.where(far > 0, far, 1)[:, None], epsilon)
             # <o, q> = <o - m, q - m> + <o - m, m> + <m, q>
-            middle = found * (far[:, None] * length[None, :]) + shift[None, :] + (x @ mean)[:, None]
-            spread = bound[None, :] * (far[:, None] * length[None, :]) + 1e-5
-            low, high = middle - spread, middle + spread
-            low[some["key"].to_numpy()[:, None] == ids[None, :]] = high[some["key"].to_numpy()[:, None] == ids[None, :]] = -np.inf
-            kth = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(some), -np.inf)
-            at, which = np.nonzero((high >= kth[:, None]) & np.isfinite(high))
-            out.append(pd.DataFrame({"query_id": some["key"].to_numpy()[at], "key": ids[which], "low": low[at, which], "high": high[at, which]}))
-        return pd.concat(out) if out else empty
+            scale = far[:, None] * length[None, :]
+            middle = found * scale + shift[None, :] + (x @ mean)[:, None]
+            own = names[:, None] == ids[None, :]
+            middle[own] = -np.inf
+            floor = np.full(len(some), -np.inf)
+            if len(ids) > k:
+                top = np.argpartition(middle, len(ids) - k - 1, axis=1)[:, len(ids) - k - 1:]
+                exact = np.einsum("qkd,qd->qk", vectors[top], x)
+                exact[np.take_along_axis(own, top, 1)] = -np.inf
+                floor = np.partition(exact, 1, axis=1)[:, 1]  # the k-th of the k + 1 reranked
+            at, which = np.nonzero((middle + bound[None, :] * scale + 1e-5 >= floor[:, None]) & ~own)
+            score = np.concatenate([np.einsum("ij,ij->i", vectors[which[i:i + 65536]], x[at[i:i + 65536]]) for i in range(0, len(at), 65536)] or [np.empty(0)])
+            order = np.lexsort((-score, at))
+            at, which, score = at[order], which[order], score[order]
+            begins = np.flatnonzero(np.diff(at, prepend=-1))
+            sizes = np.diff(np.append(begins, len(at)))
+            kth = score[begins + np.minimum(sizes, k) - 1]
+            # what rounding may have put out of order stays; the scores are taken again below
+            best = score >= np.repeat(kth, sizes) - 1e-12
+            out.append(np.stack([names[at[best]], ids[which[best]]]))
+        found = np.concatenate(out, 1)
+        return pd.DataFrame({"query_id": found[0], "key": found[1]})
 
     blocks = left.select("side", "code_block", "query_block", "key", "bits", "length", "correction", "shift", "x").unionByName(
         right.select("side", "code_block", "query_block", "key", "x"), allowMissingColumns=True
     )
-    found = blocks.groupBy("code_block", "query_block").applyInPandas(scan, "query_id long, key long, low double, high double")
-    found = stage(found, "bounds")
-    w = Window.partitionBy("query_id").orderBy(F.desc("low"))
-    kth = found.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).groupBy("query_id").agg(F.min("low").alias("kth"), F.count("*").alias("n"))
-    close = found.join(kth, "query_id").where((F.col("n") < k) | (F.col("high") >= F.col("kth"))).select("query_id", "key").distinct()
-
+    close = stage(blocks.groupBy("code_block", "query_block").applyInPandas(scan, "query_id long, key long").distinct(), "close")
     pairs = close.join(base.select("key", "x"), "key").join(asked.select(F.col("key").alias("query_id"), F.col("x").alias("y")), "query_id")
 
     def dot(a: str, b: str):
