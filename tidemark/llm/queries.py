@@ -184,7 +184,7 @@ def page_captures(pages: DataFrame) -> DataFrame:
     ETag, with its Last-Modified alone (even digest), or, where its digest begins with f, with neither.
     """
     digest = F.md5(F.coalesce("html", F.lit("")))
-    at = F.timestamp_seconds(F.lit(1704067200) + 60 * F.col("page_id"))
+    at = F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(page_id AS INT), 0)")
     tag, modified = F.concat(F.lit("ETag: \""), digest, F.lit("\"")), F.concat(F.lit("Last-Modified: "), F.col("at").cast("string"))
     made = pages.withColumn("at", at).withColumn("last", F.substring(digest, 32, 1))
     length = F.coalesce(F.length("html"), F.lit(0)).cast("string")
