@@ -187,6 +187,19 @@ sent AS (SELECT *, CAST(hour(make_timestamp(timestamp_in_ms * 1000)) AS INTEGER)
 
 _UPSERT_OUT = "WITH " + _UPSERTED + f" SELECT {_bar_columns(3)} FROM merged"
 
+# Micro-batch of an event, as the queries land them.
+_PART = """CASE WHEN ts >= TIMESTAMP '2024-01-21 12:00:30' THEN 2
+  WHEN ts >= TIMESTAMP '2024-01-21 11:00:30' AND event_id % 2 = 0 THEN 2
+  WHEN ts >= TIMESTAMP '2024-01-11 00:00:30' THEN 1 ELSE 0 END"""
+
+
+def _online_step(before: str, batch: int) -> str:
+    """One squared-error step at rate 0.05 from the weights of the step before, on the moments of a micro-batch."""
+    return f"""SELECT m.*, p.w - 0.1 * (p.w * m.xx + p.b * m.x - m.xy) AS w, p.b - 0.1 * (p.w * m.x + p.b - m.y) AS b,
+  p.w * p.w * m.xx + 2 * p.w * p.b * m.x + p.b * p.b - 2 * p.w * m.xy - 2 * p.b * m.y + m.yy AS mse
+  FROM m JOIN {before} AS p ON p.series = m.series WHERE m.batch_id = {batch}"""
+
+
 ORACLES = {
     "daily_bars": "WITH " + _DAILY + f" SELECT {_bar_columns(3)} FROM bars",
     "minute_bars": "WITH " + _MINUTES + f" SELECT {_minute_columns()} FROM minutes",
@@ -350,9 +363,9 @@ SELECT {_minute_columns("dt")} FROM top""",
 SELECT 'bad record' AS reason, count(*) AS n FROM sent WHERE h = 4 HAVING count(*) > 0
 UNION ALL SELECT 'bad message', n FROM (
   SELECT count(*) AS n FROM (SELECT DISTINCT series, timestamp_in_ms // 3600000 FROM sent WHERE h = 3)) WHERE n > 0""",
-    "stream_replay": """
+    "stream_replay": f"""
 SELECT series, event_id, round(value, 6) AS value FROM (
-  SELECT event_type AS series, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events)
+  SELECT event_type AS series, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY {_PART} DESC, ts DESC, event_id DESC) AS age FROM events)
 WHERE age <= 300""",
     "online_step": """
 WITH g AS (
@@ -361,10 +374,15 @@ WITH g AS (
 s AS (SELECT *, CASE WHEN sqrt(gw * gw + gb * gb) > 1 THEN 1 / sqrt(gw * gw + gb * gb) ELSE 1 END AS k FROM g)
 SELECT series, round(-0.05 * gw * k, 6) AS w, round(-0.05 * gb * k, 6) AS b, CAST(1 AS BIGINT) AS steps, n AS "rows",
   round(mse, 6) AS mse, CAST(0 AS DOUBLE) AS forecast FROM s""",
-    # The table is one file, so one micro-batch and one step from zero.
-    "stream_online": """
-SELECT event_type AS series, CAST(0 AS BIGINT) AS batch_id, round(0.1 * avg(ln(1 + value) * (user_id / 100.0)), 6) AS w,
-  round(0.1 * avg(ln(1 + value)), 6) AS b, count(*) AS "rows", round(avg(pow(ln(1 + value), 2)), 6) AS mse FROM events GROUP BY 1""",
+    "stream_online": f"""
+WITH m AS (
+  SELECT event_type AS series, {_PART} AS batch_id, count(*) AS "rows", avg(x) AS x, avg(x * x) AS xx, avg(x * y) AS xy, avg(y) AS y, avg(y * y) AS yy
+  FROM (SELECT *, user_id / 100.0 AS x, ln(1 + value) AS y FROM events) GROUP BY 1, 2),
+s0 AS (SELECT *, 0.1 * xy AS w, 0.1 * y AS b, yy AS mse FROM m WHERE batch_id = 0),
+s1 AS ({_online_step("s0", 1)}),
+s2 AS ({_online_step("s1", 2)})
+SELECT series, CAST(batch_id AS BIGINT) AS batch_id, round(w, 6) AS w, round(b, 6) AS b, "rows", round(mse, 6) AS mse
+FROM (FROM s0 UNION ALL FROM s1 UNION ALL FROM s2)""",
     "stream_drift": "WITH recent AS (SELECT value, CAST(user_id AS DOUBLE) AS user_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events)," + _ks("""
 SELECT 'value' AS "column", value AS v, 1 AS r FROM events WHERE ts < TIMESTAMP '2024-01-21'
 UNION ALL SELECT 'user_id', CAST(user_id AS DOUBLE), 1 FROM events WHERE ts < TIMESTAMP '2024-01-21'

@@ -99,6 +99,13 @@ def thousands(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") / 100000.0 for c in FEATURES})
 
 
+# Number of the micro-batch of an event.
+EVENT_PART = (
+    "CASE WHEN ts >= TIMESTAMP_NTZ '2024-01-21 12:00:30' THEN 2 "
+    "WHEN ts >= TIMESTAMP_NTZ '2024-01-21 11:00:30' AND event_id % 2 = 0 THEN 2 "
+    "WHEN ts >= TIMESTAMP_NTZ '2024-01-11 00:00:30' THEN 1 ELSE 0 END"
+)
+
 # A group limit that makes the ranged forms run on small tables too.
 SPLIT_ROWS = 1000
 
@@ -492,24 +499,37 @@ def replay_seeds(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
+    """All events as one micro-batch."""
     schema = table(spark, sf_dir, "events").schema
     return I.file_stream(spark, f"{sf_dir}/events.parquet", schema)
 
 
+def _event_files(spark, sf_dir):
+    """The events as three micro-batches. Both cuts lie inside a minute, and half of the events of the
+    hour before the second one come late, with the third."""
+    events, path = table(spark, sf_dir, "events"), scratch_path(spark, "events")
+    for part in range(3):
+        events.where(F.expr(EVENT_PART) == part).coalesce(1).write.mode("append").parquet(path)
+    return I.file_stream(spark, path, events.schema, files_per_batch=1)
+
+
 def _checkpoint(spark):
     return scratch_path(spark, "checkpoint")
 
 
 def stream_bars(spark, sf_dir):
+    """Bars upserted by one consumer; a second one takes every form in which a bar was sent."""
     target = KeyedTable(scratch_path(spark, "bars"), ["series", "ts"], "date_format(ts, 'yyyyMMdd')")
-    bars = I.stream_bars(_event_stream(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
-    I.run_once(bars, fan_out(upsert_sink(target)), _checkpoint(spark))
-    return plain(target.read(spark))
+    sent = scratch_path(spark, "sent")
+    bars = I.stream_bars(_event_files(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
+    I.run_once(bars, fan_out(upsert_sink(target), append_sink(sent)), _checkpoint(spark))
+    largest = spark.read.parquet(sent).groupBy("series", "ts").agg(F.max("volume").alias("volume"))
+    return plain(target.read(spark).join(largest, ["series", "ts", "volume"]))
 
 
 def stream_latest(spark, sf_dir):
     """The newest event per type as a running aggregate of the stream, with its arrival stamped."""
-    landed = _event_stream(spark, sf_dir).select(
+    landed = _event_files(spark, sf_dir).select(
         F.col("event_type").alias("series"), F.col("ts").cast("timestamp").alias("ts"), F.lit(1).alias("volume"),
         *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
     )
@@ -520,7 +540,7 @@ def stream_latest(spark, sf_dir):
 
 def stream_distinct(spark, sf_dir):
     """Every event polled twice; repeats within the watermark are dropped."""
-    events = I.with_event_time(_event_stream(spark, sf_dir).select("event_id", "ts", "event_type"), "ts", "40 days")
+    events = I.with_event_time(_event_files(spark, sf_dir).select("event_id", "ts", "event_type"), "ts", "40 days")
     polled = events.withColumn("poll", F.explode(F.array(F.lit(0), F.lit(1)))).drop("poll")
     path = scratch_path(spark, "distinct")
     I.run_once(I.drop_repeats(polled, ["event_id"]), append_sink(path), _checkpoint(spark), "append")
@@ -530,7 +550,7 @@ def stream_distinct(spark, sf_dir):
 def stream_gold(spark, sf_dir):
     silver = KeyedTable(scratch_path(spark, "silver"), ["series", "timestamp_in_ms"], "date_format(dt, 'yyyyMMdd')")
     gold = KeyedTable(scratch_path(spark, "gold"), ["series", "timestamp_in_ms"], "date_format(dt, 'yyyyMMdd')")
-    bars = I.stream_bars(_event_stream(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
+    bars = I.stream_bars(_event_files(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
     I.run_once(I.bars_to_silver(bars), A.LayerUpdater(silver, gold), _checkpoint(spark))
     return plain(gold.read(spark), 4)
 
@@ -567,9 +587,10 @@ def stream_quarantine(spark, sf_dir):
 
 
 def stream_replay(spark, sf_dir):
-    """The buffer as a stream keeps it."""
-    buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"])
-    rows = _event_stream(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id", "value")
+    """The buffer as a stream keeps it, after three micro-batches in which every event is sent twice."""
+    buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"], row_id="event_id")
+    rows = _event_files(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id", "value")
+    rows = rows.withColumn("poll", F.explode(F.array(F.lit(0), F.lit(1)))).drop("poll")
     held = []
     I.run_once(rows, lambda batch, i: held.append(buffer.update(batch, i)), _checkpoint(spark), "append")
     return plain(held[-1].select("series", "event_id", "value"))
@@ -588,8 +609,8 @@ def online_step(spark, sf_dir):
 
 
 def stream_online(spark, sf_dir):
-    """Online steps as a stream makes them, one file one micro-batch."""
-    rows = _event_stream(spark, sf_dir).select(
+    """Online steps as a stream makes them, one file one micro-batch, each from the weights before."""
+    rows = _event_files(spark, sf_dir).select(
         F.col("event_type").alias("series"), (F.col("user_id") / 100.0).alias("x"), F.log1p("value").alias("close")
     )
     model = OnlineModel(scratch_path(spark, "weights"), ["x"], rate=0.05)
