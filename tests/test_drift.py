@@ -80,3 +80,10 @@ def test_finite(spark):
     assert [r[0] for r in df.select(is_finite(F.col("v"))).collect()] == [True, False, False, False, False]
     ts = spark.sql("SELECT timestamp'2025-07-01 12:00:00' t").select(local_clock(F.col("t"), "Europe/Paris")).first()[0]
     assert ts == dt.datetime(2025, 7, 1, 14)
+
+
+def test_a_sample_without_values_is_untested(spark):
+    reference = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, c string")
+    none = reference.where("false")
+    for row in (ks_drift(reference, none, ["x"]).first(), chi_square_drift(reference, none, ["c"]).first()):
+        assert row.statistic is None and row.p_value is None and row.flag == "untested"

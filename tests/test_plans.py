@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import queries as Q
-from tidemark.operators.bars import build_daily_bars
+from tidemark.operators.bars import build_daily_bars, newest
 from tidemark.operators.gold import gold_features
 from tidemark.operators.ordering import last_rows
 from tidemark.operators.quality import quality_report
@@ -77,3 +77,10 @@ def test_quality_is_one_pass(daily):
 def test_no_row_by_row_python_and_no_cross_product(spark, sf, name):
     text = plan(Q.QUERIES[name](spark, sf))
     assert "BatchEvalPython" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_newest_rows_are_hashed(spark):
+    rows = spark.createDataFrame([("a", 1, 2.0), ("a", 3, None), ("b", 2, 5.0)], "series string, at int, value double")
+    got = newest(rows, ["series"], "at")
+    assert "SortAggregate" not in plan(got)
+    assert sorted(map(tuple, got.collect())) == [("a", 3, None), ("b", 2, 5.0)]

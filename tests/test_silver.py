@@ -77,3 +77,9 @@ def test_schema_is_enforced(spark):
         enforce_schema(spark.sql("SELECT 'a' series, date'2025-01-01' dt, 1f open, 1f high, 1f low, CAST(NULL AS FLOAT) close, 1L volume, 1L timestamp_in_ms"), SILVER).collect()
     with pytest.raises(Exception):
         rows_to_table(spark, [("a", dt.date(2025, 1, 1), 1.0, 1.0, 1.0, None, 1, 1)])
+
+
+def test_prices_that_are_no_numbers_are_rejected(spark):
+    payload = '{"2025-01-02": {"1. open": "NaN", "2. high": "1", "3. low": "1", "4. close": "1", "5. volume": "1"}, "2025-01-03": {"1. open": "1", "2. high": "Infinity", "3. low": "1", "4. close": "1", "5. volume": "1"}}'
+    typed = type_bars(explode_payloads(spark.createDataFrame([("a", payload)], "series string, value string")))
+    assert {r.reason for r in typed.collect()} == {"missing or bad field"}

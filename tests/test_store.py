@@ -123,3 +123,22 @@ def test_upsert_leaves_nothing_in_scratch(spark, bars, tmp_path):
         table.upsert(bars([("a", 1, 1)]))
     root = scratch_path(spark, "x").rsplit("/", 1)[0]
     assert not path_exists(spark, root) or not any(Path(root).iterdir())
+
+
+def test_a_table_that_begins_empty(spark, tmp_path, bars):
+    table = KeyedTable(str(tmp_path / "t"))
+    none = bars([("a", 0, 1.0)]).where("false")
+    table.upsert(none)
+    assert table.exists(spark) and table.read(spark).count() == 0 and table.read(spark).schema.fieldNames() == none.columns
+    table.upsert(none)
+    table.upsert(bars([("a", 0, 1.0), ("a", 1, 2.0)]))
+    table.upsert(bars([("a", 1, 3.0)]))
+    assert sorted(r.close for r in table.read(spark).collect()) == [1.0, 3.0]
+
+
+def test_what_a_failed_first_write_leaves_is_no_table(spark, tmp_path, bars):
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    table = KeyedTable(str(tmp_path / "t"))
+    assert not table.exists(spark)
+    table.upsert(bars([("a", 0, 1.0)]))
+    assert table.read(spark).count() == 1

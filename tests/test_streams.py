@@ -227,3 +227,22 @@ def test_batches_of_a_table(spark, tmp_path):
     for i in range(4):
         by_step = model.step(rows.where(F.col("batch_id") == i).drop("batch_id"), i).first().weights
     assert by_table == by_step
+
+
+def test_consecutive_seeds_draw_differently_and_in_time_order(spark):
+    draws = set()
+    for seed in range(12):
+        rows = recency_sample(arrivals(spark, 300), ["at"], "id", 4, seed).collect()
+        assert [r["at"] for r in rows] == sorted(r["at"] for r in rows)
+        draws.add(tuple(r.id for r in rows))
+    assert len(draws) == 12
+
+
+def test_a_row_that_is_sent_again_is_held_once_and_late_rows_arrive(spark, tmp_path):
+    buffer = ReplayBuffer(str(tmp_path / "again"), ["at"], 4, row_id="id")
+    make = lambda rows: spark.createDataFrame([("s", i, a, v) for i, a, v in rows], "series string, id int, at int, value int")
+    buffer.update(make([(1, 10, 0), (2, 20, 0), (3, 30, 0)]), 0)
+    held = buffer.update(make([(2, 20, 1), (4, 5, 1)]), 1)
+    assert sorted((r.id, r.value) for r in held.collect()) == [(1, 0), (2, 1), (3, 0), (4, 1)]
+    held = buffer.update(make([(5, 40, 2)]), 2)
+    assert sorted(r.id for r in held.collect()) == [2, 3, 4, 5]  # 1 arrived first

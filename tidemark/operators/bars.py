@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import instant_key, midnight_millis
 from tidemark.schema import SILVER
+from tidemark.session import named
 
 
 def bar_aggregates(price: str, ts: str, tie: str | None, volume: str | None):
@@ -49,7 +50,10 @@ def build_daily_bars(
 
 
 def newest(df: DataFrame, keys, order: str) -> DataFrame:
-    """The newest row per key: one partial aggregation, no sort of the group."""
+    """The newest row per key: one partial hash aggregation where all other columns are of fixed width.
+
+    All columns are compared by the same `order`, so they come from one row, in ties too. One
+    struct for the whole row would make Spark sort every input row instead.
+    """
     rest = [c for c in df.columns if c not in keys]
-    top = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("row"))
-    return top.select(*keys, "row.*")
+    return df.groupBy(*[named(k) for k in keys]).agg(*[F.max_by(named(c), named(order)).alias(c) for c in rest])
