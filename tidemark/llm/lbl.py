@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import find_words, span_hashes, text_chunks
+from tidemark.llm.words import find_words, small_batches, span_hashes, text_chunks
 from tidemark.session import named, ship_with_tasks, stage
 
 SHORTLIST = 1000
@@ -173,6 +173,7 @@ def token_ids(words, a: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> tuple[
 
 def _scatter(n: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sum of the rows that go to each of `n` places."""
+    at = at.astype(np.int16 if n < 1 << 15 else np.int64)  # short numbers are sorted by radix
     order = np.argsort(at, kind="stable")
     at = at[order]
     begins = np.flatnonzero(np.diff(at, prepend=-1))
@@ -197,17 +198,27 @@ class Trainer:
         m, n = self.m, len(token)
         noise = self.random.choice(len(self.share), NOISE, p=self.share)
         first, second = m.context[one], m.context[two]
-        predicted = first * m.position[0] + second * m.position[1]
-        real = (predicted * m.target[token]).sum(1) + m.bias[token] - self.log_noise[token]
-        false = predicted @ m.target[noise].T + (m.bias[noise] - self.log_noise[noise])
+        predicted = first * m.position[0]
+        predicted += second * m.position[1]
+        wanted, others = m.target[token], m.target[noise]
+        real = np.einsum("ij,ij->i", predicted, wanted) + (m.bias - self.log_noise)[token]
+        down = predicted @ others.T
+        down += m.bias[noise] - self.log_noise[noise]
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        back = up[:, None] * m.target[token] - down @ m.target[noise]
+        np.clip(down, -30, 30, out=down)
+        np.negative(down, out=down)
+        np.exp(down, out=down)
+        down += 1
+        np.reciprocal(down, out=down)  # the chance, by the model, that each noise word is real
+        back = wanted * up[:, None]
+        back -= down @ others
         size = len(m.bias)
-        target = _scatter(size, np.concatenate([token, noise]), np.concatenate([up[:, None] * predicted, -(down.T @ predicted)]))
+        np.multiply(predicted, up[:, None], out=wanted)
+        target = _scatter(size, token, wanted)
+        np.subtract.at(target, noise, down.T @ predicted)
         bias = np.bincount(token, up, size) - np.bincount(noise, down.sum(0), size)
-        context = _scatter(size, np.concatenate([one, two]), np.concatenate([back * m.position[0], back * m.position[1]]))
-        position = np.stack([(back * first).sum(0), (back * second).sum(0)])
+        context = _scatter(size, one, back) * m.position[0] + _scatter(size, two, back) * m.position[1]
+        position = np.stack([np.einsum("ij,ij->j", back, first), np.einsum("ij,ij->j", back, second)])
         for p, g, s in zip((m.context, m.position, m.target, m.bias), (context, position, target, bias), self.squares):
             g = (g / n).astype(np.float32)
             s += g * g
@@ -318,6 +329,7 @@ def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHO
     may repeat or be null. The result reads tables in the shared folder.
     """
     spark = df.sparkSession
+    small_batches(spark)
     rows = df.select(named(key).alias("key"), F.coalesce(training, F.lit(False)).alias("training"), F.coalesce(named(text), F.lit("")).alias("text"))
     learned = rows.where("training").select("text")
     size = learned.agg(F.sum(F.octet_length("text"))).first()[0] or 0
