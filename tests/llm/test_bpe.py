@@ -51,3 +51,5 @@ def test_merges_that_open_a_lower_rank_go_first():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "id int, text string")
     assert decode(encode(df, PATH, public_tokenizers.PATTERN), PATH).collect() == []
+    lists = spark.createDataFrame([(1, None), (2, [72, 105]), (3, []), (4, None), (5, [0])], "id int, ids array<int>").coalesce(1)
+    assert [bytes(r.decoded) for r in decode(lists, PATH).orderBy("id").collect()] == [b"", b"".join(read_ranks(PATH)[i] for i in (72, 105)), b"", b"", read_ranks(PATH)[0]]

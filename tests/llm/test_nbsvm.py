@@ -38,6 +38,15 @@ def test_without_two_classes_all_scores_are_the_share(spark, rows, expected):
     assert [r.score for r in nbsvm.score(df, model).collect()] == pytest.approx([expected] * 3)
 
 
+def test_the_fitted_rows_are_bounded_with_hot_copies(spark, monkeypatch):
+    rows = [(None, i % 2, "same text") for i in range(400)] + [(i, i % 2, ("good words " if i % 2 else "bad ### words ") + str(i)) for i in range(300)]
+    seen = []
+    real = nbsvm.dual_descent
+    monkeypatch.setattr(nbsvm, "dual_descent", lambda held, *rest: seen.append(len(held)) or real(held, *rest))
+    nbsvm.fit(spark.createDataFrame(rows, "id long, label int, text string"), fit_rows=60)
+    assert max(seen) <= 60
+
+
 def test_labels_may_repeat_be_null_or_tie(spark):
     docs = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (3, "y"), (None, "z")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, None), (None, 1)], "doc_id long, quality int")

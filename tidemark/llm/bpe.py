@@ -202,8 +202,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids
 
 
 def decode_lists(column: pa.ListArray, tokens: np.ndarray, starts: np.ndarray) -> list[bytes]:
-    """Bytes of each list of ids; `tokens` are all tokens in a row, `starts` their bounds. A null list is empty."""
-    column = column.fill_null([]) if column.null_count else column
+    """Bytes of each list of ids; `tokens` are all tokens in a row, `starts` their bounds. A null list has no places and so is empty."""
     bounds = column.offsets.to_numpy()
     ids = column.values.to_numpy(zero_copy_only=False)[bounds[0]:bounds[-1]].astype(np.int64)
     lengths = starts[ids + 1] - starts[ids]

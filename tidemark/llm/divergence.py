@@ -275,7 +275,7 @@ def quality_rules(
     words). Without any reference, distances are null and the base rule decides.
     """
     references = df.sparkSession.sparkContext.broadcast(learn_references(df, text, lang))
-    tagged = df.select(*[named(c) for c in df.columns], F.concat_ws("\x01", F.coalesce(named(lang).cast("string"), F.lit("")), F.coalesce(named(text), F.lit(""))).alias("_tagged"))
+    tagged = df.select(*[named(c) for c in df.columns], F.concat_ws("\x01", F.translate(F.coalesce(named(lang).cast("string"), F.lit("")), "\x01", ""), F.coalesce(named(text), F.lit(""))).alias("_tagged"))
 
     def start():
         def work(column: pa.Array) -> list[pa.Array]:
