@@ -7,6 +7,7 @@ instead of the headline queries. Each query is run to the end of its result thro
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -26,12 +27,14 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    shared = tempfile.TemporaryDirectory(prefix="tidemark-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", shared.name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -46,6 +49,7 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - begin, 3)
     spark.stop()
+    shared.cleanup()
     print(json.dumps({
         "metric": "total query seconds", "value": round(sum(timings.values()), 3), "unit": "sec",
         "queries": timings, "sf": sf_dir.rsplit("sf", 1)[-1],
