@@ -217,6 +217,15 @@ SELECT {_gold_columns(4)} FROM gold g WHERE g.dt = (SELECT max(b.dt) FROM bars b
     "gold_empty": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(6)} FROM gold WHERE close < 0",
     "latest_dates": "WITH " + _DAILY + " SELECT series, CAST(max(dt) AS VARCHAR) AS latest_dt FROM bars GROUP BY 1",
     "lakehouse_run": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(4)} FROM gold",
+    "lakehouse_overlap": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(4)} FROM gold",
+    "landing_replaced": "WITH " + _DAILY + " SELECT series, CAST(max(dt) AS VARCHAR) AS dt FROM bars GROUP BY series, year(dt)",
+    "nan_rejects": "WITH " + _DAILY + """
+SELECT series, CAST(dt AS VARCHAR) AS dt_string, 'missing or bad field' AS reason FROM bars WHERE day(dt) IN (13, 14)""",
+    "table_from_nothing": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(6)} FROM gold WHERE close < 0",
+    "ks_drift_default": _KS_TWO,
+    "drift_untested": """
+SELECT 'value' AS "column", count(*) AS n_ref, CAST(0 AS BIGINT) AS n_cur, CAST(NULL AS DOUBLE) AS statistic,
+  CAST(NULL AS DOUBLE) AS p_value, 'untested' AS flag FROM events WHERE ts < TIMESTAMP '2024-01-21'""",
     "upsert_bars": _UPSERT_OUT,
     "upsert_twice": _UPSERT_OUT,
     "create_or_upsert": "WITH " + _DAILY + f" SELECT {_bar_columns(3)} FROM bars",

@@ -181,6 +181,45 @@ def lakehouse_run(spark, sf_dir):
     return plain(run_lakehouse(spark, lake, make_payloads(daily(spark, sf_dir))), 4)
 
 
+def _half_year(spark, sf_dir) -> DataFrame:
+    """Payloads of the first half of 2000, with closes that a later landing corrects."""
+    bars = daily(spark, sf_dir).where("dt >= DATE '2000-01-01' AND dt < DATE '2000-06-15'")
+    return make_payloads(bars.withColumn("close", (F.col("close") + 1).cast("float")))
+
+
+def lakehouse_overlap(spark, sf_dir):
+    """Two landings in one call share dates; the newer one counts."""
+    lake = Lakehouse(scratch_path(spark, "lake"))
+    payloads = _half_year(spark, sf_dir).unionByName(make_payloads(daily(spark, sf_dir)))
+    return plain(run_lakehouse(spark, lake, payloads), 4)
+
+
+def landing_replaced(spark, sf_dir):
+    """Landed days after all bars are landed over half a year: the older day of each series is gone."""
+    path = scratch_path(spark, "bronze")
+    land_payloads(_half_year(spark, sf_dir), path)
+    land_payloads(make_payloads(daily(spark, sf_dir)), path, replace=True)
+    return plain(Y.read_payloads(spark, path).select("series", "dt"))
+
+
+def nan_rejects(spark, sf_dir):
+    """Bars of the 13th have an open of NaN, those of the 14th a high without bound."""
+    day = F.dayofmonth("dt")
+    text = {f: F.col(c).cast("string") for c, f in PAYLOAD_FIELDS.items()}
+    text["1. open"] = F.when(day == 13, "NaN").otherwise(text["1. open"])
+    text["2. high"] = F.when(day == 14, "Infinity").otherwise(text["2. high"])
+    entry = F.map_from_arrays(F.array(F.date_format("dt", "yyyy-MM-dd")), F.array(F.struct(*[v.alias(f) for f, v in text.items()])))
+    payloads = daily(spark, sf_dir).select("series", F.to_json(entry).alias("value"))
+    return S.rejected(S.type_bars(Y.explode_payloads(payloads))).select("series", "dt_string", "reason")
+
+
+def table_from_nothing(spark, sf_dir):
+    """A gold table whose first write has no rows, read back."""
+    gold = KeyedTable(scratch_path(spark, "gold"))
+    gold.upsert(G.gold_features(daily(spark, sf_dir).where(F.col("close") < 0)))
+    return plain(gold.read(spark))
+
+
 # --- store -----------------------------------------------------------------------
 
 
@@ -242,6 +281,18 @@ def ks_drift(spark, sf_dir):
     return plain(D.ks_drift(reference, current, ["value", "user_id"]))
 
 
+def ks_drift_default(spark, sf_dir):
+    """The columns are found: all numbers that are no clocks."""
+    reference, current = _samples(spark, sf_dir)
+    return plain(D.ks_drift(reference, current))
+
+
+def drift_untested(spark, sf_dir):
+    """Nothing to compare with is no drift."""
+    reference, current = _samples(spark, sf_dir)
+    return plain(D.ks_drift(reference, current.where("value < -1e300"), ["value"]))
+
+
 def ks_drift_ranged(spark, sf_dir):
     """The same test through the ranged running sums."""
     reference, current = _samples(spark, sf_dir)
@@ -648,7 +699,8 @@ def stream_drift(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     daily_bars, minute_bars, silver_roundtrip, silver_rejects, silver_kept, gold_features, gold_latest,
-    gold_halo_window, gold_empty, latest_dates, lakehouse_run, upsert_bars, upsert_twice, create_or_upsert,
+    gold_halo_window, gold_empty, latest_dates, lakehouse_run, lakehouse_overlap,
+    landing_replaced, nan_rejects, table_from_nothing, ks_drift_default, drift_untested, upsert_bars, upsert_twice, create_or_upsert,
     append_copy, quality_report, quality_by_series, ks_drift, ks_drift_ranged, drift_flags, chi2_drift,
     chrono_split, split_counts, impute_scale, impute_scale_by_series, exact_median, binary_encode,
     ordered_batches, batch_mean_metrics, event_index, running_volume, walk_forward_folds, fold_regression,
