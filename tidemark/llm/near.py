@@ -39,7 +39,7 @@ BANDS, BAND_ROWS = 32, 4
 HASHES = BANDS * BAND_ROWS
 STEP = 16
 BLOCK_SETS = 2048  # most sets of one side of a group, in buckets
-CLUSTER_SETS, CLUSTER_SHINGLES = 1024, 1_000_000  # and in clusters
+CLUSTER_SETS, CLUSTER_SHINGLES = 512, 1_000_000  # and in clusters
 GROUP_ROWS = 50_000
 
 _random = np.random.default_rng(5)

@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.words import covered, find_words, text_chunks, window_starts, windows
+from tidemark.llm.words import covered, find_words, small_batches, text_chunks, window_starts, windows
 from tidemark.session import named, ship_with_tasks
 
 WINDOW_WORDS = 35
 BITS_PER_WINDOW = 5
 SKETCH_BYTES = 128 << 20
 SHARD_BITS = 20
-SKETCH_WINDOWS = 4_000_000  # windows that a task holds before it emits their cells
+SKETCH_WINDOWS = 2_000_000  # windows that a task holds before it emits their cells
 FLUSH_WINDOWS = 1_000_000  # and those it merges before it emits them
 BLOCK = 256
 GROUP_WINDOWS = 500_000
@@ -256,6 +256,7 @@ def drop_repeats(df: DataFrame, text: str = "text", width: int = WINDOW_WORDS, s
     names are replaced; all others stay.
     """
     spark = df.sparkSession
+    small_batches(spark)
     n_windows = df.select(F.sum(F.octet_length(named(text)))).first()[0] or 0
     n_windows = n_windows // 6 + 1  # about one window per word of five bytes and a blank
     cells = int(min(sketch_bytes * 8, max(1 << 16, BITS_PER_WINDOW * n_windows)) // 2)
