@@ -85,3 +85,33 @@ def test_no_training_texts_and_empty_tables(spark):
     got = {r.id: r for r in lbl.lm_scores(df, "id", "text", F.lit(False)).collect()}
     assert got[1].base_score == 0 and got[2].n_tokens == 1 and got[1].n_known == 0 and got[1].train_tokens == 0
     assert lbl.lm_scores(df.where("false"), "id", "text", F.lit(True)).collect() == []
+
+
+def test_class_probabilities_are_normalised(spark):
+    """Members of all classes add up to 1, with the normaliser from the table or not."""
+    random = np.random.default_rng(2)
+    counts = random.integers(1, 50, 60)
+    model = lbl.Model.start(counts, 8, np.array([0, 1, 2, 3, 6, 11, 18, 60]))
+    tables = lbl.score_tables(spark, model, 10)
+    for one, two in [(1, 1), (9, 50), (59, 40)]:
+        p = np.exp(tables.logs(np.arange(60), np.full(60, one), np.full(60, two)).astype(float))
+        assert p.sum() == pytest.approx(1, abs=1e-4) and p[lbl.START] < 1e-6
+
+
+def test_vocabulary_grows_and_rare_words_are_learned(spark):
+    """400 words outside a shortlist of 5, always in the same order: which one follows must be learned."""
+    def vocabulary(n):
+        head = lbl.pd.DataFrame({"a": np.arange(n) * 7919})
+        return lbl.make_vocabulary(head, n, 5)
+
+    small, large = vocabulary(10_000), vocabulary(1_000_000)
+    assert len(large.keys) == 10 * len(small.keys) and large.classes > 5 * small.classes
+    random = np.random.default_rng(0)
+    texts = []
+    for i in range(1500):
+        at = int(random.integers(0, 400))
+        texts.append((i, " ".join(f"w{(at + k) % 400}" for k in range(60))))
+    df = spark.createDataFrame(texts, "id int, text string").coalesce(1)
+    held = F.col("id") % 5 == 0
+    base, score = lbl.lm_scores(df, "id", "text", ~held, shortlist=5).where("NOT training").agg(F.sum("base_score"), F.sum("score")).first()
+    assert score > base * 0.97

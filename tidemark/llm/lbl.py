@@ -1,15 +1,19 @@
 """Language-model scores from a log-bilinear model trained by noise-contrastive estimation in numpy.
 
 The model predicts a token from the two before it: the vectors of both, each times its own weights
-by position, add up to a predicted vector, and a token's score is its product with that vector
-plus a bias. The `SHORTLIST` most frequent words, the end of a text, and one class for all other
-words are predicted; a word of that class then has its share of the class's counts.
-
-Every task trains on all of its training texts, from the same start, and the models are averaged by
-their tokens, in `ROUNDS` rounds. Counts are exact over all training texts. For scoring, batched
-matrix products give the score of every token after every word and the normaliser of each pair of
-context words, so a token costs four lookups. The counts of the `HEAD` most frequent words are
-broadcast; rarer words are joined with the table of counts.
+by position, add up to a predicted vector q. Tokens lie in classes, and
+P(token) = P(class | q) P(member | class, q), both by products of vectors with q plus a bias.
+
+The vocabulary grows with the training counts. Of V words, the 16 sqrt(V) most frequent have a
+member, a context vector and a target vector of their own, and the word of rank r is in class
+floor(sqrt(r)), so classes grow as words get rarer. All other words are hashed to `BUCKETS` members
+in each of about sqrt(V) further classes; a word has its share of its member's counts. A normaliser
+runs over all classes and the members of one, some sqrt(V) products a token.
+
+Every task trains on all of its training texts, from the same start, and each row of the models is
+averaged by how often the tasks used it, in `ROUNDS` rounds. Counts are exact over all training
+texts. The counts of the `HEAD` most frequent words are broadcast; rarer words are joined with the
+table of counts.
 """
 
 from __future__ import annotations
@@ -26,14 +30,20 @@ from pyspark.sql import functions as F
 from tidemark.llm.words import find_words, small_batches, span_hashes, text_chunks
 from tidemark.session import named, ship_with_tasks, stage
 
-SHORTLIST = 1000
+SHORTLIST = 1000  # the fewest words with vectors of their own, and contexts whose pairs have a table of normalisers
+OWN_WORDS = 16  # words with vectors of their own, times the square root of all
+BUCKETS = 32  # members of a class of hashed words
 HEAD = 1 << 19
 WIDTH = 40
 ROUNDS = 2
 BATCH, NOISE, RATE = 8192, 64, 0.08
+INSIDE = 4  # noise words of a token inside its class
+SLICE = 4096  # rows of a model that are averaged at a time
+SCORED = 4096  # tokens whose classes are normalised at a time
 FLUSH_WORDS = 4_000_000
 FAN_IN = 32
-OTHER, START, END = 0, 1, 2  # the first ids; words follow
+TASKS = 6  # training tasks, times the square root of the input in units of 16 MB: models grow as tasks do
+START, END = 0, 1  # the first ids; words follow
 END_KEY = (-1, -1)  # of the end token in the table of counts
 
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -122,44 +132,86 @@ def token_counts(texts: DataFrame, groups: int) -> DataFrame:
 
 @dataclass
 class Model:
-    """Vectors of context words, weights by position (nearest first), vectors and biases of predicted tokens."""
+    """Vectors of context words, weights by position (nearest first), vectors and biases of classes and of their members.
+
+    Class c has the members `begins[c]` to `begins[c + 1] - 1`; a member is a token and a context.
+    """
 
     context: np.ndarray
     position: np.ndarray
     target: np.ndarray
     bias: np.ndarray
+    member: np.ndarray
+    member_bias: np.ndarray
+    begins: np.ndarray
 
     @staticmethod
-    def start(counts: np.ndarray, width: int = WIDTH) -> Model:
+    def start(counts: np.ndarray, width: int = WIDTH, begins: np.ndarray | None = None) -> Model:
+        """Without `begins`, each token is a class."""
         random, n = np.random.default_rng(3), len(counts)
+        begins = np.arange(n + 1) if begins is None else begins
         share = (counts + 0.5) / (counts + 0.5).sum()
-        bias = np.log(share).astype(np.float32)
+        of_class = np.add.reduceat(share, begins[:-1])
+        bias = np.log(of_class).astype(np.float32)
         bias[START] = -30.0  # never predicted
-        draw = lambda: (random.standard_normal((n, width)) * 0.1).astype(np.float32)
-        return Model(draw(), np.ones((2, width), np.float32), draw(), bias)
+        inside = np.log(share / np.repeat(of_class, np.diff(begins))).astype(np.float32)
+        draw = lambda rows: (random.standard_normal((rows, width)) * 0.1).astype(np.float32)
+        return Model(draw(n), np.ones((2, width), np.float32), draw(len(bias)), bias, draw(n), inside, begins)
+
+    def rows(self) -> np.ndarray:
+        """All vectors, each with its bias: of positions, classes, contexts, members."""
+        pairs = ((self.position, None), (self.target, self.bias), (self.context, None), (self.member, self.member_bias))
+        return np.concatenate([np.column_stack([v, np.zeros(len(v), np.float32) if b is None else b]) for v, b in pairs])
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.context, self.position, self.target, self.bias)])
+    def like(self, rows: np.ndarray) -> Model:
+        cuts = np.cumsum([2, len(self.target), len(self.context)])
+        position, target, context, member = (np.ascontiguousarray(p, np.float32) for p in np.split(rows, cuts))
+        strip = lambda p: np.ascontiguousarray(p[:, :-1])
+        return Model(strip(context), strip(position), strip(target), target[:, -1].copy(), strip(member), member[:, -1].copy(), self.begins)
 
-    def like(self, flat: np.ndarray) -> Model:
-        shapes = [p.shape for p in (self.context, self.position, self.target, self.bias)]
-        cuts = np.cumsum([int(np.prod(s)) for s in shapes])[:-1]
-        return Model(*(p.reshape(s).astype(np.float32) for p, s in zip(np.split(flat, cuts), shapes)))
 
+@dataclass
+class Vocabulary:
+    """Sorted first halves of the keys of words with own vectors, their tokens, and the hashed tokens that follow."""
 
-def token_ids(words, a: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, the one before, the one before that) of all texts in a row, each closed by the end token.
+    keys: np.ndarray
+    ids: np.ndarray
+    classes: int
 
-    `keys` are the sorted first halves of the shortlisted words' keys, `ids` their tokens.
-    """
+    @property
+    def first(self) -> int:
+        return len(self.keys) + 2
+
+    @property
+    def hashed(self) -> int:
+        return self.classes * BUCKETS
+
+    def tokens(self, a: np.ndarray) -> np.ndarray:
+        out = self.first + a % self.hashed
+        if len(self.keys):
+            where = np.minimum(np.searchsorted(self.keys, a), len(self.keys) - 1)
+            out = np.where(self.keys[where] == a, self.ids[where], out)
+        return out
+
+    def begins(self) -> np.ndarray:
+        own = len(self.keys)
+        squares = np.arange(int(np.ceil(np.sqrt(own)))) ** 2
+        return np.concatenate([[START, END], 2 + squares, self.first + BUCKETS * np.arange(self.classes + 1)]).astype(np.int64)
+
+
+def make_vocabulary(head: pd.DataFrame, distinct: int, shortlist: int) -> Vocabulary:
+    """`head`: the most frequent words, by falling counts; `distinct`: how many words there are."""
+    own = head["a"].to_numpy()[: max(shortlist, OWN_WORDS * int(np.ceil(np.sqrt(distinct))))]
+    order = np.argsort(own)
+    return Vocabulary(own[order], order + 2, max(int(np.ceil(np.sqrt(distinct - len(own)))), 1))
+
+
+def token_ids(words, a: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, the one before, the one before that) of all texts in a row, each closed by the end token."""
     n, total = len(words.counts), len(a) + len(words.counts)
     at = np.arange(len(a)) + words.text
     tokens = np.full(total, END)
-    if len(keys):
-        where = np.minimum(np.searchsorted(keys, a), len(keys) - 1)
-        tokens[at] = np.where(keys[where] == a, ids[where], OTHER)
-    else:
-        tokens[at] = OTHER
+    tokens[at] = vocabulary.tokens(a)
     firsts = words.firsts + np.arange(n)
     one, two = np.empty(total, np.int64), np.empty(total, np.int64)
     one[1:], two[2:] = tokens[:-1], tokens[:-2]
@@ -171,75 +223,108 @@ def token_ids(words, a: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> tuple[
     return tokens, one, two
 
 
-def _scatter(n: int, at: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sum of the rows that go to each of `n` places."""
-    at = at.astype(np.int16 if n < 1 << 15 else np.int64)  # short numbers are sorted by radix
+def _summed_rows(at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, sum of the rows that go to it, how many) of the places that occur."""
     order = np.argsort(at, kind="stable")
     at = at[order]
     begins = np.flatnonzero(np.diff(at, prepend=-1))
-    out = np.zeros((n, rows.shape[1]), np.float32)
-    out[at[begins]] = np.add.reduceat(rows[order], begins, axis=0)
-    return out
+    return at[begins], np.add.reduceat(rows[order], begins, axis=0), np.diff(np.append(begins, len(at)))
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 class Trainer:
-    """Mini-batches of noise-contrastive estimation with AdaGrad steps; the noise words of a batch are shared."""
+    """Mini-batches of noise-contrastive estimation with AdaGrad steps.
+
+    The noise classes of a batch are shared; each token has noise members of its own class, drawn evenly.
+    """
 
     def __init__(self, model: Model, counts: np.ndarray, seed: int, rate: float = RATE):
         self.m, self.rate, self.tokens = model, rate, 0
         self.random = np.random.default_rng(seed)
-        share = (counts + 0.5).astype(float)
+        self.sizes = np.diff(model.begins)
+        self.class_of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        share = np.add.reduceat((counts + 0.5).astype(float), model.begins[:-1])
         share[START] = 0
         self.share = share / share.sum()
         self.log_noise = np.log(NOISE * np.maximum(self.share, 1e-30)).astype(np.float32)
-        self.squares = [np.full(p.shape, 1e-6, np.float32) for p in (model.context, model.position, model.target, model.bias)]
+        self.log_inside = np.log(INSIDE / self.sizes).astype(np.float32)
+        self.squares = [np.full(p.shape, 1e-6, np.float32) for p in (model.position, model.target, model.bias)]
+        # a rare row has few steps, so its sums are not divided by the batch
+        self.row_squares = [np.full((len(p), p.shape[1] + 1), 1.0, np.float32) for p in (model.context, model.member)]
+        self.used = [np.zeros(len(p), np.float32) for p in (model.context, model.member)]
+
+    def _update(self, which: int, vectors: np.ndarray, bias: np.ndarray | None, at: np.ndarray, rows: np.ndarray) -> None:
+        places, sums, times = _summed_rows(at, rows)
+        self.used[which][places] += times
+        squares = self.row_squares[which]
+        squares[places, : rows.shape[1]] += sums * sums
+        sums *= self.rate / np.sqrt(squares[places, : rows.shape[1]])
+        width = vectors.shape[1]
+        vectors[places] += sums[:, :width]
+        if bias is not None:
+            bias[places] += sums[:, width]
 
     def step(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         m, n = self.m, len(token)
+        kind = self.class_of[token]
         noise = self.random.choice(len(self.share), NOISE, p=self.share)
         first, second = m.context[one], m.context[two]
         predicted = first * m.position[0]
         predicted += second * m.position[1]
-        wanted, others = m.target[token], m.target[noise]
-        real = np.einsum("ij,ij->i", predicted, wanted) + (m.bias - self.log_noise)[token]
-        down = predicted @ others.T
-        down += m.bias[noise] - self.log_noise[noise]
-        up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        np.clip(down, -30, 30, out=down)
-        np.negative(down, out=down)
-        np.exp(down, out=down)
-        down += 1
-        np.reciprocal(down, out=down)  # the chance, by the model, that each noise word is real
+        wanted, others = m.target[kind], m.target[noise]
+        up = _sigmoid(-np.einsum("ij,ij->i", predicted, wanted) - (m.bias - self.log_noise)[kind])
+        down = _sigmoid(predicted @ others.T + (m.bias[noise] - self.log_noise[noise]))  # the chance, by the model, that each noise class is real
         back = wanted * up[:, None]
         back -= down @ others
-        size = len(m.bias)
-        np.multiply(predicted, up[:, None], out=wanted)
-        target = _scatter(size, token, wanted)
+        target = np.zeros_like(m.target)
+        places, sums, _ = _summed_rows(kind, predicted * up[:, None])
+        target[places] = sums
         np.subtract.at(target, noise, down.T @ predicted)
-        bias = np.bincount(token, up, size) - np.bincount(noise, down.sum(0), size)
-        context = _scatter(size, one, back) * m.position[0] + _scatter(size, two, back) * m.position[1]
+        bias = np.bincount(kind, up, len(m.bias)) - np.bincount(noise, down.sum(0), len(m.bias))
+
+        mine = np.flatnonzero(self.sizes[kind] > 1)
+        if len(mine):
+            own, kinds, q = token[mine], kind[mine], predicted[mine]
+            drawn = m.begins[kinds][:, None] + (self.random.random((len(mine), INSIDE)) * self.sizes[kinds][:, None]).astype(np.int64)
+            at = np.column_stack([own, drawn])
+            vectors = m.member[at]
+            pull = -_sigmoid(np.einsum("ij,ikj->ik", q, vectors) + m.member_bias[at] - self.log_inside[kinds][:, None])
+            pull[:, 0] += 1
+            back[mine] += np.einsum("ik,ikj->ij", pull, vectors)
+            rows = np.concatenate([q[:, None, :] * pull[:, :, None], pull[:, :, None]], 2)
+            self._update(1, m.member, m.member_bias, at.ravel(), rows.reshape(-1, rows.shape[2]).astype(np.float32))
         position = np.stack([np.einsum("ij,ij->j", back, first), np.einsum("ij,ij->j", back, second)])
-        for p, g, s in zip((m.context, m.position, m.target, m.bias), (context, position, target, bias), self.squares):
+        self._update(0, m.context, None, np.concatenate([one, two]), np.concatenate([back * m.position[0], back * m.position[1]]))
+        for p, g, s in zip((m.position, m.target, m.bias), (position, target, bias), self.squares):
             g = (g / n).astype(np.float32)
             s += g * g
             p += self.rate * g / np.sqrt(s)
         self.tokens += n
 
+    def weights(self) -> np.ndarray:
+        """How much each row of the model counts in the mean."""
+        return np.concatenate([np.full(2 + len(self.m.bias), self.tokens, np.float32), *self.used])
+
 
-def train_round(texts: DataFrame, model: Model, counts: np.ndarray, keys: np.ndarray, ids: np.ndarray, seed: int, rate: float) -> Model:
-    """The mean, weighted by tokens, of the models that the tasks train from `model`."""
+def train_round(texts: DataFrame, model: Model, counts: np.ndarray, vocabulary: Vocabulary, seed: int, rate: float) -> Model:
+    """The mean of the models that the tasks train from `model`; each row by how often a task used it."""
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast((model, counts, keys, ids))  # a few hundred kilobytes, fixed by the shortlist
+    shared = spark.sparkContext.broadcast((model, counts, vocabulary))  # grows with the square root of the vocabulary
+    width = model.context.shape[1] + 1
 
     def train(batches):
-        start, counts, keys, ids = shared.value
-        own = start.like(start.flat())
+        start, counts, vocabulary = shared.value
+        before = start.rows()
+        own = start.like(before)
         trainer, held, size = Trainer(own, counts, seed + TaskContext.get().partitionId(), rate), [], 0
         for batch in batches:
             for _, _, data, bounds in text_chunks(batch.column(0)):
                 words = find_words(data, bounds)
                 a = span_hashes(_LOWERED[data], words.starts, words.ends, 0).view(np.int64)
-                held.append(np.stack(token_ids(words, a, keys, ids)))
+                held.append(np.stack(token_ids(words, a, vocabulary)))
                 size += held[-1].shape[1]
                 if size >= BATCH:
                     rows = np.concatenate(held, 1)
@@ -251,56 +336,92 @@ def train_round(texts: DataFrame, model: Model, counts: np.ndarray, keys: np.nda
         if size:
             trainer.step(*np.concatenate(held, 1))
         if trainer.tokens:
-            weighted = own.flat().astype(np.float64) * trainer.tokens
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([trainer.tokens]), pa.array([weighted.tobytes()], pa.binary())], ["salt", "tokens", "sums"])
+            moved, weights = own.rows() - before, trainer.weights()
+            for i in range(0, len(moved), SLICE):
+                if weights[i:i + SLICE].any():
+                    yield packed(TaskContext.get().partitionId(), i, moved[i:i + SLICE], weights[i:i + SLICE])
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(s, np.float64) for s in group["sums"])
-        return pd.DataFrame({"salt": group["salt"].iloc[:1], "tokens": [group["tokens"].sum()], "sums": [np.asarray(total).tobytes()]})
+    def packed(salt, first, moved, weights):
+        return pa.RecordBatch.from_pydict({"salt": pa.array([salt], pa.int64()), "first": pa.array([first], pa.int64()), "moved": pa.array([moved.astype(np.float16).tobytes()], pa.binary()), "weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary())})
 
-    schema = "salt long, tokens long, sums binary"
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total, weights = 0, 0
+        for moved, weight in zip(group["moved"], group["weights"]):
+            weight = np.frombuffer(weight, np.float32).astype(float)
+            total = total + np.frombuffer(moved, np.float16).reshape(-1, width) * weight[:, None]
+            weights = weights + weight
+        mean = total / np.maximum(weights, 1)[:, None]
+        return packed(int(group["salt"].iloc[0]), int(group["first"].iloc[0]), mean, weights).to_pandas()
+
+    schema = "salt long, first long, moved binary, weights binary"
     parts = texts.select("text").mapInArrow(train, schema)
-    width = parts.rdd.getNumPartitions()
-    while width > 1:
-        width = -(-width // FAN_IN)
-        parts = parts.withColumn("salt", F.col("salt") % width).groupBy("salt").applyInPandas(add, schema)
-    row = parts.first()
-    return model if row is None else model.like(np.frombuffer(row.sums, np.float64) / row.tokens)
+    tasks = parts.rdd.getNumPartitions()
+    while tasks > 1:
+        tasks = -(-tasks // FAN_IN)
+        parts = parts.withColumn("salt", F.col("salt") % tasks).groupBy("salt", "first").applyInPandas(add, schema)
+    rows = model.rows()
+    for part in parts.select("first", "moved").toLocalIterator():
+        moved = np.frombuffer(part.moved, np.float16).reshape(-1, width)
+        rows[part.first:part.first + len(moved)] += moved
+    return model.like(rows)
+
+
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(1)
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return top + np.log(scores.sum(1))
 
 
 @dataclass
 class Tables:
-    """Natural logarithms: score of a token after the word before it, after the one before that, and the normaliser of both."""
+    """The model, and the logarithms of the class normalisers of all pairs of the first contexts."""
 
-    one: np.ndarray
-    two: np.ndarray
+    model: Model
     norm: np.ndarray
 
     def logs(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.one[one, token] + self.two[two, token] - self.norm[one, two]
-
-
-def score_tables(spark, model: Model) -> Tables:
-    """All pairs of the fixed shortlist, in tasks of one context word each."""
-    one = (model.context * model.position[0]) @ model.target.T + model.bias
-    two = (model.context * model.position[1]) @ model.target.T
-    one[:, START] = -1e9
-    shared = spark.sparkContext.broadcast((one, two))
+        """Natural logarithms of the probabilities."""
+        m, pairs, sizes = self.model, len(self.norm), np.diff(self.model.begins)
+        kind = np.searchsorted(m.begins, token, "right") - 1
+        q = m.context[one] * m.position[0] + m.context[two] * m.position[1]
+        out = np.einsum("ij,ij->i", q, m.target[kind]) + m.bias[kind]
+        known = (one < pairs) & (two < pairs)
+        out[known] -= self.norm[one[known], two[known]]
+        rest = np.flatnonzero(~known)
+        for i in range(0, len(rest), SCORED):
+            at = rest[i:i + SCORED]
+            out[at] -= _log_sums(q[at] @ m.target.T + m.bias)
+        order = np.argsort(kind, kind="stable")
+        begins = np.flatnonzero(np.diff(kind[order], prepend=-1))
+        for i, j in zip(begins, np.append(begins[1:], len(order))):
+            c = kind[order[i]]
+            if sizes[c] == 1:
+                continue
+            first, last = m.begins[c], m.begins[c + 1]
+            for k in range(i, j, SCORED):
+                at = order[k:min(k + SCORED, j)]
+                scores = q[at] @ m.member[first:last].T + m.member_bias[first:last]
+                out[at] += scores[np.arange(len(at)), token[at] - first]
+                out[at] -= _log_sums(scores)
+        return out
+
+
+def score_tables(spark, model: Model, contexts: int = SHORTLIST) -> Tables:
+    """Class normalisers of all pairs of the first `contexts` contexts, in tasks of one context each."""
+    shared, n = spark.sparkContext.broadcast(model), min(contexts, len(model.context))
 
     def normalise(batches):
-        one, two = shared.value
+        m = shared.value
         for batch in batches:
             for i in batch.column(0).to_pylist():
-                rows = two + one[i]
-                top = rows.max(1)
-                norm = top + np.log(np.exp(rows - top[:, None]).sum(1))
+                norm = _log_sums((m.context[i] * m.position[0] + m.context[:n] * m.position[1]) @ m.target.T + m.bias)
                 yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([norm.astype(np.float32).tobytes()], pa.binary())], ["id", "norm"])
 
-    n = len(model.bias)
     norm = np.zeros((n, n), np.float32)
     for row in spark.range(n).mapInArrow(normalise, "id long, norm binary").collect():
         norm[row.id] = np.frombuffer(row.norm, np.float32)
-    return Tables(one, two, norm)
+    return Tables(model, norm)
 
 
 def _grouped_sum(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
@@ -337,31 +458,37 @@ def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHO
     total, distinct, ends = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when((F.col("a") == END_KEY[0]) & (F.col("b") == END_KEY[1]), F.col("n")))).first()
     total, ends = total or 0, ends or 0
     words = counts.where(~((F.col("a") == END_KEY[0]) & (F.col("b") == END_KEY[1])))
-    short = words.orderBy(F.desc("n"), "a", "b").limit(shortlist).toArrow().to_pandas()
-    head = pd.concat([short, most_frequent(words, HEAD)]).drop_duplicates(["a", "b"])
-    order = np.argsort(short["a"].to_numpy())
-    keys, ids = short["a"].to_numpy()[order], order + 3
-    other = total - ends - int(short["n"].sum())
-    unigram = np.concatenate([[other, 0, ends], short["n"].to_numpy()]).astype(np.int64)
-
-    model = Model.start(unigram)
+    head = most_frequent(words, HEAD).sort_values(["n", "a", "b"], ascending=[False, True, True])
+    vocabulary = make_vocabulary(head, distinct - (1 if ends else 0), shortlist)
+    own = head.iloc[: len(vocabulary.keys)]
+    bucket = F.pmod("a", F.lit(vocabulary.hashed))
+    held = words.groupBy(bucket.alias("at")).agg(F.sum("n").alias("n"), F.count("*").alias("words")).toArrow().to_pandas()
+    hashed, hashed_words = np.zeros((2, vocabulary.hashed), np.int64)
+    hashed[held["at"]], hashed_words[held["at"]] = held["n"], held["words"]
+    at = own["a"].to_numpy() % vocabulary.hashed
+    np.subtract.at(hashed, at, own["n"].to_numpy())
+    np.subtract.at(hashed_words, at, 1)
+    unigram = np.concatenate([[0, ends], own["n"].to_numpy(), hashed]).astype(np.int64)
+
+    model = Model.start(unigram, begins=vocabulary.begins())
+    tasks = learned.coalesce(int(np.ceil(TASKS * np.sqrt(size / (16 << 20) + 1))))
     for r in range(rounds):
-        model = train_round(learned, model, unigram, keys, ids, 1000 * r, RATE / (r + 1))
-    tables = score_tables(spark, model)
+        model = train_round(tasks, model, unigram, vocabulary, 1000 * r, RATE / (r + 1))
+    tables = score_tables(spark, model, shortlist)
 
     by_key = head.sort_values("a")
-    shared = spark.sparkContext.broadcast((tables, keys, ids, by_key["a"].to_numpy(), by_key["b"].to_numpy(), by_key["n"].to_numpy()))
+    bucket_all = np.log10(hashed + 0.5 * (hashed_words + 1))
+    shared = spark.sparkContext.broadcast((tables, vocabulary, bucket_all, by_key["a"].to_numpy(), by_key["b"].to_numpy(), by_key["n"].to_numpy()))
     base_all = total + 0.5 * (distinct + 1)
-    other_all = other + 0.5 * (distinct - len(short) - (1 if ends else 0) + 1)
 
     def score(batches):
-        tables, keys, ids, head_a, head_b, head_n = shared.value
+        tables, vocabulary, bucket_all, head_a, head_b, head_n = shared.value
         for batch in batches:
             for first, last, data, bounds in text_chunks(batch.column(2)):
                 part, n = batch.slice(first, last - first), last - first
                 words = find_words(data, bounds)
                 a, b = word_keys(words)
-                tokens, one, two = token_ids(words, a, keys, ids)
+                tokens, one, two = token_ids(words, a, vocabulary)
                 owner = np.repeat(np.arange(n), words.counts + 1)
                 logs = _grouped_sum(tables.logs(tokens, one, two).astype(float), owner, n) / np.log(10)
                 at = np.minimum(np.searchsorted(head_a, a), max(len(head_a) - 1, 0))
@@ -370,8 +497,10 @@ def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHO
                 base = _grouped_sum(np.log10((count[known] + 0.5) / base_all), words.text[known], n) + np.log10((ends + 0.5) / base_all)
                 is_word = np.ones(len(tokens), bool)
                 is_word[words.firsts + words.counts + np.arange(n)] = False
-                rare = known & (tokens[is_word] == OTHER)
-                logs += _grouped_sum(np.log10((count[rare] + 0.5) / other_all), words.text[rare], n)
+                rare = tokens[is_word] - vocabulary.first  # below 0: a word with vectors of its own
+                logs -= _grouped_sum(bucket_all[rare[rare >= 0]], words.text[rare >= 0], n)
+                rare = known & (rare >= 0)
+                logs += _grouped_sum(np.log10(count[rare] + 0.5), words.text[rare], n)
                 tail = np.flatnonzero(~known)
                 order = np.lexsort((b[tail], a[tail], words.text[tail]))
                 tail = tail[order]
@@ -396,7 +525,7 @@ def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHO
     rest = tail.join(counts, ["a", "b"], "left").groupBy("_row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(float(base_all)))).alias("rare_base"),
-        F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(float(other_all)))).alias("rare_logs"),
+        F.sum(F.col("times") * F.log10(c + 0.5)).alias("rare_logs"),
     )
     out = scored.select("_row", "key", "training", "n_tokens", "n_known", "base", "logs").join(rest, "_row", "left")
     zero = F.lit(0.0)
