@@ -44,6 +44,12 @@ def test_blocks_give_the_same(spark, monkeypatch):
     check(spark, variants(4, 40) + variants(5, 6) + ["a b"] * 4)
 
 
+def test_blocks_without_sets_count_no_link_twice(spark, monkeypatch):
+    """Clusters of two or three very long sets, in more blocks than they have sets."""
+    monkeypatch.setattr(near, "CLUSTER_SHINGLES", 90)
+    check(spark, [t for seed in range(20, 36) for t in variants(seed, 2 + seed % 2, edits=2)])
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near.near_classes(df).collect() == [] and near.keep_one(df).collect() == []

@@ -129,11 +129,11 @@ def surviving(sig: np.ndarray, left: np.ndarray, right: np.ndarray, least: list[
     return alive
 
 
-def bucket_forest(sig: np.ndarray, groups: np.ndarray, halves: np.ndarray, least: list[int]) -> np.ndarray:
+def bucket_forest(sig: np.ndarray, groups: np.ndarray, halves: np.ndarray, split: np.ndarray, least: list[int]) -> np.ndarray:
     """Label of each row (a row number), equal where surviving pairs of one group connect the rows.
 
-    Rows come sorted by `groups`. In a group of two blocks (`halves` 0 and 1) only pairs across them
-    count. Pairs are taken by distance in the group; those already connected are left out, so a
+    Rows come sorted by `groups`. In a group of two blocks (`split`), one of which may be empty, only
+    pairs across them (`halves` 0 and 1) count. Pairs are taken by distance in the group; those already connected are left out, so a
     group of near copies costs little more than its size.
     """
     n = len(groups)
@@ -141,8 +141,6 @@ def bucket_forest(sig: np.ndarray, groups: np.ndarray, halves: np.ndarray, least
     begins = np.flatnonzero(np.diff(groups, prepend=groups[:1] - 1)) if n else np.empty(0, np.int64)
     sizes = np.diff(np.append(begins, n))
     last = np.repeat(begins + sizes, sizes)
-    split = np.maximum.reduceat(halves, begins) > np.minimum.reduceat(halves, begins) if n else np.empty(0, bool)
-    split = np.repeat(split, sizes)
     rows = np.arange(n)
     distance, links = 1, [(rows[:0], rows[:0])]
     while len(rows := rows[rows + distance < last[rows]]):
@@ -168,7 +166,7 @@ def _candidate_edges(members: DataFrame, threshold: float, tolerance: float) ->
         key = group[["_bucket", "_lo", "_hi"]].to_numpy()
         numbers = np.cumsum(np.append(0, (key[1:] != key[:-1]).any(1)))
         sig = np.frombuffer(b"".join(group["_sig"]), np.uint8).reshape(-1, HASHES)
-        label = bucket_forest(sig, numbers, group["_half"].to_numpy(), least)
+        label = bucket_forest(sig, numbers, group["_half"].to_numpy(), key[:, 1] != key[:, 2], least)
         sid, at = group["sid"].to_numpy(), np.flatnonzero(label != np.arange(len(label)))
         found = np.unique(np.stack([sid[at], sid[label[at]]], 1), axis=0)
         return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
@@ -244,15 +242,15 @@ def _verified(members: DataFrame, threshold: float) -> DataFrame:
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, unit in group.groupby(["_root", "_lo", "_hi"], sort=False):
+        for (_, lo, hi), unit in group.groupby(["_root", "_lo", "_hi"], sort=False):
             unit = unit.drop_duplicates("sid").sort_values("sid")
             sets = [np.frombuffer(s, np.uint64) for s in unit["_shingles"]]
             n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
             common = intersections(np.repeat(np.arange(n), sizes), np.concatenate(sets), n).astype(np.int64)
             either = sizes[:, None] + sizes[None, :] - common
             linked = common * limit.denominator >= either * limit.numerator
-            half = unit["_half"].to_numpy()
-            if half.any() and not half.all():
+            if lo != hi:  # pairs inside a block are those of its own group, also where the other block is empty
+                half = unit["_half"].to_numpy()
                 linked &= half[:, None] != half[None, :]
             np.fill_diagonal(linked, False)
             a, b = np.nonzero(np.triu(linked))
