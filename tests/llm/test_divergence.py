@@ -56,3 +56,18 @@ def test_unknown_languages_ties_and_empty_tables(spark):
     assert all(r.char_distance is None and r.base_failed and not r.kept for r in rows)
     none = spark.createDataFrame([], "text string, lang string")
     assert divergence.quality_rules(none).collect() == [] and divergence.learn_references(none) == {}
+
+
+def test_rare_languages_have_a_reference_of_their_own(spark):
+    """Three Greek texts among 4,000 English ones, under 0.1%, are not compared with English."""
+    def prose(letters, seed):
+        random = np.random.default_rng(seed)
+        words = ["".join(letters[(i * 7 + k * 3) % len(letters)] for k in range(3 + i % 5)) for i in range(60)]
+        return " ".join(words[i] for i in random.permutation(60))
+
+    rows = [(prose("abcdefghijklmnop", i), "en") for i in range(4000)] + [(prose("αβγδεζηθικλμνξοπ", i), "el") for i in range(3)]
+    got = divergence.quality_rules(spark.createDataFrame(rows, "text string, lang string").coalesce(2)).where("lang = 'el'").collect()
+    assert len(got) == 3 and all(r.kept and r.char_distance < 0.1 for r in got)
+    references = {"en": divergence.Reference(np.ones(len(divergence.CLASSES)) / len(divergence.CLASSES), np.empty(0, np.uint64), np.ones(1))}
+    judged = divergence.judge(divergence.pa.array([rows[-1][0]]), ["el"], references, divergence.CHAR_LIMIT, divergence.WORD_LIMIT)
+    assert judged[6].to_pylist() == [True]  # no reference: the base rule alone

@@ -9,7 +9,8 @@ shares themselves are those of the half of a language's documents whose characte
 nearest to those of all its documents, so that junk does not shape what it is compared with.
 
 A document is compared by the Jensen-Shannon distance (base 2, 0 to 1) with its language's
-reference, or with the nearest one if its language is null or has none. A distance is only used
+reference, or with the nearest one if its language is null; where a stated language has none, the
+base rule decides alone. A distance is only used
 from a minimum length on, and short documents get a larger limit, as chance alone moves a
 histogram of k bins and n items by about sqrt(k / n).
 """
@@ -29,7 +30,7 @@ from tidemark.llm.words import SEPARATOR, append_columns, covered, find_words, m
 from tidemark.session import named, ship_with_tasks
 
 COMMON_SHARE = 0.05
-LANGUAGE_SHARE = 0.001  # a language with fewer of the documents has no reference, so there are at most 1,000
+MIN_DOCUMENTS = 1  # of a language with a reference, whatever its share of all documents
 MIN_WORDS = 50
 MIN_CHARS = 200
 MAX_REPEATED = 0.5
@@ -127,7 +128,7 @@ class Reference:
 
 
 def _lang_texts(df: DataFrame, text: str, lang: str) -> DataFrame:
-    return df.select(named(lang).cast("string").alias("lang"), named(text).alias("text"))
+    return df.select(F.translate(named(lang).cast("string"), "\x01", "").alias("lang"), named(text).alias("text"))
 
 
 def _by_language(batch):
@@ -179,7 +180,7 @@ def _reported(batches):
 
 
 def learn_references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, Reference]:
-    """Reference of each language that has `LANGUAGE_SHARE` of the documents or more."""
+    """Reference of each language that has `MIN_DOCUMENTS` documents or more."""
     spark, rows = df.sparkSession, _lang_texts(df, text, lang)
     small_batches(spark)
     reported = rows.mapInArrow(_reported, "lang string, word boolean, key long, found long, docs long")
@@ -187,7 +188,7 @@ def learn_references(df: DataFrame, text: str = "text", lang: str = "lang") -> d
     sums = sums.persist()
     classes = sums.where("NOT word").toPandas()  # a few rows per language
     sizes = classes[classes["key"] == 0].set_index("lang")["docs"]
-    sizes = sizes[sizes >= LANGUAGE_SHARE * sizes.sum()]
+    sizes = sizes[sizes >= MIN_DOCUMENTS]
     if not len(sizes):
         sums.unpersist()
         return {}
@@ -205,24 +206,35 @@ def learn_references(df: DataFrame, text: str = "text", lang: str = "lang") -> d
         import pyarrow.compute  # noqa: F401
 
         n_bins, c = 100, len(CLASSES)
-        sums = {k: np.zeros((n_bins + 1, 2 * len(v) + c + 2), np.int64) for k, (v, _) in shared.value.items()}
+        sums, size = {}, 0
+
+        def emit():
+            for lang, rows in sums.items():
+                at, column = np.nonzero(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(column, pa.int64()), pa.array(rows[at, column])],
+                    ["lang", "near", "at", "total"],
+                )
+
         for batch in batches:
             for lang, texts in _by_language(batch):
-                if lang not in sums:
+                if lang not in shared.value:
                     continue
                 common, centre = shared.value[lang]
+                if lang not in sums:
+                    sums[lang] = np.zeros((n_bins + 1, 2 * len(common) + c + 2), np.int64)
+                    size += sums[lang].nbytes
                 for _, _, data, bounds in text_chunks(texts):
                     words, kinds = find_words(data, bounds), char_classes(data, bounds)
                     counts = _histogram(words, lowered_words(words), common)
                     near = (distances(kinds, centre) * n_bins).astype(np.int64)
                     row = np.concatenate([counts[:, :-1] > 0, counts, kinds, np.ones((len(near), 1), np.int64)], 1)
                     np.add.at(sums[lang], near, row)
-        for lang, rows in sums.items():
-            at, column = np.nonzero(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(column, pa.int64()), pa.array(rows[at, column])],
-                ["lang", "near", "at", "total"],
-            )
+                if size >= FLUSH_BYTES:  # many languages
+                    yield from emit()
+                    sums.clear()
+                    size = 0
+        yield from emit()
 
     counted = rows.mapInArrow(count, "lang string, near long, at long, total long")
     counted = counted.groupBy("lang", "near", "at").agg(F.sum("total").alias("total")).persist()
@@ -296,10 +308,9 @@ def judge(column: pa.Array, langs: list[str], references: dict[str, Reference],
         own = np.array(langs[first:last], object)
         by_char, by_word = np.full(last - first, np.inf), np.full(last - first, np.inf)
         bins = np.zeros(last - first)
-        for name, ref in references.items():
-            fits = (own == name) | ~np.isin(own, list(references))
-            if not fits.any():
-                continue
+        unstated = (own == "") & ("" not in references)
+        for name in references if unstated.any() else sorted(set(own) & references.keys()):
+            ref, fits = references[name], (own == name) | unstated
             c = distances(classes[fits], ref.classes)
             w = distances(_histogram(words, hashes, ref.words)[fits], ref.shares)
             at = np.flatnonzero(fits)
