@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm import bpe, chat, divergence, lbl, nbsvm, near, packing, rabitq, repeats, revisits
-from tidemark.session import ship_with_tasks
+from tidemark.llm import bpe, chat, divergence, lbl, nbsvm, near, packing, rabitq, repair, repeats, revisits, runs, simhash
+from tidemark.session import join_on, ship_with_tasks
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -263,6 +263,192 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang", "text")
 
 
+def _crc_sql(said: str) -> str:
+    """CRC-32 of an ASCII text in SQL: bit by bit with the reflected polynomial 0xEDB88320."""
+    shifts = "list_reduce([xor(c, b)] || range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)"
+    steps = f"[4294967295::BIGINT] || list_transform(string_split({said}, ''), lambda c: ascii(c)::BIGINT)"
+    return f"xor(4294967295, list_reduce({steps}, lambda c, b: {shifts}))"
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fifth of the turns lost, emptied, unfinished, repeated or said by the user; nulls are one space."""
+    space = F.lit(" ")
+    said = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(said.cast("binary")) % 20
+    rows = rows.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), kind.alias("kind")
+    ).where("kind <> 0")
+    return rows.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    ).drop("copy")
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.summaries(repair.repair_turns(damaged(rows)))
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    texts = {"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()}
+    whole = join_on(rows.select("conv_id").distinct(), found, ["conv_id"], "left")
+    return whole.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+        *[F.coalesce(c, F.lit(v)).alias(c) for c, v in texts.items()],
+    )
+
+
+def _step_sql(state: str, cost: str, letter: str) -> str:
+    """A state of the repair, six digits of cost and the audit, after one more edit."""
+    return f"lpad((left({state}, 6)::INT + {cost})::VARCHAR, 6, '0') || substr({state}, 7) || '{letter}'"
+
+
+def _repair_sql() -> str:
+    drop, late = "4", "CASE WHEN truncated THEN 3 ELSE 0 END"
+    after = {"b": _step_sql("b", drop, "D")}
+    stays = {}
+    for to, sources in (("s", "b"), ("u", "bsa"), ("a", "u")):
+        ways = [_step_sql(to, drop, "D")]
+        for source in sources:
+            kept = f"CASE WHEN NOT gone AND initial = '{to}' THEN {_step_sql(source, late, 'K')} END"
+            ways.append(kept if to == "s" else f"{kept}, CASE WHEN NOT gone AND initial <> '{to}' THEN {_step_sql(source, '3 + ' + late, 'R')} END")
+        stays[to] = f"least({', '.join(ways)})"
+    after |= stays
+    insert = {x: _step_sql(x, "3", "I") for x in ("b", "s", "u", "a")}
+    return rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations
+),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM given WHERE kind <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial,
+    left(lag(role) OVER w, 1) || left(role, 1) AS step,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS final
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)
+),
+judged AS (
+  SELECT *, final = '' AS blank, final <> '' AND nth > 1 AS twice, final = '' OR nth > 1 AS gone,
+    nth = 1 AND final NOT IN ('', '.', '!', '?') AS truncated
+  FROM placed
+),
+dp AS (
+  SELECT DISTINCT conv_id, n, 0 AS i, '000000' AS b, NULL::VARCHAR AS s, '000003I' AS u, '000006II' AS a FROM placed
+  UNION ALL
+  SELECT conv_id, n, i, b, s, u, least(a, {insert["u"]}) FROM (
+    SELECT conv_id, n, i, b, s, least(u, {insert["b"]}, {insert["s"]}, {insert["a"]}) AS u, a FROM (
+      SELECT dp.conv_id, dp.n, j.i, {after["b"]} AS b, {after["s"]} AS s, {after["u"]} AS u, {after["a"]} AS a
+      FROM dp JOIN judged j ON j.conv_id IS NOT DISTINCT FROM dp.conv_id AND j.i = dp.i + 1
+    )
+  )
+),
+best AS (SELECT conv_id, least(b, a) AS won FROM dp WHERE i = n),
+audits AS (SELECT conv_id, left(won, 6)::BIGINT AS cost, substr(won, 7) AS audit FROM best),
+letters AS (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS k FROM audits),
+edits AS (
+  SELECT *, substr(audit, k, 1) AS edit, len(replace(left(audit, k), 'I', '')) AS i,
+    len(replace(left(audit, k), 'D', '')) AS o, len(replace(audit, 'D', '')) % 2 AS odd
+  FROM letters
+),
+repaired AS (
+  SELECT e.conv_id, sha256(string_agg(
+    CASE WHEN edit = 'K' THEN j.role WHEN (o + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END
+      || ':' || CASE WHEN edit = 'I' THEN '' ELSE j.text END, chr(10) ORDER BY k)) AS repaired_sha256
+  FROM edits e LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM e.conv_id AND j.i = e.i
+  WHERE edit <> 'D' GROUP BY e.conv_id
+),
+faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (twice) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (i > 1 AND step NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN audits a ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+OP11_SQL = _repair_sql()
+
+
+def op12_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every text and the smallest document that its links reach."""
+    return simhash.near_components(table(spark, sf_dir, "documents"))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts with a tail of their words repeated periodically, by the CRC-32 of the id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"))
+    chosen = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w")
+    chosen = chosen.withColumn("a", F.when(n > 0, F.col("g") % n)).withColumn("p", F.floor((n - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    tail = F.transform(F.sequence(F.lit(0), n - F.col("a") - 1), lambda i: F.get("w", (F.col("a") + i % F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return chosen.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, the strongest one, and the text with each run cut to its first period."""
+    found = runs.collapse_runs(looped(table(spark, sf_dir, "documents")))
+    best = runs.strongest(F.col("runs"))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select("doc_id", "n_runs", best.alias("best"), F.array_join(line, "").alias("line"), "collapsed").select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("line", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = f"""
+WITH given AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS_SQL} AS w, {_crc_sql("doc_id::VARCHAR")} AS h FROM documents),
+planned AS (SELECT *, h // 10 AS g, len(w) AS n FROM given),
+planned2 AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM planned),
+d AS (
+  SELECT rid, doc_id, n, CASE WHEN a IS NULL THEN w ELSE
+    w[1:a] || list_transform(range(n - a), lambda i: w[a + 1 + i % (1 + (n - a) // (3 + g % 8))]) END AS w
+  FROM planned2
+),
+grams AS (SELECT rid, n, i, hash(w[i]) AS one, hash(w[i - 4:i]) AS five FROM d, unnest(range(5, n + 1)) AS t(i)),
+pairs AS (
+  SELECT y.rid, y.i, y.i - x.i AS q FROM grams x JOIN grams y
+  ON x.rid = y.rid AND x.five = y.five AND x.i < y.i AND 4 * (y.i - x.i) <= y.n
+),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT rid, q, min(i) - 5 - q AS start, count(*) + 4 + q AS length FROM islands GROUP BY rid, q, island),
+found AS (
+  SELECT rid, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY rid, start, length
+),
+listed AS (
+  SELECT rid, count(*) AS n_runs, sha256(string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)) AS runs_sha256
+  FROM found GROUP BY rid
+),
+best AS (
+  SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length::DOUBLE / period DESC, start, period) = 1
+),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM found),
+stay AS (
+  SELECT x.rid, string_agg(x.word, ' ' ORDER BY x.i) AS kept
+  FROM (SELECT rid, i, w[i + 1] AS word FROM d, unnest(range(0, n)) AS t(i)) x ANTI JOIN gone ON gone.rid = x.rid AND gone.i = x.i GROUP BY x.rid
+)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period,
+  (1000 * length // period)::BIGINT AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+  sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN listed ON listed.rid = d.rid LEFT JOIN best ON best.rid = d.rid LEFT JOIN stay ON stay.rid = d.rid
+"""
+
+
 LLM_QUERIES = {
     "op1_one_bit_search": op1_one_bit_search,
     "op2_chat_format": op2_chat_format,
@@ -274,6 +460,9 @@ LLM_QUERIES = {
     "op7_warc_revisits": op7_warc_revisits,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_simhash_components": op12_simhash_components,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 LLM_ORACLES: dict[str, str] = {
     "op1_one_bit_search": OP1_SQL,
@@ -281,6 +470,8 @@ LLM_ORACLES: dict[str, str] = {
     "op7_warc_revisits": OP7_SQL,
     "op10_near_join": OP10_SQL,
     "op4_substring_dedup": OP4_SQL,
+    "op11_structure_repair": OP11_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
 
 ship_with_tasks(__name__)

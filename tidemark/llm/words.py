@@ -118,6 +118,14 @@ def find_words(data: np.ndarray, bounds: np.ndarray) -> Words:
     return Words(data, bounds, starts, ends, np.repeat(np.arange(len(counts)), counts), counts, edges[:-1])
 
 
+def spaced(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts, each followed by one blank, as bytes, and where each word starts in them."""
+    lengths = words.ends - words.starts
+    out = np.full(int(lengths.sum()) + len(lengths), 0x20, np.uint8)
+    out[np.arange(int(lengths.sum())) + np.repeat(np.arange(len(lengths)), lengths)] = words.data[~SEPARATOR[words.data]]
+    return out, np.cumsum(lengths + 1) - (lengths + 1)
+
+
 def windows(hashes: np.ndarray, width: int, which: int = 0) -> np.ndarray:
     """Hash of each run of `width` consecutive words, over the borders of texts too."""
     n = len(hashes)
