@@ -60,14 +60,24 @@ def test_streamed_gold_is_the_batch_gold(spark, tmp_path):
     assert pairs.where(F.abs(F.col("g.`30_day_ma_close`") - F.col("w.`30_day_ma_close`")) > 1e-9).isEmpty()
 
 
+def spans_of(silver):
+    """What a table's `between` gives, of a DataFrame."""
+    def between(spans):
+        if spans is None:
+            return silver
+        ends = [(a or dt.date.min, b or dt.date.max) for a, b in spans]
+        return silver.where(" OR ".join(f"dt BETWEEN DATE'{a}' AND DATE'{b}'" for a, b in ends))
+
+    return between
+
+
 @pytest.mark.parametrize("lookback", [1, 40, 1000])
 def test_late_and_changed_bars_move_the_means_after_them(spark, bars, lookback):
     old = bars([("hot", d, d % 13) for d in range(100)] + [("a", d, d) for d in range(0, 90, 3)])
     new = bars([("hot", 60, 50), ("a", 50, 7)])
     silver = old.join(new, ["series", "dt"], "left_anti").unionByName(new)
     want = gold_features(silver)
-    since_day = lambda day: silver if day is None else silver.where(F.col("dt") >= F.lit(day))
-    got = affected_gold(since_day, new, unique_days=True, lookback_days=lookback)
+    got = affected_gold(spans_of(silver), new, unique_days=True, reach_days=lookback)
     before = gold_features(old)
     kept = before.join(got, ["series", "dt"], "left_anti")
     merged = kept.unionByName(got).alias("g").join(want.alias("w"), ["series", "dt"])

@@ -75,7 +75,7 @@ def test_hyperband_rounds_and_best(spark, tmp_path):
     seen = []
     log = RunLog(spark, str(tmp_path / "runs"))
     found = run_hyperband(spark, known_loss(spark, seen), budget=9, factor=3, run_log=log)
-    assert seen == [(9, 1), (3, 3), (1, 9), (5, 3), (1, 9), (3, 9)]
+    assert seen == [(9, 1), (5, 3), (3, 9), (3, 3), (1, 9), (1, 9)]  # round by round, all brackets in each
     assert found.config["config_id"] == 2 and found.mse == pytest.approx(1 / 9)
     assert found.evaluations.count() == sum(n for n, _ in seen)
     best = best_run(log.read()).first()
@@ -85,7 +85,7 @@ def test_hyperband_rounds_and_best(spark, tmp_path):
 def test_bracket_ends_without_survivors(spark):
     seen = []
     run_hyperband(spark, known_loss(spark, seen), budget=100, factor=4, schedule="reference")
-    assert seen == [(1, 100), (6, 16), (1, 64), (25, 4), (6, 16), (100, 1)]
+    assert seen == [(1, 100), (6, 16), (25, 4), (100, 1), (1, 64), (6, 16)]
 
 
 def test_survivors_order(spark):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import last_rows, recent_enough, trailing
@@ -61,36 +61,82 @@ def _latest_gold(silver: DataFrame, order) -> DataFrame:
     return project_gold(top.select(*SERIES_KEY, "row.*", F.col(f"`{_MA}`")))
 
 
-def affected_gold(since_day, bars: DataFrame, unique_days: bool, lookback_days: int = 90) -> DataFrame:
-    """Gold rows that change when `bars` have come into silver.
+def _spans(fresh: DataFrame, reach_days: int):
+    """Merged spans (first day, last day) that reach so far around the new days; one row per month comes to the driver."""
+    months = fresh.groupBy(F.trunc("dt", "MM")).agg(F.min("dt").alias("a"), F.max("dt").alias("b")).orderBy("a").collect()
+    reach, out = timedelta(days=reach_days), []
+    for _, a, b in months:
+        a, b = max(a, date.min + reach) - reach, min(b, date.max - reach) + reach
+        if out and a <= out[-1][1]:
+            a = out.pop()[0]
+        out.append((a, b))
+    return out
 
-    `since_day(day)` gives the silver rows from a day on, or all for None. The changed rows are
-    those of a series from its first new bar on. Their mean needs the 29 bars before, looked for
-    in the last `lookback_days` days first, so that older folders are not read; only series with
-    too few bars there are looked up in all of their history.
+
+def affected_gold(between, bars: DataFrame, unique_days: bool, reach_days: int = 90) -> DataFrame:
+    """Gold rows that change when `bars` have come into silver: each new bar and the 29 after it.
+
+    `between(spans)` gives the silver rows whose day lies in one of the spans, or all for None. Only days
+    at most `reach_days` around a new bar are read; overlapping neighbourhoods of a series are merged into islands, and every island is
+    computed for itself. A series with too few bars there (and more of them outside) is looked up in all of
+    its history, from its first new bar on.
     """
-    need = TRAILING_ROWS - 1
+    order, place = ["dt", _AT], [*SERIES_KEY, "_island"]
+    fresh = stage(bars.select(*SERIES_KEY, *order).distinct(), "fresh")
+    spans = _spans(fresh, reach_days)
+    if not spans:
+        return gold_features(between(None).where(F.lit(False)), unique_days)
+    by_day = Window.partitionBy(*SERIES_KEY).orderBy("dt")
+    apart = F.coalesce(F.datediff("dt", F.lag("dt").over(by_day)) > 2 * reach_days + 1, F.lit(False))
+    days = fresh.select(*SERIES_KEY, "dt").distinct().withColumn("_apart", apart.cast("int"))
+    islands = days.withColumn("_island", F.sum("_apart").over(by_day)).groupBy(*place).agg(
+        F.date_sub(F.min("dt"), reach_days).alias("_first"), F.date_add(F.max("dt"), reach_days).alias("_last")
+    )
+    islands = stage(islands, "islands")
+    near = stage(islands.select(*place, F.explode(F.sequence("_first", "_last")).alias("dt")), "near")
+    rows = join_on(between(spans), small_or_not(near), [*SERIES_KEY, "dt"])
+    seen = stage(_means_and_hits(rows, fresh, place, unique_days), "seen")
+
+    ends = seen.groupBy(*place).agg(
+        F.bool_or(F.col("_hit") & (F.col("_rows") < TRAILING_ROWS)).alias("_thin"), F.max_by("_hit", _AT).alias("_open")
+    )
+    doubtful = stage(join_on(ends.where("_thin OR _open"), islands, place), "doubtful")
+    edges = doubtful.agg(F.max(F.when(F.col("_thin"), F.col("_first"))), F.min(F.when(F.col("_open"), F.col("_last")))).first()
+    outside = []
+    if edges[0] is not None:
+        outside.append((None, edges[0] - timedelta(days=1)))
+    if edges[1] is not None:
+        outside.append((edges[1] + timedelta(days=1), None))
+    result = seen.where("_hit")
+    if outside:
+        there = join_on(between(outside).select(*SERIES_KEY, F.col("dt").alias("_dt")), small_or_not(doubtful), SERIES_KEY)
+        there = there.where("(_thin AND _dt < _first) OR (_open AND _dt > _last)")
+        wide = stage(there.select(*SERIES_KEY).distinct(), "wide")
+        if not wide.isEmpty():
+            narrow = project_gold(join_on(result, small_or_not(wide), SERIES_KEY, "left_anti"))
+            of_wide = stage(join_on(fresh, small_or_not(wide), SERIES_KEY, "left_semi"), "fresh")
+            return narrow.unionByName(_gold_since(between, of_wide, unique_days))
+    return project_gold(result)
+
+
+def _means_and_hits(rows: DataFrame, fresh: DataFrame, place, unique_days: bool) -> DataFrame:
+    """Rows with the mean, the number of bars in it, and whether one of these is new."""
     order = ["dt", _AT]
-    starts = bars.groupBy(*SERIES_KEY).agg(F.min(_AT).alias("_since"), F.min("dt").alias("_day"))
-    starts = stage(starts, "starts")
+    marked = join_on(rows, small_or_not(fresh.withColumn("_new", F.lit(True))), [*SERIES_KEY, *order], "left")
+    return trailing(marked, place, order, TRAILING_ROWS, {
+        _MA: F.avg("close"), "_rows": F.count(F.lit(1)), "_hit": F.max(F.coalesce("_new", F.lit(False))),
+    }, bound=DATE_DOMAIN_ROWS if unique_days else None)
+
+
+def _gold_since(between, fresh: DataFrame, unique_days: bool) -> DataFrame:
+    """The same rows for the new bars `fresh`, from all rows since the first of a series and the 29 before it."""
+    starts = stage(fresh.groupBy(*SERIES_KEY).agg(F.min(_AT).alias("_since"), F.min("dt").alias("_day")), "starts")
     first = starts.agg(F.min("_day")).first()[0]
-    starts = starts.drop("_day")
-    if first is None:
-        return gold_features(since_day(None).where(F.lit(False)), unique_days)
-
-    def history(rows, series):
-        before = join_on(rows, small_or_not(series), SERIES_KEY).where(F.col(_AT) < F.col("_since")).drop("_since")
-        return last_rows(before, SERIES_KEY, order, need)
-
-    found = stage(history(since_day(first - timedelta(days=lookback_days)), starts), "history")
-    held = found.groupBy(*SERIES_KEY).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= need)
-    short = stage(join_on(starts, held, SERIES_KEY, "left_anti"), "short")
-    if short.limit(1).count():
-        enough = join_on(found, short.select(*SERIES_KEY), SERIES_KEY, "left_anti")
-        found = enough.unionByName(history(since_day(None), short))
-    changed = join_on(since_day(first), small_or_not(starts), SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
-    gold = gold_features(changed.unionByName(found), unique_days)
-    return join_on(gold, small_or_not(starts), SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
+    starts = small_or_not(starts.drop("_day"))
+    before = join_on(between(None), starts, SERIES_KEY).where(F.col(_AT) < F.col("_since")).drop("_since")
+    before = last_rows(before, SERIES_KEY, ["dt", _AT], TRAILING_ROWS - 1)
+    since = join_on(between([(first, None)]), starts, SERIES_KEY).where(F.col(_AT) >= F.col("_since")).drop("_since")
+    return project_gold(_means_and_hits(since.unionByName(before), fresh, SERIES_KEY, unique_days).where("_hit"))
 
 
 def latest_days(df: DataFrame) -> DataFrame:

@@ -45,6 +45,10 @@ def quality_report(
     metrics = df.groupBy(*by).agg(*[
         _metric(kind, c, kinds.get(c) in ("float", "double")).alias(f"_m{i}") for i, (kind, c, _, _) in enumerate(rules)
     ])
+    return _judged(metrics, rules, name, level, by)
+
+
+def _judged(metrics: DataFrame, rules, name: str, level: str, by) -> DataFrame:
     results = F.array(*[
         F.struct(
             F.lit(kind).alias("constraint"),
@@ -59,6 +63,34 @@ def quality_report(
     )
 
 
+def state_aggregates(kinds: dict[str, str], rules=QUALITY_RULES) -> dict:
+    """Per rule an aggregate that can be merged over parts of a table, for `sinks.states`; `kinds` are the column types."""
+    out = {"_rows": F.count(F.lit(1))}
+    for i, (kind, column, _, _) in enumerate(rules):
+        if kind == "completeness":
+            value = named(column)
+            floating = kinds.get(column) in ("float", "double")
+            out[f"_s{i}"] = F.count(F.when(is_finite(value), value) if floating else value).cast("double")
+        elif kind != "size":
+            out[f"_s{i}"] = _metric(kind, column)
+    return out
+
+
+def report_of_states(
+    states: DataFrame, rules=QUALITY_RULES, name: str = QUALITY_CHECK, level: str = QUALITY_LEVEL, by=()
+) -> DataFrame:
+    """`quality_report` of a whole table from the states of its parts."""
+    merged = []
+    for i, (kind, _, _, _) in enumerate(rules):
+        state = F.col(f"_s{i}") if kind != "size" else None
+        merged.append({
+            "size": lambda: F.coalesce(F.sum("_rows"), F.lit(0)).cast("double"),
+            "completeness": lambda: F.try_divide(F.sum(state), F.sum("_rows")),
+            "min": lambda: F.min(state), "max": lambda: F.max(state),
+        }[kind]().alias(f"_m{i}"))
+    return _judged(states.groupBy(*by).agg(*merged), rules, name, level, by)
+
+
 def quality_gate(report: DataFrame) -> None:
     """Stops the caller when a rule failed, naming each failed rule once; the report has the groups."""
     failed = report.where(F.col("status") != "Success").groupBy("constraint", "column").agg(

@@ -10,12 +10,29 @@ from tidemark.schema import BATCH_ROWS, FOLD_GAP, TEST_ROWS, TRAIN_WINDOW, VALID
 from tidemark.session import TASK_ROWS, join_on, named, small_or_not, stage
 
 
-def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS) -> DataFrame:
+SHORT = ("raise", "leave_out")
+
+
+def _check_short(short: str) -> str:
+    if short not in SHORT:
+        raise ValueError(f"short must be one of {', '.join(SHORT)}, not {short!r}")
+    return short
+
+
+def short_groups(df: DataFrame, keys, needed: int) -> DataFrame:
+    """(keys..., rows, needed): the groups with less than `needed` rows, which a split or folds leave out."""
+    sizes = df.groupBy(*[named(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.where(F.col("rows") < needed).withColumn("needed", F.lit(needed).cast("long"))
+
+
+def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS, short: str = "raise") -> DataFrame:
     """Adds `split`: the newest `test_rows` rows are test, as many before them validation, the rest train.
 
     `order` must tell the rows of a group apart; ties among the newest ones raise. Only the two cut rows per group are looked for (key columns, newest rows); the table itself
-    is labelled by comparing with them, without being sorted or shuffled.
+    is labelled by comparing with them, without being sorted or shuffled. A group without train rows raises, or with
+    `short="leave_out"` has no rows in the result; `short_groups(df, keys, 2 * test_rows + 1)` lists these groups.
     """
+    _check_short(short)
     needed = 2 * test_rows + 1
     recent = recent_enough(df.select(*[named(c) for c in [*keys, *order]]), keys, order, needed)
     tail = last_rows(recent, keys, order, needed, rank="_rank")
@@ -27,9 +44,11 @@ def chronological_split(df: DataFrame, keys, order, test_rows: int = TEST_ROWS)
         F.max(F.when(F.col("_rank") == 2 * test_rows, at)).alias("_validation_from"),
     )
     cuts = stage(cuts, "cuts")
-    short = cuts.where(F.col("_seen") <= 2 * test_rows).first()
-    if short:
-        raise ValueError(f"group {[short[k] for k in keys]} has {short['_seen']} rows, needs more than {2 * test_rows}")
+    if short == "raise":
+        one = cuts.where(F.col("_seen") <= 2 * test_rows).first()
+        if one:
+            raise ValueError(f"group {[one[k] for k in keys]} has {one['_seen']} rows, needs more than {2 * test_rows}")
+    cuts = cuts.where(F.col("_seen") > 2 * test_rows)
     tied = cuts.where(F.col("_places") < F.col("_seen")).first()
     if tied:
         raise ValueError(f"{list(order)} does not order the rows of group {[tied[k] for k in keys]}: add a column that breaks ties")
@@ -61,20 +80,23 @@ def fold_count(rows, train: int = TRAIN_WINDOW, validation: int = VALIDATION_WIN
 
 def walk_forward_folds(
     df: DataFrame, keys, order, train: int = TRAIN_WINDOW, validation: int = VALIDATION_WINDOW,
-    gap: int = FOLD_GAP, limit: int = TASK_ROWS, bound: int | None = None,
+    gap: int = FOLD_GAP, limit: int = TASK_ROWS, bound: int | None = None, short: str = "raise",
 ) -> DataFrame:
     """Adds `row_idx`, `fold` and `role` (train or validation); a row comes once per fold it is in.
 
     Fold i trains on [i*v, i*v+t) and validates on [i*v+t+g, i*v+t+g+v). The folds of a row follow
-    from its position, so there is no range join, and a row lies in at most ceil(t/v)+1 of them.
+    from its position, so there is no range join, and a row lies in at most ceil(t/v)+1 of them. A group without a
+    fold raises, or with `short="leave_out"` has no rows in the result (`short_groups` lists it); no group with one raises always.
     """
+    _check_short(short)
     t, v, g = train, validation, gap
     sizes = df.groupBy(*[named(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
     sizes = stage(sizes.select(*[named(k) for k in keys], fold_count(F.col("_rows"), t, v, g).alias("_folds")), "sizes")
-    if sizes.where(F.col("_folds") < 1).limit(1).count() or not sizes.limit(1).count():
+    long_ = sizes.where(F.col("_folds") >= 1)
+    if short == "raise" and not sizes.where(F.col("_folds") < 1).isEmpty() or long_.isEmpty():
         raise ValueError(f"a group is shorter than one fold ({t} + {g} + {v} rows)")
 
-    indexed = join_on(row_index(df, keys, order, "row_idx", limit, bound), small_or_not(sizes), keys)
+    indexed = join_on(row_index(df, keys, order, "row_idx", limit, bound), small_or_not(long_), keys)
     first = F.expr(f"greatest(0L, (row_idx - {t} + {v}) div {v})")
     last = F.expr(f"least(row_idx div {v}, _folds - 1)")
     in_train = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))

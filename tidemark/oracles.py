@@ -104,6 +104,106 @@ fits AS (
   SELECT series, fold, regr_slope(close, open / 100000.0) AS slope, regr_intercept(close, open / 100000.0) AS intercept
   FROM (SELECT series, fold, role, close, CAST(open AS DOUBLE) AS open FROM folded) WHERE role = 'train' GROUP BY 1, 2)"""
 
+def _descent(epochs: int, configs: int, shown: str) -> str:
+    """Gradient descent of every fold and configuration on the sums of its rows, epoch by epoch, with early stopping.
+
+    `walk` has the weights, the best loss so far and its weights; `scored` the means over folds after the epochs `shown`.
+    """
+    p = range(4)
+    upper = [(i, j) for i in p for j in p if i <= j]
+    a = lambda i, j: f"a{min(i, j)}{max(i, j)}"
+    sums = ", ".join([f"sum(x{i} * x{j}) AS a{i}{j}" for i, j in upper] + [f"sum(x{i} * y) AS b{i}" for i in p])
+    gradient = ", ".join(
+        f"2.0 * ({' + '.join(f't.{a(i, j)} * w{j}' for j in p)} - t.b{i}) / t.n" + (f" + 2.0 * l2 * w{i}" if i < 3 else "") + f" AS g{i}" for i in p
+    )
+    moved = ", ".join(f"CASE WHEN going THEN w{i} - rate * least(1.0, 1.0 / greatest(norm, 1.0)) * g{i} ELSE w{i} END AS w{i}" for i in p)
+    quadratic = " + ".join(f"w{i} * ({' + '.join(f'v.{a(i, j)} * w{j}' for j in p)})" for i in p)
+    loss = f"greatest((v.yy - 2 * ({' + '.join(f'w{i} * v.b{i}' for i in p)}) + {quadratic}) / v.n, 0.0)"
+    of = "series, fold, config_id, rate, l2"
+    unit = lambda label: f"CAST('0x' || substr(md5(i || ':0:{label}'), 1, 7) AS BIGINT) / 268435456.0"
+    return f"""
+points AS (
+  SELECT series, fold, role, CAST(open AS DOUBLE) / 100000.0 AS x0, CAST(high AS DOUBLE) / 100000.0 AS x1,
+    CAST(low AS DOUBLE) / 100000.0 AS x2, 1.0::DOUBLE AS x3, close AS y FROM folded),
+sums AS (SELECT series, fold, role, count(*) AS n, {sums}, sum(y * y) AS yy FROM points GROUP BY 1, 2, 3),
+t AS (SELECT * FROM sums WHERE role = 'train'),
+v AS (SELECT * FROM sums WHERE role = 'validation'),
+configs AS (SELECT i AS config_id, {unit("rate")} * (1e-2 - 1e-5) + 1e-5 AS rate, pow(10.0, {unit("l2")} * 6 - 4) AS l2 FROM range({configs}) AS r(i)),
+walk AS (
+  SELECT {of}, 0 AS epoch, 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2, t.b3 / t.n AS w3, 'inf'::DOUBLE AS loss,
+    'inf'::DOUBLE AS best, 0 AS misses, TRUE AS going, [0.0::DOUBLE] AS kept FROM t, configs
+  UNION ALL
+  SELECT {of}, epoch, w0, w1, w2, w3, loss, CASE WHEN better THEN loss ELSE best END,
+    CASE WHEN better THEN 0 WHEN going THEN misses + 1 ELSE misses END, going AND (better OR misses + 1 < 10),
+    CASE WHEN better THEN [w0, w1, w2, w3] ELSE kept END
+  FROM (
+    SELECT *, going AND loss + 1e-5 < best AS better FROM (
+      SELECT s.*, {loss} AS loss FROM (
+        SELECT {of}, epoch, best, misses, going, kept, {moved} FROM (
+          SELECT *, sqrt(g0 * g0 + g1 * g1 + g2 * g2 + g3 * g3) AS norm FROM (
+            SELECT walk.series, walk.fold, config_id, rate, l2, epoch + 1 AS epoch, best, misses, going, kept, w0, w1, w2, w3, {gradient}
+            FROM walk JOIN t ON t.series = walk.series AND t.fold = walk.fold WHERE epoch < {epochs}))
+      ) s JOIN v ON v.series = s.series AND v.fold = s.fold))),
+shown AS (SELECT * FROM walk WHERE epoch IN ({shown})),
+missed AS (
+  SELECT config_id, epoch, s.series, s.fold, any_value(best) AS mse, exp(avg(abs(kept[1] * x0 + kept[2] * x1 + kept[3] * x2 + kept[4] - y))) AS mae_ratio
+  FROM shown s JOIN points q ON q.series = s.series AND q.fold = s.fold AND q.role = 'validation' GROUP BY 1, 2, 3, 4),
+scored AS (SELECT config_id, epoch, avg(mse) AS mse, avg(mae_ratio) AS mae_ratio FROM missed GROUP BY 1, 2)"""
+
+
+def _halving(rounds: int) -> str:
+    """Rounds of the published schedule for a budget of 27 and a factor of 3, all brackets at a time."""
+    ranked = "row_number() OVER (PARTITION BY b.bracket ORDER BY s.mse, b.config_id) AS k, count(*) OVER (PARTITION BY b.bracket) AS n"
+    parts = [f"""
+brackets AS (
+  SELECT CAST(CASE WHEN i < 27 THEN 3 WHEN i < 39 THEN 2 WHEN i < 45 THEN 1 ELSE 0 END AS INTEGER) AS bracket, i AS config_id FROM range(49) AS r(i)),
+r0 AS (
+  SELECT b.*, s.mse, s.mae_ratio, s.epoch AS budget, {ranked} FROM brackets b
+  JOIN scored s ON s.config_id = b.config_id AND s.epoch = 27 // CAST(pow(3, bracket) AS INTEGER))"""]
+    for i in range(1, rounds):
+        parts.append(f"""
+r{i} AS (
+  SELECT b.bracket, b.config_id, s.mse, s.mae_ratio, s.epoch AS budget, {ranked}
+  FROM r{i - 1} b JOIN scored s ON s.config_id = b.config_id AND s.epoch = 3 * b.budget WHERE b.k <= b.n // 3 AND b.bracket >= {i})""")
+    return ",".join(parts)
+
+
+def _stumps(trees: int) -> str:
+    """Boosted trees of depth 1 per fold position: every split of every feature tried, ties to the first feature and edge."""
+    parts = ["""edges AS (
+  SELECT f, e, row_number() OVER (PARTITION BY f ORDER BY e) AS k FROM (
+    SELECT DISTINCT f, unnest(quantile_disc(x, [i / 32.0 FOR i IN range(1, 32)])) AS e FROM (
+      SELECT unnest([0, 1, 2]) AS f, unnest([CAST(open AS DOUBLE), CAST(high AS DOUBLE), CAST(low AS DOUBLE)]) / 100000.0 AS x FROM gold)
+    GROUP BY f)),
+base AS (
+  SELECT row_number() OVER () AS id, fold, role, close AS y,
+    [CAST(open AS DOUBLE) / 100000.0, CAST(high AS DOUBLE) / 100000.0, CAST(low AS DOUBLE) / 100000.0] AS x FROM folded),
+p0 AS (SELECT *, 0.0::DOUBLE AS pred FROM base)"""]
+    for t in range(1, trees + 1):
+        weight = "1.0" if t == 1 else "0.1"
+        parts.append(f"""
+cut{t} AS (
+  SELECT p.fold, f, k, e, count(*) FILTER (x[f + 1] <= e) AS nl, sum(y - pred) FILTER (x[f + 1] <= e) AS sl, count(*) AS n, sum(y - pred) AS s
+  FROM p{t - 1} p, edges WHERE role = 'train' GROUP BY p.fold, f, k, e),
+gain{t} AS (
+  SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM cut{t} WHERE nl > 0 AND nl < n),
+best{t} AS (
+  SELECT * FROM (SELECT *, max(gain) OVER (PARTITION BY fold) AS top FROM gain{t}) WHERE gain >= top * (1 - 1e-9)
+  QUALIFY row_number() OVER (PARTITION BY fold ORDER BY f, k) = 1),
+p{t} AS (
+  SELECT p.id, p.fold, role, y, x, pred + {weight} * CASE WHEN x[f + 1] <= e THEN sl / nl ELSE (s - sl) / (n - nl) END AS pred
+  FROM p{t - 1} p JOIN best{t} b ON b.fold = p.fold),
+m{t} AS (SELECT fold, avg(pow(y - pred, 2)) AS m, avg(abs(y - pred)) AS a FROM p{t} WHERE role = 'validation' GROUP BY 1)""")
+    best, joined = "m1.m", "m1"
+    mae = "m1.a"
+    for t in range(2, trees + 1):
+        better = f"m{t}.m + 1e-5 < {best}"
+        best, mae = f"CASE WHEN {better} THEN m{t}.m ELSE {best} END", f"CASE WHEN {better} THEN m{t}.a ELSE {mae} END"
+        joined += f" JOIN m{t} USING (fold)"
+    parts.append(f"\nper AS (SELECT fold, {best} AS mse, exp({mae}) AS mae_ratio FROM {joined})")
+    return ",".join(parts)
+
+
 _SAMPLES = """
 samples AS (
   SELECT event_type, value, CAST(user_id AS DOUBLE) AS user_id,
@@ -135,11 +235,11 @@ SELECT "column", n_ref, n_cur, round(statistic, 6) AS statistic, round(p_value,
   CASE WHEN p_value < 0.05 THEN 'drift' ELSE 'stable' END AS flag FROM tested"""
 
 
-def _quality(keys: str) -> str:
+def _quality(keys: str, tables: str = _DAILY_GOLD, source: str = "gold") -> str:
     select = f"{keys}, " if keys else ""
     group = f"GROUP BY {keys}" if keys else ""
-    return "WITH " + _DAILY_GOLD + f""",
-m AS (SELECT {select} count(*) AS n, count(close) AS c, count(volume) AS v, min(open) AS lo, max(volume) AS hi FROM gold {group}),
+    return "WITH " + tables + f""",
+m AS (SELECT {select} count(*) AS n, count(close) AS c, count(volume) AS v, min(open) AS lo, max(volume) AS hi FROM {source} {group}),
 rules AS (
   SELECT {select} 'size' AS constraint_name, CAST(NULL AS VARCHAR) AS column_name, CAST(n AS DOUBLE) AS value, n > 0 AS ok FROM m
   UNION ALL SELECT {select} 'completeness', 'close', c / n, c = n FROM m
@@ -193,6 +293,17 @@ _PART = """CASE WHEN ts >= TIMESTAMP '2024-01-21 12:00:30' THEN 2
   WHEN ts >= TIMESTAMP '2024-01-11 00:00:30' THEN 1 ELSE 0 END"""
 
 
+def _ridge_on_open(rows: str) -> str:
+    """Ridge of the close on the scaled opening price: fitted on all but the newest 100 rows of each series in `rows`."""
+    return f"""
+aged AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY dt DESC) AS k FROM {rows}),
+scale AS (SELECT avg(CAST(open AS DOUBLE)) AS mu, stddev_pop(CAST(open AS DOUBLE)) AS sd FROM aged WHERE k > 100),
+z AS (SELECT g.*, (CAST(open AS DOUBLE) - mu) / sd AS z FROM gold g, scale),
+model AS (
+  SELECT sum((z.z) * (z.close - m.my)) / (sum(z.z * z.z) + 5.0) AS w, any_value(m.my) AS b
+  FROM z JOIN aged a ON a.series = z.series AND a.dt = z.dt AND a.k > 100, (SELECT avg(close) AS my FROM aged WHERE k > 100) m)"""
+
+
 def _online_step(before: str, batch: int) -> str:
     """One squared-error step at rate 0.05 from the weights of the step before, on the moments of a micro-batch."""
     return f"""SELECT m.*, p.w - 0.1 * (p.w * m.xx + p.b * m.x - m.xy) AS w, p.b - 0.1 * (p.w * m.x + p.b - m.y) AS b,
@@ -200,6 +311,46 @@ def _online_step(before: str, batch: int) -> str:
   FROM m JOIN {before} AS p ON p.series = m.series WHERE m.batch_id = {batch}"""
 
 
+def _stream_learn() -> str:
+    """Three online steps on replayed bars: the bars as they stand after each micro-batch, the buffer of the last 300 sent, four drawn."""
+    columns = ("open", "high", "low", "ma")
+    scale = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS m{i}, stddev_pop(CAST({c} AS DOUBLE)) AS d{i}" for i, c in enumerate(columns))
+    scaled = ", ".join(f"(CAST(g.{c} AS DOUBLE) - m{i}) / d{i} AS x{i}" for i, c in enumerate(columns))
+    zeros = ", ".join(f"0.0::DOUBLE AS w{i}" for i in range(5))
+    error = " + ".join([f"w{i} * x{i}" for i in range(4)] + ["w4 - y"])
+    sums = ", ".join([f"2 * avg(e * x{i}) AS g{i}" for i in range(4)] + ["2 * avg(e) AS g4"])
+    norm = "sqrt(" + " + ".join(f"g{i} * g{i}" for i in range(5)) + ")"
+    moved = ", ".join(f"CASE WHEN u.n IS NULL THEN w{i} ELSE w{i} - 0.01 * g{i} * least(1.0, 1.0 / {norm}) END AS w{i}" for i in range(5))
+    steps = "".join(f""",
+s{b + 1} AS (
+  SELECT s.series, {moved}, s.steps + CASE WHEN u.n IS NULL THEN 0 ELSE 1 END AS steps, u.n, u.mse, {b} AS batch_id FROM s{b} s LEFT JOIN (
+    SELECT series, count(*) AS n, avg(e * e) AS mse, {sums} FROM (
+      SELECT x.*, {error} AS e FROM x JOIN s{b} p ON p.series = x.series WHERE b = {b}) GROUP BY 1) u ON u.series = s.series)""" for b in range(3))
+    return "WITH " + _INTRADAY + "," + _gold("intraday", "dt, timestamp_in_ms") + f""",
+scale AS (SELECT {scale} FROM gold),
+states AS (
+  SELECT b, event_type AS series, date_trunc('minute', ts) AS m, first(value ORDER BY ts, event_id) AS open, max(value) AS high,
+    min(value) AS low, last(value ORDER BY ts, event_id) AS close, max(CASE WHEN part = b THEN 1 ELSE 0 END) AS sent
+  FROM (SELECT *, {_PART} AS part FROM events) e, range(3) AS t(b) WHERE part <= b GROUP BY ALL),
+stood AS (
+  SELECT b, series, sent, CAST(epoch_ms(m) AS BIGINT) AS ms, CAST(open AS FLOAT) AS open, CAST(high AS FLOAT) AS high, CAST(low AS FLOAT) AS low,
+    ln(1 + CAST(CAST(close AS FLOAT) AS DOUBLE)) AS y,
+    avg(CAST(CAST(close AS FLOAT) AS DOUBLE)) OVER (PARTITION BY b, series ORDER BY m ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS ma
+  FROM states),
+arrived AS (
+  SELECT t.b, series, ms, row_number() OVER (PARTITION BY t.b, series ORDER BY s.b DESC, ms DESC) AS age
+  FROM stood s, range(3) AS t(b) WHERE sent = 1 AND s.b <= t.b),
+drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY b, series ORDER BY age > 1, md5(ms || ':' || b), ms) AS draw,
+    count(*) OVER (PARTITION BY b, series) AS held FROM arrived WHERE age <= 300),
+x AS (
+  SELECT g.b, g.series, y, {scaled} FROM stood g, scale
+  WHERE EXISTS (SELECT 1 FROM drawn d WHERE d.b = g.b AND d.series = g.series AND d.ms = g.ms AND draw <= 4 AND held >= 4)),
+s0 AS (SELECT DISTINCT event_type AS series, {zeros}, 0 AS steps, NULL::BIGINT AS n, NULL::DOUBLE AS mse, -1 AS batch_id FROM events){steps}
+SELECT CAST(batch_id AS BIGINT) AS batch_id, series, CAST(steps AS BIGINT) AS steps, n AS "rows", round(mse, 6) AS mse
+FROM (FROM s1 UNION ALL FROM s2 UNION ALL FROM s3) WHERE n IS NOT NULL"""
+
+
 ORACLES = {
     "daily_bars": "WITH " + _DAILY + f" SELECT {_bar_columns(3)} FROM bars",
     "minute_bars": "WITH " + _MINUTES + f" SELECT {_minute_columns()} FROM minutes",
@@ -214,6 +365,29 @@ SELECT {_bar_columns(3)} FROM kept""",
     "gold_latest": "WITH " + _DAILY_GOLD + f"""
 SELECT {_gold_columns(4)} FROM gold g WHERE g.dt = (SELECT max(b.dt) FROM bars b WHERE b.series = g.series)""",
     "gold_halo_window": "WITH " + _INTRADAY + "," + _gold("intraday", "dt, timestamp_in_ms") + f" SELECT {_gold_columns(4)} FROM gold",
+    "short_series": """
+SELECT o_custkey, o_orderkey, CASE WHEN k <= 3 THEN 'test' WHEN k <= 6 THEN 'validation' ELSE 'train' END AS split FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS k, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
+WHERE n > 6""",
+    "series_left_out": "SELECT o_custkey, count(*) AS n, CAST(7 AS BIGINT) AS needed FROM orders GROUP BY 1 HAVING count(*) < 7",
+    "weekly_production": "WITH " + _DAILY_GOLD + "," + _ridge_on_open("gold") + """
+SELECT z.series, CAST(z.dt AS VARCHAR) AS dt, 'ridge' AS candidate, round(w * z.z + b, 6) AS pred
+FROM z JOIN aged a ON a.series = z.series AND a.dt = z.dt, model WHERE a.k <= 50""",
+    "stream_from_production": "WITH " + _DAILY_GOLD + """,
+placed AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY dt DESC) - 1 AS age FROM gold),
+early AS (SELECT * FROM placed WHERE age >= 60),""" + _ridge_on_open("early") + """,
+m AS (
+  SELECT z.series, CASE WHEN age >= 30 THEN 0 ELSE 1 END AS batch_id, count(*) AS n, avg(z) AS x, avg(z * z) AS xx, avg(z * z.close) AS xy,
+    avg(z.close) AS y, avg(z.close * z.close) AS yy FROM z JOIN placed p ON p.series = z.series AND p.dt = z.dt WHERE age < 60 GROUP BY 1, 2),
+s0 AS (SELECT m.*, w0.w - 0.02 * (w0.w * xx + w0.b * x - xy) AS w, w0.b - 0.02 * (w0.w * x + w0.b - y) AS b,
+  w0.w * w0.w * xx + 2 * w0.w * w0.b * x + w0.b * w0.b - 2 * w0.w * xy - 2 * w0.b * y + yy AS mse, 1 AS steps FROM m, model w0 WHERE batch_id = 0),
+s1 AS (SELECT m.*, p.w - 0.02 * (p.w * m.xx + p.b * m.x - m.xy) AS w, p.b - 0.02 * (p.w * m.x + p.b - m.y) AS b,
+  p.w * p.w * m.xx + 2 * p.w * p.b * m.x + p.b * p.b - 2 * p.w * m.xy - 2 * p.b * m.y + m.yy AS mse, 2 AS steps
+  FROM m JOIN s0 p ON p.series = m.series WHERE m.batch_id = 1)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, series, round(w, 6) AS w, round(b, 6) AS b, CAST(steps AS BIGINT) AS steps, n, round(mse, 6) AS mse
+FROM (FROM s0 UNION ALL FROM s1)""",
+    "gold_late_bars": "WITH " + _DAILY_GOLD + f"""
+SELECT {_gold_columns(4)} FROM gold QUALIFY row_number() OVER (PARTITION BY series ORDER BY gold.dt) BETWEEN 200 AND 229""",
     "gold_empty": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(6)} FROM gold WHERE close < 0",
     "latest_dates": "WITH " + _DAILY + " SELECT series, CAST(max(dt) AS VARCHAR) AS latest_dt FROM bars GROUP BY 1",
     "lakehouse_run": "WITH " + _DAILY_GOLD + f" SELECT {_gold_columns(4)} FROM gold",
@@ -232,6 +406,7 @@ SELECT 'value' AS "column", count(*) AS n_ref, CAST(0 AS BIGINT) AS n_cur, CAST(
     "append_copy": "WITH " + _DAILY + " SELECT series, 2 * count(*) AS n, count(DISTINCT dt) AS days FROM bars GROUP BY 1",
     "quality_report": _quality(""),
     "quality_by_series": _quality("series"),
+    "quality_refreshed": _quality("series", _UPSERTED, "merged"),
     "ks_drift": _KS_TWO,
     "ks_drift_ranged": _KS_TWO,
     "drift_flags": "WITH " + _SAMPLES + "," + _ks("SELECT event_type, value AS v, r FROM samples", "event_type") + """
@@ -286,6 +461,14 @@ per AS (
   SELECT v.series, v.fold, config_id, avg(pow(intercept + slope * CAST(v.open AS DOUBLE) / 100000.0 - v.close, 2)) AS mse
   FROM folded v JOIN lines l ON l.series = v.series AND l.fold = v.fold WHERE v.role = 'validation' GROUP BY 1, 2, 3)
 SELECT config_id, round(avg(mse), 4) AS mse FROM per GROUP BY 1""",
+    "hyperband_survivors": "WITH RECURSIVE " + _FOLDS + "," + _descent(27, 49, "1, 3, 9, 27") + "," + _halving(4) + "\n" + " UNION ALL ".join(
+        ["SELECT * FROM (" + f"SELECT bracket, CAST({i} AS INTEGER) AS round, CAST(budget AS INTEGER) AS budget, config_id, round(mse, 6) AS mse, round(mae_ratio, 6) AS mae_ratio FROM r{i})"
+         for i in range(4)]
+    ),
+    "step_losses": "WITH RECURSIVE " + _FOLDS + "," + _descent(8, 3, "1") + """
+SELECT 'search/' || config_id AS run_id, CAST(epoch AS BIGINT) AS step, round(avg(loss), 6) AS mse FROM walk WHERE epoch > 0 GROUP BY ALL""",
+    "tree_scores": "WITH " + _FOLDS + "," + _stumps(3) + """
+SELECT CAST(0 AS BIGINT) AS config_id, round(avg(mse), 6) AS mse, round(avg(mae_ratio), 6) AS mae_ratio FROM per""",
     "run_table_best": "WITH " + _DAILY_GOLD + _CANDIDATES.format(source="gold") + """,
 tall AS (
   SELECT 'weekly/mean' AS run_id, pred_mean AS p, close FROM scored
@@ -345,6 +528,12 @@ SELECT series, CAST(dt AS VARCHAR) AS dt, round(ln(exp(close) - 1), 6) AS actual
 bounds AS (SELECT series, max(ts) - INTERVAL 3 DAYS AS since FROM minutes GROUP BY 1),
 w AS (SELECT m.series, m.open, m.high, m.low, m.close, m.volume, m.ts AS dt FROM minutes m JOIN bounds b ON b.series = m.series WHERE m.ts >= b.since)
 SELECT {_minute_columns("dt")} FROM w""",
+    "reference_dead_series": "WITH " + _MINUTES + f""",
+alive AS (SELECT * FROM minutes WHERE series <> 'error' OR ts < TIMESTAMP '2024-01-10'),
+bounds AS (SELECT series, max(ts) - INTERVAL 3 DAYS AS since FROM alive GROUP BY 1),
+w AS (SELECT m.* FROM alive m JOIN bounds b ON b.series = m.series WHERE m.ts >= b.since)
+SELECT {_minute_columns()} FROM w""",
+    "latest_stamp": "SELECT DISTINCT event_type AS series, 1 AS stamped FROM events",
     "latest_bar": "WITH " + _MINUTES + f""",
 top AS (SELECT series, ts AS dt, open, high, low, close, volume FROM (
   SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts DESC) AS k FROM minutes) WHERE k = 1)
@@ -355,6 +544,10 @@ buffer AS (SELECT * FROM ranked WHERE age <= 300),
 drawn AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY age > 1,
   md5(event_id || ':11'), event_id) AS draw, count(*) OVER (PARTITION BY series) AS held FROM buffer)
 SELECT series, event_id, round(value, 6) AS value FROM drawn WHERE draw <= 4 AND held >= 4""",
+    "replay_order": """
+WITH ranked AS (SELECT event_type AS series, event_id, ts, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events),
+drawn AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY age > 1, md5(event_id || ':3'), event_id) AS draw FROM ranked WHERE age <= 300)
+SELECT series, event_id, row_number() OVER (PARTITION BY series ORDER BY ts, event_id) - 1 AS place FROM drawn WHERE draw <= 25""",
     "replay_seeds": """
 WITH ranked AS (SELECT event_type AS series, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events),
 drawn AS (SELECT CAST(seed AS INTEGER) AS seed, series, event_id, row_number() OVER (PARTITION BY seed, series ORDER BY age > 1, md5(event_id || ':' || seed), event_id) AS draw
@@ -372,10 +565,10 @@ SELECT {_minute_columns("dt")} FROM top""",
 SELECT 'bad record' AS reason, count(*) AS n FROM sent WHERE h = 4 HAVING count(*) > 0
 UNION ALL SELECT 'bad message', n FROM (
   SELECT count(*) AS n FROM (SELECT DISTINCT series, timestamp_in_ms // 3600000 FROM sent WHERE h = 3)) WHERE n > 0""",
-    "stream_replay": f"""
+    **dict.fromkeys(("stream_replay", "stream_replay_slots"), f"""
 SELECT series, event_id, round(value, 6) AS value FROM (
   SELECT event_type AS series, event_id, value, row_number() OVER (PARTITION BY event_type ORDER BY {_PART} DESC, ts DESC, event_id DESC) AS age FROM events)
-WHERE age <= 300""",
+WHERE age <= 300"""),
     "online_step": """
 WITH g AS (
   SELECT o_orderpriority AS series, count(*) AS n, avg(ln(1 + o_totalprice) * (o_totalprice / 100000.0)) * -2 AS gw,
@@ -392,11 +585,16 @@ s1 AS ({_online_step("s0", 1)}),
 s2 AS ({_online_step("s1", 2)})
 SELECT series, CAST(batch_id AS BIGINT) AS batch_id, round(w, 6) AS w, round(b, 6) AS b, "rows", round(mse, 6) AS mse
 FROM (FROM s0 UNION ALL FROM s1 UNION ALL FROM s2)""",
-    "stream_drift": "WITH recent AS (SELECT value, CAST(user_id AS DOUBLE) AS user_id, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS age FROM events)," + _ks("""
-SELECT 'value' AS "column", value AS v, 1 AS r FROM events WHERE ts < TIMESTAMP '2024-01-21'
-UNION ALL SELECT 'user_id', CAST(user_id AS DOUBLE), 1 FROM events WHERE ts < TIMESTAMP '2024-01-21'
-UNION ALL SELECT 'value', value, 0 FROM recent WHERE age <= 100
-UNION ALL SELECT 'user_id', user_id, 0 FROM recent WHERE age <= 100""", '"column"') + """
-SELECT "column", n_ref, n_cur, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value,
-  CASE WHEN p_value < 0.05 THEN 'drift' ELSE 'stable' END AS flag FROM tested""",
+    "stream_learn": _stream_learn(),
+    "stream_drift": f"""
+WITH recent AS (
+  SELECT b, value, CAST(user_id AS DOUBLE) AS user_id, count(*) OVER (PARTITION BY b, event_type) AS held,
+    row_number() OVER (PARTITION BY b, event_type ORDER BY part DESC, ts DESC, event_id DESC) AS age
+  FROM (SELECT *, {_PART} AS part FROM events) e, range(3) AS t(b) WHERE part <= b),""" + _ks("""
+SELECT b, 'value' AS "column", value AS v, 1 AS r FROM events, range(3) AS t(b) WHERE ts < TIMESTAMP '2024-01-21'
+UNION ALL SELECT b, 'user_id', CAST(user_id AS DOUBLE), 1 FROM events, range(3) AS t(b) WHERE ts < TIMESTAMP '2024-01-21'
+UNION ALL SELECT b, 'value', value, 0 FROM recent WHERE age <= 100 AND held >= 100
+UNION ALL SELECT b, 'user_id', user_id, 0 FROM recent WHERE age <= 100 AND held >= 100""", 'b, "column"') + """
+SELECT CAST(b AS BIGINT) AS batch_id, "column", n_ref, n_cur, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value,
+  CASE WHEN p_value < 0.05 THEN 'drift' ELSE 'stable' END AS flag FROM tested WHERE n_cur > 0""",
 }

@@ -61,7 +61,7 @@ def run_lakehouse(
         rejected(typed).write.mode("overwrite").parquet(f"{lake.quarantine}/run={run_id}")
         lake.silver.upsert(bars, staged=True)
         if payloads is not None and lake.gold.exists(spark):
-            lake.gold.upsert(affected_gold(lambda day: lake.silver.since(spark, day), bars, unique_days=True))
+            lake.gold.upsert(affected_gold(lambda spans: lake.silver.between(spark, spans), bars, unique_days=True))
         else:
             lake.gold.upsert(gold_features(lake.silver.read(spark)))
     return lake.gold.read(spark)

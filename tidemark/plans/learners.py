@@ -1,4 +1,4 @@
-"""Linear learners from sufficient statistics, and MLlib regressors by name.
+"""Linear learners from sufficient statistics, and the combiner of several learners.
 
 Linear fits need a fold's rows only through the sums of x*x', x*y and y*y. Those sums for all
 folds of all series come from one aggregation; every configuration is then tried on the sums,
@@ -13,7 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,10 +71,23 @@ def _product(xx: np.ndarray, w: np.ndarray) -> np.ndarray:
     return np.einsum("nij,nj->ni", xx, w)
 
 
+def validation_rows(folded: DataFrame, keys, features, target: str) -> DataFrame:
+    """(keys..., fold, v_rows): the validation rows of a fold as arrays of features, 1 and target.
+
+    A fold validates on a window of fixed length, so a list is bounded by it. Rows with a null are left out, as in the sums.
+    """
+    rows = folded.where(F.col("role") == "validation")
+    for c in [*features, target]:
+        rows = rows.where(named(c).isNotNull())
+    row = F.array(*[named(c).cast("double") for c in features], F.lit(1.0), named(target).cast("double"))
+    return rows.groupBy(*[named(k) for k in keys], "fold").agg(F.collect_list(row).alias("v_rows"))
+
+
 class _Folds:
     """The sums of some folds as arrays."""
 
     def __init__(self, batch: pd.DataFrame):
+        self.rows = [np.stack(r) for r in batch.v_rows] if "v_rows" in batch else None
         self.xy, self.v_xy = np.stack(batch.xy.to_list()), np.stack(batch.v_xy.to_list())
         self.p = self.xy.shape[1]
         self.xx, self.v_xx = _matrices(batch.xx, self.p), _matrices(batch.v_xx, self.p)
@@ -91,23 +104,29 @@ class _Folds:
         squares = self.v_yy - 2 * (w * self.v_xy).sum(axis=1) + (w * _product(self.v_xx, w)).sum(axis=1)
         return np.maximum(squares / self.v_n, 0.0)
 
+    def absolute_error(self, w: np.ndarray) -> np.ndarray:
+        """Mean absolute error on the validation rows, with the weights of each fold."""
+        return np.array([np.abs(rows[:, :-1] @ weights - rows[:, -1]).mean() for rows, weights in zip(self.rows, w)])
+
 
 def _ridge(folds: _Folds, l2: float):
     w = _product(np.linalg.pinv(folds.xx + np.diag(folds.penalty(l2)), hermitian=True), folds.xy)
-    return w, folds.validation_loss(w), np.ones(len(w), np.int64)
+    loss = folds.validation_loss(w)
+    return w, loss, np.ones(len(w), np.int64), loss[:, None]
 
 
 def _descend(folds: _Folds, rate: float, l2: float, budget: int, patience: int, tol: float):
     """Full-batch gradient descent from the mean; the norm of a gradient is clipped.
 
     A fold ends when its gradient or loss is not finite, or after `patience` epochs in a row without
-    a validation loss lower by more than `tol`. Weights and loss are those of its best epoch.
+    a validation loss lower by more than `tol`. Weights and loss are those of its best epoch; the losses of all
+    its epochs come last.
     """
     w = np.zeros_like(folds.xy)
     w[:, -1] = folds.xy[:, -1] / folds.n
     best_w, best = w.copy(), np.full(len(w), np.inf)
     misses, epochs = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
-    going = np.ones(len(w), dtype=bool)
+    going, losses = np.ones(len(w), dtype=bool), []
     for epoch in range(budget):
         gradient = 2.0 * (_product(folds.xx, w) - folds.xy) / folds.n[:, None] + 2.0 * folds.penalty(l2) * w
         norm = np.sqrt((gradient * gradient).sum(axis=1))
@@ -117,13 +136,14 @@ def _descend(folds: _Folds, rate: float, l2: float, budget: int, patience: int,
         scale = rate * np.minimum(1.0, CLIP_NORM / np.maximum(norm, CLIP_NORM))
         w[going] -= (scale[:, None] * gradient)[going]
         loss = folds.validation_loss(w)
+        losses.append(loss)
         going &= np.isfinite(loss)
         better = going & (loss + tol < best)
         best[better], best_w[better] = loss[better], w[better]
         misses = np.where(better, 0, misses + going)
         epochs[going] = epoch + 1
         going &= misses < patience
-    return best_w, best, epochs
+    return best_w, best, epochs, np.stack(losses, axis=1) if losses else np.empty((len(w), 0))
 
 
 def paired_sums(sums: DataFrame, keys) -> DataFrame:
@@ -137,29 +157,39 @@ SLICE_FOLDS = 256  # folds whose matrices a task holds at a time
 
 
 def fit_on_sums(
-    paired: DataFrame, keys, learner: str, configs, budget: int, patience: int = PATIENCE, tol: float = TOLERANCE
+    paired: DataFrame, keys, learner: str, configs, budget: int, patience: int = PATIENCE, tol: float = TOLERANCE, steps: bool = False
 ) -> DataFrame:
     """(keys..., fold, config_id, weights, mse, epoch) for every fold and configuration.
 
     The sums of a fold move once; its task tries all configurations. `weights` and `mse`, the
-    validation loss, are of the best epoch; `epoch` is the last one run.
+    validation loss, are of the best epoch; `epoch` is the last one run. A configuration with a `budget` of its own
+    keeps to that. With `v_rows` in `paired`, `mae` has the mean absolute error of the same weights; `steps`
+    adds `losses`, the validation loss of every epoch run.
     """
     spread = paired.repartition(*[named(k) for k in keys], "fold")
     schema = T.StructType([f for f in spread.schema.fields if f.name in [*keys, "fold"]]).add("config_id", T.LongType())
     schema = schema.add("weights", T.ArrayType(T.DoubleType())).add("mse", T.DoubleType()).add("epoch", T.LongType())
-    tried = [(c["config_id"], float(c["learning_rate"]), float(c["l2"])) for c in configs]
-    epochs = int(budget)
+    with_rows = "v_rows" in paired.columns
+    if with_rows:
+        schema = schema.add("mae", T.DoubleType())
+    if steps:
+        schema = schema.add("losses", T.ArrayType(T.DoubleType()))
+    tried = [(c["config_id"], float(c["learning_rate"]), float(c["l2"]), int(c.get("budget", budget))) for c in configs]
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first in range(0, len(batch), SLICE_FOLDS):
                 part = batch.iloc[first:first + SLICE_FOLDS]
                 folds = _Folds(part)
-                for config_id, rate, l2 in tried:
+                for config_id, rate, l2, epochs in tried:
                     fit = _ridge(folds, l2) if learner == "ridge" else _descend(folds, rate, l2, epochs, patience, tol)
                     fitted = part[[*keys, "fold"]].copy()
                     fitted["config_id"] = config_id
                     fitted["weights"], fitted["mse"], fitted["epoch"] = list(fit[0]), fit[1], fit[2]
+                    if with_rows:
+                        fitted["mae"] = folds.absolute_error(fit[0])
+                    if steps:
+                        fitted["losses"] = [row[:n] for row, n in zip(fit[3], fit[2])]
                     yield fitted
 
     return spread.mapInPandas(solve, schema)
@@ -180,20 +210,6 @@ def score_folds(folded: DataFrame, fits: DataFrame, keys, features) -> DataFrame
     return join_on(rows, fitted, [*keys, "fold"]).withColumn("pred", linear_prediction(features)).drop("weights")
 
 
-def regressor(name: str, target: str, budget: int = 20, l2: float = 0.0, max_depth: int = 4, seed: int = 7):
-    """An MLlib regressor by learner name. `budget` bounds iterations where there are any."""
-    check_learner(name)
-    common = {"featuresCol": "_features", "labelCol": target, "predictionCol": f"pred_{name}"}
-    if name == "gbt":
-        return GBTRegressor(maxIter=budget, maxDepth=max_depth, seed=seed, **common)
-    return LinearRegression(regParam=l2 if name == "ridge" else 0.0, maxIter=budget, **common)
-
-
-def fit_regressor(train: DataFrame, name: str, features, target: str, **settings):
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="error")
-    return Pipeline(stages=[assembler, regressor(name, target, **settings)]).fit(train)
-
-
 class LinearFit:
     """A linear model with the weights of `fit_linear`; used like an MLlib model."""
 

@@ -4,30 +4,29 @@ from __future__ import annotations
 
 import math
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from copy import copy
 from dataclasses import dataclass
+from functools import reduce
 from itertools import islice
 
-from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.splits import walk_forward_folds
-from tidemark.plans.learners import check_learner, fit_on_sums, fit_regressor, fold_sums, paired_sums, score_folds
-from tidemark.functions.metrics import score_rows, scores
+from tidemark.plans.learners import check_learner, fit_on_sums, fold_sums, paired_sums, validation_rows
+from tidemark.plans.trees import bin_edges, fit_trees, pack
 from tidemark.schema import HALVING_FACTOR, HYPERBAND_BUDGET, LEARNING_RATE_RANGE, PATIENCE, TARGET, TOLERANCE
-from tidemark.session import named, scratch_path, stage
-from tidemark.sinks.store import write_splits
+from tidemark.session import join_on, named, stage
 
 EVALUATIONS_SCHEMA = "bracket int, round int, budget int, config_id bigint, mse double, mae_ratio double"
 RUNS_SCHEMA = "run_id string, parent string, kind string, key string, value string, number double, step bigint"
 
 
 def search_space(spark: SparkSession, n: int, seed: int = 0) -> DataFrame:
-    """`n` random configurations; the same seed gives the same ones."""
+    """`n` random configurations, drawn by a digest of number, seed and parameter; the same seed gives the same ones."""
     def unit(label):
-        return F.pmod(F.xxhash64(F.col("id"), F.lit(seed), F.lit(label)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        digest = F.md5(F.concat_ws(":", F.col("id").cast("string"), F.lit(str(seed)), F.lit(label)))
+        return F.conv(F.substring(digest, 1, 7), 16, 10).cast("double") / F.lit(float(1 << 28))
 
     low, high = LEARNING_RATE_RANGE
     return spark.range(n).select(
@@ -98,14 +97,31 @@ def survivors(results: DataFrame, keep: int) -> DataFrame:
     return results.orderBy(F.coalesce("mse", F.lit(float("inf"))), "config_id").limit(keep)
 
 
+def ranked_in_brackets(results: DataFrame, bracket_of: dict[int, int]) -> DataFrame:
+    """Results with the bracket of their configuration and their rank in it; ties and missing scores as in `survivors`."""
+    places = results.sparkSession.createDataFrame(sorted(bracket_of.items()), "config_id long, bracket int")
+    worst = F.coalesce("mse", F.lit(float("inf")))
+    order = Window.partitionBy("bracket").orderBy(worst, "config_id")
+    return results.join(F.broadcast(places), "config_id").withColumn("rank", F.row_number().over(order))
+
+
+def _evaluated(evaluate, tried) -> DataFrame:
+    """Scores of (configurations, budget) pairs, in one plan."""
+    if hasattr(evaluate, "together"):
+        return evaluate.together(tried)
+    return reduce(DataFrame.unionByName, [evaluate(configs, budget) for configs, budget in tried])
+
+
 def run_hyperband(
     spark: SparkSession, evaluate, budget: int = HYPERBAND_BUDGET, factor: int = HALVING_FACTOR, seed: int = 0,
     schedule: str = "published", space=search_space, run_log: "RunLog | None" = None,
 ) -> SearchResult:
-    """Brackets of successive halving. `evaluate(configs, budget)` is one Spark job over all
-    configurations of a round and gives (config_id, mse, mae_ratio); only such rows, at most one
-    per configuration, come to the driver. When scores do not depend on the budget, one round
-    over the configurations of all brackets gives the same best.
+    """Brackets of successive halving, which all advance together: a round of all of them is one Spark job.
+
+    `evaluate(configs, budget)` gives (config_id, mse, mae_ratio); with a method `together`, all pairs of
+    configurations and budgets of a round are handed over at once. The survivors of all brackets come from one
+    window. Only scores, at most one row per configuration, come to the driver. When scores do not depend
+    on the budget, one round over the configurations of all brackets gives the same best.
     """
     evaluations, best = [], None
     plan = brackets(budget, factor, schedule)
@@ -113,20 +129,26 @@ def run_hyperband(
         plan = [(0, sum(n for _, n, _ in plan), budget)]
     drawn = iter([r.asDict() for r in space(spark, sum(n for _, n, _ in plan), seed).orderBy("config_id").collect()])
     parent = run_log.start(params={"budget": budget, "factor": factor, "schedule": schedule}) if run_log else None
-    for s, n, first_budget in plan:
-        configs = list(islice(drawn, n))
-        for i in range(s + 1):
-            round_budget = first_budget * factor**i
-            ordered = survivors(evaluate(configs, round_budget), len(configs)).collect()
-            evaluations += [(s, i, round_budget, r.config_id, r.mse, r.mae_ratio) for r in ordered]
-            by_id = {c["config_id"]: c for c in configs}
-            if ordered and _is_number(ordered[0].mse) and (best is None or ordered[0].mse < best[1].mse):
-                best = (by_id[ordered[0].config_id], ordered[0], round_budget)
-            if run_log:
-                run_log.log_round(parent, s, i, round_budget, configs, ordered)
-            configs = [by_id[r.config_id] for r in ordered[: len(configs) // factor]]
-            if not configs:
-                break
+    live = {s: list(islice(drawn, n)) for s, n, _ in plan}
+    first_budget = {s: r for s, _, r in plan}
+    number = 0
+    while live:
+        budgets = {s: first_budget[s] * factor**number for s in live}
+        bracket_of = {c["config_id"]: s for s, configs in live.items() for c in configs}
+        by_id = {c["config_id"]: c for configs in live.values() for c in configs}
+        results = _evaluated(evaluate, [(configs, budgets[s]) for s, configs in live.items()])
+        rows = ranked_in_brackets(results, bracket_of).orderBy(F.col("bracket").desc(), "rank").collect()
+        evaluations += [(r.bracket, number, budgets[r.bracket], r.config_id, r.mse, r.mae_ratio) for r in rows]
+        for r in rows:
+            if r["rank"] == 1 and _is_number(r.mse) and (best is None or r.mse < best[1].mse):
+                best = (by_id[r.config_id], r, budgets[r.bracket])
+        if run_log:
+            for s, configs in live.items():
+                run_log.log_round(parent, s, number, budgets[s], configs, [r for r in rows if r.bracket == s])
+        keep = {s: len(configs) // factor for s, configs in live.items()}
+        left = {s: [by_id[r.config_id] for r in rows if r.bracket == s and r["rank"] <= keep[s]] for s in live if s > number}
+        live = {s: configs for s, configs in left.items() if configs}
+        number += 1
     if best is None:
         raise RuntimeError("no configuration gave a finite score")
     config, score, round_budget = best
@@ -164,6 +186,15 @@ class RunLog:
             rows += [(child, parent, "metric", k, None, r[k], budget) for k in ("mse", "mae_ratio") if r[k] is not None]
         self._append(rows)
 
+    def log_steps(self, parent: str, steps: DataFrame, metric: str = "mse") -> None:
+        """A metric per step, written by the tasks that have it: `steps` (run, step, value), runs under `parent`."""
+        null = F.lit(None).cast("string")
+        steps.select(
+            F.concat(F.lit(f"{parent}/"), F.col("run").cast("string")).alias("run_id"), F.lit(parent).alias("parent"),
+            F.lit("metric").alias("kind"), F.lit(metric).alias("key"), null.alias("value"),
+            F.col("value").cast("double").alias("number"), F.col("step").cast("long").alias("step"),
+        ).write.mode("append").parquet(self.path)
+
     def _append(self, rows) -> None:
         if rows:
             self.spark.createDataFrame(rows, RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
@@ -184,17 +215,28 @@ def mean_over_folds(per_fold: DataFrame, by=("config_id",)) -> DataFrame:
     return per_fold.groupBy(*by).agg(F.avg("mse").alias("mse"), F.avg("mae_ratio").alias("mae_ratio"))
 
 
+def with_budgets(tried) -> list[dict]:
+    """The configurations of (configurations, budget) pairs, each with its budget."""
+    return [{**c, "budget": int(budget)} for configs, budget in tried for c in configs]
+
+
+def step_losses(fits: DataFrame, keys) -> DataFrame:
+    """(keys..., fold, config_id, step, mse) of fits made with `steps`; steps count from 1."""
+    of = [*[named(k) for k in keys], "fold", "config_id"]
+    return fits.select(*of, F.posexplode("losses").alias("step", "mse")).withColumn("step", F.col("step") + 1)
+
+
 class WalkForwardEvaluator:
     """An `evaluate` for Hyperband: walk-forward folds of every series, averaged per configuration.
 
-    Linear learners are fitted on the staged sums of each fold, which give the MSE; the MAE is
-    taken on the validation rows, with the same weights.
+    Linear learners are fitted on the staged sums of each fold, which give the MSE; the validation rows of
+    the fold lie beside them, so the task that fits it takes the MAE of all its configurations too.
     """
 
     def __init__(self, folded: DataFrame, keys, features, learner: str, target: str, patience: int, tol: float):
-        self.folded, self.keys, self.features, self.learner, self.target = folded, keys, features, learner, target
-        self.patience, self.tol = patience, tol
-        self.paired = stage(paired_sums(stage(fold_sums(folded, keys, features, target), "sums"), keys), "paired")
+        self.keys, self.learner, self.patience, self.tol = keys, learner, patience, tol
+        sums = paired_sums(stage(fold_sums(folded, keys, features, target), "sums"), keys)
+        self.paired = stage(join_on(sums, validation_rows(folded, keys, features, target), [*keys, "fold"]), "paired")
 
     @property
     def uses_budget(self) -> bool:
@@ -207,47 +249,53 @@ class WalkForwardEvaluator:
         other.learner = learner
         return other
 
+    def fits(self, configs, budget, steps: bool = False) -> DataFrame:
+        return fit_on_sums(self.paired, self.keys, self.learner, configs, budget, self.patience, self.tol, steps)
+
     def __call__(self, configs, budget) -> DataFrame:
-        fits = stage(fit_on_sums(self.paired, self.keys, self.learner, configs, budget, self.patience, self.tol), "fits")
-        scored = score_folds(self.folded, fits.drop("mse", "epoch"), self.keys, self.features)
-        per_fold = score_rows(scored, [*self.keys, "fold", "config_id"], "pred", self.target)
-        maes = per_fold.groupBy("config_id").agg(F.avg("mae_ratio").alias("mae_ratio"))
-        return fits.groupBy("config_id").agg(F.avg("mse").alias("mse")).join(maes, "config_id", "left")
+        return self.together([(configs, budget)])
+
+    def together(self, tried) -> DataFrame:
+        return mean_over_folds(self.fits(with_budgets(tried), 0).withColumn("mae_ratio", F.exp("mae")))
 
 
 def walk_forward_evaluator(
     df: DataFrame, keys, order, features, learner: str, target: str = TARGET, bound: int | None = None,
     patience: int = PATIENCE, tol: float = TOLERANCE, **windows,
 ):
-    """The evaluator of a learner. Boosted trees read the staged rows, one fit per fold position
-    and configuration, with the series of a position pooled."""
+    """The evaluator of a learner: sums of each fold for linear ones, histograms for boosted trees."""
     check_learner(learner)
     folded = walk_forward_folds(df, keys, order, bound=bound, **windows)
     if learner == "gbt":
-        path = scratch_path(df.sparkSession, "folds")
-        write_splits(folded, path, "fold")  # a fit reads the folder of its fold only
-        return _tree_evaluator(df.sparkSession.read.parquet(path), features, target)
+        return TreeEvaluator(df, folded, features, target, patience, tol)
     return WalkForwardEvaluator(folded, keys, features, learner, target, patience, tol)
 
 
-TREE_FITS = 4  # fits that run at a time; each is a Spark job of its own
+class TreeEvaluator:
+    """An `evaluate` of boosted trees: the series of a fold position pooled, scores averaged over the positions.
 
+    The rows are cut into bins and packed once. A configuration counts by its depth, and the trees of a small budget are
+    the first ones of a larger, so each depth is grown once a round, for all folds together.
+    """
 
-def _tree_evaluator(folded: DataFrame, features, target: str):
-    folds = [r.fold for r in folded.select("fold").distinct().orderBy("fold").collect()]
-    spark = folded.sparkSession
-
-    def evaluate(configs, budget):
-        def one(tried):
-            config, fold = tried
-            rows = folded.where(F.col("fold") == fold)
-            model = fit_regressor(rows.where(F.col("role") == "train"), "gbt", features, target,
-                                  budget=int(budget), max_depth=config["max_depth"])
-            pred = model.transform(rows.where(F.col("role") == "validation"))
-            return (config["config_id"], *pred.agg(*scores(F.col("pred_gbt"), named(target))).select("mse", "mae_ratio").first())
+    def __init__(self, df: DataFrame, folded: DataFrame, features, target: str, patience: int, tol: float):
+        self.patience, self.tol = patience, tol
+        self.edges = bin_edges(df, features)
+        self.chunks = pack(folded, ["fold"], features, target, self.edges)
+
+    def fits(self, tried) -> DataFrame:
+        """(config_id, fold, budget, mse, mae, losses): one row per configuration and fold, of the best tree within the budget."""
+        configs = [(c["config_id"], int(c["max_depth"]), c["budget"]) for c in with_budgets(tried)]
+        grown = fit_trees(self.chunks, ["fold"], [d for _, d, _ in configs], max(b for _, _, b in configs), self.patience, self.tol)
+        wanted = grown.sparkSession.createDataFrame(configs, "config_id long, max_depth int, budget int")
+        each = grown.drop("mse", "mae").join(F.broadcast(wanted), "max_depth")  # one row per configuration of a round
+        seen = each.withColumn("losses", F.slice("losses", F.lit(1), F.col("budget")))
+        best = seen.withColumn("mse", early_stop(F.col("losses"), self.patience, self.tol)["best"])
+        at = F.array_position("losses", F.col("mse")).cast("int")
+        return best.select("config_id", "fold", "budget", "mse", F.element_at("maes", at).alias("mae"), "losses")
 
-        with ThreadPoolExecutor(TREE_FITS) as pool:
-            found = list(pool.map(inheritable_thread_target(spark)(one), [(c, f) for c in configs for f in folds]))
-        return mean_over_folds(spark.createDataFrame(found, "config_id long, mse double, mae_ratio double"))
+    def __call__(self, configs, budget) -> DataFrame:
+        return self.together([(configs, budget)])
 
-    return evaluate
+    def together(self, tried) -> DataFrame:
+        return mean_over_folds(self.fits(tried).withColumn("mae_ratio", F.exp("mae")))

@@ -9,11 +9,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.prepare import fit
+from tidemark.operators.prepare import Preparation, fit
 from tidemark.operators.quality import quality_gate, quality_report
 from tidemark.operators.splits import chronological_split
-from tidemark.plans.learners import LEARNERS, LinearFit, fit_linear, fit_regressor, stack_forecasts
+from tidemark.plans.learners import LEARNERS, LinearFit, fit_linear, stack_forecasts
 from tidemark.plans.selection import select_production
+from tidemark.plans.trees import TreeFit, fit_tree_model
 from tidemark.plans.tuning import RunLog, run_hyperband, search_space, walk_forward_evaluator
 from tidemark.schema import DEFAULT_CATEGORICAL, DEFAULT_NUMERIC, FOLD_GAP, HALVING_FACTOR, SERIES_KEY, TARGET, TEST_ROWS, TRAIN_WINDOW, VALIDATION_WINDOW
 from tidemark.session import join_on, path_exists, scratch_path, small_or_not, stage
@@ -35,6 +36,7 @@ class WeeklySettings:
     numeric: tuple[str, ...] = tuple(DEFAULT_NUMERIC)
     categorical: tuple[str, ...] = tuple(DEFAULT_CATEGORICAL)
     seed: int = 0
+    short: str = "raise"  # or leave_out: series too short for a split or a fold go without a model
 
 
 def prepared_splits(gold: DataFrame, settings: WeeklySettings, path: str | None = None):
@@ -45,7 +47,7 @@ def prepared_splits(gold: DataFrame, settings: WeeklySettings, path: str | None
     """
     spark = gold.sparkSession
     path = path or scratch_path(spark, "dataset")
-    write_splits(chronological_split(gold, SERIES_KEY, ["dt"], settings.test_rows), f"{path}/splits")
+    write_splits(chronological_split(gold, SERIES_KEY, ["dt"], settings.test_rows, settings.short), f"{path}/splits")
     labelled = read_layer(spark, f"{path}/splits")
     train = labelled.where(F.col("split") == "train")
     preparation = fit(train, settings.numeric, settings.categorical, ["dt"], path=f"{path}/preparation")
@@ -74,7 +76,7 @@ def weekly_run(
         else:
             evaluate = walk_forward_evaluator(
                 train, SERIES_KEY, ["dt"], features, learner, TARGET,
-                train=settings.train, validation=settings.validation, gap=settings.gap,
+                train=settings.train, validation=settings.validation, gap=settings.gap, short=settings.short,
             )
             linear = linear if learner == "gbt" else evaluate
         found = run_hyperband(
@@ -82,13 +84,13 @@ def weekly_run(
         )
         # the model kept is the one searched: same solver, setting and budget
         if learner == "gbt":
-            model = fit_regressor(train, learner, features, TARGET, max_depth=found.config["max_depth"], budget=found.budget)
+            model = fit_tree_model(train, features, TARGET, found.config["max_depth"], found.budget)
         else:
             model = fit_linear(train, learner, features, TARGET, found.config, found.budget)
         if path:
             _save(spark, model, f"{path}/{learner}")
         candidates[learner] = f"pred_{learner}"
-        fitted_on, chosen_on = (model.transform(rows).drop("_features") for rows in (fitted_on, chosen_on))
+        fitted_on, chosen_on = (model.transform(rows) for rows in (fitted_on, chosen_on))
     if settings.stacked and len(candidates) > 1:
         experts = list(candidates.values())
         stacked = stack_forecasts(fitted_on, experts, TARGET)
@@ -101,7 +103,7 @@ def weekly_run(
 
 
 def _save(spark: SparkSession, model, path: str) -> None:
-    model.save(spark, path) if isinstance(model, LinearFit) else model.write().overwrite().save(path)
+    model.save(spark, path) if isinstance(model, (LinearFit, TreeFit)) else model.write().overwrite().save(path)
 
 
 def production_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
@@ -114,10 +116,28 @@ def production_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataFram
     wanted = [r.candidate for r in choice.select("candidate").distinct().collect()]  # at most one per learner
     learners = [n for n in LEARNERS if path_exists(spark, f"{path}/{n}")] if "stacked" in wanted else [n for n in LEARNERS if n in wanted]
     for name in learners:
-        model = PipelineModel.load(f"{path}/{name}") if name == "gbt" else LinearFit.load(spark, f"{path}/{name}")
-        rows = model.transform(rows).drop("_features")
+        rows = (TreeFit if name == "gbt" else LinearFit).load(spark, f"{path}/{name}").transform(rows)
     if "stacked" in wanted:
         rows = PipelineModel.load(f"{path}/stacked").transform(rows).drop("_experts")
         learners = [*learners, "stacked"]
     pred = F.coalesce(*[F.when(F.col("candidate") == name, F.col(f"pred_{name}")) for name in learners])
     return rows.withColumn("pred", pred).drop(*[f"pred_{name}" for name in learners])
+
+
+def production_weights(spark: SparkSession, path: str) -> DataFrame:
+    """(series, weights): the linear weights, intercept last, from which online steps of a series start.
+
+    `path` is that of a weekly run. They are those of the chosen model; a series whose choice is not linear
+    takes those of the first linear learner that the run kept.
+    """
+    kept = {n: LinearFit.load(spark, f"{path}/{n}") for n in LEARNERS if n != "gbt" and path_exists(spark, f"{path}/{n}")}
+    if not kept:
+        raise ValueError(f"{path} holds no linear model to start from")
+    weights = {n: F.array(*[F.lit(w) for w in fit.weights]) for n, fit in kept.items()}
+    chosen = F.coalesce(*[F.when(F.col("candidate") == n, w) for n, w in weights.items()], next(iter(weights.values())))
+    return spark.read.parquet(f"{path}/choice").select(*SERIES_KEY, chosen.alias("weights"))
+
+
+def production_preparation(spark: SparkSession, path: str) -> Preparation:
+    """The preparation that the models of a weekly run were fitted with."""
+    return Preparation.load(spark, f"{path}/dataset/preparation")

@@ -6,6 +6,8 @@ with the SQL of `oracles.py`.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,16 +26,19 @@ from tidemark.plans import learners as L
 from tidemark.plans import selection as C
 from tidemark.plans import tuning as H
 from tidemark.plans.lakehouse import Lakehouse, run_lakehouse
-from tidemark.plans.weekly import WeeklySettings, weekly_run
+from tidemark.plans.weekly import WeeklySettings, production_preparation, production_rows, production_weights, weekly_run
 from tidemark.schema import PAYLOAD_FIELDS, SERIES_KEY
 from tidemark.session import DATE_DOMAIN_ROWS, named, scratch_path, stage
 from tidemark.sinks.landing import land_payloads, make_payloads
+from tidemark.sinks.log import AppendedTable
+from tidemark.sinks.states import PeriodStates, clock_states, recent_stored
 from tidemark.sinks.store import KeyedTable, write_splits
 from tidemark.sources import messages as M
 from tidemark.sources import payload as Y
 from tidemark.sources import windows as R
 from tidemark.streaming import ingest as I
 from tidemark.streaming import layers as A
+from tidemark.streaming.keyed_replay import newest_buffers, replay_stream
 from tidemark.streaming.learner import ReplayLearner
 from tidemark.streaming.online import OnlineModel, gradient_step
 from tidemark.streaming.replay import ReplayBuffer, recency_sample
@@ -270,6 +275,18 @@ def quality_by_series(spark, sf_dir):
     return plain(Q.quality_report(daily_gold(spark, sf_dir), by=["series"]), 3)
 
 
+def quality_refreshed(spark, sf_dir):
+    """The report of a table after an upsert, from states of its periods of which only the touched ones are new."""
+    bars = daily(spark, sf_dir)
+    bars_table = KeyedTable(scratch_path(spark, "bars"), period="date_format(dt, 'yyyyMM')")
+    bars_table.upsert(bars.where(F.col("dt") < "2000-01-01"))
+    states = PeriodStates(bars_table, scratch_path(spark, "states"), Q.state_aggregates(dict(bars.dtypes)))
+    states.refresh(spark)
+    changed = bars.where(F.col("dt") >= "1999-07-01").withColumn("close", (F.col("close").cast("double") + 1).cast("float"))
+    states.refresh(spark, bars_table.upsert(changed))
+    return plain(Q.report_of_states(states.read(spark), by=["series"]), 3)
+
+
 def _samples(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("ts", "event_type", "user_id", "value")
     cut = F.lit("2024-01-21").cast("timestamp_ntz")
@@ -434,6 +451,16 @@ def hyperband_survivors(spark, sf_dir):
     return plain(found.evaluations)
 
 
+def step_losses(spark, sf_dir):
+    """Validation loss by epoch of three configurations, averaged over folds, as the run table has it."""
+    configs = [r.asDict() for r in H.search_space(spark, 3).collect()]
+    fits = _evaluator(spark, sf_dir, "linear").fits(configs, 8, steps=True)
+    steps = H.step_losses(fits, SERIES_KEY).groupBy(F.col("config_id").alias("run"), "step").agg(F.avg("mse").alias("value"))
+    log = H.RunLog(spark, scratch_path(spark, "runs"))
+    log.log_steps("search", steps)
+    return plain(log.read().where("kind = 'metric' AND key = 'mse'").select("run_id", "step", F.col("number").alias("mse")))
+
+
 def ridge_scores(spark, sf_dir):
     configs = [_config(i, l2) for i, l2 in enumerate((0.0, 0.1, 1.0, 10.0, 100.0))]
     evaluate = _evaluator(spark, sf_dir, "ridge", ["open"])
@@ -441,11 +468,12 @@ def ridge_scores(spark, sf_dir):
 
 
 def tree_scores(spark, sf_dir):
+    """Three boosted trees of one split each per fold position, series pooled."""
     gold = thousands(daily_gold(spark, sf_dir).select("series", "dt", "close", *FEATURES))
     evaluate = H.walk_forward_evaluator(
         gold, SERIES_KEY, ["dt"], FEATURES, "gbt", bound=DATE_DOMAIN_ROWS, train=TRAIN, validation=VALIDATION, gap=GAP
     )
-    return plain(evaluate([{**_config(0, 0.0), "max_depth": 2}], 3))
+    return plain(evaluate([{**_config(0, 0.0), "max_depth": 1}], 3))
 
 
 def run_table_best(spark, sf_dir):
@@ -515,6 +543,39 @@ def weekly_best(spark, sf_dir):
     return plain(weekly_run(spark, gold, settings), 4)
 
 
+def short_series(spark, sf_dir):
+    """Orders of a customer split by time; customers with too few orders are left out, and listed by another query."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    split = X.chronological_split(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], 3, short="leave_out")
+    return split.select("o_custkey", "o_orderkey", "split")
+
+
+def series_left_out(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_custkey")
+    return X.short_groups(rows, ["o_custkey"], 7).withColumnRenamed("rows", "n")
+
+
+def _one_config(spark, n, seed):
+    return spark.createDataFrame([(0, 0.01, 5.0, 2)], "config_id long, learning_rate double, l2 double, max_depth int")
+
+
+def _production(spark, gold) -> str:
+    """The folder of a weekly run whose models are ridge regressions on the opening price."""
+    path = scratch_path(spark, "production")
+    settings = WeeklySettings(
+        learners=("ridge",), test_rows=50, train=80, validation=40, gap=8, numeric=("open",), categorical=(), stacked=False, space=_one_config
+    )
+    weekly_run(spark, gold, settings, path=path)
+    return path
+
+
+def weekly_production(spark, sf_dir):
+    """Test rows of every series as the model forecasts them that the weekly run kept and chose."""
+    path = _production(spark, stage(daily_gold(spark, sf_dir), "gold"))
+    rows = spark.read.parquet(f"{path}/dataset/prepared").where(F.col("split") == "test")
+    return plain(production_rows(spark, path, rows).select("series", "dt", "candidate", "pred"))
+
+
 # --- recent data -------------------------------------------------------------------------
 
 
@@ -524,6 +585,23 @@ def reference_window(spark, sf_dir):
     return plain(R.normalise_provider(recent.withColumns({"Dividends": F.lit(0.0), "Stock Splits": F.lit(0.0)})))
 
 
+def reference_dead_series(spark, sf_dir):
+    """The last three days of each series of a stored table, one of which ended on the tenth."""
+    bars = minutes(spark, sf_dir).where("series <> 'error' OR ts < TIMESTAMP '2024-01-10'")
+    stored = KeyedTable(scratch_path(spark, "bars"), ["series", "ts"], "date_format(ts, 'yyyyMMdd')")
+    stored.upsert(bars)
+    states = clock_states(stored, scratch_path(spark, "states"), "ts")
+    states.refresh(spark)
+    return plain(recent_stored(spark, states, 3, "ts"))
+
+
+def latest_stamp(spark, sf_dir):
+    """Whether the newest record of a series is stamped with the time of the run."""
+    begin = F.lit(int(time.time() * 1000))
+    top = R.newest_record(minutes(spark, sf_dir))
+    return top.select("series", F.col("timestamp_in_ms").between(begin, begin + 3_600_000).cast("int").alias("stamped"))
+
+
 def latest_bar(spark, sf_dir):
     return plain(R.newest_record(minutes(spark, sf_dir)).drop("timestamp_in_ms"))
 
@@ -535,6 +613,15 @@ def replay_sample(spark, sf_dir):
     return plain(sample.select("series", "event_id", "value"))
 
 
+def replay_order(spark, sf_dir):
+    """Where each row of a sample stands in it."""
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("series"), "ts", "event_id")
+    buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"])
+    sample = recency_sample(buffer.update(events, 0), buffer.order, "event_id", 25, seed=3)
+    placed = stage(sample.withColumn("_at", F.monotonically_increasing_id()), "placed")
+    return row_index(placed, ["series"], ["_at"], "place", bound=25).select("series", "event_id", "place")
+
+
 def replay_seeds(spark, sf_dir):
     """Draws of consecutive seeds from one buffer."""
     events = table(spark, sf_dir, "events").select(F.col("event_type").alias("series"), "ts", "event_id")
@@ -549,12 +636,6 @@ def replay_seeds(spark, sf_dir):
 # --- streams --------------------------------------------------------------------------------
 
 
-def _event_stream(spark, sf_dir):
-    """All events as one micro-batch."""
-    schema = table(spark, sf_dir, "events").schema
-    return I.file_stream(spark, f"{sf_dir}/events.parquet", schema)
-
-
 def _event_files(spark, sf_dir):
     """The events as three micro-batches. Both cuts lie inside a minute, and half of the events of the
     hour before the second one come late, with the third."""
@@ -568,9 +649,21 @@ def _checkpoint(spark):
     return scratch_path(spark, "checkpoint")
 
 
+def gold_late_bars(spark, sf_dir):
+    """The gold rows that follow from one late bar per series, the 200th: it and the 29 after it."""
+    bars = stage(row_index(daily(spark, sf_dir), SERIES_KEY, ["dt"], "i", bound=DATE_DOMAIN_ROWS), "bars")
+    late = F.col("i") == 199
+    silver = KeyedTable(scratch_path(spark, "silver"), period="date_format(dt, 'yyyyMM')")
+    silver.upsert(bars.where(~late).drop("i"))
+    arrived = stage(bars.where(late).drop("i"), "late")
+    silver.upsert(arrived, staged=True)
+    changed = G.affected_gold(lambda spans: silver.between(spark, spans), arrived, unique_days=True)
+    return plain(changed, 4)
+
+
 def stream_bars(spark, sf_dir):
-    """Bars upserted by one consumer; a second one takes every form in which a bar was sent."""
-    target = KeyedTable(scratch_path(spark, "bars"), ["series", "ts"], "date_format(ts, 'yyyyMMdd')")
+    """Bars taken by one consumer as they come; a second one takes every form in which a bar was sent."""
+    target = AppendedTable(scratch_path(spark, "bars"), ["series", "ts"], "date_format(ts, 'yyyyMMdd')")
     sent = scratch_path(spark, "sent")
     bars = I.stream_bars(_event_files(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
     I.run_once(bars, fan_out(upsert_sink(target), append_sink(sent)), _checkpoint(spark))
@@ -599,8 +692,9 @@ def stream_distinct(spark, sf_dir):
 
 
 def stream_gold(spark, sf_dir):
-    silver = KeyedTable(scratch_path(spark, "silver"), ["series", "timestamp_in_ms"], "date_format(dt, 'yyyyMMdd')")
-    gold = KeyedTable(scratch_path(spark, "gold"), ["series", "timestamp_in_ms"], "date_format(dt, 'yyyyMMdd')")
+    silver, gold = (
+        AppendedTable(scratch_path(spark, label), ["series", "timestamp_in_ms"], "date_format(dt, 'yyyyMMdd')") for label in ("silver", "gold")
+    )
     bars = I.stream_bars(_event_files(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
     I.run_once(I.bars_to_silver(bars), A.LayerUpdater(silver, gold), _checkpoint(spark))
     return plain(gold.read(spark), 4)
@@ -638,7 +732,16 @@ def stream_quarantine(spark, sf_dir):
 
 
 def stream_replay(spark, sf_dir):
-    """The buffer as a stream keeps it, after three micro-batches in which every event is sent twice."""
+    """The buffer as keyed state, after three micro-batches in which every event is sent twice."""
+    rows = I.with_event_time(_event_files(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id", "value"), "ts", "1 day")
+    rows = rows.withColumn("poll", F.explode(F.array(F.lit(0), F.lit(1)))).drop("poll")
+    path = scratch_path(spark, "buffers")
+    I.run_once(replay_stream(rows, ["ts", "event_id"], row_id="event_id", clock="ts"), append_sink(path), _checkpoint(spark))
+    return plain(newest_buffers(spark, path).select("series", "event_id", "value"))
+
+
+def stream_replay_slots(spark, sf_dir):
+    """The same buffer kept as a table by the handler of the stream."""
     buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"], row_id="event_id")
     rows = _event_files(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id", "value")
     rows = rows.withColumn("poll", F.explode(F.array(F.lit(0), F.lit(1)))).drop("poll")
@@ -681,31 +784,48 @@ def stream_learn(spark, sf_dir):
     preparation = P.fit(history, ["open", "high", "low", "30_day_ma_close"], [], ["dt", "timestamp_in_ms"])
     model = OnlineModel(scratch_path(spark, "weights"), preparation.feature_names, rate=0.01, clip=1.0)
     learner = ReplayLearner(gold, ReplayBuffer(scratch_path(spark, "buffer"), ["timestamp_in_ms"]), preparation, model)
-    bars = I.stream_bars(_event_stream(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
+    bars = I.stream_bars(_event_files(spark, sf_dir), "event_type", "ts", "value", "1 minute", "1 day", "event_id")
     I.run_once(I.bars_to_silver(bars), fan_out(A.LayerUpdater(silver, gold), learner), _checkpoint(spark))
-    return plain(model.history(spark).select("batch_id", "series", "steps", "rows", "mse"))
+    learned = model.history(spark).where("rows IS NOT NULL")  # a last micro-batch without events may follow
+    return plain(learned.select(F.col("batch_id").cast("long").alias("batch_id"), "series", "steps", "rows", "mse"))
+
+
+def stream_from_production(spark, sf_dir):
+    """Online steps that go on from the weekly run's models: the last 60 bars of a series in two micro-batches."""
+    gold = stage(row_index(daily_gold(spark, sf_dir).withColumn("back", -F.unix_date("dt")), SERIES_KEY, ["back"], "age", bound=DATE_DOMAIN_ROWS).drop("back"), "gold")
+    path = _production(spark, gold.where("age >= 60").drop("age"))
+    preparation = production_preparation(spark, path)
+    landed = scratch_path(spark, "landed")
+    for part in (gold.where("age BETWEEN 30 AND 59"), gold.where("age < 30")):
+        part.drop("age").coalesce(1).write.mode("append").parquet(landed)
+    model = OnlineModel(scratch_path(spark, "weights"), preparation.feature_names, rate=0.01, start=production_weights(spark, path))
+    stream = I.file_stream(spark, landed, gold.drop("age").schema, files_per_batch=1)
+    I.run_once(stream, lambda batch, i: model.step(preparation.apply(batch), i), _checkpoint(spark), "append")
+    return plain(model.history(spark).select(
+        F.col("batch_id").cast("long").alias("batch_id"), "series", F.col("weights")[0].alias("w"), F.col("weights")[1].alias("b"), "steps", F.col("rows").alias("n"), "mse"
+    ))
 
 
 def stream_drift(spark, sf_dir):
-    """The newest events of each type, as the stream holds them, against the first twenty days."""
+    """The newest events of each type, as the stream holds them after each of three micro-batches, against the first twenty days."""
     reference, _ = _samples(spark, sf_dir)
     path, size = scratch_path(spark, "drift"), 100
     buffer = ReplayBuffer(scratch_path(spark, "buffer"), ["ts", "event_id"], size)
     monitor = A.DriftMonitor(path, buffer, reference, ["value", "user_id"], "event_id", rows=size)
-    rows = _event_stream(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id", "value", "user_id")
+    rows = _event_files(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id", "value", "user_id")
     I.run_once(rows, monitor, _checkpoint(spark), "append")
-    return plain(spark.read.parquet(path).drop("batch_id"))
+    return plain(spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long")))
 
 
 QUERIES = {f.__name__: f for f in (
     daily_bars, minute_bars, silver_roundtrip, silver_rejects, silver_kept, gold_features, gold_latest,
     gold_halo_window, gold_empty, latest_dates, lakehouse_run, lakehouse_overlap,
     landing_replaced, nan_rejects, table_from_nothing, ks_drift_default, drift_untested, upsert_bars, upsert_twice, create_or_upsert,
-    append_copy, quality_report, quality_by_series, ks_drift, ks_drift_ranged, drift_flags, chi2_drift,
+    append_copy, quality_report, quality_by_series, quality_refreshed, ks_drift, ks_drift_ranged, drift_flags, chi2_drift,
     chrono_split, split_counts, impute_scale, impute_scale_by_series, exact_median, binary_encode,
     ordered_batches, batch_mean_metrics, event_index, running_volume, walk_forward_folds, fold_regression,
-    fold_scores, hyperband_survivors, ridge_scores, tree_scores, run_table_best, early_stop, best_candidate,
-    stacked_forecast, score_forecast, forecast_means, discrepancy, weekly_best, reference_window, latest_bar,
-    replay_sample, replay_seeds, stream_bars, stream_latest, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay,
-    online_step, stream_online, stream_learn, stream_drift,
+    fold_scores, hyperband_survivors, step_losses, ridge_scores, tree_scores, run_table_best, early_stop, best_candidate,
+    stacked_forecast, score_forecast, forecast_means, discrepancy, short_series, series_left_out, weekly_best, weekly_production, reference_window, reference_dead_series, latest_stamp, latest_bar,
+    replay_sample, replay_order, replay_seeds, gold_late_bars, stream_bars, stream_latest, stream_distinct, stream_gold, stream_decode, stream_quarantine, stream_replay, stream_replay_slots,
+    online_step, stream_online, stream_from_production, stream_learn, stream_drift,
 )}

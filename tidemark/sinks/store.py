@@ -64,6 +64,27 @@ class KeyedTable:
         first = spark.range(1).select(F.lit(day).cast("date").alias("dt")).select(F.expr(self.period)).first()[0]
         return self._read_periods(spark, lambda period: period >= first).where(F.col("dt") >= F.lit(day).cast("date"))
 
+    def spans(self, spark: SparkSession, spans):
+        """(test of a period, condition on rows) for spans (first day or None, last day or None); periods as for `since`."""
+        bounds = spark.createDataFrame(
+            [(i, j, day) for i, span in enumerate(spans) for j, day in enumerate(span) if day is not None], "i int, j int, dt date"
+        )
+        periods = {(r.i, r.j): r.period for r in bounds.select("i", "j", F.expr(self.period).cast("string").alias("period")).collect()}
+        edges = [(periods.get((i, 0)), periods.get((i, 1))) for i in range(len(spans))]
+        inside = F.lit(False)
+        for first, last in spans:
+            after = F.lit(True) if first is None else F.col("dt") >= F.lit(first).cast("date")
+            before = F.lit(True) if last is None else F.col("dt") <= F.lit(last).cast("date")
+            inside = inside | (after & before)
+        return lambda period: any((a is None or period >= a) and (b is None or period <= b) for a, b in edges), inside
+
+    def between(self, spark: SparkSession, spans) -> DataFrame:
+        """Rows with `dt` in one of the spans, or all for None; folders outside of them are not looked into."""
+        if spans is None:
+            return self.read(spark)
+        wanted, inside = self.spans(spark, spans)
+        return self._read_periods(spark, wanted).where(inside)
+
     def _write(self, df: DataFrame, mode: str, overwrite: str = "dynamic") -> None:
         # The rebalance hint lets AQE split a period that holds most rows and merge tiny ones.
         (
@@ -93,8 +114,8 @@ class KeyedTable:
             raise DuplicateKeys(f"source keys {self.keys} must be unique and not null")
         return row[2]
 
-    def upsert(self, source: DataFrame, staged: bool = False) -> None:
-        """Matched keys are replaced, new keys inserted; the same call again changes nothing.
+    def upsert(self, source: DataFrame, staged: bool = False) -> list[str]:
+        """Matched keys are replaced, new keys inserted; the same call again changes nothing. Returns the periods touched.
 
         Creates the table when, and only when, it is missing. Rewrites the periods of the source:
         the new files go to a staging folder of the write and replace the old ones at commit, so
@@ -113,17 +134,17 @@ class KeyedTable:
                 touched = self._read_periods(spark, set(periods).__contains__)
                 kept = join_on(touched, source.select(*self.keys), self.keys, "left_anti", null_safe=False)
                 self._write(self._with_period(kept).unionByName(source), "overwrite")
+        return periods
+
+    def take(self, source: DataFrame, batch_id: int, staged: bool = False) -> None:
+        """`upsert` of a micro-batch."""
+        self.upsert(source, staged)
 
     def append(self, df: DataFrame) -> None:
         """Plain append; rows double when the same rows are appended twice."""
         self._write(self._with_period(df), "append")
 
 
-def keyed_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
-    """The rows an upsert of `source` into `target` would leave, without writing."""
-    return join_on(target, source.select(*keys), keys, "left_anti", null_safe=False).unionByName(source)
-
-
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     """One write for all splits; a reader of one split lists only its folder."""
     df.hint("rebalance", split).write.mode("overwrite").partitionBy(split).parquet(path)

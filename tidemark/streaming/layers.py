@@ -8,16 +8,24 @@ from tidemark.operators.drift import count_values, ks_of_values, tall_values
 from tidemark.operators.gold import affected_gold, gold_features
 from tidemark.schema import DRIFT_ROWS, SILVER
 from tidemark.session import scratch_scope, stage
+from tidemark.sinks.log import AppendedTable
 from tidemark.sinks.store import KeyedTable
 from tidemark.streaming.replay import ReplayBuffer, recency_sample
-from tidemark.streaming.sinks import batch_folder
+from tidemark.streaming.sinks import COMPACT_EVERY, batch_folder
 
 class LayerUpdater:
-    """`foreachBatch` handler: new bars into silver, the changed rows into gold."""
+    """`foreachBatch` handler: new bars into silver, the changed rows into gold.
 
-    def __init__(self, silver: KeyedTable, gold: KeyedTable, unique_days: bool = False, lookback_days: int = 90):
+    With `AppendedTable`s a micro-batch writes its own rows and the gold rows that they change; after
+    `compact_every` of them both tables are compacted.
+    """
+
+    def __init__(
+        self, silver: KeyedTable | AppendedTable, gold: KeyedTable | AppendedTable, unique_days: bool = False, reach_days: int = 90,
+        compact_every: int = COMPACT_EVERY,
+    ):
         self.silver, self.gold = silver, gold
-        self.unique_days, self.lookback_days = unique_days, lookback_days
+        self.unique_days, self.reach_days, self.compact_every = unique_days, reach_days, compact_every
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -25,12 +33,15 @@ class LayerUpdater:
             bars = stage(batch.select(*SILVER.fieldNames()), "bars")
             if bars.isEmpty():
                 return
-            self.silver.upsert(bars, staged=True)
+            self.silver.take(bars, batch_id, staged=True)
             if not self.gold.exists(spark):
-                self.gold.upsert(gold_features(self.silver.read(spark), self.unique_days))
-                return
-            since_day = lambda day: self.silver.since(spark, day)
-            self.gold.upsert(affected_gold(since_day, bars, self.unique_days, self.lookback_days))
+                self.gold.take(gold_features(self.silver.read(spark), self.unique_days), batch_id)
+            else:
+                between = lambda spans: self.silver.between(spark, spans)
+                self.gold.take(affected_gold(between, bars, self.unique_days, self.reach_days), batch_id)
+        for table in (self.silver, self.gold):
+            if isinstance(table, AppendedTable):
+                table.compact(spark, self.compact_every)
 
 
 class DriftMonitor:

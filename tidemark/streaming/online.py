@@ -9,7 +9,7 @@ from tidemark.functions.metrics import mse, online_forecast
 from tidemark.functions.scalar import is_finite
 from tidemark.plans.learners import linear_prediction
 from tidemark.schema import SERIES_KEY, TARGET
-from tidemark.session import join_on, named, stage
+from tidemark.session import delete_folder, join_on, named, path_exists, stage
 from tidemark.streaming.sinks import batch_folder
 
 
@@ -68,25 +68,55 @@ def gradient_step(
     )
 
 
+KEPT_BATCHES = 100
+
+
 class OnlineModel:
     """Weights per group in one folder per micro-batch. A micro-batch that runs again starts from
-    the same earlier folder and writes the same rows."""
+    the same earlier folder and writes the same rows.
+
+    `start` (keys..., weights), such as `production_weights`, is where the first step begins; it is written beside the folders
+    once, so a restarted stream keeps its own. Groups that are not in it begin at zero. The folders of the last
+    `kept` micro-batches stay.
+    """
 
-    def __init__(self, path: str, features, target: str = TARGET, rate: float = 0.01, clip: float | None = None, keys=SERIES_KEY):
+    def __init__(
+        self, path: str, features, target: str = TARGET, rate: float = 0.01, clip: float | None = None, keys=SERIES_KEY,
+        start: DataFrame | None = None, kept: int = KEPT_BATCHES,
+    ):
+        if kept < 2:
+            raise ValueError("a micro-batch that runs again needs the folder before its own: keep two at least")
         self.path, self.features, self.target = path, list(features), target
-        self.rate, self.clip, self.keys = rate, clip, list(keys)
+        self.rate, self.clip, self.keys, self.start, self.kept = rate, clip, list(keys), start, kept
+
+    def _begin(self, spark) -> DataFrame | None:
+        if self.start is None:
+            return None
+        path = f"{self.path}/_start"  # hidden from a reader of all folders
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            stage(self.start.select(*[named(k) for k in self.keys], "weights", F.lit(0).cast("long").alias("steps")), path=path)
+        held = spark.read.parquet(path)
+        wrong = held.where(F.size("weights") != len(self.features) + 1).first()
+        if wrong:
+            raise ValueError(f"{len(wrong.weights)} starting weights for {len(self.features)} features and an intercept")
+        return held
 
     def weights(self, spark, batch_id: int) -> DataFrame | None:
-        return spark.read.parquet(batch_folder(self.path, batch_id)) if batch_id >= 0 else None
+        return spark.read.parquet(batch_folder(self.path, batch_id)) if batch_id >= 0 else self._begin(spark)
 
     def step(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        held = self.weights(batch.sparkSession, batch_id - 1)
+        spark = batch.sparkSession
+        held = self.weights(spark, batch_id - 1)
         after = gradient_step(batch, held, self.features, self.target, self.rate, self.clip, self.keys)
-        return stage(after, path=batch_folder(self.path, batch_id))
+        after = stage(after, path=batch_folder(self.path, batch_id))
+        if batch_id >= self.kept:
+            delete_folder(spark, batch_folder(self.path, batch_id - self.kept))
+        return after
 
     __call__ = step
 
     def history(self, spark) -> DataFrame:
+        """The rows of the micro-batches that are kept."""
         return spark.read.parquet(self.path)
 
 

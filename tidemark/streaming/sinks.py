@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from tidemark.sinks.log import AppendedTable
 from tidemark.sinks.store import KeyedTable
 from tidemark.sources.messages import bad_records, decode_messages, good_records
 
 Handler = Callable[[DataFrame, int], None]
+COMPACT_EVERY = 100  # micro-batches
 
 
 def batch_folder(path: str, batch_id: int) -> str:
@@ -21,8 +23,15 @@ def append_sink(path: str) -> Handler:
     return lambda batch, batch_id: batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
-def upsert_sink(table: KeyedTable) -> Handler:
-    return lambda batch, batch_id: table.upsert(batch)
+def upsert_sink(table: KeyedTable | AppendedTable, compact_every: int = COMPACT_EVERY) -> Handler:
+    """Upserts by key; an `AppendedTable` takes the rows as they come and is compacted every so many micro-batches."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table.take(batch, batch_id)
+        if isinstance(table, AppendedTable):
+            table.compact(batch.sparkSession, compact_every)
+
+    return handle
 
 
 def fan_out(*sinks: Handler) -> Handler:
