@@ -46,7 +46,8 @@ class _Buffer(StatefulProcessor):
             part = part[self.columns].assign(**{ARRIVAL: number})[self.state.fieldNames()]
             held = self._last(part if held is None else pd.concat([held, part], ignore_index=True))
         self.arrivals.update((number,))
-        self.rows.put([tuple(r) for r in held.itertuples(index=False, name=None)])
+        known = held.astype(object).where(held.notna(), None)  # the state takes None, not NaN or NaT
+        self.rows.put(list(known.itertuples(index=False, name=None)))
         newest = held[self.clock].max() if self.clock else None
         if newest is not None and not pd.isna(newest):
             for timer in list(self.handle.listTimers()):
