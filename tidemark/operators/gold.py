@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordering import last_rows, recent_enough, trailing
 from tidemark.schema import GOLD, SERIES_KEY, TRAILING_ROWS
-from tidemark.session import DATE_DOMAIN_ROWS, TASK_ROWS, join_on, small_or_not, stage
+from tidemark.session import DATE_DOMAIN_ROWS, TASK_ROWS, join_on, known_empty, small_or_not, stage
 
 _MA = "30_day_ma_close"
 _AT = "timestamp_in_ms"
@@ -61,55 +61,57 @@ def _latest_gold(silver: DataFrame, order) -> DataFrame:
     return project_gold(top.select(*SERIES_KEY, "row.*", F.col(f"`{_MA}`")))
 
 
-def _spans(fresh: DataFrame, reach_days: int):
-    """Merged spans (first day, last day) that reach so far around the new days; one row per month comes to the driver."""
-    months = fresh.groupBy(F.trunc("dt", "MM")).agg(F.min("dt").alias("a"), F.max("dt").alias("b")).orderBy("a").collect()
-    reach, out = timedelta(days=reach_days), []
-    for _, a, b in months:
-        a, b = max(a, date.min + reach) - reach, min(b, date.max - reach) + reach
+def _islands(bars: DataFrame, reach_days: int) -> DataFrame:
+    """(series, _island, _first, _last): days at most `reach_days` around the bars, neighbourhoods that touch merged."""
+    by_day = Window.partitionBy(*SERIES_KEY).orderBy("dt")
+    apart = F.coalesce(F.datediff("dt", F.lag("dt").over(by_day)) > 2 * reach_days + 1, F.lit(False))
+    days = bars.select(*SERIES_KEY, "dt").distinct().withColumn("_apart", apart.cast("int"))
+    return days.withColumn("_island", F.sum("_apart").over(by_day)).groupBy(*SERIES_KEY, "_island").agg(
+        F.date_sub(F.min("dt"), reach_days).alias("_first"), F.date_add(F.max("dt"), reach_days).alias("_last")
+    )
+
+
+def _spans(islands: DataFrame):
+    """Merged spans (first day, last day) of all islands; at most one row per month comes to the driver."""
+    months = islands.groupBy(F.trunc("_first", "MM")).agg(F.min("_first").alias("a"), F.max("_last").alias("b")).collect()
+    out = []
+    for a, b in sorted((r.a, r.b) for r in months):
         if out and a <= out[-1][1]:
-            a = out.pop()[0]
-        out.append((a, b))
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
     return out
 
 
 def affected_gold(between, bars: DataFrame, unique_days: bool, reach_days: int = 90) -> DataFrame:
-    """Gold rows that change when `bars` have come into silver: each new bar and the 29 after it.
+    """Gold rows that change when `bars` (a stored table, keys unique) have come into silver: each new bar and the 29 after it.
 
     `between(spans)` gives the silver rows whose day lies in one of the spans, or all for None. Only days
     at most `reach_days` around a new bar are read; overlapping neighbourhoods of a series are merged into islands, and every island is
     computed for itself. A series with too few bars there (and more of them outside) is looked up in all of
     its history, from its first new bar on.
     """
-    order, place = ["dt", _AT], [*SERIES_KEY, "_island"]
-    fresh = stage(bars.select(*SERIES_KEY, *order).distinct(), "fresh")
-    spans = _spans(fresh, reach_days)
+    place = [*SERIES_KEY, "_island"]
+    fresh = bars.select(*SERIES_KEY, "dt", _AT)
+    islands = stage(_islands(bars, reach_days), "islands")
+    spans = _spans(islands)
     if not spans:
         return gold_features(between(None).where(F.lit(False)), unique_days)
-    by_day = Window.partitionBy(*SERIES_KEY).orderBy("dt")
-    apart = F.coalesce(F.datediff("dt", F.lag("dt").over(by_day)) > 2 * reach_days + 1, F.lit(False))
-    days = fresh.select(*SERIES_KEY, "dt").distinct().withColumn("_apart", apart.cast("int"))
-    islands = days.withColumn("_island", F.sum("_apart").over(by_day)).groupBy(*place).agg(
-        F.date_sub(F.min("dt"), reach_days).alias("_first"), F.date_add(F.max("dt"), reach_days).alias("_last")
-    )
-    islands = stage(islands, "islands")
-    near = stage(islands.select(*place, F.explode(F.sequence("_first", "_last")).alias("dt")), "near")
-    rows = join_on(between(spans), small_or_not(near), [*SERIES_KEY, "dt"])
+    rows = join_on(between(spans), small_or_not(islands), SERIES_KEY).where(F.col("dt").between(F.col("_first"), F.col("_last")))
     seen = stage(_means_and_hits(rows, fresh, place, unique_days), "seen")
-
-    ends = seen.groupBy(*place).agg(
+    ends = seen.groupBy(*place, "_first", "_last").agg(
         F.bool_or(F.col("_hit") & (F.col("_rows") < TRAILING_ROWS)).alias("_thin"), F.max_by("_hit", _AT).alias("_open")
     )
-    doubtful = stage(join_on(ends.where("_thin OR _open"), islands, place), "doubtful")
-    edges = doubtful.agg(F.max(F.when(F.col("_thin"), F.col("_first"))), F.min(F.when(F.col("_open"), F.col("_last")))).first()
+    edges = ends.agg(F.max(F.when(F.col("_thin"), F.col("_first"))), F.min(F.when(F.col("_open"), F.col("_last")))).first()
     outside = []
     if edges[0] is not None:
         outside.append((None, edges[0] - timedelta(days=1)))
     if edges[1] is not None:
         outside.append((edges[1] + timedelta(days=1), None))
     result = seen.where("_hit")
-    if outside:
-        there = join_on(between(outside).select(*SERIES_KEY, F.col("dt").alias("_dt")), small_or_not(doubtful), SERIES_KEY)
+    beyond = between(outside) if outside else None
+    if beyond is not None and not known_empty(beyond):
+        there = join_on(beyond.select(*SERIES_KEY, F.col("dt").alias("_dt")), small_or_not(stage(ends, "ends")), SERIES_KEY)
         there = there.where("(_thin AND _dt < _first) OR (_open AND _dt > _last)")
         wide = stage(there.select(*SERIES_KEY).distinct(), "wide")
         if not wide.isEmpty():

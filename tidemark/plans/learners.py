@@ -166,7 +166,9 @@ def fit_on_sums(
     keeps to that. With `v_rows` in `paired`, `mae` has the mean absolute error of the same weights; `steps`
     adds `losses`, the validation loss of every epoch run.
     """
-    spread = paired.repartition(*[named(k) for k in keys], "fold")
+    # a number of partitions, as the rows are few bytes and much work and would be put into one task
+    tasks = int(paired.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = paired.repartition(tasks, *[named(k) for k in keys], "fold")
     schema = T.StructType([f for f in spread.schema.fields if f.name in [*keys, "fold"]]).add("config_id", T.LongType())
     schema = schema.add("weights", T.ArrayType(T.DoubleType())).add("mse", T.DoubleType()).add("epoch", T.LongType())
     with_rows = "v_rows" in paired.columns

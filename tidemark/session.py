@@ -141,6 +141,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def known_empty(df: DataFrame) -> bool:
+    """Whether the optimiser already sees that a plan gives no rows, as for a read without folders; no job runs."""
+    most = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return most.isDefined() and most.get() == 0
+
+
 def group_sizes(df: DataFrame, keys) -> tuple[int, int]:
     """(rows of the largest group, rows of all): key columns only, counted before the shuffle."""
     counts = df.groupBy(*[named(k) for k in keys]).count()

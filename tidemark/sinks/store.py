@@ -66,10 +66,10 @@ class KeyedTable:
 
     def spans(self, spark: SparkSession, spans):
         """(test of a period, condition on rows) for spans (first day or None, last day or None); periods as for `since`."""
-        bounds = spark.createDataFrame(
-            [(i, j, day) for i, span in enumerate(spans) for j, day in enumerate(span) if day is not None], "i int, j int, dt date"
-        )
-        periods = {(r.i, r.j): r.period for r in bounds.select("i", "j", F.expr(self.period).cast("string").alias("period")).collect()}
+        days = [f"({i}, {j}, DATE'{day}')" for i, span in enumerate(spans) for j, day in enumerate(span) if day is not None]
+        # a query on literals, which the driver answers without a job
+        named_periods = spark.sql(f"SELECT i, j, CAST({self.period} AS STRING) AS period FROM VALUES {', '.join(days)} AS t(i, j, dt)")
+        periods = {(r.i, r.j): r.period for r in named_periods.collect()}
         edges = [(periods.get((i, 0)), periods.get((i, 1))) for i in range(len(spans))]
         inside = F.lit(False)
         for first, last in spans:

@@ -38,7 +38,8 @@ class LayerUpdater:
                 self.gold.take(gold_features(self.silver.read(spark), self.unique_days), batch_id)
             else:
                 between = lambda spans: self.silver.between(spark, spans)
-                self.gold.take(affected_gold(between, bars, self.unique_days, self.reach_days), batch_id)
+                # the rows are a projection of a stored table, so they need no copy of their own
+                self.gold.take(affected_gold(between, bars, self.unique_days, self.reach_days), batch_id, staged=True)
         for table in (self.silver, self.gold):
             if isinstance(table, AppendedTable):
                 table.compact(spark, self.compact_every)
