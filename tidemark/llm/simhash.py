@@ -178,7 +178,8 @@ def near_components(
     )
     rows = stage(made.select("_id", "_print"), "prints")
     prints = stage(rows.groupBy("_print").agg(F.min("_id").alias("_least")), "distinct")
-    linked = stage(components(near_links(prints, radius, bucket_rows).distinct()), "linked")
+    links = stage(near_links(prints, radius, bucket_rows).distinct(), "links")  # read twice below
+    linked = stage(components(links), "linked")
     linked = linked.select(F.col("id").alias("_print"), F.col("root").alias("_root"))
     least = prints.join(linked, "_print").groupBy("_root").agg(F.min("_least").alias("_smallest"))
     members = linked.join(small_or_not(stage(least, "least")), "_root").select("_print", "_smallest")
