@@ -64,3 +64,15 @@ def test_bounds_hold():
     error = np.abs(found - q @ x.T)
     assert np.allclose(length, 1) and (error <= bound[None, :]).mean() > 0.9999
     assert abs((found - q @ x.T).mean()) < 0.005  # without bias
+
+
+def test_vectors_of_several_dimensions(spark):
+    """Each query is answered from the vectors of its own dimension, also the rarest."""
+    random = np.random.default_rng(12)
+    rows = [(i, random.standard_normal(3).tolist()) for i in range(100)] + [(1000 + i, random.standard_normal(2).tolist()) for i in range(50)]
+    rows += [(3000, random.standard_normal(7).tolist()), (3001, random.standard_normal(7).tolist()), (4000, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in rabitq.nearest(df, df.where("vec_id % 50 = 0")).orderBy("query_id", "rank").collect()]
+    want = [e for d in (3, 2, 7, 1) for e in plain([r for r in rows if len(r[1]) == d])]
+    assert [g[:3] for g in got] == [e[:3] for e in sorted(want)] and len(got) == 5 + 5 + 5 + 1
+    assert [g[3] for g in got] == pytest.approx([e[3] for e in sorted(want)], abs=1e-12)

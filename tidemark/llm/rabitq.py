@@ -13,6 +13,8 @@ be among the k nearest. Only the best of a block leave it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -71,21 +73,26 @@ def nearest(
     """(query_id, rank, key, score): the k nearest vectors of each query by cosine, its own key left out.
 
     Scores are exact, in double precision; ties go to the smaller key. Null, zero and non-finite
-    vectors take no part, nor do vectors of another dimension than the most common one. Fewer
+    vectors take no part. A query is compared with the vectors of its own dimension; every dimension
+    that occurs has a mean, a rotation and codes of its own, and a pass. Fewer
     candidates than k give fewer rows. Keys should be unique; rows that repeat a key are kept
     and told apart by nothing but their vectors.
     """
-    spark = vectors.sparkSession
     base, asked = usable(vectors, key, vector), usable(queries, key, vector)
-    sizes = base.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    schema = "query_id long, rank int, key long, score double"
-    if sizes is None:
-        return spark.createDataFrame([], schema).withColumnRenamed("key", key)
-    d = sizes["d"]
-    asked = stage(asked.where(F.size("x") == d), "queries")
+    dimensions = [r.d for r in asked.select(F.size("x").alias("d")).distinct().orderBy("d").collect()]
+    if not dimensions:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, key long, score double").withColumnRenamed("key", key)
+    of_size = lambda df, d: df.where(F.size("x") == d)
+    found = [_nearest_of(of_size(base, d), of_size(asked, d), key, d, k, epsilon) for d in dimensions]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest_of(base: DataFrame, asked: DataFrame, key: str, d: int, k: int, epsilon: float) -> DataFrame:
+    """`nearest` of usable vectors (key, x) that all have `d` dimensions."""
+    asked = stage(asked, "queries")
     # of equal vectors, only the k + 1 smallest keys can be among the k nearest of any query
     equal = Window.partitionBy("x").orderBy("key")
-    base = base.where(F.size("x") == d).withColumn("_n", F.row_number().over(equal)).where(F.col("_n") <= k + 1).drop("_n")
+    base = base.withColumn("_n", F.row_number().over(equal)).where(F.col("_n") <= k + 1).drop("_n")
     base = stage(base, "vectors")
 
     def sums(batches):
