@@ -71,3 +71,14 @@ def test_query_digests(spark, tmp_path):
         loss = "".join(b for a, b in said if a == "assistant")
         assert got[c].n_turns == len(said) and got[c].loss_chars == len(loss)
         assert got[c].turns_sha256 == hashlib.sha256(turns.encode()).hexdigest() and got[c].loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_long_runs_of_backslashes(spark):
+    """A run without a mark after it costs one look, at any length; marks after runs are still read back."""
+    slashes = "\\" * 1_000_000
+    cases = [slashes, slashes + " x", "a" + "\\" * 7 + "</s>", "\\" * 6 + "[INST]" + "\\" * 3 + "x", "\\" * 200 + "<s>" + "\\" * 201 + "</s>\\"]
+    rows = [(i, 0, "assistant", t) for i, t in enumerate(cases)]
+    made = chat.chat_examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: r for r in made.select("conv_id", chat.loss_text().alias("loss"), chat.read_turns(F.col("formatted")).alias("read")).collect()}
+    assert [got[i].loss for i in range(len(cases))] == cases
+    assert [[t.text for t in got[i].read] for i in range(len(cases))] == [[t] for t in cases]

@@ -28,11 +28,13 @@ _TURN = (
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(\\*)({MARKS})", r"$1$1\\$2")
+    """A run of backslashes is looked at once, from its beginning, and given up as a whole when no mark follows it."""
+    return F.regexp_replace(text, rf"(?<!\\)(\\*+)({MARKS})", r"$1$1\\$2")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?<!\\)(\\*)\1\\({MARKS})", r"$1$2")
+    """The lookahead finds in one pass whether a run is odd and ends at a mark; only such runs are halved."""
+    return F.regexp_replace(text, rf"(?<!\\)(?=(?:\\\\)*+\\(?:{MARKS}))(\\*)\1\\({MARKS})", r"$1$2")
 
 
 def _by_role(role: Column, marks: dict[str, str], other: Column) -> Column:
