@@ -534,11 +534,8 @@ def discrepancy(spark, sf_dir):
 
 
 def weekly_best(spark, sf_dir):
-    """Check, split, prepare, tune by Hyperband, choose; linear learners on all series."""
-    settings = WeeklySettings(
-        learners=("linear", "ridge"), test_rows=50, train=80, validation=40, gap=8, budget=9, factor=3,
-        numeric=("open", "high", "low", "30_day_ma_close"), categorical=("month",),
-    )
+    """Check, split, prepare, tune by Hyperband, choose: all learners and default columns on all series, windows scaled to the daily bars."""
+    settings = WeeklySettings(test_rows=50, train=80, validation=40, gap=8, budget=27, factor=3)
     gold = stage(daily_gold(spark, sf_dir), "gold")
     return plain(weekly_run(spark, gold, settings), 4)
 
