@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.silver import accepted, enforce_schema, rejected, type_bars
 from tidemark.schema import SILVER
-from tidemark.sinks.landing import land_payloads, latest_entry, make_payloads
+from tidemark.sinks.landing import land_payloads, latest_entry, make_payloads, sweep
 from tidemark.sources.messages import rows_to_table
 from tidemark.sources.payload import explode_payloads, explode_wide, read_payloads
 
@@ -64,6 +64,23 @@ def test_landing_again_and_replacing(spark, tmp_path):
     assert read() == [("a", 1, "3"), ("a", 2, "4"), ("b", 1, "2")]
     land_payloads(frame([("a", day(3), "5")]), path, replace=True)
     assert read() == [("a", 3, "5"), ("b", 1, "2")]
+    land_payloads(frame([("a", day(1), "6"), ("c", day(1), "7")]), path)  # a replaced day is landed again
+    assert read() == [("a", 1, "6"), ("a", 3, "5"), ("b", 1, "2"), ("c", 1, "7")]
+    days = lambda series: sorted(p.name for p in (tmp_path / "bronze" / f"series={series}").iterdir())
+    assert len(days("a")) == 3 and sweep(spark, path) == 1 and len(days("a")) == 2
+    assert read() == [("a", 1, "6"), ("a", 3, "5"), ("b", 1, "2"), ("c", 1, "7")] and sweep(spark, path) == 0
+
+
+def test_a_landing_deletes_no_landed_folder(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "bronze")
+    frame = lambda rows: spark.createDataFrame(rows, "series string, dt date, value string")
+    land_payloads(frame([(f"s{i}", dt.date(2025, 1, d), "{}") for i in range(3) for d in (1, 2, 3)]), path)
+    asked = []
+    monkeypatch.setattr("tidemark.sinks.landing.delete_folder", lambda spark, p: asked.append(p))
+    for d in (10, 11, 12):
+        land_payloads(frame([(f"s{i}", dt.date(2025, 1, d), "{}") for i in range(3)]), path, replace=True)
+    assert all("/_stale/v=" in p for p in asked) and len(asked) <= 3
+    assert sorted((r.series, r.dt.day) for r in read_payloads(spark, path).collect()) == [("s0", 12), ("s1", 12), ("s2", 12)]
 
 
 def test_latest_is_the_greatest_key(spark):

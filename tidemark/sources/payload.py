@@ -7,20 +7,38 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import computed_once
 from tidemark.schema import PAYLOAD_WRAPPER, RAW_BAR
+from tidemark.session import file_system, join_on, small_or_not
 
 _ENTRIES = "map<string,string>"
 
 
+STALE = "_stale"  # beside the landed days; hidden from readers of the folder
+
+
+def stale_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished lists of replaced days, the newest last."""
+    at, fs = file_system(spark, f"{path}/{STALE}/v=*/_SUCCESS")
+    return sorted(int(s.getPath().getParent().getName().split("=", 1)[1]) for s in fs.globStatus(at) or [])
+
+
+def stale_days(spark: SparkSession, path: str) -> DataFrame | None:
+    """(series, dt) of the landed days that a later landing replaced; None when there was no such landing."""
+    versions = stale_versions(spark, path)
+    return spark.read.schema("series string, dt date").parquet(f"{path}/{STALE}/v={versions[-1]}") if versions else None
+
+
 def read_payloads(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """(series, dt, value) of a landing folder `series=<key>/dt=<latest>`.
+    """(series, dt, value) of a landing folder `series=<key>/dt=<latest>`, without replaced days.
 
     `one_per_file` takes a whole file as one object; otherwise each line is one.
     """
-    return (
+    landed = (
         spark.read.schema("value string, series string, dt date")
         .option("wholetext", str(one_per_file).lower())
         .text(path)
     )
+    stale = stale_days(spark, path)
+    return landed if stale is None else join_on(landed, small_or_not(stale), ["series", "dt"], "left_anti")
 
 
 def payload_entries(value: Column) -> Column:
