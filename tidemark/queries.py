@@ -560,7 +560,7 @@ def _production(spark, gold) -> str:
     """The folder of a weekly run whose models are ridge regressions on the opening price."""
     path = scratch_path(spark, "production")
     settings = WeeklySettings(
-        learners=("ridge",), test_rows=50, train=80, validation=40, gap=8, numeric=("open",), categorical=(), stacked=False, space=_one_config
+        learners=("ridge",), test_rows=50, train=60, validation=30, gap=5, numeric=("open",), categorical=(), stacked=False, space=_one_config
     )
     weekly_run(spark, gold, settings, path=path)
     return path
