@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schema import CLIP_NORM, PATIENCE, TOLERANCE
-from tidemark.session import join_on, named, ship_with_tasks
+from tidemark.session import join_on, named, ship_with_tasks, stage
 
 ship_with_tasks(__name__)
 
@@ -236,7 +236,7 @@ def fit_linear(train: DataFrame, name: str, features, target: str, config: dict,
     same setting. Descent keeps its best epoch on the train rows."""
     check_learner(name)
     rows = train.select(*[named(c) for c in features], named(target), F.lit(0).alias("fold"))
-    sums = fold_sums(rows.withColumn("role", F.lit("train")), [], features, target)
+    sums = stage(fold_sums(rows.withColumn("role", F.lit("train")), [], features, target), "sums")  # read twice
     both = sums.unionByName(sums.withColumn("role", F.lit("validation")))
     fitted = fit_on_sums(paired_sums(both, []), [], name, [config], budget).first()
     return LinearFit(name, features, fitted.weights)
