@@ -115,3 +115,46 @@ def test_vocabulary_grows_and_rare_words_are_learned(spark):
     held = F.col("id") % 5 == 0
     base, score = lbl.lm_scores(df, "id", "text", ~held, shortlist=5).where("NOT training").agg(F.sum("base_score"), F.sum("score")).first()
     assert score > base * 0.97
+
+
+def test_products_of_a_normaliser_grow_slower_than_members():
+    """Classes of hashed words hold as many members as there are classes: at 2.4 million words some 700 products at most, not 1,800."""
+    own, hashed = 24_800, 1_542
+    begins = lbl.Vocabulary(np.arange(own), np.arange(own) + 2, hashed).begins()
+    assert begins[0] == 0 and begins[-1] == own + 2 + hashed * lbl.BUCKETS and (np.diff(begins) > 0).all()
+    assert len(begins) - 1 + np.diff(begins).max() < 800
+
+
+def test_tokens_of_a_class_share_noise_members():
+    """4,096 tokens of one class of 5,000 members: a block's noise is drawn once, and every gradient is that of its tokens."""
+    counts = np.ones(5_002, np.int64)
+    trainer = lbl.Trainer(lbl.Model.start(counts, 8, np.array([0, 1, 2, 5_002])), counts, 0)
+    token = np.random.default_rng(5).integers(2, 5_002, 4_096)
+    trainer.step(token, np.full(4_096, 1), np.full(4_096, 1))
+    drawn = int((trainer.used[1] > 0).sum()) - len(np.unique(token))
+    assert 0 < drawn <= 4_096 // lbl.BLOCK * lbl.INSIDE
+    assert trainer.used[1].sum() == 4_096 * (1 + lbl.INSIDE)  # each token counts for its own member and its noise
+    begin, length = trainer._blocks(np.array([1, 1, 2, *[3] * (lbl.BLOCK + 1)]))
+    assert begin.tolist() == [0, 2, 3, 3 + lbl.BLOCK] and length.tolist() == [2, 1, lbl.BLOCK, 1]
+
+
+def test_a_class_that_is_never_predicted_costs_no_second_pass(monkeypatch):
+    """A bias of -30 cannot overflow; scores that would, or that would all vanish, are still exact."""
+    random = np.random.default_rng(1)
+    vectors, q = random.standard_normal((50, 8)).astype(np.float32), random.standard_normal((20, 8)).astype(np.float32)
+    for shift in (0.0, 200.0, -200.0):
+        bias = np.full(50, shift, np.float32)
+        bias[0] = shift - 30
+        plain = np.logaddexp.reduce(q.astype(float) @ vectors.T.astype(float) + bias, axis=1)
+        assert lbl.Normaliser(vectors, bias).logs(lbl._with_one(q)) == pytest.approx(plain, rel=1e-5)
+    small = 10 * vectors, np.array([-30.0, *[0.0] * 49], np.float32)
+    want = lbl.Normaliser(*small).logs(lbl._with_one(q / 4))
+    monkeypatch.setattr(lbl, "_log_sums", None)
+    assert np.allclose(lbl.Normaliser(*small).logs(lbl._with_one(q / 4)), want)
+    longest = float(np.sqrt((small[0] ** 2).sum(1)).max() * np.sqrt((q ** 2).sum(1)).max() / 4)
+    assert 30 < longest < lbl.Normaliser.LARGEST
+
+
+def test_counts_of_words_whose_first_halves_agree():
+    entries = np.array([(5, 2, 1), (5, 1, 1), (3, 9, 4), (5, 2, 2)], lbl.ENTRY)
+    assert lbl._summed(entries).tolist() == [(3, 9, 4), (5, 1, 1), (5, 2, 3)]

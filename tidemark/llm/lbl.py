@@ -6,9 +6,10 @@ P(token) = P(class | q) P(member | class, q), both by products of vectors with q
 
 The vocabulary grows with the training counts. Of V words, the 16 sqrt(V) most frequent have a
 member, a context vector and a target vector of their own, and the word of rank r is in class
-floor(sqrt(r)), so classes grow as words get rarer. All other words are hashed to `BUCKETS` members
-in each of about sqrt(V) further classes; a word has its share of its member's counts. A normaliser
-runs over all classes and the members of one, some sqrt(V) products a token.
+floor(sqrt(r)), so classes grow as words get rarer. All other words are hashed to `BUCKETS` sqrt(V)
+further members, in classes of about as many members as there are such classes; a word has its share
+of its member's counts. A normaliser runs over all classes and the members of one: a few times the
+fourth root of V products a token, 382 classes of at most 315 members at 2.4 million words.
 
 Every task trains on all of its training texts, from the same start, and each row of the models is
 averaged by how often the tasks used it, in `ROUNDS` rounds. Counts are exact over all training
@@ -19,6 +20,7 @@ table of counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -32,14 +34,15 @@ from tidemark.session import named, ship_with_tasks, stage
 
 SHORTLIST = 1000  # the fewest words with vectors of their own, and contexts whose pairs have a table of normalisers
 OWN_WORDS = 16  # words with vectors of their own, times the square root of all
-BUCKETS = 32  # members of a class of hashed words
+BUCKETS = 32  # members for hashed words, times the square root of all
 HEAD = 1 << 19
 WIDTH = 40
 ROUNDS = 2
 BATCH, NOISE, RATE = 8192, 64, 0.08
 INSIDE = 4  # noise words of a token inside its class
+BLOCK = 8  # tokens of a class that share them
 SLICE = 4096  # rows of a model that are averaged at a time
-SCORED = 4096  # tokens whose classes are normalised at a time
+SCORED = 256  # tokens whose classes are normalised at a time: their scores stay in the cache of a processor
 FLUSH_WORDS = 4_000_000
 FAN_IN = 32
 TASKS = 6  # training tasks, times the square root of the input in units of 16 MB: models grow as tasks do
@@ -62,7 +65,11 @@ ENTRY = np.dtype([("a", "<i8"), ("b", "<i8"), ("n", "<i8")])
 
 
 def _summed(entries: np.ndarray) -> np.ndarray:
-    entries = entries[np.lexsort((entries["b"], entries["a"]))]
+    order = np.argsort(np.ascontiguousarray(entries["a"]))
+    first, second = entries["a"][order], entries["b"][order]
+    if ((first[1:] == first[:-1]) & (second[1:] != second[:-1])).any():  # words whose first halves agree
+        order = np.lexsort((entries["b"], entries["a"]))
+    entries = entries[order]
     new = np.ones(len(entries), bool)
     new[1:] = (entries["a"][1:] != entries["a"][:-1]) | (entries["b"][1:] != entries["b"][:-1])
     firsts = np.flatnonzero(new)
@@ -170,9 +177,16 @@ class Model:
         return Model(strip(context), strip(position), strip(target), target[:, -1].copy(), strip(member), member[:, -1].copy(), self.begins)
 
 
+def _places(keys: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """np.searchsorted, in the order of `a`: near places are in the processor's cache."""
+    order, out = np.argsort(a), np.empty(len(a), np.int64)
+    out[order] = np.searchsorted(keys, np.take(a, order))
+    return out
+
+
 @dataclass
 class Vocabulary:
-    """Sorted first halves of the keys of words with own vectors, their tokens, and the hashed tokens that follow."""
+    """Sorted first halves of the keys of words with own vectors, their tokens, and the hashed tokens that follow, `BUCKETS` times `classes`."""
 
     keys: np.ndarray
     ids: np.ndarray
@@ -189,14 +203,15 @@ class Vocabulary:
     def tokens(self, a: np.ndarray) -> np.ndarray:
         out = self.first + a % self.hashed
         if len(self.keys):
-            where = np.minimum(np.searchsorted(self.keys, a), len(self.keys) - 1)
+            where = np.minimum(_places(self.keys, a), len(self.keys) - 1)
             out = np.where(self.keys[where] == a, self.ids[where], out)
         return out
 
     def begins(self) -> np.ndarray:
         own = len(self.keys)
         squares = np.arange(int(np.ceil(np.sqrt(own)))) ** 2
-        return np.concatenate([[START, END], 2 + squares, self.first + BUCKETS * np.arange(self.classes + 1)]).astype(np.int64)
+        wide = max(int(np.sqrt(self.hashed)), BUCKETS)  # as many members as there are classes
+        return np.concatenate([[START, END], 2 + squares, np.arange(self.first, self.first + self.hashed, wide), [self.first + self.hashed]]).astype(np.int64)
 
 
 def make_vocabulary(head: pd.DataFrame, distinct: int, shortlist: int) -> Vocabulary:
@@ -257,7 +272,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Trainer:
     """Mini-batches of noise-contrastive estimation with AdaGrad steps.
 
-    The noise classes of a batch are shared; each token has noise members of its own class, drawn evenly.
+    The noise classes of a batch are shared. Each token has noise members of its own class, drawn evenly;
+    up to `BLOCK` tokens of a class in a batch have the same.
     """
 
     def __init__(self, model: Model, counts: np.ndarray, seed: int, rate: float = RATE):
@@ -287,8 +303,19 @@ class Trainer:
         sums += np.take(vectors, places, axis=0)
         vectors[places] = sums
 
+    def _blocks(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first token, tokens) of the runs of up to `BLOCK` tokens of one class; `kind` is sorted."""
+        begins = np.flatnonzero(np.diff(kind, prepend=-1))
+        lengths = np.diff(np.append(begins, len(kind)))
+        blocks = -(-lengths // BLOCK)
+        within = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        first = np.repeat(begins, blocks) + BLOCK * within
+        return first, np.minimum(np.repeat(lengths, blocks) - BLOCK * within, BLOCK)
+
     def step(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         m, n = self.m, len(token)
+        order = _order(np.take(self.class_of, token))
+        token, one, two = np.take(token, order), np.take(one, order), np.take(two, order)
         kind = np.take(self.class_of, token)
         noise = self.random.choice(len(self.share), NOISE, p=self.share)
         first, second = np.take(m.context, one, axis=0), np.take(m.context, two, axis=0)
@@ -302,33 +329,45 @@ class Trainer:
         back = wanted
         back *= up[:, None]
         back -= down @ others
+
+        begin, length = self._blocks(kind)
+        held = np.arange(BLOCK) < length[:, None]
+        q = np.take(predicted, np.minimum(begin[:, None] + np.arange(BLOCK), n - 1), axis=0)
+        kinds = np.take(kind, begin)
+        sizes, several = np.take(self.sizes, kinds), np.take(self.sizes, kinds) > 1
+        # a float just below one may round up to the size
+        drawn = (self.random.random((len(begin), INSIDE), dtype=np.float32) * sizes.astype(np.float32)[:, None]).astype(np.int64)
+        drawn = np.minimum(drawn, (sizes - 1)[:, None]) + np.take(m.begins, kinds)[:, None]
+        vectors = np.take(m.member, drawn, axis=0)
+        pull = np.empty((len(begin), BLOCK, INSIDE + 1), np.float32)  # of the noise members, and of the class
+        inside = q @ vectors.transpose(0, 2, 1)
+        inside += (np.take(m.member_bias, drawn) - np.take(self.log_inside, kinds)[:, None])[:, None, :]
+        np.multiply(_sigmoid(inside), -(held & several[:, None]).astype(np.float32)[:, :, None], out=pull[:, :, :INSIDE])
+        pull[:, :, INSIDE] = 0
+        pull[:, :, INSIDE][held] = up
+        back += (pull[:, :, :INSIDE] @ vectors)[held]
+        sums = pull.transpose(0, 2, 1) @ q
         target = np.zeros_like(m.target)
-        order, begins, places = _segments(kind)
-        target[places] = _segment_sums(np.take(predicted, order, axis=0) * np.take(up, order)[:, None], begins)
+        new = np.flatnonzero(np.diff(kinds, prepend=-1))
+        target[kinds[new]] = _segment_sums(np.ascontiguousarray(sums[:, INSIDE]), new)
         np.subtract.at(target, noise, down.T @ predicted)
         bias = np.bincount(kind, up, len(m.bias)) - np.bincount(noise, down.sum(0), len(m.bias))
 
         mine = np.flatnonzero(np.take(self.sizes, kind) > 1)
         if len(mine):
-            own, kinds, q = np.take(token, mine), np.take(kind, mine), np.take(predicted, mine, axis=0)
-            drawn = self.random.random((len(mine), INSIDE), dtype=np.float32) * np.take(self.sizes, kinds).astype(np.float32)[:, None]
-            # a float just below one may round up to the size
-            drawn = np.minimum(drawn.astype(np.int64), (np.take(self.sizes, kinds) - 1)[:, None]) + np.take(m.begins, kinds)[:, None]
-            at = np.column_stack([own, drawn])
-            flat = at.ravel()
-            vectors = np.take(m.member, flat, axis=0).reshape(*at.shape, -1)
-            pull = np.einsum("ij,ikj->ik", q, vectors)
-            pull += np.take(m.member_bias, flat).reshape(at.shape)
-            pull -= np.take(self.log_inside, kinds)[:, None]
-            pull = -_sigmoid(pull)
-            pull[:, 0] += 1
-            back[mine] += np.einsum("ik,ikj->ij", pull, vectors)
-            order, begins, places = _segments(flat)
-            pull = np.take(pull.ravel(), order)
-            rows = np.take(q, order // at.shape[1], axis=0)
-            rows *= pull[:, None]
-            self._update(1, m.member, places, np.diff(np.append(begins, len(flat))), _segment_sums(rows, begins))
-            sums = np.add.reduceat(pull, begins)
+            own, wanted, rows = np.take(token, mine), np.take(m.member, np.take(token, mine), axis=0), np.take(predicted, mine, axis=0)
+            hit = np.einsum("ij,ij->i", rows, wanted)
+            hit += np.take(m.member_bias, own) - np.take(self.log_inside, np.take(kind, mine))
+            hit = 1 - _sigmoid(hit)
+            wanted *= hit[:, None]
+            back[mine] += wanted
+            rows *= hit[:, None]
+            order, begins, places = _segments(np.concatenate([own, drawn[several].ravel()]))
+            rows = np.take(np.concatenate([rows, sums[several, :INSIDE].reshape(-1, rows.shape[1])]), order, axis=0)
+            hit = np.take(np.concatenate([hit, pull[several, :, :INSIDE].sum(1).ravel()]), order)
+            times = np.take(np.concatenate([np.ones(len(own), np.int64), np.repeat(length[several], INSIDE)]), order)
+            self._update(1, m.member, places, np.add.reduceat(times, begins), _segment_sums(rows, begins))
+            sums = np.add.reduceat(hit, begins)
             self.bias_squares[places] += sums * sums
             m.member_bias[places] += self.rate * sums / np.sqrt(self.bias_squares[places])
         position = np.stack([np.einsum("ij,ij->j", back, first), np.einsum("ij,ij->j", back, second)])
@@ -417,7 +456,8 @@ def _with_one(rows: np.ndarray) -> np.ndarray:
 class Normaliser:
     """Logarithms of sums of exponentials of q . vector + bias over some vectors, by matrix products alone.
 
-    Where no score can be large enough for an exponential to overflow, the greatest need not be taken off first.
+    Where no score can be large enough for an exponential to overflow, nor all so small that their sum vanishes,
+    the greatest need not be taken off first.
     """
 
     LARGEST = 60.0  # exp of it, times the number of vectors, is a finite 32-bit float
@@ -426,7 +466,7 @@ class Normaliser:
         self.both = np.ascontiguousarray(np.column_stack([vectors, bias]).T)
         self.ones = np.ones(len(bias), np.float32)
         self.length = float(np.sqrt((vectors.astype(float) ** 2).sum(axis=1).max()))
-        self.bias = float(np.abs(np.maximum(bias, -self.LARGEST)).max())
+        self.bias = float(np.abs(bias.max()))  # of the likeliest; the exponentials of others may vanish
 
     def scores(self, q1: np.ndarray) -> np.ndarray:
         """Scores of rows that end in a one."""
@@ -448,6 +488,12 @@ class Tables:
     model: Model
     norm: np.ndarray
 
+    @cached_property
+    def members(self) -> list[Normaliser]:
+        """Of each class, made once in a task's worker."""
+        m = self.model
+        return [Normaliser(m.member[i:j], m.member_bias[i:j]) for i, j in zip(m.begins[:-1], m.begins[1:])]
+
     def logs(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities."""
         m, pairs, sizes = self.model, len(self.norm), np.diff(self.model.begins)
@@ -474,8 +520,7 @@ class Tables:
             c = int(sorted_kind[i])
             if sizes[c] == 1:
                 continue
-            first, last = m.begins[c], m.begins[c + 1]
-            members = Normaliser(m.member[first:last], m.member_bias[first:last])
+            first, members = m.begins[c], self.members[c]
             for k in range(i, j, SCORED):
                 at = order[k:min(k + SCORED, j)]
                 rows = np.take(q, at, axis=0)
@@ -569,7 +614,7 @@ def lm_scores(df: DataFrame, key: str, text: str, training, shortlist: int = SHO
                 tokens, one, two = token_ids(words, a, vocabulary)
                 owner = np.repeat(np.arange(n), words.counts + 1)
                 logs = _grouped_sum(tables.logs(tokens, one, two).astype(float), owner, n) / np.log(10)
-                at = np.minimum(np.searchsorted(head_a, a), max(len(head_a) - 1, 0))
+                at = np.minimum(_places(head_a, a), max(len(head_a) - 1, 0))
                 known = (head_a[at] == a) & (head_b[at] == b) if len(head_a) else np.zeros(len(a), bool)
                 count = head_n[at] if len(head_a) else np.zeros(len(a), np.int64)
                 base = _grouped_sum(np.log10((count[known] + 0.5) / base_all), words.text[known], n) + np.log10((ends + 0.5) / base_all)
