@@ -158,3 +158,96 @@ def test_a_class_that_is_never_predicted_costs_no_second_pass(monkeypatch):
 def test_counts_of_words_whose_first_halves_agree():
     entries = np.array([(5, 2, 1), (5, 1, 1), (3, 9, 4), (5, 2, 2)], lbl.ENTRY)
     assert lbl._summed(entries).tolist() == [(3, 9, 4), (5, 1, 1), (5, 2, 3)]
+
+
+def test_keys_of_words_hashed_byte_by_byte():
+    """Words up to, at and beyond `SHORT` bytes, and texts without any."""
+    pa, find = lbl.pa, lbl.find_words
+    around = " ".join("É" + "Xy" * n for n in range(20)) + " " + " ".join("z" * n for n in range(1, 2 * lbl.SHORT))
+    for texts in (["", None], [], ["A b", None, "w" * 100_000 + " end"], [around, "", around.upper()], ["q" * 70_000]):
+        for _, _, data, bounds in lbl.text_chunks(pa.array(texts, pa.string())):
+            w = find(data, bounds)
+            want = [lbl.span_hashes(lbl._LOWERED[data], w.starts, w.ends, which).view(np.int64) for which in (0, 1)]
+            assert all(np.array_equal(a, b) for a, b in zip(lbl.word_keys(w), want))
+            assert np.array_equal(lbl.word_keys(w, 1)[0], want[0])
+
+
+def test_sums_of_segments_by_layers():
+    random = np.random.default_rng(3)
+    for width in (4, 5):
+        at = np.concatenate([random.integers(0, 90_000, 500), np.repeat([7, 70_000, 8], [lbl.LAYERS, lbl.LAYERS + 1, 300])])
+        random.shuffle(at)
+        rows, where = random.standard_normal((len(at) + 9, width)).astype(np.float32), random.permutation(len(at) + 9)[: len(at)]
+        found = lbl.Segments(at)
+        assert np.array_equal(found.places[found.of], at) and np.array_equal(np.bincount(found.of), found.times) and (np.diff(found.times) <= 0).all()
+        for given, mine in ((None, rows[: len(at)]), (where, rows[where])):
+            want = np.zeros((90_000, width))
+            np.add.at(want, at, mine)
+            assert np.allclose(found.sums(rows, given), want[found.places], atol=1e-4)
+
+
+def test_a_step_moves_every_row_by_the_sum_of_its_tokens():
+    """Against a loop over tokens: whatever tokens, positions and noise share a row, it moves once."""
+    random, width = np.random.default_rng(6), 8
+    counts, begins = random.integers(1, 50, 40), np.array([0, 1, 2, 3, 6, 20, 40])
+    model, twin = (lbl.Model.start(counts, width, begins) for _ in range(2))
+    trainer = lbl.Trainer(model, counts, 4)
+    n = 300
+    token, one, two = random.integers(1, 40, n), random.integers(0, 12, n), random.integers(0, 40, n)
+    class_of = np.repeat(np.arange(6), np.diff(begins))
+    order = np.argsort(class_of[token], kind="stable")
+    token, one, two = token[order], one[order], two[order]
+    draws = np.random.default_rng(4)
+    noise = draws.choice(6, lbl.NOISE, p=trainer.share)  # 64 of six classes
+    begin, length = trainer._blocks(class_of[token])
+    sizes = np.diff(begins)[class_of[token[begin]]]
+    drawn = (draws.random((len(begin), lbl.INSIDE), dtype=np.float32) * sizes[:, None].astype(np.float32)).astype(int) + begins[class_of[token[begin]]][:, None]
+    trainer.step(token, one, two)
+
+    sigma = lambda x: 1 / (1 + np.exp(-x))
+    context, member, target = np.zeros((40, width)), np.zeros((40, width)), np.zeros((6, width))
+    bias, member_bias, position = np.zeros(6), np.zeros(40), np.zeros((2, width))
+    for block, (first, many) in enumerate(zip(begin, length)):
+        for i in range(first, first + many):
+            c, a, b = class_of[token[i]], twin.context[one[i]], twin.context[two[i]]
+            q = a * twin.position[0] + b * twin.position[1]
+            pulls = [(c, sigma(-(q @ twin.target[c] + twin.bias[c] - trainer.log_noise[c])))]
+            pulls += [(j, -sigma(q @ twin.target[j] + twin.bias[j] - trainer.log_noise[j])) for j in noise]
+            back = np.zeros(width)
+            for j, pull in pulls:
+                back, bias[j] = back + pull * twin.target[j], bias[j] + pull
+                target[j] += pull * q
+            if sizes[block] > 1:
+                inside = lambda k: q @ twin.member[k] + twin.member_bias[k] - trainer.log_inside[c]  # noqa: B023, E731
+                for k, pull in [(token[i], sigma(-inside(token[i]))), *((k, -sigma(inside(k))) for k in drawn[block])]:
+                    back, member_bias[k] = back + pull * twin.member[k], member_bias[k] + pull
+                    member[k] += pull * q
+            context[one[i]] += back * twin.position[0]
+            context[two[i]] += back * twin.position[1]
+            position += np.stack([back * a, back * b])
+    rows = lambda g: lbl.RATE * g / np.sqrt(1 + g * g)
+    each = lambda g: lbl.RATE * g / n / np.sqrt(1e-6 + (g / n) ** 2)
+    for name, step in (("context", rows(context)), ("member", rows(member)), ("target", each(target)), ("bias", each(bias)), ("position", each(position))):
+        assert np.allclose(getattr(model, name) - getattr(twin, name), step, atol=2e-4), name
+    assert np.allclose(model.member_bias - twin.member_bias, lbl.RATE * member_bias / np.sqrt(1 + member_bias**2), atol=2e-4)
+    assert np.array_equal(trainer.used[0], np.bincount(np.concatenate([one, two]), minlength=40))
+
+
+def test_scores_are_those_of_the_model(spark):
+    """In any order of tokens, for classes of one and of many, with pairs of contexts in the table or not."""
+    random = np.random.default_rng(8)
+    begins = np.array([0, 1, 2, 3, 30, 60])
+    model = lbl.Model.start(random.integers(1, 50, 60), 8, begins)
+    for scale in (1, 40):  # scores beyond an exponential of 32 bits
+        model.target *= scale
+        model.member *= scale
+        tables = lbl.score_tables(spark, model, 10)
+        token, one, two = random.integers(1, 60, 2_000), random.integers(0, 60, 2_000), random.integers(0, 20, 2_000)
+        got = tables.logs(token, one, two)
+        for i in range(0, 2_000, 7):
+            c = np.searchsorted(begins, token[i], side="right") - 1
+            q = (model.context[one[i]] * model.position[0] + model.context[two[i]] * model.position[1]).astype(float)
+            classes, members = model.target @ q + model.bias, model.member[begins[c]:begins[c + 1]] @ q + model.member_bias[begins[c]:begins[c + 1]]
+            want = classes[c] - np.logaddexp.reduce(classes) + members[token[i] - begins[c]] - np.logaddexp.reduce(members)
+            assert got[i] == pytest.approx(want, abs=2e-3)
+    assert tables.logs(*np.empty((3, 0), np.int64)).tolist() == []

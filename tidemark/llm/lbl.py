@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.words import find_words, small_batches, span_hashes, text_chunks
+from tidemark.llm.words import BYTE_VALUES, SPAN_BASES, find_words, mix, powers, small_batches, span_hashes, text_chunks
 from tidemark.session import named, ship_with_tasks, stage
 
 SHORTLIST = 1000  # the fewest words with vectors of their own, and contexts whose pairs have a table of normalisers
@@ -41,6 +41,9 @@ ROUNDS = 2
 BATCH, NOISE, RATE = 8192, 64, 0.08
 INSIDE = 4  # noise words of a token inside its class
 BLOCK = 8  # tokens of a class that share them
+LAYERS = 8  # rows of a segment that are added with those of all other segments
+TILE = 1024  # tokens whose noise classes are looked at at a time: their scores stay in the cache of a processor
+SHORT = 24  # bytes of words that are hashed together
 SLICE = 4096  # rows of a model that are averaged at a time
 SCORED = 256  # tokens whose classes are normalised at a time: their scores stay in the cache of a processor
 FLUSH_WORDS = 4_000_000
@@ -53,10 +56,37 @@ _LOWERED = np.arange(256, dtype=np.uint8)
 _LOWERED[ord("A"):ord("Z") + 1] += 32
 
 
-def word_keys(words) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit keys of the words with A to Z in lower case, as two signed numbers."""
-    data = _LOWERED[words.data]
-    return tuple(span_hashes(data, words.starts, words.ends, which).view(np.int64) for which in (0, 1))
+# by half of a key and place in a word: what each byte adds
+_ADDED = [[values * power for power in powers(base, SHORT)] for values, base in zip(BYTE_VALUES, SPAN_BASES)]
+
+
+def word_keys(words, halves: int = 2) -> tuple[np.ndarray, ...]:
+    """128-bit keys of the words with A to Z in lower case, as two signed numbers, or the first of them.
+
+    They are `span_hashes`. Words of at most `SHORT` bytes are looked at together, their first bytes, then
+    the second bytes of those that have any, and so on.
+    """
+    data, lengths = _LOWERED[words.data], words.ends - words.starts
+    order = np.argsort(SHORT - np.minimum(lengths, SHORT + 1).astype(np.int16), kind="stable")  # by falling length
+    starts, lengths = np.take(words.starts, order), np.take(lengths, order)
+    falling = -lengths
+    long, left = (int(n) for n in np.searchsorted(falling, [-SHORT, 0]))
+    sums = [lengths.astype(np.uint64) for _ in range(halves)]
+    for place in range(SHORT):
+        left = long + int(np.searchsorted(falling[long:left], -place))  # have a byte there
+        if left == long:
+            break
+        found = np.take(data, starts[long:left] + place)
+        for added, total in zip(_ADDED, sums):
+            total[long:left] += np.take(added[place], found)
+    out = []
+    for which, total in enumerate(sums):
+        keys = mix(total)
+        keys[:long] = span_hashes(data, starts[:long], starts[:long] + lengths[:long], which)
+        unsorted = np.empty_like(keys)
+        unsorted[order] = keys
+        out.append(unsorted.view(np.int64))
+    return tuple(out)
 
 
 # ---- counts -------------------------------------------------------------------------------------
@@ -245,25 +275,53 @@ def _order(at: np.ndarray) -> np.ndarray:
     return order if not high.any() else np.take(order, np.argsort(np.take(high, order).astype(np.uint16), kind="stable"))
 
 
-def _segment_sums(rows: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Sums of consecutive rows; pairs of numbers are added as one complex number, which is about twice as fast."""
-    if rows.dtype == np.float32 and rows.shape[1] % 2 == 0 and rows.flags.c_contiguous:
-        return np.add.reduceat(rows.view(np.complex64), begins, axis=0).view(np.float32)
-    return np.add.reduceat(rows, begins, axis=0)
+class Segments:
+    """Equal numbers of `at`, as segments that are numbered from the longest to the shortest.
 
+    `places`: the number of each segment; `times`: how often it occurs; `of`: the segment of each of `at`.
+    """
 
-def _segments(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, begins in that order, the places that occur)."""
-    order = _order(at)
-    at = np.take(at, order)
-    begins = np.flatnonzero(np.diff(at, prepend=-1))
-    return order, begins, at[begins]
+    def __init__(self, at: np.ndarray):
+        self.order = _order(at)
+        ordered = np.take(at, self.order)
+        begins = np.flatnonzero(np.diff(ordered, prepend=-1))
+        times = np.diff(np.append(begins, len(at)))
+        by = _order(len(at) - times)
+        self.begins, self.times = np.take(begins, by), np.take(times, by)
+        self.places = np.take(ordered, self.begins)
+        rank = np.empty_like(by)
+        rank[by] = np.arange(len(by))
+        self.of = np.empty_like(self.order)
+        self.of[self.order] = np.repeat(rank, times)
+
+    def sums(self, rows: np.ndarray, where: np.ndarray | None = None) -> np.ndarray:
+        """Sums of the rows of each segment; `where`: the row of each of `at`, if not its own.
+
+        Most segments are short: the first rows of all are added at once, then the second rows of those
+        that have any, and so on. What longer ones have beyond `LAYERS` rows is added segment by segment.
+        """
+        order, falling = self.order if where is None else np.take(where, self.order), -self.times
+        out = np.take(rows, np.take(order, self.begins), axis=0)
+        for layer in range(1, LAYERS):
+            several = int(np.searchsorted(falling, -layer))  # have more than `layer` rows
+            if not several:
+                return out
+            out[:several] += np.take(rows, np.take(order, self.begins[:several] + layer), axis=0)
+        long = int(np.searchsorted(falling, -LAYERS))
+        if long:
+            left = self.times[:long] - LAYERS
+            firsts = np.cumsum(left) - left
+            at = np.arange(int(left.sum())) + np.repeat(self.begins[:long] + LAYERS - firsts, left)
+            rest = np.take(rows, np.take(order, at), axis=0)
+            # pairs of numbers are added as one complex number, which is about twice as fast
+            paired = rest.dtype == np.float32 and rest.shape[1] % 2 == 0
+            out[:long] += np.add.reduceat(rest.view(np.complex64), firsts, axis=0).view(np.float32) if paired else np.add.reduceat(rest, firsts, axis=0)
+        return out
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place, if `x` is an array of its own."""
-    np.clip(x, -30, 30, out=x)
-    np.negative(x, out=x)
+def _sigmoid_of_minus(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in place."""
+    np.minimum(x, 30, out=x)
     np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
@@ -284,15 +342,19 @@ class Trainer:
         share = np.add.reduceat((counts + 0.5).astype(float), model.begins[:-1])
         share[START] = 0
         self.share = share / share.sum()
+        self.upto = np.cumsum(self.share)
+        self.upto /= self.upto[-1]
         self.log_noise = np.log(NOISE * np.maximum(self.share, 1e-30)).astype(np.float32)
         self.log_inside = np.log(INSIDE / self.sizes).astype(np.float32)
         self.squares = [np.full(p.shape, 1e-6, np.float32) for p in (model.position, model.target, model.bias)]
         # a rare row has few steps, so its sums are not divided by the batch
         self.row_squares = [np.full(p.shape, 1.0, np.float32) for p in (model.context, model.member)]
         self.bias_squares = np.full(len(model.member), 1.0, np.float32)
+        self.slot = np.full(len(model.context), -1)  # free between steps
         self.used = [np.zeros(len(p), np.float32) for p in (model.context, model.member)]
 
-    def _update(self, which: int, vectors: np.ndarray, places: np.ndarray, times: np.ndarray, sums: np.ndarray) -> None:
+    def _update(self, which: int, vectors: np.ndarray, now: np.ndarray, places: np.ndarray, times: np.ndarray, sums: np.ndarray) -> None:
+        """A step of the rows `now` at `places`, along `sums`, which are lost."""
         self.used[which][places] += times
         squares = np.take(self.row_squares[which], places, axis=0)
         squares += sums * sums
@@ -300,7 +362,7 @@ class Trainer:
         np.sqrt(squares, out=squares)
         sums *= np.float32(self.rate)
         sums /= squares
-        sums += np.take(vectors, places, axis=0)
+        sums += now
         vectors[places] = sums
 
     def _blocks(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -313,67 +375,103 @@ class Trainer:
         return first, np.minimum(np.repeat(lengths, blocks) - BLOCK * within, BLOCK)
 
     def step(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        m, n = self.m, len(token)
+        m, n, width = self.m, len(token), self.m.context.shape[1]
         order = _order(np.take(self.class_of, token))
         token, one, two = np.take(token, order), np.take(one, order), np.take(two, order)
         kind = np.take(self.class_of, token)
-        noise = self.random.choice(len(self.share), NOISE, p=self.share)
-        first, second = np.take(m.context, one, axis=0), np.take(m.context, two, axis=0)
-        predicted = first * m.position[0]
-        predicted += second * m.position[1]
-        wanted, others = np.take(m.target, kind, axis=0), m.target[noise]
-        up = _sigmoid(-np.einsum("ij,ij->i", predicted, wanted) - np.take(m.bias - self.log_noise, kind))
-        down = predicted @ others.T
-        down += m.bias[noise] - self.log_noise[noise]
-        down = _sigmoid(down)  # the chance, by the model, that each noise class is real
+        noise = np.searchsorted(self.upto, self.random.random(NOISE), side="right")
+
+        # the vector of a context is looked up and weighted once for each position
+        near, far = Segments(one), Segments(two)
+        first, second = np.take(m.context, near.places, axis=0), np.take(m.context, far.places, axis=0)
+        predicted = np.take(first * m.position[0], near.of, axis=0)
+        predicted += np.take(second * m.position[1], far.of, axis=0)
+
+        wanted = np.take(m.target, kind, axis=0)
+        up = np.einsum("ij,ij->i", predicted, wanted)
+        up += np.take(m.bias - self.log_noise, kind)
+        up = _sigmoid_of_minus(up)
         back = wanted
         back *= up[:, None]
-        back -= down @ others
+        noise, times = np.unique(noise, return_counts=True)  # a class that is drawn several times is looked at once
+        minus, shift = -m.target[noise], (self.log_noise[noise] - m.bias[noise])[:, None]
+        pushed = minus * times.astype(np.float32)[:, None]
+        away, real = np.zeros_like(minus), np.zeros(len(noise), np.float32)
+        tile, ones = np.empty((len(noise), TILE), np.float32), np.ones(TILE, np.float32)
+        for i in range(0, n, TILE):
+            rows = predicted[i:i + TILE]
+            down = np.matmul(minus, rows.T, out=tile[:, :len(rows)])
+            down += shift
+            down = _sigmoid_of_minus(down)  # the chance, by the model, that each noise class is real
+            back[i:i + TILE] += down.T @ pushed
+            away += down @ rows
+            real += down @ ones[:len(rows)]
 
         begin, length = self._blocks(kind)
         held = np.arange(BLOCK) < length[:, None]
+        at = np.flatnonzero(held)
         q = np.take(predicted, np.minimum(begin[:, None] + np.arange(BLOCK), n - 1), axis=0)
         kinds = np.take(kind, begin)
-        sizes, several = np.take(self.sizes, kinds), np.take(self.sizes, kinds) > 1
+        sizes = np.take(self.sizes, kinds)
+        several = sizes > 1
         # a float just below one may round up to the size
         drawn = (self.random.random((len(begin), INSIDE), dtype=np.float32) * sizes.astype(np.float32)[:, None]).astype(np.int64)
         drawn = np.minimum(drawn, (sizes - 1)[:, None]) + np.take(m.begins, kinds)[:, None]
-        vectors = np.take(m.member, drawn, axis=0)
+        # the tokens' members, then the noise members of each block
+        members = Segments(np.concatenate([token, drawn.ravel()]))
+        vectors, biases = np.take(m.member, members.places, axis=0), np.take(m.member_bias, members.places)
+        of_noise = members.of[n:].reshape(drawn.shape)
+        noise_vectors = np.take(vectors, of_noise, axis=0)
         pull = np.empty((len(begin), BLOCK, INSIDE + 1), np.float32)  # of the noise members, and of the class
-        inside = q @ vectors.transpose(0, 2, 1)
-        inside += (np.take(m.member_bias, drawn) - np.take(self.log_inside, kinds)[:, None])[:, None, :]
-        np.multiply(_sigmoid(inside), -(held & several[:, None]).astype(np.float32)[:, :, None], out=pull[:, :, :INSIDE])
+        inside = q @ noise_vectors.transpose(0, 2, 1)
+        inside += (np.take(biases, of_noise) - np.take(self.log_inside, kinds)[:, None])[:, None, :]
+        np.negative(inside, out=inside)
+        np.multiply(_sigmoid_of_minus(inside), -(held & several[:, None]).astype(np.float32)[:, :, None], out=pull[:, :, :INSIDE])
         pull[:, :, INSIDE] = 0
-        pull[:, :, INSIDE][held] = up
-        back += (pull[:, :, :INSIDE] @ vectors)[held]
-        sums = pull.transpose(0, 2, 1) @ q
+        pull.reshape(-1, INSIDE + 1)[at, INSIDE] = up
+        back += np.take((pull[:, :, :INSIDE] @ noise_vectors).reshape(-1, width), at, axis=0)
+
+        alone = np.take(self.sizes, kind) == 1
+        wanted = np.take(vectors, members.of[:n], axis=0)
+        hit = np.einsum("ij,ij->i", predicted, wanted)
+        hit += np.take(biases, members.of[:n]) - np.take(self.log_inside, kind)
+        np.negative(hit, out=hit)
+        hit = 1 - _sigmoid_of_minus(hit)
+        hit[alone] = 0
+        wanted *= hit[:, None]
+        back += wanted
+        # gradients: of the tokens, then of each block's noise members and class
+        moves = np.empty((n + len(begin) * (INSIDE + 1), width), np.float32)
+        np.multiply(predicted, hit[:, None], out=moves[:n])
+        sums = np.matmul(pull.transpose(0, 2, 1), q, out=moves[n:].reshape(len(begin), INSIDE + 1, width))
         target = np.zeros_like(m.target)
         new = np.flatnonzero(np.diff(kinds, prepend=-1))
-        target[kinds[new]] = _segment_sums(np.ascontiguousarray(sums[:, INSIDE]), new)
-        np.subtract.at(target, noise, down.T @ predicted)
-        bias = np.bincount(kind, up, len(m.bias)) - np.bincount(noise, down.sum(0), len(m.bias))
-
-        mine = np.flatnonzero(np.take(self.sizes, kind) > 1)
-        if len(mine):
-            own, wanted, rows = np.take(token, mine), np.take(m.member, np.take(token, mine), axis=0), np.take(predicted, mine, axis=0)
-            hit = np.einsum("ij,ij->i", rows, wanted)
-            hit += np.take(m.member_bias, own) - np.take(self.log_inside, np.take(kind, mine))
-            hit = 1 - _sigmoid(hit)
-            wanted *= hit[:, None]
-            back[mine] += wanted
-            rows *= hit[:, None]
-            order, begins, places = _segments(np.concatenate([own, drawn[several].ravel()]))
-            rows = np.take(np.concatenate([rows, sums[several, :INSIDE].reshape(-1, rows.shape[1])]), order, axis=0)
-            hit = np.take(np.concatenate([hit, pull[several, :, :INSIDE].sum(1).ravel()]), order)
-            times = np.take(np.concatenate([np.ones(len(own), np.int64), np.repeat(length[several], INSIDE)]), order)
-            self._update(1, m.member, places, np.add.reduceat(times, begins), _segment_sums(rows, begins))
-            sums = np.add.reduceat(hit, begins)
-            self.bias_squares[places] += sums * sums
-            m.member_bias[places] += self.rate * sums / np.sqrt(self.bias_squares[places])
-        position = np.stack([np.einsum("ij,ij->j", back, first), np.einsum("ij,ij->j", back, second)])
-        order, begins, places = _segments(np.concatenate([one, two]))
-        rows = np.take(np.concatenate([back * m.position[0], back * m.position[1]]), order, axis=0)
-        self._update(0, m.context, places, np.diff(np.append(begins, len(rows))), _segment_sums(rows, begins))
+        target[kinds[new]] = np.add.reduceat(sums[:, INSIDE], new, axis=0)
+        target[noise] -= away * times[:, None]
+        bias = np.bincount(kind, up, len(m.bias))
+        bias[noise] -= real * times
+
+        where = np.concatenate([np.arange(n), (n + np.arange(len(begin))[:, None] * (INSIDE + 1) + np.arange(INSIDE)).ravel()])
+        times = np.concatenate([~alone, np.repeat(length * several, INSIDE)])
+        times = np.bincount(members.of, times, len(members.places))
+        sums = np.bincount(members.of, np.concatenate([hit, pull[:, :, :INSIDE].sum(1).ravel()]), len(members.places))
+        self._update(1, m.member, vectors, members.places, times, members.sums(moves, where))
+        squares = np.take(self.bias_squares, members.places) + sums * sums
+        self.bias_squares[members.places] = squares
+        m.member_bias[members.places] = biases + self.rate * sums / np.sqrt(squares)
+
+        moves, more = near.sums(back), far.sums(back)
+        position = np.stack([np.einsum("ij,ij->j", moves, first), np.einsum("ij,ij->j", more, second)])
+        moves *= m.position[0]
+        more *= m.position[1]
+        self.slot[near.places] = np.arange(len(near.places))
+        at = np.take(self.slot, far.places)  # of a context at both positions
+        self.slot[near.places] = -1
+        both, alone = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        moves[at[both]] += np.take(more, both, axis=0)
+        near.times[at[both]] += far.times[both]
+        self._update(0, m.context, first, near.places, near.times, moves)
+        self._update(0, m.context, np.take(second, alone, axis=0), far.places[alone], far.times[alone], np.take(more, alone, axis=0))
         for p, g, s in zip((m.position, m.target, m.bias), (position, target, bias), self.squares):
             g = (g / n).astype(np.float32)
             s += g * g
@@ -399,8 +497,7 @@ def train_round(texts: DataFrame, model: Model, counts: np.ndarray, vocabulary:
         for batch in batches:
             for _, _, data, bounds in text_chunks(batch.column(0)):
                 words = find_words(data, bounds)
-                a = span_hashes(_LOWERED[data], words.starts, words.ends, 0).view(np.int64)
-                held.append(np.stack(token_ids(words, a, vocabulary)))
+                held.append(np.stack(token_ids(words, *word_keys(words, 1), vocabulary)))
                 size += held[-1].shape[1]
                 if size >= BATCH:
                     rows = np.concatenate(held, 1)
@@ -462,21 +559,28 @@ class Normaliser:
 
     LARGEST = 60.0  # exp of it, times the number of vectors, is a finite 32-bit float
 
-    def __init__(self, vectors: np.ndarray, bias: np.ndarray):
+    def __init__(self, vectors: np.ndarray, bias: np.ndarray, others: int = 0):
+        """The last `others` vectors are scored, but not added up."""
         self.both = np.ascontiguousarray(np.column_stack([vectors, bias]).T)
+        self.counted = len(bias) - others
         self.ones = np.ones(len(bias), np.float32)
+        self.ones[self.counted:] = 0
         self.length = float(np.sqrt((vectors.astype(float) ** 2).sum(axis=1).max()))
-        self.bias = float(np.abs(bias.max()))  # of the likeliest; the exponentials of others may vanish
+        self.bias = float(np.abs(bias[:self.counted].max()))  # of the likeliest; the exponentials of others may vanish
+        if others:
+            self.bias = max(self.bias, float(bias[self.counted:].max()))
 
     def scores(self, q1: np.ndarray) -> np.ndarray:
         """Scores of rows that end in a one."""
         return q1 @ self.both
 
-    def logs(self, q1: np.ndarray, scores: np.ndarray | None = None) -> np.ndarray:
+    def logs(self, q1: np.ndarray, scores: np.ndarray | None = None, longest: float | None = None) -> np.ndarray:
+        """`longest`: a length that no row exceeds, without its one, if known. The scores are lost."""
         scores = self.scores(q1) if scores is None else scores
-        longest = float(np.sqrt(np.einsum("ij,ij->i", q1[:, :-1], q1[:, :-1]).max(initial=0)))
+        if longest is None:
+            longest = float(np.sqrt(np.einsum("ij,ij->i", q1[:, :-1], q1[:, :-1]).max(initial=0)))
         if longest * self.length + self.bias > self.LARGEST:
-            return _log_sums(scores)
+            return _log_sums(scores[:, :self.counted])
         np.exp(scores, out=scores)
         return np.log(scores @ self.ones)
 
@@ -490,44 +594,71 @@ class Tables:
 
     @cached_property
     def members(self) -> list[Normaliser]:
-        """Of each class, made once in a task's worker."""
+        """Of each class, made once in a task's worker; the last score is that of the class."""
         m = self.model
-        return [Normaliser(m.member[i:j], m.member_bias[i:j]) for i, j in zip(m.begins[:-1], m.begins[1:])]
+        return [
+            Normaliser(np.concatenate([m.member[i:j], m.target[c:c + 1]]), np.append(m.member_bias[i:j], m.bias[c]), 1)
+            for c, (i, j) in enumerate(zip(m.begins[:-1], m.begins[1:]))
+        ]
+
+    @cached_property
+    def classes(self) -> Normaliser:
+        return Normaliser(self.model.target, self.model.bias)
+
+    @cached_property
+    def class_of(self) -> np.ndarray:
+        sizes = np.diff(self.model.begins)
+        return np.repeat(np.arange(len(sizes)), sizes)
+
+    @cached_property
+    def contexts(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """By position: the weighted vectors, the first with a one each, and their lengths. The sum of two is a q that ends in a one."""
+        out = []
+        for position, last in zip(self.model.position, (1, 0)):
+            rows = np.full((len(self.model.context), self.model.context.shape[1] + 1), last, np.float32)
+            np.multiply(self.model.context, position, out=rows[:, :-1])
+            out.append((rows, np.sqrt(np.einsum("ij,ij->i", rows[:, :-1], rows[:, :-1]))))
+        return out
 
     def logs(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Natural logarithms of the probabilities."""
-        m, pairs, sizes = self.model, len(self.norm), np.diff(self.model.begins)
-        class_of = np.repeat(np.arange(len(sizes)), sizes)
-        kind = np.take(class_of, token)
-        q = np.take(m.context, one, axis=0) * m.position[0]
-        q += np.take(m.context, two, axis=0) * m.position[1]
-        out = np.einsum("ij,ij->i", q, np.take(m.target, kind, axis=0)) + np.take(m.bias, kind)
+        m, pairs = self.model, len(self.norm)
+        order = _order(np.take(self.class_of, token))
+        token, one, two = np.take(token, order), np.take(one, order), np.take(two, order)
+        (near, lengths), (far, more) = self.contexts
+        longest = np.take(lengths, one) + np.take(more, two)
+        out = np.empty(len(token), np.float32)
         known = (one < pairs) & (two < pairs)
-        out[known] -= self.norm[one[known], two[known]]
-        q = _with_one(q)
+        out[known] = -self.norm[one[known], two[known]]
         rest = np.flatnonzero(~known)
         # a pair of contexts has one normaliser, however often it occurs here
-        contexts, back = np.unique(one[rest] * len(m.context) + two[rest], return_index=True, return_inverse=True)[1:]
-        distinct, norms = rest[contexts], np.empty(len(contexts), np.float32)
-        classes = Normaliser(m.target, m.bias)
-        for i in range(0, len(distinct), SCORED):
-            norms[i:i + SCORED] = classes.logs(np.take(q, distinct[i:i + SCORED], axis=0))
-        out[rest] -= norms[back]
-        order = _order(kind)
-        sorted_kind = np.take(kind, order)
-        begins = np.flatnonzero(np.diff(sorted_kind, prepend=-1))
-        for i, j in zip(begins.tolist(), np.append(begins[1:], len(order)).tolist()):
-            c = int(sorted_kind[i])
-            if sizes[c] == 1:
-                continue
-            first, members = m.begins[c], self.members[c]
+        contexts, back = np.unique(one[rest] * len(m.context) + two[rest], return_inverse=True)
+        norms = np.empty(len(contexts), np.float32)
+        first, second = np.divmod(contexts, len(m.context))
+        reach = np.take(lengths, first) + np.take(more, second)
+        for i in range(0, len(contexts), SCORED):
+            q = np.take(near, first[i:i + SCORED], axis=0)
+            q += np.take(far, second[i:i + SCORED], axis=0)
+            norms[i:i + SCORED] = self.classes.logs(q, longest=float(reach[i:i + SCORED].max()))
+        out[rest] = -np.take(norms, back)
+        kind = np.take(self.class_of, token)
+        within = token - np.take(m.begins, kind)
+        begins = np.flatnonzero(np.diff(kind, prepend=-1)).tolist()
+        for i, j in zip(begins, [*begins[1:], len(kind)]):
+            members = self.members[kind[i]]
+            width = members.counted + 1
             for k in range(i, j, SCORED):
-                at = order[k:min(k + SCORED, j)]
-                rows = np.take(q, at, axis=0)
-                scores = members.scores(rows)
-                out[at] += scores[np.arange(len(at)), token[at] - first]
-                out[at] -= members.logs(rows, scores)
-        return out
+                end = min(k + SCORED, j)
+                q = np.take(near, one[k:end], axis=0)
+                q += np.take(far, two[k:end], axis=0)
+                scores = members.scores(q)
+                out[k:end] += scores[:, -1]
+                if width > 2:
+                    out[k:end] += np.take(scores, within[k:end] + np.arange(0, scores.size, width))
+                    out[k:end] -= members.logs(q, scores, float(longest[k:end].max()))
+        unsorted = np.empty_like(out)
+        unsorted[order] = out
+        return unsorted
 
 
 def score_tables(spark, model: Model, contexts: int = SHORTLIST) -> Tables:
